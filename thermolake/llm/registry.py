@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from thermolake.llm import decontaminate, sharding
+from thermolake.llm import decontaminate, sharding, superminhash
 from thermolake.session import ship_path
 
 OPERATORS = [
+    superminhash.op2_superminhash,
     decontaminate.op5_decontamination,
     sharding.op10_balanced_shards,
 ]
