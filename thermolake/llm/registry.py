@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from thermolake.llm import decontaminate, sharding, superminhash
+from thermolake.llm import bitpack, decontaminate, sharding, superminhash, telephony, wordbpe
 from thermolake.session import ship_path
 
 OPERATORS = [
     superminhash.op2_superminhash,
+    wordbpe.op4_word_bpe,
     decontaminate.op5_decontamination,
+    telephony.op8_telephony,
+    bitpack.op9_bit_packing,
     sharding.op10_balanced_shards,
 ]
 
