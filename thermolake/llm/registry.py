@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from thermolake.llm import bitpack, decontaminate, sharding, superminhash, telephony, wordbpe
+from thermolake.llm import bitpack, decontaminate, hyperlang, linecrf, sharding, superminhash, telephony, wordbpe
 from thermolake.session import ship_path
 
 OPERATORS = [
     superminhash.op2_superminhash,
     wordbpe.op4_word_bpe,
     decontaminate.op5_decontamination,
+    linecrf.op6_line_crf,
+    hyperlang.op7_hyperlang,
     telephony.op8_telephony,
     bitpack.op9_bit_packing,
     sharding.op10_balanced_shards,
