@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from thermolake.llm import bitpack, decontaminate, hyperlang, linecrf, sharding, superminhash, telephony, wordbpe
+from thermolake.llm import bitpack, decontaminate, hyperlang, linecrf, sharding, suffixdedup, superminhash, telephony, wordbpe
 from thermolake.session import ship_path
 
 OPERATORS = [
     superminhash.op2_superminhash,
+    suffixdedup.op3_sparse_suffixes,
     wordbpe.op4_word_bpe,
     decontaminate.op5_decontamination,
     linecrf.op6_line_crf,
