@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from thermolake.llm import bitpack, decontaminate, hyperlang, linecrf, sharding, suffixdedup, superminhash, telephony, wordbpe
+from thermolake.llm import bitpack, ctw, decontaminate, hyperlang, linecrf, sharding, suffixdedup, superminhash, telephony, wordbpe
 from thermolake.session import ship_path
 
 OPERATORS = [
+    ctw.op1_context_tree,
     superminhash.op2_superminhash,
     suffixdedup.op3_sparse_suffixes,
     wordbpe.op4_word_bpe,
