@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from thermolake.llm.ids import by_ids
 from thermolake.session import Scratch
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -112,8 +113,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, id_col
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **kw) -> DataFrame:
     """The documents that hold no benchmark window, with the columns they came with."""
-    found = contamination(docs, benchmark, **kw).where("n_hit > 0").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    found = contamination(docs, benchmark, **kw).where("n_hit > 0")
+    return by_ids(Scratch(docs.sparkSession, "contaminated"), docs, found, "left_anti", "found")
 
 
 def op5_decontamination(spark, sf_dir: str) -> DataFrame:

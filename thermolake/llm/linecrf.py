@@ -228,29 +228,35 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS) ->
     return fit(np.concatenate(features) if features else np.zeros((0, N_FEATURES), np.float32), firsts, size, np.array([r["good"] for r in found], np.int64))
 
 
-def _score_batches(model: Model):
+def _score_batches(model: Model, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece, flat, offsets in textkit.chunked(batches, "text"):
             score = model.score(*line_features(flat, offsets))
-            yield pa.RecordBatch.from_arrays([*piece.columns[1:], pa.array(score)], names=[*piece.schema.names[1:], "score"])
+            yield pa.RecordBatch.from_arrays([*[piece.column(piece.schema.get_field_index(c)) for c in keep], pa.array(score)], names=[*keep, "score"])
 
     return run
 
 
 def score_documents(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """The columns `keep` and score (0 to 1, higher: better) of every document; null and empty texts are one empty line."""
-    rows = docs.select(F.col("text").alias("text"), *[F.col(c) for c in keep if c != "text"])
-    fields = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in rows.columns[1:])
-    return rows.mapInArrow(_score_batches(model), f"{fields}, score double")
+    rows = docs.select(*dict.fromkeys(["text", *keep]))
+    fields = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
+    return rows.mapInArrow(_score_batches(model, keep), f"{fields}, score double")
 
 
-def _held_out() -> Column:
+def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
+    """The documents that score `least` or more, with the columns they came with (none may be named score)."""
+    model = train(docs, labels.where(~held_out()))
+    return score_documents(docs, model, docs.columns).where(F.col("score") >= least).select(*docs.columns)
+
+
+def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
 def op6_line_crf(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    model = train(docs, labels.where(~_held_out()))
+    model = train(docs, labels.where(~held_out()))
     scored = score_documents(docs, model, ["doc_id"])
-    return scored.select("doc_id", _held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -23,13 +23,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from thermolake.llm import textkit
+from thermolake.llm.ids import by_ids
 from thermolake.session import Scratch
 
 WIDTH = 50
 SHINGLE = 5
 REACH = 20
-#: Ids broadcast to fetch the texts of documents with repeats (16 bytes each); beyond it they are joined.
-BROADCAST_IDS = 1_000_000
 
 
 def _anchors(hashes: np.ndarray, rows: np.ndarray, width: int, reach: int) -> tuple[np.ndarray, np.ndarray]:
@@ -190,9 +189,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
     seeds = repeated_neighbours(scratch, suffixes, "compared")
     places = scratch.table(seeds.groupBy("doc_id").agg(F.collect_set("pos").alias("places")), "places")
     scratch.drop("suffixes")
-    small = places.count() <= BROADCAST_IDS
-    ids = places.select("doc_id")
-    chosen = texts.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
+    chosen = by_ids(scratch, texts, places, "left_semi", "chosen")
     windows = chosen.join(places, "doc_id").select("doc_id", "text", "places").mapInArrow(_window_batches(width, REACH), kinds)
     repeated = repeated_neighbours(scratch, scratch.table(windows, "windows"), "matched")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -219,16 +216,15 @@ def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def drop_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """The documents without their later occurrences of passages, with the columns they came with; a text that was nothing else is gone."""
     later = repeated_spans(docs, width).where("later").groupBy("doc_id").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
-    later = Scratch(docs.sparkSession, "later").table(later, "spans")
-    small = later.count() <= BROADCAST_IDS
-    ids = later.select("doc_id")
+    scratch = Scratch(docs.sparkSession, "later")
+    later = scratch.table(later, "spans")
     rest = [c for c in docs.columns if c != "text"]
-    marked = docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi").join(later, "doc_id").select(*rest, "text", "spans")
+    marked = by_ids(scratch, docs, later, "left_semi", "marked").join(later, "doc_id").select(*rest, "text", "spans")
     cut = marked.mapInArrow(_cut_batches, docs.select(*rest, "text").schema).where(F.trim("text") != "")
     if "n_chars" in rest:
         cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    whole = docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_anti")
-    return whole.select(*docs.columns).unionByName(cut.select(*docs.columns))
+    whole = by_ids(scratch, docs, later, "left_anti", "whole")
+    return whole.unionByName(cut.select(*docs.columns))
 
 
 def op3_sparse_suffixes(spark, sf_dir: str) -> DataFrame:

@@ -24,13 +24,12 @@ from pyspark.sql import functions as F
 
 from thermolake.llm import textkit
 from thermolake.llm.components import components
+from thermolake.llm.ids import by_ids
 from thermolake.session import Scratch
 
 #: 32 bands of 4 slots: a pair at 0.8 shares no band with probability (1 - 0.8^4)^32, about 5e-8.
 BANDS, BAND_SLOTS = 32, 4
 SLOTS = BANDS * BAND_SLOTS
-#: Representatives whose ids are broadcast to fetch their texts (16 bytes each); beyond it they are joined.
-BROADCAST_IDS = 1_000_000
 #: Members of a cluster that one task compares with the cluster's open documents.
 BLOCK = 2048
 
@@ -172,9 +171,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str
     stars = scratch.table(banded.join(centers, "band").where("rep <> center").select("center", "rep").distinct(), "stars")
 
     wanted = stars.select(F.col("rep").alias("doc_id")).union(stars.select(F.col("center").alias("doc_id"))).distinct()
-    wanted = scratch.table(wanted, "wanted")
-    small = wanted.count() <= BROADCAST_IDS
-    chosen = texts.join(F.broadcast(wanted) if small else wanted, "doc_id", "left_semi")
+    chosen = by_ids(scratch, texts, wanted, "left_semi", "wanted")
     sets = scratch.table(chosen.mapInArrow(_set_batches(k), "doc_id long, members array<long>").dropDuplicates(["doc_id"]), "sets")
 
     of_rep = sets.select(F.col("doc_id").alias("rep"), F.col("members").alias("x"))
@@ -216,8 +213,8 @@ def _second_look(scratch: Scratch, loose: DataFrame, percent: int) -> DataFrame:
 
 def keep_one(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame:
     """One document of each group, with the columns it came with; texts without words all stay."""
-    gone = near_duplicates(docs, percent, k).where("not kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = near_duplicates(docs, percent, k).where("not kept")
+    return by_ids(Scratch(docs.sparkSession, "copies"), docs, gone, "left_anti", "gone")
 
 
 def op2_superminhash(spark, sf_dir: str) -> DataFrame:

@@ -14,8 +14,10 @@ import codecs
 import hashlib
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -28,6 +30,10 @@ REMEMBERED = 400_000
 LONGEST_REMEMBERED = 64
 
 
+#: Token count, ids as text, decoded tokens, ids as 32-bit integers.
+Entry = tuple[int, bytes, bytes, bytes]
+
+
 def vocabulary_path(name: str = DEFAULT_VOCABULARY) -> str:
     import public_tokenizers
 
@@ -293,12 +299,12 @@ def _load(path: str) -> tuple[WordBpe, dict, dict]:
     return _loaded[path]
 
 
-def _entry(bpe: WordBpe, memory: dict, word: str | int) -> tuple[int, bytes, bytes]:
-    """Token count, ids and decoded tokens of a word, or of an added token's id."""
+def _entry(bpe: WordBpe, memory: dict, word: str | int) -> Entry:
+    """What is known of a word, or of an added token's id."""
     entry = memory.get(word)
     if entry is None:
         ids = [word] if isinstance(word, int) else bpe.encode_word(word)
-        entry = (len(ids), " ".join(map(str, ids)).encode(), bpe.decode_tokens(ids).encode())
+        entry = (len(ids), " ".join(map(str, ids)).encode(), bpe.decode_tokens(ids).encode(), array("i", ids).tobytes())
         if isinstance(word, int) or len(word) <= LONGEST_REMEMBERED:
             if len(memory) >= REMEMBERED:
                 memory.clear()
@@ -309,7 +315,7 @@ def _entry(bpe: WordBpe, memory: dict, word: str | int) -> tuple[int, bytes, byt
 _OTHER_CONTROLS = regex.compile("[\x1c-\x1f]")
 
 
-def _entries(bpe: WordBpe, memory: dict, runs: dict, text: str | None) -> list[tuple[int, bytes, bytes]]:
+def _entries(bpe: WordBpe, memory: dict, runs: dict, text: str | None) -> list[Entry]:
     """The entries of a text's words, by way of its runs between white space, most of which come again."""
     text = text or ""
     if "<|" in text or _OTHER_CONTROLS.search(text):
@@ -319,7 +325,7 @@ def _entries(bpe: WordBpe, memory: dict, runs: dict, text: str | None) -> list[t
         entry = runs.get(run)
         if entry is None:
             parts = [_entry(bpe, memory, w) for w in bpe.words.findall(run)]
-            entry = parts[0] if len(parts) == 1 else (sum(p[0] for p in parts), b" ".join(p[1] for p in parts if p[0]), b" ".join(p[2] for p in parts if p[0]))
+            entry = parts[0] if len(parts) == 1 else (sum(p[0] for p in parts), b" ".join(p[1] for p in parts if p[0]), b" ".join(p[2] for p in parts if p[0]), b"".join(p[3] for p in parts))
             if len(run) <= LONGEST_REMEMBERED:
                 if len(runs) >= REMEMBERED:
                     runs.clear()
@@ -344,13 +350,21 @@ def _digest_batches(path: str):
 
 
 def _encode_batches(path: str):
+    """All columns but the last, the text, and then: count of tokens, ids, digest of the decoded tokens."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, memory, runs = _load(path)
         for batch in batches:
-            rows = []
-            for text in batch.column(batch.num_columns - 1):
-                rows.append([int(i) for e in _entries(bpe, memory, runs, text.as_py()) for i in e[1].split()])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(rows, pa.list_(pa.int32()))], names=[*batch.schema.names[:-1], "ids"])
+            for start in range(0, batch.num_rows, 256):
+                piece = batch.slice(start, 256)
+                ids, decoded = [], []
+                for text in piece.column(piece.num_columns - 1):
+                    found = [e for e in _entries(bpe, memory, runs, text.as_py()) if e[0]]
+                    ids.append(b"".join([e[3] for e in found]))
+                    decoded.append(hashlib.sha256(b" ".join([e[2] for e in found])).hexdigest())
+                counts = np.array([len(x) // 4 for x in ids], np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(np.frombuffer(b"".join(ids), np.int32)))
+                yield pa.RecordBatch.from_arrays([*piece.columns[:-1], pa.array(counts), lists, pa.array(decoded)], names=[*piece.schema.names[:-1], "n_tokens", "ids", "decoded_sha256"])
 
     return run
 
@@ -369,10 +383,11 @@ def _decode_batches(path: str):
     return run
 
 
-def encode_documents(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, ids of every document. Null and empty texts have no ids; other columns are not read."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(_encode_batches(path or vocabulary_path()), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>")
+def encode_documents(docs: DataFrame, keep: list[str], path: str | None = None, text_col: str = "text") -> DataFrame:
+    """The columns `keep` (not the text), n_tokens, ids and decoded_sha256 of every document. Null and empty texts have no ids."""
+    rows = docs.select(*keep, text_col)
+    fields = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
+    return rows.mapInArrow(_encode_batches(path or vocabulary_path()), f"{fields}, n_tokens long, ids array<int>, decoded_sha256 string")
 
 
 def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
