@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -16,7 +17,7 @@ SETTINGS = {
 }
 
 
-def build_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
+def build_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g", **more: str) -> SparkSession:
     """A local session; on a cluster the same SETTINGS are given to spark-submit."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -25,18 +26,24 @@ def build_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
-    for key, value in SETTINGS.items():
+    for key, value in (SETTINGS | more).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
+_own_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset."""
+    """The folder that driver and executors share, with its scheme: spark.checkpoint.dir, or a temporary one where it is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='thermolake-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+        app = spark.sparkContext.applicationId
+        found = _own_dirs.setdefault(app, "") or tempfile.mkdtemp(prefix="thermolake-")
+        _own_dirs[app] = found
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(found)
+    whole = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(where).toString()
+    return re.sub(r"^file:/+", "file:///", whole).rstrip("/")
 
 
 class Scratch:
