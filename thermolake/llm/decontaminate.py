@@ -62,8 +62,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, id_col
     windows = scratch.table(windows.withColumn("win_id", F.xxhash64("win")), "windows")
     alone = windows.where(F.size("win") == 1).limit(1).count() > 0
 
-    # the last word of a window has no next one inside it
-    tokens = windows.select("win", F.explode(F.expr("transform(filter(sequence(0, greatest(size(win) - 2, 0)), i -> true), i -> named_struct('offset', i, 'key', xxhash64(win[i], win[i + 1])))") if not alone else F.expr("transform(sequence(0, greatest(size(win) - 2, 0)), i -> named_struct('offset', i, 'key', if(size(win) = 1, xxhash64(win[0]), xxhash64(win[i], try_element_at(win, i + 2)))))")).alias("t")).select("win", "t.offset", "t.key").distinct()
+    # a window of one word has its hash as its only shingle
+    pairs = "transform(sequence(0, greatest(size(win) - 2, 0)), i -> named_struct('offset', i, 'key', xxhash64(win[i], try_element_at(win, i + 2))))"
+    tokens = windows.select("win", F.explode(F.expr(pairs)).alias("t")).select("win", "t.offset", "t.key").distinct()
     tokens = scratch.table(tokens, "tokens")
     keys = tokens.select("key").distinct()
     n_keys = keys.count()
@@ -107,8 +108,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, id_col
     same_doc = lambda other: (F.col("d.doc_id").eqNullSafe(other["doc_id"])) & (F.col("d.text_key") == other["text_key"])
     both = covered.alias("c").join(held_items.alias("i"), F.col("c.doc_id").eqNullSafe(F.col("i.doc_id")) & (F.col("c.text_key") == F.col("i.text_key"))).select(F.col("c.doc_id"), F.col("c.text_key"), "n_hit", "items")
     return docs_seen.alias("d").join(both, same_doc(both), "left").select(
-        F.col("d.doc_id"), "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"), F.coalesce("items", F.array().cast("array<string>")).alias("items")
-    ).withColumn("n_items", F.greatest(F.col("n_items"), F.lit(0)))
+        F.col("d.doc_id"), "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.when(F.col("items").isNull(), 0).otherwise(F.size("items")).cast("long").alias("n_items"), F.coalesce("items", F.array().cast("array<string>")).alias("items")
+    )
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **kw) -> DataFrame:
