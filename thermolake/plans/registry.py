@@ -569,3 +569,128 @@ def n10(spark, d):
     again = A.daily(spark, d).where("year(date) = 1999")
     tables.upsert_table(spark, path, again, ["location_id", "date"])
     return tables.materialise(stats.year_stats(spark.read.parquet(path)), scratch.path("stats"))
+
+
+# -- single steps of the composed jobs ------------------------------------------------------------------
+@query("a4_csv_scan", "SELECT c_custkey, c_name, c_acctbal FROM customer")
+def a4(spark, d):
+    path = Scratch(spark, "a4").path("csv")
+    A.table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal").write.option("header", True).csv(path)
+    return history.scan_csv(spark, path, "c_custkey long, c_name string, c_acctbal double")
+
+
+@query("c2_rename_key", "SELECT n_nationkey AS id, n_name FROM nation")
+def c2(spark, d):
+    return A.table(spark, d, "nation").select("n_nationkey", "n_name").withColumnRenamed("n_nationkey", "id")
+
+
+@query("c5_date_window", f"WITH {A.DAILY} SELECT location_id, date, pet FROM daily WHERE date BETWEEN DATE '1997-03-01' AND DATE '1997-09-30'")
+def c5(spark, d):
+    rows = A.daily(spark, d).select("location_id", "date", "pet")
+    return rows.where(F.col("date").between(F.lit("1997-03-01").cast("date"), F.lit("1997-09-30").cast("date")))
+
+
+@query("c7_drop_nulls", f"WITH {A.HISTORY} SELECT location_id, pet, pet_avg FROM sources WHERE source = 1 AND pet_avg IS NOT NULL AND pet IS NOT NULL")
+def c7(spark, d):
+    return A.history_sources(spark, d)[1].dropna(subset=["pet", "pet_avg"]).select("location_id", "pet", "pet_avg")
+
+
+@query("c8_valid_weather", "SELECT event_id FROM events WHERE event_id % 130 BETWEEN 1 AND 100 AND event_id % 7 - 1 > 0")
+def c8(spark, d):
+    rows = A.table(spark, d, "events").select("event_id", (F.col("event_id") % 130).alias("rh"), (F.col("event_id") % 7 - 1).alias("v"))
+    return rows.where(weather.valid_weather()).select("event_id")
+
+
+@query("c9_exclude_synthetic", "SELECT c_custkey, c_nationkey - 5 AS location_id FROM customer WHERE NOT (c_nationkey - 5 < 0)")
+def c9(spark, d):
+    return A.table(spark, d, "customer").select("c_custkey", (F.col("c_nationkey") - 5).alias("location_id")).where(~(F.col("location_id") < 0))
+
+
+@query("c10_narrowing", "SELECT s_suppkey, CAST(s_nationkey AS SMALLINT) AS location_id, CAST(s_acctbal AS FLOAT) AS pet FROM supplier")
+def c10(spark, d):
+    return A.table(spark, d, "supplier").select("s_suppkey", F.col("s_nationkey").cast("smallint").alias("location_id"), F.col("s_acctbal").cast("float").alias("pet"))
+
+
+@query("d1_dimension_join", f"WITH {A.DAILY}, {SEASONED}, {STATS} SELECT s.location_id, s.year, s.season, s.avg_pet, r_name AS state FROM stats s JOIN region ON r_regionkey = location_id")
+def d1(spark, d):
+    names = A.table(spark, d, "region").select(F.col("r_regionkey").alias("location_id"), F.col("r_name").alias("state"))
+    return stats.year_stats(A.daily(spark, d)).select("location_id", "year", "season", "avg_pet").join(names, "location_id")
+
+
+@query("d2_horizon_join", f"WITH {A.DAILY_ALL}, {SEASONED}, {STATS}, {series_sql('mean')}, {SHORT_SQL} SELECT s.year, s.season, f.lower AS future_lower, f.upper AS future_upper FROM stats s LEFT JOIN fc f ON f.location_id = s.location_id AND f.season = s.season AND f.year = 2030")
+def d2(spark, d):
+    facts = A.daily_all(spark, d)
+    far = forecast.forecast(facts, **SHORT).where("year = 2030").select("location_id", "season", F.col("lower").alias("future_lower"), F.col("upper").alias("future_upper"))
+    return stats.year_stats(facts).join(far, ["location_id", "season"], "left").select("year", "season", "future_lower", "future_upper")
+
+
+@query("d3_baseline_change", f"WITH {A.DAILY}, {SEASONED}, {STATS}, b AS (SELECT location_id, season, avg_pet AS v FROM stats WHERE year = 1998) SELECT s.location_id, s.year, s.season, {_up('s.avg_pet - b.v', 2)} AS change FROM stats s LEFT JOIN b USING (location_id, season)")
+def d3(spark, d):
+    found = stats.year_stats(A.daily(spark, d))
+    base = found.where("year = 1998").select("location_id", "season", F.col("avg_pet").alias("v"))
+    return found.join(base, ["location_id", "season"], "left").select("location_id", "year", "season", S.round_half_up(F.col("avg_pet") - F.col("v"), 2).cast("float").alias("change"))
+
+
+@query("d8_future_rows", f"WITH {A.MONTHLY}, m AS (SELECT location_id, max(period) AS last FROM monthly GROUP BY 1) SELECT location_id, unnest(range(last + 1, 24073)) AS period FROM m WHERE last < 24072")
+def d8(spark, d):
+    last = A.monthly(spark, d).groupBy("location_id").agg(F.max("period").alias("last")).where("last < 24072")
+    return last.select("location_id", F.explode(F.sequence((F.col("last") + 1).cast("bigint"), F.lit(24072).cast("bigint"))).alias("period"))
+
+
+@query("e2_percentiles", f"WITH {A.DAILY} SELECT location_id, {_near('quantile_cont(CAST(pet AS DOUBLE), 0.1)')} AS p10, {_near('quantile_cont(CAST(pet AS DOUBLE), 0.9)')} AS p90 FROM daily GROUP BY 1")
+def e2(spark, d):
+    found = A.daily(spark, d).groupBy("location_id").agg(F.percentile(F.col("pet").cast("double"), F.array(F.lit(0.1), F.lit(0.9))).alias("q"))
+    return found.select("location_id", near(F.col("q")[0]).alias("p10"), near(F.col("q")[1]).alias("p90"))
+
+
+@query("e6_distinct_years", "SELECT count(DISTINCT year(o_orderdate)) AS years FROM orders")
+def e6(spark, d):
+    return A.table(spark, d, "orders").agg(F.countDistinct(F.year("o_orderdate")).alias("years"))
+
+
+@query("e7_filtered_distinct", "SELECT count(DISTINCT o_custkey * 10000 + year(o_orderdate)) FILTER (WHERE o_orderstatus = 'F') AS pairs FROM orders")
+def e7(spark, d):
+    pair = F.when(F.col("o_orderstatus") == "F", F.struct("o_custkey", F.year("o_orderdate").alias("y")))
+    return A.table(spark, d, "orders").agg(F.countDistinct(pair).alias("pairs"))
+
+
+@query("f2_keep_last_source", f"WITH {A.HISTORY} SELECT location_id, date, source FROM sources QUALIFY row_number() OVER (PARTITION BY location_id, date ORDER BY source DESC, pet DESC) = 1")
+def f2(spark, d):
+    tagged = history.union_sources([s.withColumn("source", F.lit(i)) for i, s in enumerate(A.history_sources(spark, d))])
+    return stats.dedupe_latest(tagged, ["location_id", "date"], [F.col("source").desc(), F.col("pet").desc()]).select("location_id", "date", "source")
+
+
+@query("f5_dense_ids", "SELECT CAST(row_number() OVER (ORDER BY p_partkey) - 1 AS INTEGER) AS id, p_partkey FROM (SELECT p_partkey FROM part ORDER BY p_partkey LIMIT 500)")
+def f5(spark, d):
+    top = A.table(spark, d, "part").select("p_partkey").orderBy("p_partkey").limit(500)
+    return top.select((F.row_number().over(Window.orderBy("p_partkey")) - 1).cast("int").alias("id"), "p_partkey")
+
+
+@query("g1_multi_key_sort", f"WITH {A.DAILY} SELECT location_id, date, pet FROM daily ORDER BY location_id, date")
+def g1(spark, d):
+    return A.daily(spark, d).select("location_id", "date", "pet").orderBy("location_id", "date")
+
+
+@query("h1_tagged_union", f"WITH {A.DAILY_ALL}, {SEASONED}, {STATS}, {series_sql('mean')}, {SHORT_SQL} SELECT year, season, 0 AS source_order, avg_pet AS pet FROM stats UNION ALL SELECT year, season, 1, pet FROM fc")
+def h1(spark, d):
+    facts = A.daily_all(spark, d)
+    seen = stats.year_stats(facts).select("year", "season", F.lit(0).alias("source_order"), F.col("avg_pet").alias("pet"))
+    return seen.unionByName(forecast.forecast(facts, **SHORT).select("year", "season", F.lit(1).alias("source_order"), "pet"))
+
+
+@query("i1_seasons", "SELECT o_orderkey, CASE WHEN month(o_orderdate) IN (12, 1, 2) THEN 'Winter' WHEN month(o_orderdate) < 6 THEN 'Spring' WHEN month(o_orderdate) < 9 THEN 'Summer' ELSE 'Fall' END AS season FROM orders")
+def i1(spark, d):
+    return A.table(spark, d, "orders").select("o_orderkey", S.season(F.to_date("o_orderdate")).alias("season"))
+
+
+@query("i17_hour_epoch", "SELECT event_id, CAST((epoch_us(ts) // 1000000 + 2208988800) // 3600 AS INTEGER) AS hour, date_trunc('hour', ts) AS back FROM events")
+def i17(spark, d):
+    rows = A.table(spark, d, "events").select("event_id", S.ts_to_hour(F.col("ts")).alias("hour"))
+    return rows.withColumn("back", S.hour_to_ts(F.col("hour")).cast("timestamp_ntz"))
+
+
+@query("i20_weather_scalars", f"WITH {A.GRID} SELECT hour, {_near('lat')} AS lat, {_near('lng')} AS lng, {_near('t2 - 273.15', 4)} AS t, {_near('sqrt(u10*u10 + v10*v10)', 4)} AS v, {_near('ssrd / 3600', 4)} AS s, {_near('least(100, greatest(0, 100*exp(17.625*(d2 - 273.15)/(243.04 + d2 - 273.15))/exp(17.625*(t2 - 273.15)/(243.04 + t2 - 273.15))))', 4)} AS rh FROM grid")
+def i20(spark, d):
+    g = _grid(A.grid_hourly(spark, d))
+    t, dew = S.celsius(F.col("t2")), S.celsius(F.col("d2"))
+    return g.select("hour", near("lat").alias("lat"), near("lng").alias("lng"), near(t, 4).alias("t"), near(S.wind(F.col("u10"), F.col("v10")), 4).alias("v"), near(S.flux(F.col("ssrd")), 4).alias("s"), near(S.relative_humidity(t, dew), 4).alias("rh"))
