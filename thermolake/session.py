@@ -66,8 +66,13 @@ class Scratch:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Bytes of rows that go to a Python worker at once: texts differ in length by orders of magnitude, so rows are no measure.
+ARROW_BATCH_BYTES = "4m"
+
+
 def ship_path(spark: SparkSession) -> None:
-    """Lets Python workers import this package where the driver found it outside its own PYTHONPATH."""
+    """Lets Python workers import this package where the driver found it outside its own PYTHONPATH, and bounds their batches by bytes."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BATCH_BYTES)
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
