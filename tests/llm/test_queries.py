@@ -43,7 +43,8 @@ def test_op1(rows, docs):
     for d, t in docs:
         assert got[d]["n_tokens"] == len(brute.blank_words(t)) + 1
     held = [r for r in got.values() if r["held_out"]]
-    assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+    # with so few texts whole words are as good a model; with ten times as many it is left behind (README)
+    assert sum(r["score"] for r in held) > 1.1 * sum(r["base_score"] for r in held)
 
 
 def test_op2(rows, docs):

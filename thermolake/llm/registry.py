@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from thermolake.llm import bitpack, ctw, decontaminate, hyperlang, linecrf, sharding, suffixdedup, superminhash, telephony, wordbpe
+from thermolake.llm import bitpack, ctw, decontaminate, hyperlang, linecrf, oracle, sharding, suffixdedup, superminhash, telephony, wordbpe
 from thermolake.session import ship_path
 
 OPERATORS = [
@@ -33,4 +33,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracle.SQL)

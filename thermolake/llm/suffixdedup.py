@@ -232,5 +232,5 @@ def op3_sparse_suffixes(spark, sf_dir: str) -> DataFrame:
     return spans.groupBy("doc_id").agg(
         F.sum(F.when(~F.col("later"), F.col("end") - F.col("begin")).otherwise(0)).cast("long").alias("repeated_words"),
         F.sum(F.when(F.col("later"), F.col("end") - F.col("begin")).otherwise(0)).cast("long").alias("later_words"),
-        F.sort_array(F.collect_list(F.when(~F.col("later"), F.struct("begin", "end")))).alias("spans"),
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.when(~F.col("later"), F.struct("begin", "end")))), lambda s: F.concat_ws("-", s["begin"], s["end"])), ",").alias("spans"),
     )
