@@ -62,8 +62,8 @@ def derive_weather(df: DataFrame) -> DataFrame:
     t, dew = S.celsius(F.col("t2").cast("double")), S.celsius(F.col("d2").cast("double"))
     radiant = S.mrt(f["ssrd"], f["ssr"], S.dsrp(f["fdir"], F.col("_sun")), f["strd"], f["fdir"], f["str"], F.col("_sun"))
     out = sun.select("location_id", "hour", t.alias("t"), S.wind(F.col("u10"), F.col("v10")).alias("v"), S.relative_humidity(t, dew).alias("rh"), S.null_outside(S.celsius(radiant), -80.0, 120.0).alias("mrt"))
-    clean = out.select("location_id", "hour", *[F.when(~F.isnan(c), F.col(c)).alias(c) for c in ("t", "v", "rh", "mrt")])
-    return clean.dropna(subset=["t", "v", "rh", "mrt"]).where(valid_weather())
+    # NaN is above every bound, so these comparisons also drop what is not a number, and nulls
+    return out.where(valid_weather() & (F.col("t") < float("inf")) & (F.col("v") < float("inf")) & F.col("mrt").isNotNull())
 
 
 def discarded_radiation(df: DataFrame) -> DataFrame:
