@@ -210,9 +210,9 @@ def fit(features: np.ndarray, firsts: np.ndarray, size: np.ndarray, good: np.nda
 def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for piece, flat, offsets in textkit.chunked(batches, "text"):
         features, firsts, size = line_features(flat, offsets)
-        lists = pa.ListArray.from_arrays(pa.array((firsts * N_FEATURES).astype(np.int32)), pa.array(features.astype(np.float32).reshape(-1)))
-        sizes = pa.ListArray.from_arrays(pa.array(firsts.astype(np.int32)), pa.array(size.astype(np.int64)))
-        yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(2), lists, sizes], names=["doc_id", "good", "features", "sizes"])
+        packed = [features[a:b].astype("<f4").tobytes() for a, b in zip(firsts, firsts[1:], strict=False)]
+        sizes = [size[a:b].astype("<i8").tobytes() for a, b in zip(firsts, firsts[1:], strict=False)]
+        yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(2), pa.array(packed, pa.binary()), pa.array(sizes, pa.binary())], names=["doc_id", "good", "features", "sizes"])
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> Model:
@@ -221,11 +221,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS) ->
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "good").limit(sample)
     # at most `sample` rows are broadcast
     rows = docs.join(F.broadcast(chosen), "doc_id").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "good")
-    found = sorted(rows.mapInArrow(_feature_batches, "doc_id long, good int, features array<float>, sizes array<long>").collect())
-    features = [np.array(r["features"], np.float32).reshape(-1, N_FEATURES) for r in found]
-    firsts = np.concatenate([[0], np.cumsum([len(f) for f in features])]).astype(np.int64)
-    size = np.array([s for r in found for s in r["sizes"]], np.int64)
-    return fit(np.concatenate(features) if features else np.zeros((0, N_FEATURES), np.float32), firsts, size, np.array([r["good"] for r in found], np.int64))
+    found = rows.mapInArrow(textkit.lean(_feature_batches), "doc_id long, good int, features binary, sizes binary").toArrow().sort_by([("doc_id", "ascending"), ("good", "ascending")])
+    features = np.frombuffer(b"".join(found["features"].to_pylist()), "<f4").reshape(-1, N_FEATURES)
+    sizes = found["sizes"].to_pylist()
+    firsts = np.concatenate([[0], np.cumsum([len(s) // 8 for s in sizes])]).astype(np.int64)
+    return fit(features, firsts, np.frombuffer(b"".join(sizes), "<i8"), found["good"].to_numpy())
 
 
 def _score_batches(model: Model, keep: list[str]):
@@ -241,7 +241,7 @@ def score_documents(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame
     """The columns `keep` and score (0 to 1, higher: better) of every document; null and empty texts are one empty line."""
     rows = docs.select(*dict.fromkeys(["text", *keep]))
     fields = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
-    return rows.mapInArrow(_score_batches(model, keep), f"{fields}, score double")
+    return rows.mapInArrow(textkit.lean(_score_batches(model, keep)), f"{fields}, score double")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:

@@ -122,7 +122,7 @@ def repeated_neighbours(scratch: Scratch, rows: DataFrame, label: str) -> DataFr
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["rank", "doc_id", "pos"]
     ranked = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    compared = scratch.table(ranked.mapInArrow(_neighbour_batches, "rank long, doc_id long, pos int, first boolean, last boolean, edge boolean"), label)
+    compared = scratch.table(ranked.mapInArrow(textkit.lean(_neighbour_batches), "rank long, doc_id long, pos int, first boolean, last boolean, edge boolean"), label)
     beside = Window.orderBy(*order)  # two rows for each partition
     edges = compared.where("edge").withColumn("first", F.col("first") & ~F.coalesce(F.lag("rank").over(beside) == F.col("rank"), F.lit(False))).withColumn("last", F.col("last") & ~F.coalesce(F.lead("rank").over(beside) == F.col("rank"), F.lit(False)))
     return compared.where("not edge").unionByName(edges).where("not (first and last)").select("doc_id", "pos", "first")
@@ -185,15 +185,15 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
     scratch = Scratch(spark, "suffixes")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
     kinds = "rank long, doc_id long, pos int"
-    suffixes = scratch.table(texts.mapInArrow(_suffix_batches(width, REACH), kinds), "suffixes")
+    suffixes = scratch.table(texts.mapInArrow(textkit.lean(_suffix_batches(width, REACH)), kinds), "suffixes")
     seeds = repeated_neighbours(scratch, suffixes, "compared")
     places = scratch.table(seeds.groupBy("doc_id").agg(F.collect_set("pos").alias("places")), "places")
     scratch.drop("suffixes")
     chosen = by_ids(scratch, texts, places, "left_semi", "chosen")
-    windows = chosen.join(places, "doc_id").select("doc_id", "text", "places").mapInArrow(_window_batches(width, REACH), kinds)
+    windows = chosen.join(places, "doc_id").select("doc_id", "text", "places").mapInArrow(textkit.lean(_window_batches(width, REACH)), kinds)
     repeated = repeated_neighbours(scratch, scratch.table(windows, "windows"), "matched")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return repeated.repartition(parts, "doc_id").sortWithinPartitions("doc_id", "pos").mapInArrow(_span_batches(width), "doc_id long, begin int, end int, later boolean")
+    return repeated.repartition(parts, "doc_id").sortWithinPartitions("doc_id", "pos").mapInArrow(textkit.lean(_span_batches(width)), "doc_id long, begin int, end int, later boolean")
 
 
 def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,7 +220,7 @@ def drop_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     later = scratch.table(later, "spans")
     rest = [c for c in docs.columns if c != "text"]
     marked = by_ids(scratch, docs, later, "left_semi", "marked").join(later, "doc_id").select(*rest, "text", "spans")
-    cut = marked.mapInArrow(_cut_batches, docs.select(*rest, "text").schema).where(F.trim("text") != "")
+    cut = marked.mapInArrow(textkit.lean(_cut_batches), docs.select(*rest, "text").schema).where(F.trim("text") != "")
     if "n_chars" in rest:
         cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     whole = by_ids(scratch, docs, later, "left_anti", "whole")

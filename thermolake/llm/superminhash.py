@@ -161,7 +161,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str
     spark = docs.sparkSession
     scratch = Scratch(spark, "near")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sketch = scratch.table(texts.mapInArrow(_sketch_batches(k), "doc_id long, n_shingles long, mark_a long, mark_b long, bands array<long>"), "sketch")
+    sketch = scratch.table(texts.mapInArrow(textkit.lean(_sketch_batches(k)), "doc_id long, n_shingles long, mark_a long, mark_b long, bands array<long>"), "sketch")
     full = sketch.where("n_shingles > 0")
     # copies: the smallest id stands for all, and brings its bands along
     reps = full.groupBy("mark_a", "mark_b", "n_shingles").agg(F.min(F.struct("doc_id", "bands")).alias("r"))
@@ -172,7 +172,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str
 
     wanted = stars.select(F.col("rep").alias("doc_id")).union(stars.select(F.col("center").alias("doc_id"))).distinct()
     chosen = by_ids(scratch, texts, wanted, "left_semi", "wanted")
-    sets = scratch.table(chosen.mapInArrow(_set_batches(k), "doc_id long, members array<long>").dropDuplicates(["doc_id"]), "sets")
+    sets = scratch.table(chosen.mapInArrow(textkit.lean(_set_batches(k)), "doc_id long, members array<long>").dropDuplicates(["doc_id"]), "sets")
 
     of_rep = sets.select(F.col("doc_id").alias("rep"), F.col("members").alias("x"))
     of_center = sets.select(F.col("doc_id").alias("center"), F.col("members").alias("y"))

@@ -7,6 +7,7 @@ function of the word's bytes after A-Z are lowered.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -15,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once; one longer text makes a chunk of its own.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 ASCII_SPACE = np.zeros(256, bool)
 ASCII_SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -75,6 +76,25 @@ def chunked(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYT
             end = min(end, batch.num_rows)
             yield batch.slice(start, end - start), flat[offsets[start] : offsets[end]], offsets[start : end + 1] - offsets[start]
             start = end
+    release()
+
+
+def lean(run):
+    """A function over batches that, once it has given its last one, leaves no freed memory behind in its worker."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release()
+
+    return wrapped
+
+
+def release() -> None:
+    """Gives freed memory back to the system: a worker outlives its task, and the next stage may not need what this one did."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 @dataclass

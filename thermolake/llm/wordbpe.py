@@ -23,9 +23,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from thermolake.llm import textkit
+
 DEFAULT_VOCABULARY = "word_bpe_49k.json"
-#: Words whose encoding a worker remembers; beyond it the memory starts anew.
+#: Words, and pairs of tokens, that a worker remembers; beyond it the memory starts anew. The smaller number is
+#: for workers that share an executor with what earlier stages left in its heap.
 REMEMBERED = 400_000
+REMEMBERED_AMID_STAGES = 100_000
 #: Longer words are not remembered.
 LONGEST_REMEMBERED = 64
 
@@ -73,6 +77,7 @@ class WordBpe:
         self.split_added = regex.compile("(" + "|".join(regex.escape(t) for t in self.added) + ")") if self.added else None
         self._states()
         self._fits: dict[tuple[int, int], bool] = {}
+        self.most_pairs = REMEMBERED
         self.window = max(self.length.values())
         self.lookahead = self._sufficient_lookahead()
 
@@ -110,7 +115,8 @@ class WordBpe:
         self.ending: list[list[tuple[int, int]]] = [[] for _ in self.next]
         queue = list(self.next[0].values())
         for at in queue:
-            self.ending[at] = ([(self.length[own[at]], own[at])] if own[at] is not None else []) + self.ending[self.fail[at]]
+            shorter = self.ending[self.fail[at]]
+            self.ending[at] = shorter if own[at] is None else [(self.length[own[at]], own[at]), *shorter]
             for s, child in self.next[at].items():
                 f = self.fail[at]
                 while f and s not in self.next[f]:
@@ -161,7 +167,7 @@ class WordBpe:
                         break
                 else:
                     limit, b = pb[0] + 1, pb[1]
-            if len(self._fits) > 500_000:
+            if len(self._fits) > self.most_pairs:
                 self._fits.clear()
             self._fits[left, right] = found
         return found
@@ -293,20 +299,21 @@ def normalise(text: str) -> str:
 _loaded: dict[str, tuple[WordBpe, dict, dict]] = {}
 
 
-def _load(path: str) -> tuple[WordBpe, dict, dict]:
+def _load(path: str, most: int = REMEMBERED) -> tuple[WordBpe, dict, dict]:
     if path not in _loaded:
         _loaded[path] = (WordBpe(path), {}, {})
+    _loaded[path][0].most_pairs = most
     return _loaded[path]
 
 
-def _entry(bpe: WordBpe, memory: dict, word: str | int) -> Entry:
+def _entry(bpe: WordBpe, memory: dict, word: str | int, most: int) -> Entry:
     """What is known of a word, or of an added token's id."""
     entry = memory.get(word)
     if entry is None:
         ids = [word] if isinstance(word, int) else bpe.encode_word(word)
         entry = (len(ids), " ".join(map(str, ids)).encode(), bpe.decode_tokens(ids).encode(), array("i", ids).tobytes())
         if isinstance(word, int) or len(word) <= LONGEST_REMEMBERED:
-            if len(memory) >= REMEMBERED:
+            if len(memory) >= most:
                 memory.clear()
             memory[word] = entry
     return entry
@@ -315,32 +322,32 @@ def _entry(bpe: WordBpe, memory: dict, word: str | int) -> Entry:
 _OTHER_CONTROLS = regex.compile("[\x1c-\x1f]")
 
 
-def _entries(bpe: WordBpe, memory: dict, runs: dict, text: str | None) -> list[Entry]:
+def _entries(bpe: WordBpe, memory: dict, runs: dict, text: str | None, most: int = REMEMBERED) -> list[Entry]:
     """The entries of a text's words, by way of its runs between white space, most of which come again."""
     text = text or ""
     if "<|" in text or _OTHER_CONTROLS.search(text):
-        return [_entry(bpe, memory, w) for w in bpe.text_words(text)]
+        return [_entry(bpe, memory, w, most) for w in bpe.text_words(text)]
     out = []
     for run in normalise(text).split():
         entry = runs.get(run)
         if entry is None:
-            parts = [_entry(bpe, memory, w) for w in bpe.words.findall(run)]
+            parts = [_entry(bpe, memory, w, most) for w in bpe.words.findall(run)]
             entry = parts[0] if len(parts) == 1 else (sum(p[0] for p in parts), b" ".join(p[1] for p in parts if p[0]), b" ".join(p[2] for p in parts if p[0]), b"".join(p[3] for p in parts))
             if len(run) <= LONGEST_REMEMBERED:
-                if len(runs) >= REMEMBERED:
+                if len(runs) >= most:
                     runs.clear()
                 runs[run] = entry
         out.append(entry)
     return out
 
 
-def _digest_batches(path: str):
+def _digest_batches(path: str, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, memory, runs = _load(path)
+        bpe, memory, runs = _load(path, most)
         for batch in batches:
             counts, ids_hash, text_hash = [], [], []
             for text in batch.column(1):
-                found = [e for e in _entries(bpe, memory, runs, text.as_py()) if e[0]]
+                found = [e for e in _entries(bpe, memory, runs, text.as_py(), most) if e[0]]
                 counts.append(sum(e[0] for e in found))
                 ids_hash.append(hashlib.sha256(b" ".join([e[1] for e in found])).hexdigest())
                 text_hash.append(hashlib.sha256(b" ".join([e[2] for e in found])).hexdigest())
@@ -349,17 +356,17 @@ def _digest_batches(path: str):
     return run
 
 
-def _encode_batches(path: str):
+def _encode_batches(path: str, most: int):
     """All columns but the last, the text, and then: count of tokens, ids, digest of the decoded tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, memory, runs = _load(path)
+        bpe, memory, runs = _load(path, most)
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 piece = batch.slice(start, 256)
                 ids, decoded = [], []
                 for text in piece.column(piece.num_columns - 1):
-                    found = [e for e in _entries(bpe, memory, runs, text.as_py()) if e[0]]
+                    found = [e for e in _entries(bpe, memory, runs, text.as_py(), most) if e[0]]
                     ids.append(b"".join([e[3] for e in found]))
                     decoded.append(hashlib.sha256(b" ".join([e[2] for e in found])).hexdigest())
                 counts = np.array([len(x) // 4 for x in ids], np.int64)
@@ -387,19 +394,19 @@ def encode_documents(docs: DataFrame, keep: list[str], path: str | None = None,
     """The columns `keep` (not the text), n_tokens, ids and decoded_sha256 of every document. Null and empty texts have no ids."""
     rows = docs.select(*keep, text_col)
     fields = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
-    return rows.mapInArrow(_encode_batches(path or vocabulary_path()), f"{fields}, n_tokens long, ids array<int>, decoded_sha256 string")
+    return rows.mapInArrow(textkit.lean(_encode_batches(path or vocabulary_path(), REMEMBERED_AMID_STAGES)), f"{fields}, n_tokens long, ids array<int>, decoded_sha256 string")
 
 
 def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, decoded: lower-case text, words parted by blanks. Null and empty lists give an empty text."""
     rows = encoded.select("doc_id", "ids")
-    return rows.mapInArrow(_decode_batches(path or vocabulary_path()), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, decoded string")
+    return rows.mapInArrow(textkit.lean(_decode_batches(path or vocabulary_path())), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, decoded string")
 
 
 def encode_and_check(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens and the digests of ids and decoded tokens of every document."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(_digest_batches(path or vocabulary_path()), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return rows.mapInArrow(textkit.lean(_digest_batches(path or vocabulary_path(), REMEMBERED)), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op4_word_bpe(spark, sf_dir: str) -> DataFrame:
