@@ -38,6 +38,10 @@ UNIT = 1 << 20
 #: Rows of (context, byte) that are weighted at once, if contexts with the same two nearest bytes do not need more.
 WEIGH_ROWS = 200_000
 NGRAM, WORD = 0, 1
+#: Chunks whose distinct keys a task holds before it merges them.
+MERGE_AT = 6
+#: Files that a block's slice is written in, so that no task sorts a whole slice.
+SLICE_FILES = 8
 
 
 def streams(texts: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
@@ -215,7 +219,7 @@ def _count_batches(depth: int):
             held[NGRAM].append(_distinct(key, np.repeat(learns, np.diff(key_firsts))))
             held[WORD].append(_distinct(words, np.repeat(learns, np.diff(word_firsts))))
             for kind in held:
-                if len(held[kind]) >= 16:
+                if len(held[kind]) >= MERGE_AT:
                     held[kind] = [_merge(held[kind])]
         yield from emit()
 
@@ -366,7 +370,8 @@ def score_corpus(docs: DataFrame, learns: Column, depth: int = DEPTH) -> DataFra
     tokens, distinct = int(size[0]) + ends, int(size[1]) + (ends > 0)
 
     own = ngrams.select("block", "kind", "key").join(lengths, "key").unionByName(words.select("block", "kind", "key").join(vocabulary.select("key", F.col("value").cast("double").alias("value")), "key"))
-    own.repartition(parts, "block").sortWithinPartitions("block").write.option("compression", "zstd").partitionBy("block").parquet(scratch.path("slices"))
+    shared = own.repartition(parts, F.col("block"), F.pmod(F.xxhash64("key"), F.lit(SLICE_FILES)))
+    shared.sortWithinPartitions("block").write.option("compression", "zstd").partitionBy("block").parquet(scratch.path("slices"))
     doc_type = docs.schema["doc_id"].dataType.simpleString()
     out = f"doc_id {doc_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
     return rows.mapInArrow(_score_batches(scratch.path("slices"), depth, tokens, distinct, ends), out)
