@@ -3,7 +3,6 @@ import os
 import pytest
 
 SF = "/root/testdata/sf0.001"
-LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 @pytest.fixture

@@ -122,4 +122,6 @@ def test_null_id_comes_first(spark):
 @pytest.mark.parametrize("text", ["ha, ha!", "<|x", "a<|endoftext|>b", "É.", "x1."])
 def test_words_by_the_library(text):
     found = bitpack.WordIds(PATH)
-    assert np.frombuffer(found.texts([text.encode()], b"")[0], found.kind).tolist() == wanted(text)
+    data = np.frombuffer(text.encode() * 2, np.uint8)
+    rows = found.texts(data, np.array([0, len(data) // 2, len(data)]), 1).to_pylist()
+    assert [np.frombuffer(r, found.kind).tolist() for r in rows] == [[*wanted(text), 1]] * 2
