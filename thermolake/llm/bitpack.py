@@ -11,6 +11,7 @@ manifest, so a task that runs twice does no harm.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import uuid
@@ -32,8 +33,10 @@ from thermolake.session import Scratch
 MAGIC = b"IDPACK01"
 FOOTER = struct.Struct("<QQQQQQ8s")  # bits, ids in a block, documents, ids, where the document table and the offsets begin
 BLOCK_IDS = 65536
+#: Bytes of text encoded at once: the more, the fewer words are looked up twice.
+ENCODE_BYTES = 4 << 20
 #: Words whose ids a worker remembers; beyond it the memory starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 1_200_000
 #: Stands for a null document id in files.
 NULL_ID = -(1 << 63)
 
@@ -66,7 +69,7 @@ class Writer:
         self.at += len(data)
 
     def _blocks(self, last: bool) -> None:
-        ids = np.concatenate(self.held) if self.held else np.zeros(0, np.uint32)
+        ids = np.concatenate(self.held) if self.held else np.zeros(0, np.uint16)
         cut = len(ids) if last else len(ids) - len(ids) % self.block_ids
         for i in range(0, cut, self.block_ids):
             self.offsets.append(self.at)
@@ -126,42 +129,135 @@ class Reader:
         return self.span(int(self.starts[i]), int(self.starts[i + 1]))
 
 
-_tokenizers: dict[str, tuple] = {}
+_tokenizers: dict[str, WordIds] = {}
+#: ASCII marks at a word's end after a letter; the tokenizer's pattern always parts the two.
+END_MARKS = b".,!?;:|#$%&*"
 
 
-def _encode_batches(path: str, end_id: int, bounds: list[int]):
-    """Ids of whole texts by the tokenizers library, a word between ASCII blanks at a time: no token crosses one."""
+class WordIds:
+    """Ids of words by the tokenizers library, as bytes; words that come again are remembered.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Words between ASCII blanks are encoded on their own, since no token crosses a blank. Unknown ones go to
+    the library together, parted by a special token. Where the file's pattern parts letters from marks,
+    marks at a word's end are words of their own, and lower-case Latin words, which normalisation and
+    pattern leave as they are, skip these two steps.
+    """
+
+    def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_padding()
+        self.tokenizer.no_truncation()
+        self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
+        special = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip or t.single_word)]
+        self.part = special[0] if special else None
+        self.marks = tuple(t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.memory: dict[bytes, bytes] = {}
+        self.plain = self._without_steps(path)
+
+    @staticmethod
+    def _without_steps(path: str):
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        steps = [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers", [])]
+        cuts = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        if steps != ["NFC", "Replace", "Lowercase"] or [c.get("type") for c in cuts] != ["Split", "ByteLevel"] or r"|[\p{L}]+|" not in cuts[0]["pattern"].get("Regex", ""):
+            return None
+        bare = Tokenizer.from_file(path)
+        bare.no_padding()
+        bare.no_truncation()
+        bare.normalizer = None
+        bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        return bare
+
+    def _learn(self, words: set[bytes], marked: bool) -> None:
+        apart = {w for w in words if not self.part or any(m in w for m in self.marks)} if marked or not self.part else set()
+        simple, other = [], []
+        for w in words.difference(apart):
+            (simple if self.plain and (w.isalpha() and w.islower() or _latin(w.decode())) else other).append(w)
+        for tokenizer, some in ((self.plain, simple), (self.tokenizer, other)):
+            for start in range(0, len(some), 2000):
+                self._learn_joined(tokenizer, some[start : start + 2000])
+        for w in apart:
+            self.memory[w] = np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, self.kind).tobytes()
+
+    def _learn_joined(self, tokenizer, words: list[bytes]) -> None:
+        found = tokenizer.encode_batch_fast([self.part[1].encode().join(words).decode()], add_special_tokens=False)
+        ids = np.array(found[0].ids, np.uint32)
+        at = np.flatnonzero(ids == self.part[0])
+        data, size = ids.astype(self.kind).tobytes(), self.kind.itemsize
+        for w, a, b in zip(words, (np.append(0, at + 1) * size).tolist(), (np.append(at, len(ids)) * size).tolist(), strict=True):
+            self.memory[w] = data[a:b]
+
+    def words(self, words: list[bytes], marked: bool) -> list[bytes]:
+        """The ids of distinct words; marked: some may hold an added token."""
+        unknown = set(words).difference(self.memory)
+        if len(self.memory) + 2 * len(unknown) > REMEMBERED:
+            self.memory.clear()
+            unknown = set(words)
+        ends = {}
+        for w in unknown if self.plain else ():
+            if not 97 <= w[-1] <= 122:
+                head = w.rstrip(END_MARKS)
+                if len(head) < len(w) and head and 97 <= head[-1] <= 122:
+                    ends[w] = (head, w[len(head) :])
+        self._learn(unknown.difference(ends).union(*ends.values()).difference(self.memory), marked)
+        for w, (head, tail) in ends.items():
+            self.memory[w] = self.memory[head] + self.memory[tail]
+        return [*map(self.memory.__getitem__, words)]
+
+    def texts(self, flat: np.ndarray, offsets: np.ndarray, end_id: int) -> pa.Array:
+        """The ids of each text and `end_id` after them, as bytes.
+
+        Words are told apart by 64-bit hashes; each distinct one is looked up once, and texts are put
+        together from them by one gather.
+        """
+        data = flat.tobytes()
+        marked = any(m[:2] in data for m in self.marks)
+        if marked:  # an added token may stand inside a word, in its own case
+            rows = [data[a:b].split() for a, b in zip(offsets, offsets[1:], strict=False)]
+            words = list(set().union(*rows))
+            code = {w: i for i, w in enumerate(words)}
+            which = np.array([code[w] for r in rows for w in r], np.int64)
+            firsts = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+        else:
+            found = textkit.split_words(flat, offsets)
+            _, example, which = np.unique(found.hashes, return_index=True, return_inverse=True)
+            low = textkit.LOWER[flat].tobytes()
+            words = [low[a:b] for a, b in zip(found.starts[example].tolist(), found.ends[example].tolist(), strict=True)]
+            firsts = found.rows
+        entries = [*self.words(words, marked), np.array([end_id], self.kind).tobytes()]
+        sizes = np.array([len(e) for e in entries], np.int64) // self.kind.itemsize
+        pool, at = np.frombuffer(b"".join(entries), self.kind), np.cumsum(sizes) - sizes
+        which = np.insert(which.reshape(-1), firsts[1:], len(words))
+        n = sizes[which]
+        before = np.cumsum(n) - n
+        ids = pool[np.repeat(at[which] - before, n) + np.arange(int(n.sum()))]
+        ends = np.append(before, len(ids))[firsts[1:] + np.arange(1, len(firsts))]
+        cuts = np.concatenate([[0], ends]).astype(np.int32) * self.kind.itemsize
+        return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(ids.tobytes())])
+
+
+def _latin(word: str) -> bool:
+    """Lower-case letters that normalisation leaves alone and the pattern keeps together."""
+    return word.isalpha() and max(word) < "\u0250" and word == word.lower()
+
+
+def _encode_batches(path: str, end_id: int, bounds: list[int]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _tokenizers:
-            t = Tokenizer.from_file(path)
-            t.no_padding()
-            t.no_truncation()
-            _tokenizers[path] = (t, {})
-        tokenizer, memory = _tokenizers[path]
-        ends = np.array([end_id], "<u4").tobytes()
+            _tokenizers[path] = WordIds(path)
+        encoder = _tokenizers[path]
         cuts = np.array(bounds, np.int64)
-        for piece, flat, offsets in textkit.chunked(batches, "text"):
-            data = flat.tobytes()
-            split = []
-            for i in range(piece.num_rows):
-                text = data[offsets[i] : offsets[i + 1]]
-                split.append((text if b"<|" in text else text.lower()).split())
-            missing = list({w for words in split for w in words if w not in memory})
-            if len(memory) + len(missing) > REMEMBERED:
-                memory.clear()
-                missing = list({w for words in split for w in words})
-            for i in range(0, len(missing), 20_000):
-                some = missing[i : i + 20_000]
-                for w, e in zip(some, tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False), strict=True):
-                    memory[w] = np.array(e.ids, "<u4").tobytes()
-            ids = [b"".join([*map(memory.__getitem__, words), ends]) for words in split]
+        for piece, flat, offsets in textkit.chunked(batches, "text", ENCODE_BYTES):
+            ids = encoder.texts(flat, offsets, end_id)
             doc_ids = piece.column(0).cast(pa.int64()).fill_null(NULL_ID)
             part = np.searchsorted(cuts, doc_ids.to_numpy(zero_copy_only=False), "left").astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(part), doc_ids, pa.array(ids, pa.binary())], names=["part", "doc_id", "ids"])
+            yield pa.RecordBatch.from_arrays([pa.array(part), doc_ids, ids], names=["part", "doc_id", "ids"])
 
     return run
 
@@ -169,6 +265,7 @@ def _encode_batches(path: str, end_id: int, bounds: list[int]):
 def _write_batches(folder: str, vocabulary: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = pafs.FileSystem.from_uri(folder)
+        kind = "<u2" if vocabulary <= 1 << 16 else "<u4"
         part, writer, stream, path, done = None, None, None, "", []
 
         def finish():
@@ -185,7 +282,7 @@ def _write_batches(folder: str, vocabulary: int):
                     path = f"{root}/ids-{p:06d}-{TaskContext.get().attemptNumber()}-{uuid.uuid4().hex}.idpack"
                     stream = files.open_output_stream(path)
                     writer = Writer(stream, vocabulary)
-                writer.add(doc_id, np.frombuffer(ids.as_buffer(), "<u4"))
+                writer.add(doc_id, np.frombuffer(ids.as_buffer(), kind))
         if writer is not None:
             finish()
         yield pa.RecordBatch.from_arrays([pa.array([d[0] for d in done], pa.int32()), pa.array([d[1] for d in done], pa.string()), pa.array([d[2] for d in done], pa.int64()), pa.array([d[3] for d in done], pa.int64())], names=["part", "path", "n_docs", "n_ids"])
@@ -229,7 +326,7 @@ def write_ids(docs: DataFrame, path: str | None = None, end_id: int = 1, id_col:
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     # as many cut points as there are files, from the ids alone: texts are read and encoded once
     quantiles = rows.select(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)] or [0.5], 20 * parts)).first()[0] or []
-    encoded = rows.mapInArrow(_encode_batches(path, end_id, sorted(set(quantiles))), "part int, doc_id long, ids binary")
+    encoded = rows.mapInArrow(textkit.lean(_encode_batches(path, end_id, sorted(set(quantiles)))), "part int, doc_id long, ids binary")
     ordered = encoded.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "doc_id")
     folder = scratch.path("files")
     jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
