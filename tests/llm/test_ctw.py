@@ -77,6 +77,14 @@ def test_scores_equal_the_definition(scored):
         assert scored[i].score == pytest.approx(model.score(s), rel=1e-4, abs=1e-4)
 
 
+def test_six_bytes_of_context_count(docs_of):
+    """Without a depth given, scores are those of contexts of six bytes."""
+    texts = ["xabcdef yes", "zabcdef no", "xabcdef yes", "zabcdef no", "xabcdef yes"]
+    model = Naive([s.encode() for i, s in enumerate(texts) if i != 4], 6)
+    got = {r.doc_id: r.score for r in ctw.score_corpus(docs_of(texts), F.col("doc_id") != 4).collect()}
+    assert got[4] == pytest.approx(model.score(texts[4].encode()), rel=1e-4, abs=1e-4)
+
+
 def test_base_and_counts(scored):
     learnt = Counter(w for i, t in enumerate(TEXTS) if i % 4 != 1 for w in [*brute.blank_words(t), "<end>"])
     n, v = sum(learnt.values()), len(learnt)

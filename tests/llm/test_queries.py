@@ -1,17 +1,20 @@
 """The registered queries over the smallest tables, against plain versions."""
 
 import hashlib
+import os
 import struct
 import zlib
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from thermolake.llm import registry, wordbpe
 
 from . import brute
+from .conftest import SF
 
 
 @pytest.fixture(scope="module")
@@ -47,6 +50,13 @@ def test_op1(rows, docs):
     assert sum(r["score"] for r in held) > 1.1 * sum(r["base_score"] for r in held)
 
 
+@pytest.mark.skipif(not os.path.isdir(SF.replace("sf0.001", "sf0.01")), reason="the driver's tables are not here")
+def test_op1_beats_words(spark):
+    """With ten times as many texts the held-out score is above the words' own."""
+    r = registry.queries()["op1_context_tree"](spark, SF.replace("sf0.001", "sf0.01")).where("held_out").agg(F.sum("score").alias("score"), F.sum("base_score").alias("base")).first()
+    assert r.score > r.base
+
+
 def test_op2(rows, docs):
     got = {d: (r["n_shingles"], r["component_id"]) for d, r in rows("op2_superminhash").items()}
     assert got == brute.near(docs, 4, 80)

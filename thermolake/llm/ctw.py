@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from thermolake.llm import textkit
 from thermolake.session import Scratch
 
-DEPTH = 5
+DEPTH = 6
 END = 0xFF
 #: Weighted log probabilities are summed as integers of this unit, so that the order of rows does not matter.
 UNIT = 1 << 20
