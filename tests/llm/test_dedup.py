@@ -76,6 +76,16 @@ def test_one_document_of_each_group_stays(docs_of):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {0, 2, 3, 4}
 
 
+def test_a_null_id_does_not_part_its_copies(spark):
+    """Copies and a near copy stay one group when one copy has no id; that row is in no group and stays."""
+    w = [f"w{i}" for i in range(100)]
+    copy, near = " ".join(w), " ".join([*w[:-1], "other"])
+    docs = spark.createDataFrame([(None, copy), (3, copy), (5, copy), (7, near), (None, ""), (None, "x y z")], "doc_id long, text string")
+    got = sorted((r.doc_id or -1, r.n_shingles, r.component_id or -1, r.kept) for r in superminhash.near_duplicates(docs).collect())
+    assert got == [(-1, 0, -1, True), (-1, 1, -1, True), (-1, 96, -1, True), (3, 96, 3, True), (5, 96, 3, False), (7, 96, 3, False)]
+    assert sorted((r.doc_id or -1) for r in superminhash.keep_one(docs).collect()) == [-1, -1, -1, 3]
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(1, 2), (2, 3), (5, 4), (9, 9), (3, 10), (10, 11), (4, 5)], "a long, b long")
     got = {r.node: r.component for r in components(Scratch(spark, "t"), edges, "e").collect()}

@@ -156,13 +156,14 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str
 
     Documents are linked when 100 * intersection >= percent * union of their sets of k-word shingles
     (fewer words: one shingle of all of them). Null and empty texts have an empty set and no links. Ids
-    are unique and not null; repeated rows of one id count as copies of it. Other columns are not read.
+    are unique; repeated rows of one id count as copies of it. A row whose id is null is in no group: its
+    component_id is null, it is kept, and it has no say in the groups of the others. Other columns are not read.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "near")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sketch = scratch.table(texts.mapInArrow(textkit.lean(_sketch_batches(k)), "doc_id long, n_shingles long, mark_a long, mark_b long, bands array<long>"), "sketch")
-    full = sketch.where("n_shingles > 0")
+    full = sketch.where("n_shingles > 0 and doc_id is not null")
     # copies: the smallest id stands for all, and brings its bands along
     reps = full.groupBy("mark_a", "mark_b", "n_shingles").agg(F.min(F.struct("doc_id", "bands")).alias("r"))
     reps = scratch.table(reps.select("mark_a", "mark_b", "n_shingles", F.col("r.doc_id").alias("rep"), F.col("r.bands").alias("bands")), "reps")
@@ -194,7 +195,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str
         comps = components(scratch, links, "last")
     named = reps.join(comps, reps["rep"] == comps["node"], "left").select("mark_a", "mark_b", "n_shingles", F.coalesce("component", "rep").alias("component"))
     out = sketch.join(named, ["mark_a", "mark_b", "n_shingles"], "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")).withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def _second_look(scratch: Scratch, loose: DataFrame, percent: int) -> DataFrame:
