@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from thermolake.llm import suffixdedup, superminhash, textkit
@@ -64,6 +65,34 @@ def test_links_that_no_star_holds(docs_of):
     assert got == brute.near(list(enumerate(chain)), 4, 80)
 
 
+def test_links_over_many_small_blocks(docs_of, monkeypatch):
+    """The same chain when each cluster is many blocks, on either side, and one block is met first."""
+    monkeypatch.setattr(superminhash, "BLOCK", 2)
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    w = [word() for _ in range(200)]
+    chain = []
+    for _ in range(12):
+        at = rng.randrange(150)
+        w = [*w[:at], *(word() for _ in range(14)), *w[at + 14 :]]
+        chain.append(" ".join(w))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in superminhash.near_duplicates(docs_of(chain), 80, 4).collect()}
+    assert got == brute.near(list(enumerate(chain)), 4, 80)
+
+
+def test_no_comparison_holds_a_whole_cluster(spark, monkeypatch):
+    def sizes(percent):
+        return lambda key, left, right: pd.DataFrame({"a": [len(left)], "b": [len(right)]})
+
+    monkeypatch.setattr(superminhash, "BLOCK", 20)
+    monkeypatch.setattr(superminhash, "_open_pairs", sizes)
+    rows = [(i, 0, i, 0, 200, list(range(100))) for i in range(200)]
+    loose = spark.createDataFrame(rows, "doc_id long, cluster long, comp long, top long, size long, members array<long>")
+    found = superminhash._second_look(Scratch(spark, "t"), loose, 80).collect()
+    assert sum(r.a * r.b for r in found) == 199 * 200  # each open document meets each member
+    assert max(r.a for r in found) <= 50 and max(r.b for r in found) <= 50
+
+
 def test_tables_without_rows_or_words(docs_of):
     assert superminhash.near_duplicates(docs_of([])).count() == 0
     rows = superminhash.near_duplicates(docs_of([None, "", " "])).collect()

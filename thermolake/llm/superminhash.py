@@ -30,8 +30,9 @@ from thermolake.session import Scratch
 #: 32 bands of 4 slots: a pair at 0.8 shares no band with probability (1 - 0.8^4)^32, about 5e-8.
 BANDS, BAND_SLOTS = 32, 4
 SLOTS = BANDS * BAND_SLOTS
-#: Members of a cluster that one task compares with the cluster's open documents.
-BLOCK = 2048
+#: Documents of a cluster, and shingles in them, that stand on either side of one comparison at about.
+BLOCK, BLOCK_SHINGLES = 2048, 1 << 21
+CELL = ["cluster", "ask_grade", "ask_block", "grade", "block"]
 
 
 def superminhash(hashes: np.ndarray, firsts: np.ndarray, slots: int = SLOTS) -> np.ndarray:
@@ -122,7 +123,7 @@ def _set_batches(k: int):
 
 
 def _open_pairs(percent: int):
-    """Compares a cluster's open documents with one block of its members; gives links between components."""
+    """Compares a block of a cluster's open documents with a block of its members; gives links between components."""
 
     def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         found: list[tuple[int, int]] = []
@@ -182,16 +183,14 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str
     links = scratch.table(pairs.where(100 * shared >= percent * (F.size("x") + F.size("y") - shared)).select(F.col("center").alias("a"), F.col("rep").alias("b")), "links")
 
     comps = components(scratch, links, "first")
-    clusters = components(scratch, stars.select(F.col("center").alias("a"), F.col("rep").alias("b")), "cluster")
-    members = clusters.withColumnRenamed("component", "cluster").join(comps, "node", "left").select(F.col("node").alias("doc_id"), "cluster", F.coalesce("component", "node").alias("comp"))
-    members = scratch.table(members, "members")
-    by_comp = members.groupBy("cluster", "comp").agg(F.count("*").alias("n"))
-    mixed = by_comp.groupBy("cluster").agg(F.count("*").alias("comps"), F.sum("n").alias("size"), F.max(F.struct("n", "comp")).alias("top")).where("comps > 1")
-    mixed = mixed.select("cluster", "size", F.col("top.comp").alias("top"))
-    loose = scratch.table(members.join(mixed, "cluster").join(sets, "doc_id"), "loose")
+    clusters = scratch.table(components(scratch, stars.select(F.col("center").alias("a"), F.col("rep").alias("b")), "cluster"), "clusters")
+    loose = _loose(scratch, clusters, comps, sets, "loose")
+    if loose.where(F.col("size") > BLOCK).limit(1).count():
+        links = scratch.table(links.unionByName(_second_look(scratch, loose.where(F.col("size") > BLOCK), percent, first=True)), "first_links")
+        comps = components(scratch, links, "joined")
+        loose = _loose(scratch, clusters, comps, sets, "left")
     if loose.limit(1).count():
-        links = links.unionByName(_second_look(scratch, loose, percent))
-        links = scratch.table(links, "all_links")
+        links = scratch.table(links.unionByName(_second_look(scratch, loose, percent)), "all_links")
         comps = components(scratch, links, "last")
     named = reps.join(comps, reps["rep"] == comps["node"], "left").select("mark_a", "mark_b", "n_shingles", F.coalesce("component", "rep").alias("component"))
     out = sketch.join(named, ["mark_a", "mark_b", "n_shingles"], "left")
@@ -199,18 +198,41 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _second_look(scratch: Scratch, loose: DataFrame, percent: int) -> DataFrame:
-    open_docs = loose.where("comp <> top")
-    # what a document can share with any other member is what occurs in another member at all
-    tokens = open_docs.select("cluster", "doc_id", F.explode("members").alias("token"))
-    shared = loose.select("cluster", F.explode("members").alias("token")).groupBy("cluster", "token").agg(F.count("*").alias("holders")).where("holders > 1")
-    reach = tokens.join(shared, ["cluster", "token"]).groupBy("cluster", "doc_id").agg(F.count("*").alias("reach"))
-    able = open_docs.join(reach, ["cluster", "doc_id"]).where(100 * F.col("reach") >= percent * F.size("members"))
-    able = scratch.table(able.select("cluster", "doc_id", "comp", "size", "members"), "able")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    asking = able.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).select("cluster", "block", "doc_id", "comp", "members")
-    asked = loose.join(able.select("cluster").distinct(), "cluster", "left_semi").withColumn("block", F.expr(f"int(pmod(xxhash64(doc_id), ceil(size / {BLOCK})))")).select("cluster", "block", "doc_id", "comp", "members")
-    return asking.groupBy("cluster", "block").cogroup(asked.groupBy("cluster", "block")).applyInPandas(_open_pairs(percent), "a long, b long")
+def _loose(scratch: Scratch, clusters: DataFrame, comps: DataFrame, sets: DataFrame, label: str) -> DataFrame:
+    """The documents, with their sets, of clusters that are in more than one component; top is a cluster's largest one."""
+    members = clusters.withColumnRenamed("component", "cluster").join(comps, "node", "left").select(F.col("node").alias("doc_id"), "cluster", F.coalesce("component", "node").alias("comp"))
+    members = scratch.table(members, f"{label}_members")
+    by_comp = members.groupBy("cluster", "comp").agg(F.count("*").alias("n"))
+    mixed = by_comp.groupBy("cluster").agg(F.count("*").alias("comps"), F.sum("n").alias("size"), F.max(F.struct("n", "comp")).alias("top")).where("comps > 1")
+    mixed = mixed.select("cluster", "size", F.col("top.comp").alias("top"))
+    return scratch.table(members.join(mixed, "cluster").join(sets, "doc_id"), label)
+
+
+def _second_look(scratch: Scratch, loose: DataFrame, percent: int, first: bool = False) -> DataFrame:
+    """Links of open documents with members of other components; first: with one block of each size only."""
+    label = "first" if first else "every"
+    able = loose.where("comp <> top")
+    if not first:
+        # what a document can share with any other member is what occurs in another member at all
+        tokens = able.select("cluster", "doc_id", F.explode("members").alias("token"))
+        shared = loose.select("cluster", F.explode("members").alias("token")).groupBy("cluster", "token").agg(F.count("*").alias("holders")).where("holders > 1")
+        reach = tokens.join(shared, ["cluster", "token"]).groupBy("cluster", "doc_id").agg(F.count("*").alias("reach"))
+        able = able.join(reach, ["cluster", "doc_id"]).where(100 * F.col("reach") >= percent * F.size("members"))
+    # sizes of a linked pair differ by 100 / percent at most, so by one grade at most: a grade is a little wider than that
+    grade = F.floor(F.log(F.size("members").cast("double")) / F.log(F.lit(101.0 / percent))).cast("int")
+    able = scratch.table(able.select("cluster", "doc_id", "comp", "members", grade.alias("ask_grade")), f"{label}_able")
+    asked = loose.join(able.select("cluster").distinct(), "cluster", "left_semi").select("cluster", "doc_id", "comp", "members", grade.alias("grade"))
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.size("members")) / BLOCK_SHINGLES)).cast("int")
+    cells = able.groupBy("cluster", "ask_grade").agg(blocks.alias("ask_blocks")).join(asked.groupBy("cluster", "grade").agg(blocks.alias("blocks")), "cluster").where("abs(ask_grade - grade) <= 1")
+    cells = scratch.table(cells, f"{label}_cells")  # a row for each pair of like sizes in a cluster
+    asking = able.join(cells, ["cluster", "ask_grade"]).withColumn("ask_block", F.expr("int(pmod(xxhash64(doc_id), ask_blocks))"))
+    asking = asking.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(0) if first else F.col("blocks") - 1)))
+    asked = asked.join(cells, ["cluster", "grade"]).withColumn("block", F.expr("int(pmod(xxhash64(doc_id), blocks))"))
+    if first:
+        asked = asked.where("block = 0")
+    asked = asked.withColumn("ask_block", F.explode(F.sequence(F.lit(0), F.col("ask_blocks") - 1)))
+    columns = [*CELL, "doc_id", "comp", "members"]
+    return asking.select(*columns).groupBy(*CELL).cogroup(asked.select(*columns).groupBy(*CELL)).applyInPandas(_open_pairs(percent), "a long, b long")
 
 
 def keep_one(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame:
