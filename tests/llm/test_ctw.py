@@ -1,4 +1,5 @@
 import math
+import os
 from collections import Counter
 
 import numpy as np
@@ -85,6 +86,27 @@ def test_six_bytes_of_context_count(docs_of):
     assert got[4] == pytest.approx(model.score(texts[4].encode()), rel=1e-4, abs=1e-4)
 
 
+def test_one_large_file_is_many_blocks(spark, docs_of, tmp_path, monkeypatch):
+    """Slices are of blocks bounded by bytes when all texts lie in one file, and scores stay the same."""
+    texts = [f"{t or ''} {'word ' * 20}{i}" for i, t in enumerate(TEXTS)]
+    docs_of(texts).coalesce(1).write.parquet(f"{tmp_path}/docs")
+    learns, made = F.col("doc_id") % 4 != 1, []
+
+    class Seen(ctw.Scratch):
+        def __init__(self, *args):
+            super().__init__(*args)
+            made.append(self.path("slices"))
+
+    monkeypatch.setattr(ctw, "Scratch", Seen)
+    score = lambda: {r.doc_id: (r.score, r.base_score, r.n_known) for r in ctw.score_corpus(spark.read.parquet(f"{tmp_path}/docs"), learns, DEPTH).collect()}
+    whole = score()
+    monkeypatch.setattr(ctw, "BLOCK_BYTES", 500, raising=False)
+    parted = score()
+    blocks = [sum(x.startswith("block=") for x in os.listdir(where.removeprefix("file://"))) for where in made]
+    assert blocks[0] == 1 and blocks[1] >= sum(map(len, texts)) // 700
+    assert parted.keys() == whole.keys() and all(parted[d] == pytest.approx(whole[d]) for d in whole)
+
+
 def test_base_and_counts(scored):
     learnt = Counter(w for i, t in enumerate(TEXTS) if i % 4 != 1 for w in [*brute.blank_words(t), "<end>"])
     n, v = sum(learnt.values()), len(learnt)

@@ -8,7 +8,7 @@ the counts alone, and the probability of a byte is a fixed function of its DEPTH
 What is modelled is the sequence of lower-cased words: parted by one blank, ended by a byte that UTF-8 does
 not use. Over the cluster:
 
-1. each block of documents (an input split) counts its distinct contexts and words;
+1. each block of documents (a file, or a run of rows where a file is larger than BLOCK_BYTES) counts its distinct contexts and words;
 2. counts are summed over all blocks; contexts that share their two nearest bytes are weighted together;
 3. the two top levels, at most 65,536 rows whatever the corpus, are weighted on the driver;
 4. each block gets the code lengths of its own contexts back, and documents are scored against them.
@@ -22,8 +22,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.dataset as pads
 from pyarrow import fs as pafs
+from pyspark import TaskContext
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +44,8 @@ NGRAM, WORD = 0, 1
 MERGE_AT = 6
 #: Files that a block's slice is written in, so that no task sorts a whole slice.
 SLICE_FILES = 8
+#: Bytes of text in a block at most, but for the last document in it.
+BLOCK_BYTES = 32 << 20
 
 
 def streams(texts: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
@@ -198,6 +202,20 @@ def _pieces(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[tuple]:
                 yield int(block[a]), piece, key, key_firsts, words.hashes.view(np.int64), words.rows
 
 
+def _cut_batches(limit: int):
+    """Rows (text, learns, doc_id) with the number of their block: a run of a task's rows, of about `limit` bytes of text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, held = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            sizes = pc.fill_null(pc.binary_length(batch.column(0)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            ends = held + np.cumsum(sizes)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(first + (ends - sizes) // limit), *batch.columns[1:]], names=["text", "block", "learns", "doc_id"])
+            held = int(ends[-1]) if len(ends) else held
+
+    return run
+
+
 def _count_batches(depth: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, held = None, {NGRAM: [], WORD: []}
@@ -339,16 +357,21 @@ def score_corpus(docs: DataFrame, learns: Column, depth: int = DEPTH) -> DataFra
 
     learns: which documents are learned from. Null and empty texts are the end alone. Scores are log10
     probabilities; base_score is that of the words as single tokens. An empty table gives no rows; columns
-    but doc_id, text and those of `learns` are not read. Input files of some hundred MB at most keep blocks,
-    and with them the slices in tasks, small.
+    but doc_id, text and those of `learns` are not read. A file of at most BLOCK_BYTES of text is a block;
+    where one is larger, or there are none, documents are written once more, with the number of their block.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "ctw")
-    rows = docs.select(F.col("text"), F.coalesce(learns, F.lit(False)).alias("learns"), F.col("doc_id"))
+    doc_type = docs.schema["doc_id"].dataType.simpleString()
+    plain = docs.select("text", F.coalesce(learns, F.lit(False)).alias("learns"), "doc_id")
     try:
         rows = docs.select("text", F.xxhash64("_metadata.file_path").alias("block"), F.coalesce(learns, F.lit(False)).alias("learns"), "doc_id")
+        largest = rows.groupBy("block").agg(F.sum(F.octet_length("text")).alias("n")).agg(F.max("n")).first()[0] or 0
     except AnalysisException:  # not from files
-        rows = scratch.table(rows, "rows").select("text", F.xxhash64("_metadata.file_path").alias("block"), "learns", "doc_id")
+        largest = None
+    if largest is None or largest > BLOCK_BYTES:
+        # written once: a row's block must not change between counting and scoring
+        rows = scratch.table(plain.mapInArrow(_cut_batches(BLOCK_BYTES), f"text string, block long, learns boolean, doc_id {doc_type}"), "rows")
     counted = scratch.table(rows.select("text", "block", "learns").mapInArrow(_count_batches(depth), "block long, kind int, key long, count long"), "counted")
     ngrams, words = counted.where(F.col("kind") == NGRAM), counted.where(F.col("kind") == WORD)
 
@@ -372,7 +395,6 @@ def score_corpus(docs: DataFrame, learns: Column, depth: int = DEPTH) -> DataFra
     own = ngrams.select("block", "kind", "key").join(lengths, "key").unionByName(words.select("block", "kind", "key").join(vocabulary.select("key", F.col("value").cast("double").alias("value")), "key"))
     shared = own.repartition(parts, F.col("block"), F.pmod(F.xxhash64("key"), F.lit(SLICE_FILES)))
     shared.sortWithinPartitions("block").write.option("compression", "zstd").partitionBy("block").parquet(scratch.path("slices"))
-    doc_type = docs.schema["doc_id"].dataType.simpleString()
     out = f"doc_id {doc_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
     return rows.mapInArrow(_score_batches(scratch.path("slices"), depth, tokens, distinct, ends), out)
 
