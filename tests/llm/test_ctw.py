@@ -95,7 +95,7 @@ def test_one_large_file_is_many_blocks(spark, docs_of, tmp_path, monkeypatch):
     class Seen(ctw.Scratch):
         def __init__(self, *args):
             super().__init__(*args)
-            made.append(self.path("slices"))
+            made.append(self.path("valued"))
 
     monkeypatch.setattr(ctw, "Scratch", Seen)
     score = lambda: {r.doc_id: (r.score, r.base_score, r.n_known) for r in ctw.score_corpus(spark.read.parquet(f"{tmp_path}/docs"), learns, DEPTH).collect()}

@@ -8,16 +8,21 @@ the counts alone, and the probability of a byte is a fixed function of its DEPTH
 What is modelled is the sequence of lower-cased words: parted by one blank, ended by a byte that UTF-8 does
 not use. Over the cluster:
 
-1. each block of documents (a file, or a run of rows where a file is larger than BLOCK_BYTES) counts its distinct contexts and words;
-2. counts are summed over all blocks; contexts that share their two nearest bytes are weighted together;
-3. the two top levels, at most 65,536 rows whatever the corpus, are weighted on the driver;
-4. each block gets the code lengths of its own contexts back, and documents are scored against them.
-
-No table of the whole model is sent anywhere: a task holds its block's slice.
+1. each block of documents (a run of rows of one file) counts its distinct contexts and words;
+2. counts are summed over all blocks; contexts that share their three nearest bytes are weighted together, of
+   which there are 256^4 rows at most whatever the corpus;
+3. what they send is summed by the two nearest bytes and weighted there; the two top levels, at most 65,536 rows,
+   are weighted on the driver;
+4. each level answers the one below, and the lowest one each block: code lengths of the block's own contexts;
+5. documents are scored against the answers to their block.
+
+Rows carry thousands of keys as compressed bytes, since most of the work is to move them. No table of the whole
+model is sent anywhere: a task holds its block's slice.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,15 +42,18 @@ DEPTH = 6
 END = 0xFF
 #: Weighted log probabilities are summed as integers of this unit, so that the order of rows does not matter.
 UNIT = 1 << 20
-#: Rows of (context, byte) that are weighted at once, if contexts with the same two nearest bytes do not need more.
-WEIGH_ROWS = 200_000
-NGRAM, WORD = 0, 1
-#: Chunks whose distinct keys a task holds before it merges them.
-MERGE_AT = 6
-#: Files that a block's slice is written in, so that no task sorts a whole slice.
-SLICE_FILES = 8
-#: Bytes of text in a block at most, but for the last document in it.
+#: Chunks whose distinct keys a task holds before it merges them, and keys that it holds before it sums them.
+MERGE_AT, MERGE_ROWS = 6, 1_000_000
+#: Bytes of text in a block at about.
 BLOCK_BYTES = 32 << 20
+#: Context bytes that keys of one task share at least; the levels below are weighted together.
+NEAR = 3
+#: Kinds of rows, in the order in which a task needs them.
+NGRAM, WORD, COUNT, SENT, ASK, CHANCE, DISTINCT, WANTED, WORDS, WANTED_WORDS = range(10)
+#: Packed rows: `n` sorted keys and a number, or several, for each. piece tells the parts of one block apart.
+ROWS = "kind int, part int, block long, piece long, n int, keys binary, data binary"
+COLUMNS = [f.split()[0] for f in ROWS.split(", ")]
+_CODEC = pa.Codec("zstd", compression_level=1)
 
 
 def streams(texts: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
@@ -145,13 +153,21 @@ def _mix(path: list[tuple]) -> np.ndarray:
     return p
 
 
-def weigh_deep(key: np.ndarray, count: np.ndarray, depth: int = DEPTH, top: int = 2) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """P(bit) at level `top` of each row's eight decisions; and what its nodes send to the level above: (context, node) keys, log probabilities."""
+def _nodes(key: np.ndarray, bit: int) -> np.ndarray:
+    """The node of a row's own context that decides its byte's bit."""
+    return key >> 8 << 8 | 1 << bit | (key & 0xFF) >> (8 - bit)
+
+
+def weigh(key: np.ndarray, count: np.ndarray, below: np.ndarray | None, depth: int, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """P(bit) at level `top` of each row's eight decisions; and what its nodes send to the level above: (context, node) keys, log probabilities.
+
+    below: what longer contexts send to each row's nodes; without it, level `depth` is the last.
+    """
     rows = _rows_by_level(key, count, depth, top)
     p = np.empty((len(key), 8), np.float32)
     sent_keys, sent = [], []
     for bit in range(8):
-        path, node, weighted = _path(rows, bit, None)
+        path, node, weighted = _path(rows, bit, None if below is None else below[:, bit])
         p[:, bit] = _mix(path)
         k = rows[-1][0][np.concatenate([[True], node[1:] != node[:-1]])]
         sent_keys.append(k >> 16 << 8 | 1 << bit | (k & 0xFF) >> (8 - bit))
@@ -159,24 +175,74 @@ def weigh_deep(key: np.ndarray, count: np.ndarray, depth: int = DEPTH, top: int
     return p, np.concatenate(sent_keys), np.concatenate(sent)
 
 
-def weigh_top(key: np.ndarray, count: np.ndarray, sent: dict[int, float]) -> np.ndarray:
-    """(a, b, alone) for rows (nearest byte, byte) and decisions: P(bit) is a + b * P at level 2, or `alone` where that was never seen."""
-    rows = _rows_by_level(key, count, 1, 0)
-    out = np.empty((3, len(key), 8))
+def chances(key: np.ndarray, count: np.ndarray, below: np.ndarray, depth: int, top: int) -> np.ndarray:
+    """(row, bit, 3): a, b, alone, where P(bit) at level `top` is a + b * P at the level below `depth`, or alone where that was never seen (nan: nor was the row)."""
+    rows = _rows_by_level(key, count, depth, top)
+    out = np.empty((len(key), 8, 3))
     for bit in range(8):
-        below = np.array([sent.get(int(k), 0.0) for k in key >> 8 << 8 | 1 << bit | (key & 0xFF) >> (8 - bit)])
-        path, _, _ = _path(rows, bit, below)
+        path, _, _ = _path(rows, bit, below[:, bit])
         a, b = np.zeros(len(key)), np.ones(len(key))
         for estimate, _, stop in path:
             a, b = stop * estimate + (1 - stop) * a, (1 - stop) * b
-        alone = _mix(path)
-        out[:, :, bit] = a, b, np.where(np.isnan(alone), 0.5, alone)
+        out[:, bit] = np.stack([a, b, _mix(path)], axis=1)
     return out
 
 
+def compose(upper: np.ndarray, lower: np.ndarray) -> np.ndarray:
+    """The chances of the lower rows, seen from the top of the upper ones."""
+    a, b, alone = np.moveaxis(upper, 2, 0)
+    c, d, own = np.moveaxis(lower, 2, 0)
+    return np.stack([a + b * c, b * d, np.where(np.isnan(own), alone, a + b * own)], axis=2)
+
+
+def pack(values: np.ndarray) -> bytes:
+    """Numbers as compressed byte planes."""
+    planes = np.ascontiguousarray(values).reshape(-1).view(np.uint8).reshape(-1, values.dtype.itemsize).T
+    return _CODEC.compress(np.ascontiguousarray(planes).tobytes(), asbytes=True)
+
+
+def unpack(data: bytes, n: int, kind) -> np.ndarray:
+    kind = np.dtype(kind)
+    planes = np.frombuffer(_CODEC.decompress(data, n * kind.itemsize), np.uint8).reshape(kind.itemsize, n)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
+
+
+def pack_keys(keys: np.ndarray) -> bytes:
+    return pack(np.diff(keys, prepend=np.int64(0)))
+
+
+def unpack_keys(data: bytes, n: int) -> np.ndarray:
+    return np.cumsum(unpack(data, n, np.int64))
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=COLUMNS)
+
+
+def _unbatch(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
+
+
+def _spread(x: np.ndarray, parts: int) -> np.ndarray:
+    return ((x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % parts
+
+
+def _by_part(part: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
+    """Each part's number and its rows of all columns, in their order."""
+    order = np.argsort(part, kind="stable")
+    part = part[order]
+    cuts = np.concatenate([[0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)]]) if len(part) else [0]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        yield int(part[a]), *(c[order[a:b]] for c in columns)
+
+
 def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     key, inverse = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-    return key, np.bincount(inverse, np.concatenate([p[1] for p in parts])).astype(np.int64)
+    total = np.zeros(len(key), np.int64)
+    np.add.at(total, inverse, np.concatenate([p[1] for p in parts]).astype(np.int64))
+    return key, total
 
 
 def _distinct(key: np.ndarray, learns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -216,24 +282,28 @@ def _cut_batches(limit: int):
     return run
 
 
-def _count_batches(depth: int):
+def _count_batches(depth: int, parts: int):
+    """Each block's distinct context keys and words, with their counts in what is learned from, by the task that will sum them."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, held = None, {NGRAM: [], WORD: []}
 
         def emit():
-            for kind, parts in held.items():
-                if parts:
-                    key, count = _merge(parts)
-                    for i in range(0, len(key), 100_000):
-                        k, c = key[i : i + 100_000], count[i : i + 100_000]
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), block)), pa.array(np.full(len(k), kind, np.int32)), pa.array(k), pa.array(c)], names=["block", "kind", "key", "count"])
-                    parts.clear()
-
-        for at, piece, key, key_firsts, words, word_firsts in _pieces(batches, depth):
+            piece = uuid.uuid4().int >> 65
+            for kind, some in held.items():
+                if some:
+                    key, count = _merge(some)
+                    part = _spread(key >> (8 * (depth - NEAR + 1)) if kind == NGRAM else key, parts)
+                    rows = [(kind, p, block, piece, len(k), pack_keys(k), pack(c)) for p, k, c in _by_part(part, key, count)]
+                    for i in range(0, len(rows), 256):
+                        yield _batch(rows[i : i + 256])
+                    some.clear()
+
+        for at, rows, key, key_firsts, words, word_firsts in _pieces(batches, depth):
             if at != block:
                 yield from emit()
                 block = at
-            learns = piece.column(2).to_numpy(zero_copy_only=False)
+            learns = rows.column(2).to_numpy(zero_copy_only=False)
             held[NGRAM].append(_distinct(key, np.repeat(learns, np.diff(key_firsts))))
             held[WORD].append(_distinct(words, np.repeat(learns, np.diff(word_firsts))))
             for kind in held:
@@ -244,54 +314,133 @@ def _count_batches(depth: int):
     return run
 
 
-def _weigh_batches(depth: int):
-    """Rows (key, count) sorted by key: kind 0 gives each key's P at level 2, kinds 1 and 2 what the top levels need."""
+def _merge_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for all of a kind and part of rows sorted by these: its distinct keys and their sums."""
+    at, held, size = None, [], 0
+    for kind, part, _, _, n, keys, data in _unbatch(batches):
+        if (kind, part) != at:
+            if held:
+                key, total = _merge(held)
+                yield _batch([(*at, -1, 0, len(key), pack_keys(key), pack(total))])
+            at, held, size = (kind, part), [], 0
+        held.append((unpack_keys(keys, n), unpack(data, n, np.int64)))
+        size += n
+        if len(held) > 1 and size > max(MERGE_ROWS, 2 * len(held[0][0])):
+            held = [_merge(held)]
+            size = len(held[0][0])
+    if held:
+        key, total = _merge(held)
+        yield _batch([(*at, -1, 0, len(key), pack_keys(key), pack(total))])
+
+
+def _sums(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return _merge([(key, value)])
+
+
+def _deep_batches(depth: int, parts: int):
+    """From a part's summed keys: counts and sent log probabilities for the level above, and which of its keys the part will ask for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts, held = [], [], 0
-        tops: dict[int, dict[int, int]] = {1: {}, 2: {}}
-
-        def out(key, count):
-            p, sent_keys, sent = weigh_deep(key, count, depth)
-            for kind, k, v in ((1, sent_keys, np.rint(sent * UNIT).astype(np.int64)), (2, key >> (8 * depth) << 8 | (key & 0xFF), count)):
-                unique, inverse = np.unique(k, return_inverse=True)
-                total = np.zeros(len(unique), np.int64)
-                np.add.at(total, inverse, v)
-                for a, b in zip(unique.tolist(), total.tolist(), strict=True):
-                    tops[kind][a] = tops[kind].get(a, 0) + b
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(key) + 1, dtype=np.int32) * 8), pa.array(p.reshape(-1)))
-            return pa.RecordBatch.from_arrays([pa.array(np.zeros(len(key), np.int32)), pa.array(key), pa.array(count), lists], names=["kind", "key", "value", "p"])
+        for _, part, _, _, n, keys, data in _unbatch(batches):
+            key, count = unpack_keys(keys, n), unpack(data, n, np.int64)
+            _, nodes, sent = weigh(key, count, None, depth, NEAR)
+            above, total = _sums(key >> (8 * (depth - NEAR + 2)) << 8 | (key & 0xFF), count)
+            nodes, sent = _sums(nodes, np.rint(sent * UNIT).astype(np.int64))
+            rows = [(COUNT, p, part, 0, len(k), pack_keys(k), pack(c)) for p, k, c in _by_part(_spread(above >> 8, parts), above, total)]
+            rows += [(SENT, p, part, 0, len(k), pack_keys(k), pack(c)) for p, k, c in _by_part(_spread(nodes >> 8, parts), nodes, sent)]
+            for i in range(0, len(rows), 256):
+                yield _batch(rows[i : i + 256])
 
-        for batch in batches:
-            keys.append(batch.column(0).to_numpy())
-            counts.append(batch.column(1).to_numpy())
-            held += batch.num_rows
-            if held >= WEIGH_ROWS:
-                key, count = np.concatenate(keys), np.concatenate(counts)
-                near = key >> (8 * (depth - 1))
-                cut = int(np.searchsorted(near, near[-1], "left"))
-                if cut:
-                    yield out(key[:cut], count[:cut])
-                keys, counts, held = [key[cut:]], [count[cut:]], len(key) - cut
-        if held:
-            yield out(np.concatenate(keys), np.concatenate(counts))
-        for kind, total in tops.items():
-            k = np.fromiter(total, np.int64, len(total))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int32)), pa.array(k), pa.array(np.fromiter(total.values(), np.int64, len(total))), pa.nulls(len(k), pa.list_(pa.float32()))], names=["kind", "key", "value", "p"])
+    return run
+
+
+def _below(key: np.ndarray, nodes: np.ndarray, sent: np.ndarray) -> np.ndarray:
+    """What each row's eight nodes were sent, as log probabilities; 0 where nothing was."""
+    out = np.zeros((len(key), 8))
+    for bit in range(8 if len(nodes) else 0):
+        wanted = _nodes(key, bit)
+        at = np.minimum(np.searchsorted(nodes, wanted), len(nodes) - 1)
+        out[:, bit] = np.where(nodes[at] == wanted, sent[at] / UNIT, 0.0)
+    return out
+
+
+def _joint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each part of the middle level: keys, and for each of them its count and what its eight nodes were sent."""
+    part_at, held = None, {COUNT: [], SENT: []}
+
+    def out():
+        key, count = _merge(held[COUNT])
+        nodes, sent = _merge(held[SENT])
+        return _batch([(COUNT, part_at, -1, 0, len(key), pack_keys(key), pack(np.concatenate([count[:, None].astype(np.float64), _below(key, nodes, sent)], axis=1)))])
+
+    for kind, part, _, _, n, keys, data in _unbatch(batches):
+        if part != part_at:
+            if held[COUNT]:
+                yield out()
+            part_at, held = part, {COUNT: [], SENT: []}
+        held[kind].append((unpack_keys(keys, n), unpack(data, n, np.int64)))
+        if sum(len(k) for k, _ in held[kind]) > max(MERGE_ROWS, 2 * len(held[kind][0][0])) and len(held[kind]) > 1:
+            held[kind] = [_merge(held[kind])]
+    if held[COUNT]:
+        yield out()
+
+
+def _middle(n: int, keys: bytes, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    table = unpack(data, 9 * n, np.float64).reshape(n, 9)
+    return unpack_keys(keys, n), table[:, 0], table[:, 1:]
+
+
+def _top_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(kind, key, value) for the two top levels: counts of (nearest byte, byte) and what its nodes are sent."""
+    for _, _, _, _, n, keys, data in _unbatch(batches):
+        key, count, below = _middle(n, keys, data)
+        _, nodes, sent = weigh(key, count, below, NEAR - 1, NEAR - 1)
+        for kind, (k, v) in ((SENT, _sums(nodes, np.rint(sent * UNIT).astype(np.int64))), (COUNT, _sums(key >> 16 << 8 | (key & 0xFF), count))):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int32)), pa.array(k), pa.array(v)], names=["kind", "key", "value"])
+
+
+def _lookup(key: np.ndarray, table: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    return table[np.searchsorted(key, wanted)]
+
+
+def _chance_batches(top_keys: np.ndarray, top: np.ndarray):
+    """Answers each asking part with (a, b, alone) of its keys and decisions: P is a + b * P at level NEAR, or `alone` where that was never seen."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, table = None, None
+        for kind, _, asking, _, n, keys, data in _unbatch(batches):
+            if kind == COUNT:
+                key, count, below = _middle(n, keys, data)
+                table = chances(key, count, below, NEAR - 1, NEAR - 1)
+                table = compose(_lookup(top_keys, top, key >> 16 << 8 | (key & 0xFF)), table).astype(np.float32)
+            else:
+                wanted = unpack_keys(keys, n)
+                yield _batch([(CHANCE, asking, -1, 0, n, keys, pack(_lookup(key, table, wanted)))])
 
     return run
 
 
-def _finish_batches(top_keys: np.ndarray, table: np.ndarray, depth: int):
-    """log10 P of each key's byte from its P at level 2 and the top levels."""
+def _answer_batches(depth: int):
+    """For each part of rows sorted by part and kind: log10 P of its keys, handed out to the blocks that hold them; words get their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            key = batch.column(0).to_numpy()
-            p = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, 8)
-            at = np.searchsorted(top_keys, key >> (8 * depth) << 8 | (key & 0xFF))
-            a, b, alone = table[:, at]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.log10(np.where(np.isnan(p), alone, a + b * p)).sum(axis=1))], names=["key", "value"])
+        at, chance, key, value = None, [], None, None
+        for kind, part, block, piece, n, keys, data in _unbatch(batches):
+            if part != at:
+                at, chance = part, []
+            mine = unpack_keys(keys, n)
+            if kind == CHANCE:
+                chance.append((mine, unpack(data, 24 * n, np.float32).reshape(n, 8, 3)))
+            elif kind == DISTINCT:
+                order = np.argsort(np.concatenate([c[0] for c in chance]))
+                above, table = (np.concatenate([c[i] for c in chance])[order] for i in (0, 1))
+                p, _, _ = weigh(mine, unpack(data, n, np.int64), None, depth, NEAR)
+                a, b, alone = np.moveaxis(_lookup(above, table, mine >> (8 * (depth - NEAR + 2)) << 8 | (mine & 0xFF)).astype(np.float64), 2, 0)
+                key, value = mine, np.log10(np.where(np.isnan(p), alone, a + b * p)).sum(axis=1).astype(np.float32)
+            elif kind == WORDS:
+                key, value = mine, unpack(data, n, np.int64).astype(np.float64)
+            else:
+                yield _batch([(NGRAM if kind == WANTED else WORD, part, block, piece, n, b"", pack(_lookup(key, value, mine)))])
 
     return run
 
@@ -315,28 +464,34 @@ class Slice:
         at = self.table[self._slot(key)]
         missed = np.flatnonzero(self.key[at] != key)
         at[missed] = np.searchsorted(self.key, key[missed])
-        return self.value[at]
+        return self.value[at].astype(np.float64)
 
 
 _slices: dict[str, tuple[Slice, Slice]] = {}
 
 
-def _slice(folder: str, block: int) -> tuple[Slice, Slice]:
-    where = f"{folder}/block={block}"
+def _slice(counted: str, valued: str, block: int) -> tuple[Slice, Slice]:
+    where = f"{valued}/block={block}"
     if where not in _slices:
         _slices.clear()
-        files, path = pafs.FileSystem.from_uri(where)
-        rows = pads.dataset(path, filesystem=files, format="parquet").to_table(columns=["kind", "key", "value"])
-        kind, key, value = (rows.column(c).to_numpy() for c in ("kind", "key", "value"))
-        _slices[where] = tuple(Slice(key[kind == k], value[kind == k]) for k in (NGRAM, WORD))
+
+        def read(folder: str, column: str) -> Iterator[dict]:
+            files, path = pafs.FileSystem.from_uri(f"{folder}/block={block}")
+            yield from pads.dataset(path, filesystem=files, format="parquet").to_table(columns=["kind", "part", "piece", "n", column]).to_pylist()
+
+        keys = {(r["kind"], r["part"], r["piece"]): unpack_keys(r["keys"], r["n"]) for r in read(counted, "keys")}
+        found: dict[int, list] = {NGRAM: [(np.zeros(0, np.int64), np.zeros(0, np.float32))], WORD: [(np.zeros(0, np.int64), np.zeros(0))]}
+        for r in read(valued, "data"):
+            found[r["kind"]].append((keys.pop((r["kind"], r["part"], r["piece"])), unpack(r["data"], r["n"], np.float32 if r["kind"] == NGRAM else np.float64)))
+        _slices[where] = tuple(Slice(*(np.concatenate(c) for c in zip(*found[k], strict=True))) for k in (NGRAM, WORD))
     return _slices[where]
 
 
-def _score_batches(folder: str, depth: int, tokens: int, distinct: int, ends: int):
+def _score_batches(counted: str, valued: str, depth: int, tokens: int, distinct: int, ends: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bottom = np.log10(tokens + 0.1 * (distinct + 1))
         for block, piece, key, key_firsts, words, word_firsts in _pieces(batches, depth):
-            ngrams, vocabulary = _slice(folder, block)
+            ngrams, vocabulary = _slice(counted, valued, block)
             score = np.add.reduceat(ngrams.get(key), key_firsts[:-1])
             count = vocabulary.get(words)
             total = lambda v, word_firsts=word_firsts: (c := np.concatenate([[0.0], np.cumsum(v)]))[word_firsts[1:]] - c[word_firsts[:-1]]
@@ -352,51 +507,79 @@ def _score_batches(folder: str, depth: int, tokens: int, distinct: int, ends: in
     return run
 
 
+def _blocks(scratch: Scratch, docs: DataFrame, learns: Column) -> DataFrame:
+    """text, block, learns, doc_id: a block is a run of rows of one file, of about BLOCK_BYTES of text.
+
+    A row's place in its file names its block, so that it is the same whenever the files are read. Rows that
+    are not from such files are written once, with the number of their block.
+    """
+    taught = F.coalesce(learns, F.lit(False)).alias("learns")
+    try:
+        placed = docs.select("text", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("nth"), taught, "doc_id")
+    except AnalysisException:
+        doc_type = docs.schema["doc_id"].dataType.simpleString()
+        return scratch.table(docs.select("text", taught, "doc_id").mapInArrow(_cut_batches(BLOCK_BYTES), f"text string, block long, learns boolean, doc_id {doc_type}"), "rows")
+    # rows of a block: as many as give BLOCK_BYTES in the file of the longest texts
+    mean = placed.groupBy("file").agg(F.avg(F.coalesce(F.octet_length("text"), F.lit(0))).alias("m")).agg(F.max("m")).first()[0]
+    run = max(1, int(BLOCK_BYTES / max(1.0, mean or 0.0)))
+    return placed.select("text", F.xxhash64("file", F.floor(F.col("nth") / run)).alias("block"), "learns", "doc_id")
+
+
 def score_corpus(docs: DataFrame, learns: Column, depth: int = DEPTH) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte of every document.
 
-    learns: which documents are learned from. Null and empty texts are the end alone. Scores are log10
-    probabilities; base_score is that of the words as single tokens. An empty table gives no rows; columns
-    but doc_id, text and those of `learns` are not read. A file of at most BLOCK_BYTES of text is a block;
-    where one is larger, or there are none, documents are written once more, with the number of their block.
+    learns: which documents are learned from (null: not). depth: context bytes, NEAR to 6. Scores are log10
+    probabilities; base_score is that of the words as single tokens. Null and empty texts are the end alone.
+    A text of any length is scored whole, by one task. Every row is scored for itself: repeated rows, repeated
+    and null ids each give a row, and rows with equal texts equal scores. An empty table gives no rows. No
+    columns but doc_id, text and those of `learns` are read, so that others may have any name.
     """
+    if not NEAR <= depth <= 6:
+        raise ValueError(f"depth must lie in {NEAR}..6")
     spark = docs.sparkSession
     scratch = Scratch(spark, "ctw")
     doc_type = docs.schema["doc_id"].dataType.simpleString()
-    plain = docs.select("text", F.coalesce(learns, F.lit(False)).alias("learns"), "doc_id")
-    try:
-        rows = docs.select("text", F.xxhash64("_metadata.file_path").alias("block"), F.coalesce(learns, F.lit(False)).alias("learns"), "doc_id")
-        largest = rows.groupBy("block").agg(F.sum(F.octet_length("text")).alias("n")).agg(F.max("n")).first()[0] or 0
-    except AnalysisException:  # not from files
-        largest = None
-    if largest is None or largest > BLOCK_BYTES:
-        # written once: a row's block must not change between counting and scoring
-        rows = scratch.table(plain.mapInArrow(_cut_batches(BLOCK_BYTES), f"text string, block long, learns boolean, doc_id {doc_type}"), "rows")
-    counted = scratch.table(rows.select("text", "block", "learns").mapInArrow(_count_batches(depth), "block long, kind int, key long, count long"), "counted")
-    ngrams, words = counted.where(F.col("kind") == NGRAM), counted.where(F.col("kind") == WORD)
-
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    near = F.shiftright("key", 8 * (depth - 1))
-    summed = ngrams.select("key", "count", near.alias("near")).repartition(parts, "near").groupBy("near", "key").agg(F.sum("count").alias("count"))
-    deep = scratch.table(summed.sortWithinPartitions("key").select("key", "count").mapInArrow(_weigh_batches(depth), "kind int, key long, value long, p array<float>"), "deep")
-    # at most 256 * 256 rows of either kind
-    tops = deep.where("kind > 0").groupBy("kind", "key").agg(F.sum("value").alias("value")).collect()
-    counts = sorted((r["key"], r["value"]) for r in tops if r["kind"] == 2)
+    rows = _blocks(scratch, docs, learns)
+    counted, valued = scratch.path("counted"), scratch.path("valued")
+    rows.select("text", "block", "learns").mapInArrow(textkit.lean(_count_batches(depth, parts)), ROWS).write.partitionBy("block").option("compression", "uncompressed").parquet(counted)
+    held = spark.read.schema(ROWS).parquet(counted).select(*COLUMNS)
+
+    def dealt(df: DataFrame, *order: str) -> DataFrame:
+        return df.repartition(parts, "part").sortWithinPartitions("part", *order)
+
+    # sorted by part first, then merged by kind and part
+    merged = scratch.table(held.repartition(parts, "part").sortWithinPartitions("part", "kind").mapInArrow(textkit.lean(_merge_batches), ROWS), "merged")
+    ngrams, words = merged.where(F.col("kind") == NGRAM), merged.where(F.col("kind") == WORD)
+    sent = scratch.table(ngrams.mapInArrow(textkit.lean(_deep_batches(depth, parts)), ROWS), "sent")
+    middle = scratch.table(dealt(sent).mapInArrow(textkit.lean(_joint_batches), ROWS), "middle")
+    # at most 256 * 256 rows of either kind reach the driver
+    tops = middle.mapInArrow(_top_batches, "kind int, key long, value long").groupBy("kind", "key").agg(F.sum("value").alias("value")).collect()
+    counts = sorted((r["key"], r["value"]) for r in tops if r["kind"] == COUNT)
     top_keys, top_counts = (np.array([c[i] for c in counts], np.int64) for i in (0, 1))
-    table = weigh_top(top_keys, top_counts, {r["key"]: r["value"] / UNIT for r in tops if r["kind"] == 1}) if counts else np.zeros((3, 0, 8))
-    lengths = deep.where("kind = 0").select("key", "p").mapInArrow(_finish_batches(top_keys, table, depth), "key long, value double")
-
-    vocabulary = words.groupBy("key").agg(F.sum("count").alias("value"))
-    vocabulary = scratch.table(vocabulary, "vocabulary")
-    size = vocabulary.agg(F.coalesce(F.sum("value"), F.lit(0)), F.count(F.when(F.col("value") > 0, 1))).first()
+    nodes = sorted((r["key"], r["value"]) for r in tops if r["kind"] == SENT)
+    below = _below(top_keys, *(np.array([c[i] for c in nodes], np.int64) for i in (0, 1)))
+    top = chances(top_keys, top_counts, below, 1, 0) if counts else np.zeros((0, 8, 3))
+    top[:, :, 2] = np.where(np.isnan(top[:, :, 2]), 0.5, top[:, :, 2])
+
+    asked = sent.where(F.col("kind") == COUNT).withColumn("kind", F.lit(ASK))
+    chance = dealt(middle.unionByName(asked), "kind").mapInArrow(textkit.lean(_chance_batches(top_keys, top)), ROWS)
+    known = lambda df, ngram, word: df.withColumn("kind", F.when(F.col("kind") == NGRAM, ngram).otherwise(word))
+    everything = chance.unionByName(known(merged, DISTINCT, WORDS)).unionByName(known(held.withColumn("data", F.lit(b"")), WANTED, WANTED_WORDS))
+    answers = dealt(everything, "kind").mapInArrow(textkit.lean(_answer_batches(depth)), ROWS)
+    answers.repartition(parts, "block").write.partitionBy("block").option("compression", "uncompressed").parquet(valued)
+
+    size = words.mapInArrow(_word_totals, "total long, known long").agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("known"), F.lit(0))).first()
     ends = rows.where("learns").count()
     tokens, distinct = int(size[0]) + ends, int(size[1]) + (ends > 0)
-
-    own = ngrams.select("block", "kind", "key").join(lengths, "key").unionByName(words.select("block", "kind", "key").join(vocabulary.select("key", F.col("value").cast("double").alias("value")), "key"))
-    shared = own.repartition(parts, F.col("block"), F.pmod(F.xxhash64("key"), F.lit(SLICE_FILES)))
-    shared.sortWithinPartitions("block").write.option("compression", "zstd").partitionBy("block").parquet(scratch.path("slices"))
     out = f"doc_id {doc_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
-    return rows.mapInArrow(_score_batches(scratch.path("slices"), depth, tokens, distinct, ends), out)
+    return rows.mapInArrow(textkit.lean(_score_batches(counted, valued, depth, tokens, distinct, ends)), out)
+
+
+def _word_totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for _, _, _, _, n, _, data in _unbatch(batches):
+        count = unpack(data, n, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array([int(count.sum())]), pa.array([int((count > 0).sum())])], names=["total", "known"])
 
 
 def op1_context_tree(spark, sf_dir: str) -> DataFrame:
