@@ -42,16 +42,14 @@ class Naive:
         return self.memo[c, m]
 
     def p(self, context, m, bit):
-        out = None
+        out = 0.5
         for d in range(self.depth, -1, -1):
             c = context[:d]
             a, b = self.n[c, m, 0], self.n[c, m, 1]
-            if not a + b:
-                continue
             own = ((b if bit else a) + 0.5) / (a + b + 1)
-            stop = 1.0 if out is None else math.exp(math.log(0.5) + self.kt(c, m) - self.weighted(c, m))
-            out = own if out is None else stop * own + (1 - stop) * out
-        return 0.5 if out is None else out
+            stop = 1.0 if d == self.depth else math.exp(math.log(0.5) + self.kt(c, m) - self.weighted(c, m))
+            out = stop * own + (1 - stop) * out
+        return out
 
     def score(self, text):
         s, total = bytes([255]) * self.depth + text + b"\xff", 0.0

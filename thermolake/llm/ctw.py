@@ -113,7 +113,7 @@ def _rows_by_level(key: np.ndarray, count: np.ndarray, depth: int, top: int) ->
 
 
 def _path(rows: list[tuple], bit: int, below: np.ndarray | None) -> tuple[list[tuple], np.ndarray, np.ndarray]:
-    """For each level: estimate of the row's bit, whether its node was ever seen, and the weight of ending here.
+    """For each level: estimate of the row's bit, and the weight of ending here.
 
     below: what longer contexts send to each row's node of the first level, which else is the last of the tree.
     Also gives each top row's node and the nodes' log weighted probabilities.
@@ -139,17 +139,16 @@ def _path(rows: list[tuple], bit: int, below: np.ndarray | None) -> tuple[list[t
         at = node[where]
         hit = np.where((key >> (7 - bit)) & 1, ones[at], zeros[at])
         seen = (zeros + ones)[at]
-        path.append(((hit + 0.5) / (seen + 1), seen > 0, stop[at]))
+        path.append(((hit + 0.5) / (seen + 1), stop[at]))
         if level + 1 < len(rows):
             heads = rows[level + 1][2][np.concatenate([[True], node[1:] != node[:-1]])]
     return path, node, weighted
 
 
-def _mix(path: list[tuple]) -> np.ndarray:
-    """P(bit) at the last level of a path; contexts never seen have no say, and nan stands for nothing seen at all."""
-    p = np.full(len(path[0][0]), np.nan)
-    for estimate, seen, stop in path:
-        p = np.where(seen, np.where(np.isnan(p), estimate, stop * estimate + (1 - stop) * p), np.nan)
+def _mix(path: list[tuple], p: np.ndarray | float = 0.5) -> np.ndarray:
+    """P(bit) at the last level of a path, p being that of the longer contexts; a context never seen says a half."""
+    for estimate, stop in path:
+        p = stop * estimate + (1 - stop) * p
     return p
 
 
@@ -176,23 +175,20 @@ def weigh(key: np.ndarray, count: np.ndarray, below: np.ndarray | None, depth: i
 
 
 def chances(key: np.ndarray, count: np.ndarray, below: np.ndarray, depth: int, top: int) -> np.ndarray:
-    """(row, bit, 3): a, b, alone, where P(bit) at level `top` is a + b * P at the level below `depth`, or alone where that was never seen (nan: nor was the row)."""
+    """(row, bit, 2): a and b, where P(bit) at level `top` is a + b * P at the level below `depth`."""
     rows = _rows_by_level(key, count, depth, top)
-    out = np.empty((len(key), 8, 3))
+    out = np.empty((len(key), 8, 2))
     for bit in range(8):
         path, _, _ = _path(rows, bit, below[:, bit])
-        a, b = np.zeros(len(key)), np.ones(len(key))
-        for estimate, _, stop in path:
-            a, b = stop * estimate + (1 - stop) * a, (1 - stop) * b
-        out[:, bit] = np.stack([a, b, _mix(path)], axis=1)
+        out[:, bit, 0] = _mix(path, 0.0)
+        out[:, bit, 1] = np.prod([1 - stop for _, stop in path], axis=0)
     return out
 
 
 def compose(upper: np.ndarray, lower: np.ndarray) -> np.ndarray:
     """The chances of the lower rows, seen from the top of the upper ones."""
-    a, b, alone = np.moveaxis(upper, 2, 0)
-    c, d, own = np.moveaxis(lower, 2, 0)
-    return np.stack([a + b * c, b * d, np.where(np.isnan(own), alone, a + b * own)], axis=2)
+    a, b = upper[:, :, 0], upper[:, :, 1]
+    return np.stack([a + b * lower[:, :, 0], b * lower[:, :, 1]], axis=2)
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -404,7 +400,7 @@ def _lookup(key: np.ndarray, table: np.ndarray, wanted: np.ndarray) -> np.ndarra
 
 
 def _chance_batches(top_keys: np.ndarray, top: np.ndarray):
-    """Answers each asking part with (a, b, alone) of its keys and decisions: P is a + b * P at level NEAR, or `alone` where that was never seen."""
+    """Answers each asking part with (a, b) of its keys and decisions: P is a + b * P at level NEAR."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, table = None, None
@@ -430,13 +426,13 @@ def _answer_batches(depth: int):
                 at, chance = part, []
             mine = unpack_keys(keys, n)
             if kind == CHANCE:
-                chance.append((mine, unpack(data, 24 * n, np.float32).reshape(n, 8, 3)))
+                chance.append((mine, unpack(data, 16 * n, np.float32).reshape(n, 8, 2)))
             elif kind == DISTINCT:
                 order = np.argsort(np.concatenate([c[0] for c in chance]))
                 above, table = (np.concatenate([c[i] for c in chance])[order] for i in (0, 1))
                 p, _, _ = weigh(mine, unpack(data, n, np.int64), None, depth, NEAR)
-                a, b, alone = np.moveaxis(_lookup(above, table, mine >> (8 * (depth - NEAR + 2)) << 8 | (mine & 0xFF)).astype(np.float64), 2, 0)
-                key, value = mine, np.log10(np.where(np.isnan(p), alone, a + b * p)).sum(axis=1).astype(np.float32)
+                a, b = np.moveaxis(_lookup(above, table, mine >> (8 * (depth - NEAR + 2)) << 8 | (mine & 0xFF)).astype(np.float64), 2, 0)
+                key, value = mine, np.log10(a + b * p).sum(axis=1).astype(np.float32)
             elif kind == WORDS:
                 key, value = mine, unpack(data, n, np.int64).astype(np.float64)
             else:
@@ -559,8 +555,7 @@ def score_corpus(docs: DataFrame, learns: Column, depth: int = DEPTH) -> DataFra
     top_keys, top_counts = (np.array([c[i] for c in counts], np.int64) for i in (0, 1))
     nodes = sorted((r["key"], r["value"]) for r in tops if r["kind"] == SENT)
     below = _below(top_keys, *(np.array([c[i] for c in nodes], np.int64) for i in (0, 1)))
-    top = chances(top_keys, top_counts, below, 1, 0) if counts else np.zeros((0, 8, 3))
-    top[:, :, 2] = np.where(np.isnan(top[:, :, 2]), 0.5, top[:, :, 2])
+    top = chances(top_keys, top_counts, below, 1, 0) if counts else np.zeros((0, 8, 2))
 
     asked = sent.where(F.col("kind") == COUNT).withColumn("kind", F.lit(ASK))
     chance = dealt(middle.unionByName(asked), "kind").mapInArrow(textkit.lean(_chance_batches(top_keys, top)), ROWS)
