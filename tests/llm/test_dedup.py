@@ -4,6 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from thermolake.llm import components as graph
 from thermolake.llm import suffixdedup, superminhash, textkit
 from thermolake.llm.components import components
 from thermolake.session import Scratch
@@ -68,6 +69,7 @@ def test_links_that_no_star_holds(docs_of):
 def test_links_over_many_small_blocks(docs_of, monkeypatch):
     """The same chain when each cluster is many blocks, on either side, and one block is met first."""
     monkeypatch.setattr(superminhash, "BLOCK", 2)
+    monkeypatch.setattr(superminhash, "FIRST_AT", 2)
     rng = random.Random(9)
     word = lambda: "".join(rng.choices("abcdefghij", k=6))
     w = [word() for _ in range(200)]
@@ -115,11 +117,28 @@ def test_a_null_id_does_not_part_its_copies(spark):
     assert sorted((r.doc_id or -1) for r in superminhash.keep_one(docs).collect()) == [-1, -1, -1, 3]
 
 
-def test_components(spark):
-    edges = spark.createDataFrame([(1, 2), (2, 3), (5, 4), (9, 9), (3, 10), (10, 11), (4, 5)], "a long, b long")
-    got = {r.node: r.component for r in components(Scratch(spark, "t"), edges, "e").collect()}
-    assert got == {1: 1, 2: 1, 3: 1, 10: 1, 11: 1, 4: 4, 5: 4, 9: 9}
-    assert components(Scratch(spark, "t"), edges.where("a > 100"), "e").count() == 0
+@pytest.mark.parametrize("small,hub", [(100_000, 1000), (0, 1000), (0, 2)])
+def test_components(spark, monkeypatch, small, hub):
+    """In one task, by steps, and by steps with hubs that are broadcast."""
+    monkeypatch.setattr(graph, "SMALL_GRAPH", small)
+    monkeypatch.setattr(graph, "HUB_EDGES", hub)
+    rng = random.Random(3)
+    pairs = [(1, 2), (2, 3), (5, 4), (9, 9), (3, 10), (10, 11), (4, 5)] + [(100 + i, 101 + i) for i in range(20)] + [(300, 300 + i) for i in range(1, 30)] + [(rng.randrange(400, 440), rng.randrange(400, 440)) for _ in range(25)]
+    root = {n: n for p in pairs for n in p}
+    for _ in root:
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+    edges = spark.createDataFrame(pairs, "a long, b long")
+    assert {r.node: r.component for r in components(Scratch(spark, "t"), edges, "e").collect()} == root
+    assert components(Scratch(spark, "t"), edges.where("a > 1000"), "e").count() == 0
+
+
+def test_texts_of_one_id_are_one_document(spark):
+    """Repeated rows, and an id that stands for several texts, each with copies and a near copy of its own."""
+    w, x = [f"w{i}" for i in range(100)], [f"x{i}" for i in range(100)]
+    rows = [(3, " ".join(w)), (8, " ".join(w)), (8, " ".join(x)), (8, " ".join(x)), (9, " ".join(x)), (11, " ".join([*x[:-1], "y"])), (12, "else")]
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in superminhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(3, 3, True), (8, 3, False), (8, 3, False), (8, 3, False), (9, 3, False), (11, 3, False), (12, 12, True)]
 
 
 @pytest.mark.parametrize("seed", [3, 4])

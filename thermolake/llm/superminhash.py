@@ -32,6 +32,8 @@ BANDS, BAND_SLOTS = 32, 4
 SLOTS = BANDS * BAND_SLOTS
 #: Documents of a cluster, and shingles in them, that stand on either side of one comparison at about.
 BLOCK, BLOCK_SHINGLES = 2048, 1 << 21
+#: Larger clusters are looked at one block first, since what joins there need not be compared again.
+FIRST_AT = 16 * BLOCK
 CELL = ["cluster", "ask_grade", "ask_block", "grade", "block"]
 
 
@@ -123,10 +125,10 @@ def _set_batches(k: int):
 
 
 def _open_pairs(percent: int):
-    """Compares a block of a cluster's open documents with a block of its members; gives links between components."""
+    """Compares a block of a cluster's open documents with a block of its members; gives the components that links join."""
 
     def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        found: list[tuple[int, int]] = []
+        found: set[tuple[int, int]] = set()
         if len(left) and len(right):
             sizes = np.array([len(x) for x in right.members])
             posting = np.concatenate(list(right.members.map(np.asarray)))
@@ -134,8 +136,7 @@ def _open_pairs(percent: int):
             order = np.argsort(posting, kind="stable")
             posting, owner = posting[order], owner[order]
             comps = right.comp.to_numpy()
-            ids = right.doc_id.to_numpy()
-            for doc, comp, members in zip(left.doc_id, left.comp, left.members, strict=True):
+            for comp, members in zip(left.comp, left.members, strict=True):
                 members = np.asarray(members)
                 lo, hi = np.searchsorted(posting, members, "left"), np.searchsorted(posting, members, "right")
                 total = int((hi - lo).sum())
@@ -144,10 +145,8 @@ def _open_pairs(percent: int):
                 spots = np.repeat(lo - np.concatenate([[0], np.cumsum(hi - lo)[:-1]]), hi - lo) + np.arange(total)
                 shared = np.bincount(owner[spots], minlength=len(right))
                 linked = (100 * shared >= percent * (len(members) + sizes - shared)) & (comps != comp)
-                # one link is enough to join each of the other components
-                for other in dict(zip(comps[linked], ids[linked], strict=True)).values():
-                    found.append((doc, other))
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+                found.update((int(comp), int(other)) for other in np.unique(comps[linked]))
+        return pd.DataFrame(sorted(found), columns=["a", "b"], dtype="int64")
 
     return run
 
@@ -156,9 +155,11 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str
     """doc_id, n_shingles, component_id, kept of every document.
 
     Documents are linked when 100 * intersection >= percent * union of their sets of k-word shingles
-    (fewer words: one shingle of all of them). Null and empty texts have an empty set and no links. Ids
-    are unique; repeated rows of one id count as copies of it. A row whose id is null is in no group: its
-    component_id is null, it is kept, and it has no say in the groups of the others. Other columns are not read.
+    (fewer words: one shingle of all of them). Null and empty texts have an empty set and no links. Rows
+    of one id are one document: repeated rows are copies of each other, and where their texts differ, what is
+    linked with one of them is linked with all. A row whose id is null is in no group: its component_id is
+    null, it is kept, and it has no say in the groups of the others. A text of any length is one row of a
+    task's memory. An empty table gives no rows. Other columns are not read, so that they may have any name.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "near")
@@ -172,36 +173,64 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str
     centers = banded.groupBy("band").agg(F.min("rep").alias("center"), F.max("rep").alias("last")).where("center < last").select("band", "center")
     stars = scratch.table(banded.join(centers, "band").where("rep <> center").select("center", "rep").distinct(), "stars")
 
-    wanted = stars.select(F.col("rep").alias("doc_id")).union(stars.select(F.col("center").alias("doc_id"))).distinct()
-    chosen = by_ids(scratch, texts, wanted, "left_semi", "wanted")
-    sets = scratch.table(chosen.mapInArrow(textkit.lean(_set_batches(k)), "doc_id long, members array<long>").dropDuplicates(["doc_id"]), "sets")
+    wanted = scratch.table(stars.select(F.col("rep").alias("doc_id")).union(stars.select(F.col("center").alias("doc_id"))).distinct(), "wanted")
+    chosen = by_ids(scratch, texts, wanted, "left_semi", "chosen")
+    # one set for each id, or for each text where an id has several
+    sets = chosen.mapInArrow(textkit.lean(_set_batches(k)), "doc_id long, members array<long>").withColumn("of", F.xxhash64("members"))
+    sets = scratch.table(sets.dropDuplicates(["doc_id", "of"]).drop("of"), "sets")
 
     of_rep = sets.select(F.col("doc_id").alias("rep"), F.col("members").alias("x"))
     of_center = sets.select(F.col("doc_id").alias("center"), F.col("members").alias("y"))
     shared = F.size(F.array_intersect("x", "y"))
     pairs = stars.join(of_rep, "rep").join(of_center, "center")
-    links = scratch.table(pairs.where(100 * shared >= percent * (F.size("x") + F.size("y") - shared)).select(F.col("center").alias("a"), F.col("rep").alias("b")), "links")
-
-    comps = components(scratch, links, "first")
-    clusters = scratch.table(components(scratch, stars.select(F.col("center").alias("a"), F.col("rep").alias("b")), "cluster"), "clusters")
-    loose = _loose(scratch, clusters, comps, sets, "loose")
-    if loose.where(F.col("size") > BLOCK).limit(1).count():
-        links = scratch.table(links.unionByName(_second_look(scratch, loose.where(F.col("size") > BLOCK), percent, first=True)), "first_links")
-        comps = components(scratch, links, "joined")
-        loose = _loose(scratch, clusters, comps, sets, "left")
-    if loose.limit(1).count():
-        links = scratch.table(links.unionByName(_second_look(scratch, loose, percent)), "all_links")
-        comps = components(scratch, links, "last")
+    links = scratch.table(pairs.where(100 * shared >= percent * (F.size("x") + F.size("y") - shared)).select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct(), "links")
+
+    comps = scratch.table(components(scratch, links.unionByName(_bridges(scratch, full, reps)), "first"), "comps")
+    # what follows sees each component as one node
+    whole = lambda edges: edges.join(comps.toDF("a", "x"), "a", "left").join(comps.toDF("b", "y"), "b", "left").select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b"))
+    crossing = scratch.table(whole(stars.toDF("a", "b")).where("a <> b").distinct(), "crossing")
+    joined = None
+    if crossing.limit(1).count():
+        members = wanted.join(comps, wanted["doc_id"] == comps["node"], "left").select("doc_id", F.coalesce("component", "doc_id").alias("comp"))
+        clusters = components(scratch, crossing, "cluster").select(F.col("node").alias("comp"), F.col("component").alias("cluster"))
+        members = scratch.table(members.join(clusters, "comp"), "members")
+        joined = _join_components(scratch, members, sets, percent)
     named = reps.join(comps, reps["rep"] == comps["node"], "left").select("mark_a", "mark_b", "n_shingles", F.coalesce("component", "rep").alias("component"))
+    if joined is not None:
+        named = named.join(joined.toDF("component", "last"), "component", "left").select("mark_a", "mark_b", "n_shingles", F.coalesce("last", "component").alias("component"))
     out = sketch.join(named, ["mark_a", "mark_b", "n_shingles"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _loose(scratch: Scratch, clusters: DataFrame, comps: DataFrame, sets: DataFrame, label: str) -> DataFrame:
+def _bridges(scratch: Scratch, full: DataFrame, reps: DataFrame) -> DataFrame:
+    """Links (a, b) between the representatives of different texts of one id."""
+    marks = ["mark_a", "mark_b", "n_shingles"]
+    several = full.groupBy("doc_id").agg(F.min(F.struct(*marks)).alias("x"), F.max(F.struct(*marks)).alias("y")).where("x <> y").select("doc_id")
+    several = scratch.table(several, "several")
+    if not several.limit(1).count():
+        return reps.select(F.col("rep").alias("a"), F.col("rep").alias("b")).limit(0)
+    texts = full.join(several, "doc_id", "left_semi").select("doc_id", *marks).distinct().join(reps.select(*marks, "rep"), marks)
+    least = texts.groupBy("doc_id").agg(F.min("rep").alias("a"))
+    return scratch.table(texts.join(least, "doc_id").select("a", F.col("rep").alias("b")).distinct(), "bridges")
+
+
+def _join_components(scratch: Scratch, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+    """node, component: components of the same cluster that a link joins after all. members: doc_id, comp, cluster."""
+    loose, joined = _loose(scratch, members, sets, "loose"), None
+    if loose.where(F.col("size") > FIRST_AT).limit(1).count():
+        found = scratch.table(_second_look(scratch, loose.where(F.col("size") > FIRST_AT), percent, first=True), "first_links")
+        joined = scratch.table(components(scratch, found, "joined"), "joined_comps")
+        fewer = members.join(joined, members["comp"] == joined["node"], "left").select("doc_id", F.coalesce("component", "comp").alias("comp"), "cluster")
+        loose = _loose(scratch, fewer, sets, "left")
+    if loose.limit(1).count():
+        more = scratch.table(_second_look(scratch, loose, percent), "more_links")
+        return components(scratch, more if joined is None else more.unionByName(found), "last")
+    return joined
+
+
+def _loose(scratch: Scratch, members: DataFrame, sets: DataFrame, label: str) -> DataFrame:
     """The documents, with their sets, of clusters that are in more than one component; top is a cluster's largest one."""
-    members = clusters.withColumnRenamed("component", "cluster").join(comps, "node", "left").select(F.col("node").alias("doc_id"), "cluster", F.coalesce("component", "node").alias("comp"))
-    members = scratch.table(members, f"{label}_members")
     by_comp = members.groupBy("cluster", "comp").agg(F.count("*").alias("n"))
     mixed = by_comp.groupBy("cluster").agg(F.count("*").alias("comps"), F.sum("n").alias("size"), F.max(F.struct("n", "comp")).alias("top")).where("comps > 1")
     mixed = mixed.select("cluster", "size", F.col("top.comp").alias("top"))
@@ -209,7 +238,7 @@ def _loose(scratch: Scratch, clusters: DataFrame, comps: DataFrame, sets: DataFr
 
 
 def _second_look(scratch: Scratch, loose: DataFrame, percent: int, first: bool = False) -> DataFrame:
-    """Links of open documents with members of other components; first: with one block of each size only."""
+    """Components (a, b) that links of open documents join; first: by a look at one block of each size only."""
     label = "first" if first else "every"
     able = loose.where("comp <> top")
     if not first:
