@@ -141,10 +141,11 @@ def test_texts_of_one_id_are_one_document(spark):
     assert got == [(3, 3, True), (8, 3, False), (8, 3, False), (8, 3, False), (9, 3, False), (11, 3, False), (12, 12, True)]
 
 
-@pytest.mark.parametrize("seed", [3, 4])
-def test_repeats_equal_brute_force(docs_of, seed):
+@pytest.mark.parametrize("seed,bits", [(3, 64), (4, 64), (3, 3), (4, 9)])
+def test_repeats_equal_brute_force(docs_of, seed, bits):
+    """Also where most hashes of windows collide, and only the words tell them apart."""
     t = texts(seed)
-    spans = suffixdedup.repeated_spans(docs_of(t)).collect()
+    spans = suffixdedup.repeated_spans(docs_of(t), rank_bits=bits).collect()
     got = {}
     for r in spans:
         a, b = got.get(r.doc_id, (0, 0))
@@ -160,6 +161,24 @@ def test_cutting_repeats(docs_of):
     assert suffixdedup.drop_repeats(docs).columns == docs.columns
 
 
+def test_repeats_with_repeated_ids(spark):
+    """Texts of one id are looked at one by one; rows equal in id and text count once and are cut alike."""
+    p, q = " ".join(f"w{i}" for i in range(55)), " ".join(f"v{i}" for i in range(60))
+    rows = [(1, f"a {p}", 5), (2, f"b {p} c", 5), (2, f"d {q}", 5), (2, f"d {q}", 5), (3, f"{q} e", 5), (None, p, 5), (4, None, 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, spans int")
+    left = sorted((r.doc_id or 0, r.text or "", r.spans) for r in suffixdedup.drop_repeats(docs).collect())
+    assert left == sorted([(0, p, 5), (1, f"a {p}", 5), (2, "b  c", 5), (2, f"d {q}", 5), (2, f"d {q}", 5), (3, " e", 5), (4, "", 5)])
+
+
+def test_one_run_over_many_partitions(spark):
+    """A passage of nearly all rows: its first occurrence is found across partitions that hold nothing else."""
+    rows = [(7, i, 0, i % 3) for i in range(500)] + [(9, 1, 0, 5), (11, 2, 0, 9), (11, 3, 0, 1)]
+    found = suffixdedup.runs(Scratch(spark, "t"), spark.createDataFrame(rows, "k0 long, doc_id long, sub long, pos int"), 1, "r").collect()
+    assert len(found) == 502
+    assert all((r.of_id, r.of_pos, r.first) == ((0, 0, r.doc_id == 0) if r.pos < 3 and (r.doc_id, r.pos) != (3, 1) else (2, 9, r.doc_id == 2)) for r in found if not (r.doc_id in (2, 3) and r.pos in (9, 1)))
+    assert {(r.doc_id, r.pos, r.of_id, r.of_pos) for r in found if r.of_id == 2} == {(2, 9, 2, 9), (3, 1, 2, 9)}
+
+
 def test_fifty_words_are_the_least(docs_of):
     w = [f"w{i}" for i in range(50)]
     assert suffixdedup.repeated_spans(docs_of([" ".join(["x", *w]), " ".join(["y", *w])])).count() > 0
