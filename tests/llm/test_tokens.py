@@ -12,7 +12,8 @@ from tokenizers import Tokenizer
 from thermolake.llm import bitpack, wordbpe
 
 PATH = wordbpe.vocabulary_path()
-BPE = wordbpe.WordBpe(PATH)
+CODEC = wordbpe.Codec(PATH).remember(1000)
+BPE = CODEC.bpe
 LIBRARY = Tokenizer.from_file(PATH)
 POOL = ["the", "ing", "'s", "'LL", "<|endoftext|>", "<|ENDOFTEXT|>", "É", "é", "ß", "Σ", "İ", "中文", "😀", "12", "½", " ", "　", "ﬁ", "!?", "​", "\x00", "\x1c", "ñ", "한국", "ि", "<|", " ", "\n", "haha", "$$$", "..."]
 
@@ -25,8 +26,9 @@ def wanted(text):
 @given(st.lists(st.one_of(st.sampled_from(POOL), st.text("abcdeghilnorstu ", max_size=12)), max_size=12).map("".join))
 def test_encoding_equals_the_library(text):
     assert BPE.encode(text) == wanted(text)
-    entries = wordbpe._entries(BPE, {}, {}, text)
-    assert [int(i) for e in entries for i in e[1].split()] == wanted(text)
+    data = np.frombuffer(text.encode(), np.uint8)
+    ids, cuts = CODEC.ids(np.concatenate([data, data]), np.array([0, len(data), len(data), 2 * len(data)]))
+    assert ids.tolist() == wanted(text) * 2 and cuts.tolist() == [0, len(ids) // 2, len(ids) // 2, len(ids)]
 
 
 def test_long_words_take_constant_memory():
@@ -36,7 +38,7 @@ def test_long_words_take_constant_memory():
     most, stream = 0, BPE.stream_word(iter(BPE.word_symbols("ha" * 5000)))
     for _ in stream:
         most = max(most, len(stream.gi_frame.f_locals["last"]) if stream.gi_frame else 0)
-    assert most <= 2 * BPE.window + 1
+    assert most <= 2 * (BPE.lookahead + BPE.window) + 1
 
 
 def test_tokens_do_not_change_beyond_the_lookahead():
@@ -57,16 +59,20 @@ def test_tokens_do_not_change_beyond_the_lookahead():
 
 def test_decoding():
     for text in ["the cat's 12 hats !", "naïve café", "日本 😀"]:
-        machine = BPE.decoder()
         ids = wanted(text)
-        assert BPE.encode("".join([*(machine.push(i) for i in ids), machine.finish()])) == ids
-        assert BPE.decode_tokens(ids) == LIBRARY.decode(ids, skip_special_tokens=False)
+        for pieces in (CODEC.plain, CODEC.tokens):  # in steps of any size
+            whole, machine = wordbpe.TextMachine(pieces), wordbpe.TextMachine(pieces)
+            assert whole.push(ids) + whole.finish() == "".join([*(machine.push([i]) for i in ids), machine.finish()])
+        machine = wordbpe.TextMachine(CODEC.plain)
+        assert BPE.encode(machine.push(ids) + machine.finish()) == ids
+        machine = wordbpe.TextMachine(CODEC.tokens)
+        assert machine.push(ids) + machine.finish() == LIBRARY.decode(ids, skip_special_tokens=False)
 
 
 def test_decoder_holds_back_unfinished_characters():
     ids = wanted("😀")
-    machine = BPE.decoder()
-    out = [machine.push(i) for i in ids]
+    machine = wordbpe.TextMachine(CODEC.plain)
+    out = [machine.push([i]) for i in ids]
     assert "".join(out) + machine.finish() == "😀" and "�" not in "".join(out)
 
 

@@ -217,28 +217,12 @@ class WordIds:
         together from them by one gather.
         """
         data = flat.tobytes()
-        marked = any(m[:2] in data for m in self.marks)
-        if marked:  # an added token may stand inside a word, in its own case
-            rows = [data[a:b].split() for a, b in zip(offsets, offsets[1:], strict=False)]
-            words = list(set().union(*rows))
-            code = {w: i for i, w in enumerate(words)}
-            which = np.array([code[w] for r in rows for w in r], np.int64)
-            firsts = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
-        else:
-            found = textkit.split_words(flat, offsets)
-            _, example, which = np.unique(found.hashes, return_index=True, return_inverse=True)
-            low = textkit.LOWER[flat].tobytes()
-            words = [low[a:b] for a, b in zip(found.starts[example].tolist(), found.ends[example].tolist(), strict=True)]
-            firsts = found.rows
+        marked = any(m[:2] in data for m in self.marks)  # an added token may stand inside a word, in its own case
+        words, which, firsts = textkit.distinct_words(flat, offsets, marked)
         entries = [*self.words(words, marked), np.array([end_id], self.kind).tobytes()]
-        sizes = np.array([len(e) for e in entries], np.int64) // self.kind.itemsize
-        pool, at = np.frombuffer(b"".join(entries), self.kind), np.cumsum(sizes) - sizes
-        which = np.insert(which.reshape(-1), firsts[1:], len(words))
-        n = sizes[which]
-        before = np.cumsum(n) - n
-        ids = pool[np.repeat(at[which] - before, n) + np.arange(int(n.sum()))]
-        ends = np.append(before, len(ids))[firsts[1:] + np.arange(1, len(firsts))]
-        cuts = np.concatenate([[0], ends]).astype(np.int32) * self.kind.itemsize
+        ends = firsts[1:] + np.arange(1, len(firsts))  # with an end after each row
+        ids, cuts = textkit.joined_ids(entries, np.insert(which, firsts[1:], len(words)), np.append(0, ends), self.kind)
+        cuts = np.append(0, cuts) * self.kind.itemsize
         return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(ids.tobytes())])
 
 

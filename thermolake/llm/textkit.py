@@ -145,6 +145,33 @@ def split_words(flat: np.ndarray, offsets: np.ndarray, space: np.ndarray = ASCII
     return Words(starts, ends, rows, hash_spans(flat, starts, ends))
 
 
+def distinct_words(flat: np.ndarray, offsets: np.ndarray, exact: bool) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct words of all rows, each place's word among them, and the first place of each row.
+
+    Words are told apart by 64-bit hashes and given with A-Z lowered, or by their bytes as they are (exact).
+    """
+    data = flat.tobytes()
+    if exact:
+        rows = [data[a:b].split() for a, b in zip(offsets, offsets[1:], strict=False)]
+        words = list(set().union(*rows))
+        code = {w: i for i, w in enumerate(words)}
+        return words, np.array([code[w] for r in rows for w in r], np.int64), np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
+    found = split_words(flat, offsets)
+    _, example, which = np.unique(found.hashes, return_index=True, return_inverse=True)
+    low = LOWER[flat].tobytes()
+    return [low[a:b] for a, b in zip(found.starts[example].tolist(), found.ends[example].tolist(), strict=True)], which.reshape(-1), found.rows
+
+
+def joined_ids(entries: list[bytes], which: np.ndarray, firsts: np.ndarray, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all rows, put together from those of their words by one gather, and where each row's end."""
+    sizes = np.array([len(e) for e in entries], np.int64) // kind.itemsize
+    pool, at = np.frombuffer(b"".join(entries), kind), np.cumsum(sizes) - sizes
+    n = sizes[which]
+    before = np.cumsum(n) - n
+    ids = pool[np.repeat(at[which] - before, n) + np.arange(int(n.sum()))]
+    return ids, np.append(before, len(ids))[firsts[1:]]
+
+
 def shingle_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
     """The hash of k consecutive words from each word on; the last k-1 entries are not there."""
     n = len(hashes) - k + 1

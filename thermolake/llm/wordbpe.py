@@ -2,10 +2,14 @@
 
 The vocabulary is a tokenizers-library BPE file with an end-of-word suffix. A word's byte symbols go in one
 by one. For each position the transducer keeps the one token that ends there in the encoding of what was
-read so far: a token fits after another if the two, put together, are encoded as just these two. Only the
-last `window` positions (the longest token's symbols) can be where a later token begins, so once the paths
-back from all of these meet, everything before the meeting point is stable and is emitted. How far the
-reader must look beyond a token is a property of the merge list: `lookahead` bounds it.
+read so far: a token fits after another if the two, put together, are encoded as just these two. How far the
+reader must look beyond a token before it is stable is a property of the merge list, its sufficient lookahead:
+tokens that end `lookahead` symbols back are emitted, and no more than twice the lookahead and the longest
+token are ever held.
+
+Decoding is a machine that takes ids step by step and holds back what a later id may still change: the bytes of
+an unfinished character, and the blank after a word. Texts are encoded word by distinct word of a few
+megabytes, and decoded from their ids.
 """
 
 from __future__ import annotations
@@ -29,13 +33,14 @@ DEFAULT_VOCABULARY = "word_bpe_49k.json"
 #: Words, and pairs of tokens, that a worker remembers; beyond it the memory starts anew. The smaller number is
 #: for workers that share an executor with what earlier stages left in its heap.
 REMEMBERED = 400_000
-REMEMBERED_AMID_STAGES = 100_000
+REMEMBERED_AMID_STAGES = 200_000
 #: Longer words are not remembered.
 LONGEST_REMEMBERED = 64
-
-
-#: Token count, ids as text, decoded tokens, ids as 32-bit integers.
-Entry = tuple[int, bytes, bytes, bytes]
+#: Bytes of text encoded at once: the more, the fewer words are looked up twice.
+ENCODE_BYTES = 4 << 20
+#: Ids that go to a decoder at once.
+DECODE_IDS = 1 << 16
+_INT = np.dtype("<i4")
 
 
 def vocabulary_path(name: str = DEFAULT_VOCABULARY) -> str:
@@ -206,11 +211,10 @@ class WordBpe:
                     found = token
                     break
             last.append(found)
-            if tail >= 2 * self.window:
+            if tail >= 2 * (self.lookahead + self.window):
                 stable = self._emit(last)
-                if stable:
-                    yield from stable
-                    before, tail = stable[-1], len(last) - 1
+                yield from stable
+                before, tail = stable[-1], len(last) - 1
         yield from self._path(last, tail)
 
     def _path(self, last: list[int], end: int) -> list[int]:
@@ -221,17 +225,12 @@ class WordBpe:
         return out[::-1]
 
     def _emit(self, last: list[int]) -> list[int]:
-        """Cuts off and returns what all paths back from the last `window` positions share."""
-        end = len(last) - 1
-        live = {i for i in range(end - self.window + 1, end + 1) if last[i] >= 0}
-        while len(live) > 1:
-            top = max(live)
-            live.discard(top)
-            live.add(top - self.length[last[top]])
-        cut = live.pop() if live else 0
-        out = self._path(last, cut)
-        if out:
-            last[: cut + 1] = [-1]
+        """Cuts off and returns the tokens that end `lookahead` symbols back or more: whatever follows, they stay."""
+        end = next(i for i in range(len(last) - 1, 0, -1) if last[i] >= 0)
+        while end > len(last) - 1 - self.lookahead:
+            end -= self.length[last[end]]
+        out = self._path(last, end)
+        last[: end + 1] = [-1]
         return out
 
     def word_symbols(self, word: str) -> list[int]:
@@ -258,32 +257,42 @@ class WordBpe:
             out.extend([w] if isinstance(w, int) else self.encode_word(w))
         return out
 
-    # -- decoding ------------------------------------------------------------------------------------
-    def decoder(self) -> ByteText:
-        return ByteText(self)
+    def encode_run(self, run: bytes) -> bytes:
+        """The ids of what stands between two ASCII blanks, as 32-bit integers; no token crosses a blank."""
+        out = array("i")
+        for w in self.text_words(run.decode()):
+            out.extend([w] if isinstance(w, int) else self.encode_word(w))
+        return out.tobytes()
 
-    def decode_tokens(self, ids: Iterable[int]) -> str:
-        """As the library's decode() does for a file without a decoder: token strings joined by blanks."""
-        return " ".join(self.token_text[i] for i in ids if i in self.token_text)
+    # -- decoding ------------------------------------------------------------------------------------
+    def pieces(self, tokens: bool) -> list[bytes]:
+        """What each id adds to a text: its bytes, and a blank after a word; or (tokens) its string and a blank, as the library decodes a file without a decoder."""
+        out = [b""] * (max(self.token_text) + 1)
+        for i, text in self.token_text.items():
+            if tokens:
+                out[i] = text.encode() + b" "
+            elif i in self.added.values():
+                out[i] = text.encode()
+            else:
+                word = self.suffix and text.endswith(self.suffix)
+                out[i] = bytes(self.byte_of[c] for c in (text[: -len(self.suffix)] if word else text)) + (b" " if word else b"")
+        return out
 
 
-class ByteText:
-    """Token ids to text, step by step: holds back the bytes of an unfinished character, and a word's end as a blank."""
+class TextMachine:
+    """Token ids to text, step by step: holds back the bytes of an unfinished character, and the blank after the last piece."""
 
-    def __init__(self, bpe: WordBpe) -> None:
-        self.bpe = bpe
-        self.utf8 = codecs.getincrementaldecoder("utf-8")("replace")
-        self.blank = False
+    def __init__(self, pieces: list[bytes]) -> None:
+        self.pieces, self.utf8, self.blank = pieces, codecs.getincrementaldecoder("utf-8")("replace"), False
 
-    def push(self, token: int) -> str:
-        text = self.bpe.token_text[token]
-        out = self.utf8.decode(b" ") if self.blank else ""
-        self.blank = False
-        if token in self.bpe.added.values():
-            return out + self.utf8.decode(b"", True) + text
-        if self.bpe.suffix and text.endswith(self.bpe.suffix):
-            text, self.blank = text[: -len(self.bpe.suffix)], True
-        return out + self.utf8.decode(bytes(self.bpe.byte_of[c] for c in text))
+    def push(self, ids: Iterable[int]) -> str:
+        data = b"".join(map(self.pieces.__getitem__, ids))
+        if not data:
+            return ""
+        if self.blank:
+            data = b" " + data
+        self.blank = data.endswith(b" ")
+        return self.utf8.decode(data[:-1] if self.blank else data)
 
     def finish(self) -> str:
         return self.utf8.decode(b"", True)
@@ -296,62 +305,68 @@ def normalise(text: str) -> str:
     return text.lower()
 
 
-_loaded: dict[str, tuple[WordBpe, dict, dict]] = {}
+class Codec:
+    """A worker's vocabulary, the words that it remembers, and what ids look like as numbers and as text."""
 
-
-def _load(path: str, most: int = REMEMBERED) -> tuple[WordBpe, dict, dict]:
+    def __init__(self, path: str) -> None:
+        self.bpe = WordBpe(path)
+        self.memory: dict[bytes, bytes] = {}
+        self.decimal = [str(i).encode() for i in range(max(self.bpe.token_text) + 1)]
+        self.tokens, self.plain = self.bpe.pieces(True), self.bpe.pieces(False)
+
+    def remember(self, most: int) -> Codec:
+        self.most = self.bpe.most_pairs = most
+        return self
+
+    def ids(self, flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts and where each one's begin, and the last one's end."""
+        # an added token may stand inside a word, in its own case
+        words, which, firsts = textkit.distinct_words(flat, offsets, b"<|" in flat.tobytes())
+        memory, encode = self.memory, self.bpe.encode_run
+        if len(memory) + len(words) > self.most:
+            memory.clear()
+        entries = []
+        for w in words:
+            entry = memory.get(w)
+            if entry is None:
+                entry = encode(w)
+                if len(w) <= LONGEST_REMEMBERED:
+                    memory[w] = entry
+            entries.append(entry)
+        ids, ends = textkit.joined_ids(entries, which, firsts, _INT)
+        return ids, np.append(0, ends)
+
+    def decoded_digest(self, ids: list[int]) -> str:
+        machine, digest = TextMachine(self.tokens), hashlib.sha256()
+        for i in range(0, len(ids), DECODE_IDS):
+            digest.update(machine.push(ids[i : i + DECODE_IDS]).encode())
+        digest.update(machine.finish().encode())
+        return digest.hexdigest()
+
+    def ids_digest(self, ids: list[int]) -> str:
+        return hashlib.sha256(b" ".join(map(self.decimal.__getitem__, ids))).hexdigest()
+
+
+_loaded: dict[str, Codec] = {}
+
+
+def _load(path: str, most: int = REMEMBERED) -> Codec:
     if path not in _loaded:
-        _loaded[path] = (WordBpe(path), {}, {})
-    _loaded[path][0].most_pairs = most
-    return _loaded[path]
-
-
-def _entry(bpe: WordBpe, memory: dict, word: str | int, most: int) -> Entry:
-    """What is known of a word, or of an added token's id."""
-    entry = memory.get(word)
-    if entry is None:
-        ids = [word] if isinstance(word, int) else bpe.encode_word(word)
-        entry = (len(ids), " ".join(map(str, ids)).encode(), bpe.decode_tokens(ids).encode(), array("i", ids).tobytes())
-        if isinstance(word, int) or len(word) <= LONGEST_REMEMBERED:
-            if len(memory) >= most:
-                memory.clear()
-            memory[word] = entry
-    return entry
-
-
-_OTHER_CONTROLS = regex.compile("[\x1c-\x1f]")
-
-
-def _entries(bpe: WordBpe, memory: dict, runs: dict, text: str | None, most: int = REMEMBERED) -> list[Entry]:
-    """The entries of a text's words, by way of its runs between white space, most of which come again."""
-    text = text or ""
-    if "<|" in text or _OTHER_CONTROLS.search(text):
-        return [_entry(bpe, memory, w, most) for w in bpe.text_words(text)]
-    out = []
-    for run in normalise(text).split():
-        entry = runs.get(run)
-        if entry is None:
-            parts = [_entry(bpe, memory, w, most) for w in bpe.words.findall(run)]
-            entry = parts[0] if len(parts) == 1 else (sum(p[0] for p in parts), b" ".join(p[1] for p in parts if p[0]), b" ".join(p[2] for p in parts if p[0]), b"".join(p[3] for p in parts))
-            if len(run) <= LONGEST_REMEMBERED:
-                if len(runs) >= most:
-                    runs.clear()
-                runs[run] = entry
-        out.append(entry)
-    return out
+        _loaded[path] = Codec(path)
+    return _loaded[path].remember(most)
 
 
 def _digest_batches(path: str, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, memory, runs = _load(path, most)
-        for batch in batches:
-            counts, ids_hash, text_hash = [], [], []
-            for text in batch.column(1):
-                found = [e for e in _entries(bpe, memory, runs, text.as_py(), most) if e[0]]
-                counts.append(sum(e[0] for e in found))
-                ids_hash.append(hashlib.sha256(b" ".join([e[1] for e in found])).hexdigest())
-                text_hash.append(hashlib.sha256(b" ".join([e[2] for e in found])).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_hash), pa.array(text_hash)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        codec = _load(path, most)
+        for piece, flat, offsets in textkit.chunked(batches, "text", ENCODE_BYTES):
+            ids, cuts = codec.ids(flat, offsets)
+            ids_hash, text_hash = [], []
+            for a, b in zip(cuts.tolist(), cuts[1:].tolist(), strict=False):
+                own = ids[a:b].tolist()
+                ids_hash.append(codec.ids_digest(own))
+                text_hash.append(codec.decoded_digest(own))
+            yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(np.diff(cuts)), pa.array(ids_hash), pa.array(text_hash)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return run
 
@@ -360,51 +375,49 @@ def _encode_batches(path: str, most: int):
     """All columns but the last, the text, and then: count of tokens, ids, digest of the decoded tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, memory, runs = _load(path, most)
-        for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                piece = batch.slice(start, 256)
-                ids, decoded = [], []
-                for text in piece.column(piece.num_columns - 1):
-                    found = [e for e in _entries(bpe, memory, runs, text.as_py(), most) if e[0]]
-                    ids.append(b"".join([e[3] for e in found]))
-                    decoded.append(hashlib.sha256(b" ".join([e[2] for e in found])).hexdigest())
-                counts = np.array([len(x) // 4 for x in ids], np.int64)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(np.frombuffer(b"".join(ids), np.int32)))
-                yield pa.RecordBatch.from_arrays([*piece.columns[:-1], pa.array(counts), lists, pa.array(decoded)], names=[*piece.schema.names[:-1], "n_tokens", "ids", "decoded_sha256"])
+        codec = _load(path, most)
+        for piece, flat, offsets in textkit.chunked(batches, "text", ENCODE_BYTES):
+            ids, cuts = codec.ids(flat, offsets)
+            lists = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(ids))
+            decoded = [codec.decoded_digest(ids[a:b].tolist()) for a, b in zip(cuts.tolist(), cuts[1:].tolist(), strict=False)]
+            yield pa.RecordBatch.from_arrays([*piece.columns[:-1], pa.array(np.diff(cuts)), lists, pa.array(decoded)], names=[*piece.schema.names[:-1], "n_tokens", "ids", "decoded_sha256"])
 
     return run
 
 
 def _decode_batches(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = _load(path)[0]
+        codec = _load(path)
         for batch in batches:
             texts = []
             for ids in batch.column(batch.num_columns - 1):
-                machine = bpe.decoder()
-                out = [machine.push(i) for i in ids.as_py() or []]
-                texts.append("".join(out) + machine.finish())
+                machine = TextMachine(codec.plain)
+                texts.append(machine.push(ids.as_py() or []) + machine.finish())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=[*batch.schema.names[:-1], "decoded"])
 
     return run
 
 
 def encode_documents(docs: DataFrame, keep: list[str], path: str | None = None, text_col: str = "text") -> DataFrame:
-    """The columns `keep` (not the text), n_tokens, ids and decoded_sha256 of every document. Null and empty texts have no ids."""
-    rows = docs.select(*keep, text_col)
+    """The columns `keep` (not the text), n_tokens, ids and decoded_sha256 of every document.
+
+    Null and empty texts have no ids. Every row is encoded for itself, so that repeated rows and repeated or
+    null ids each give a row; a text of any length is encoded whole. Columns that are not kept may have any
+    name. An empty table gives no rows.
+    """
+    rows = docs.select(*keep, F.col(text_col).alias("text"))
     fields = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
     return rows.mapInArrow(textkit.lean(_encode_batches(path or vocabulary_path(), REMEMBERED_AMID_STAGES)), f"{fields}, n_tokens long, ids array<int>, decoded_sha256 string")
 
 
 def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, decoded: lower-case text, words parted by blanks. Null and empty lists give an empty text."""
+    """doc_id, decoded: lower-case text, words parted by blanks. Null and empty lists give an empty text; every row is decoded for itself."""
     rows = encoded.select("doc_id", "ids")
     return rows.mapInArrow(textkit.lean(_decode_batches(path or vocabulary_path())), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, decoded string")
 
 
 def encode_and_check(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, n_tokens and the digests of ids and decoded tokens of every document."""
+    """doc_id, n_tokens and the digests of the ids and of what these decode to, of every document; rows as in encode_documents."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(textkit.lean(_digest_batches(path or vocabulary_path(), REMEMBERED)), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
