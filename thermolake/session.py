@@ -35,9 +35,11 @@ _own_dirs: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, with its scheme: spark.checkpoint.dir, or a temporary one where it is unset."""
+    """The folder that driver and executors share, with its scheme: spark.checkpoint.dir, or on one machine a temporary one where it is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         found = _own_dirs.setdefault(app, "") or tempfile.mkdtemp(prefix="thermolake-")
         _own_dirs[app] = found
@@ -56,8 +58,8 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def table(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.option("compression", "zstd").parquet(self.path(name))
+    def table(self, df: DataFrame, name: str, level: int = 3) -> DataFrame:
+        df.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", level).parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, name: str) -> None:
