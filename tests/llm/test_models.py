@@ -1,3 +1,4 @@
+import hashlib
 import itertools
 
 import numpy as np
@@ -106,20 +107,56 @@ def test_containers():
     for codec in (telephony.MULAW, telephony.ALAW, telephony.ADPCM):
         payload = bytes(range(192)) * 2
         found, rate, data = telephony.unwav(telephony.wav(payload, codec))
-        assert (found, rate, bytes(data)) == (codec, 8000, payload)
+        assert (found, rate, bytes(data)) == (codec, telephony.RATE, payload)
     with pytest.raises(ValueError):
         telephony.unwav(b"nothing")
 
 
+def test_resampling():
+    pcm, firsts = np.array([0, 10, 20, -7, 5], np.int16), np.array([0, 3, 5])
+    up, starts = telephony.resample(pcm, firsts, 8000, 16000)
+    assert up.tolist() == [0, 5, 10, 15, 20, 20, -7, -1, 5, 5] and starts.tolist() == [0, 6, 10]
+    down, starts = telephony.resample(pcm, firsts, 16000, 8000)
+    assert down.tolist() == [5, 20, -1] and starts.tolist() == [0, 2, 3]
+    other, starts = telephony.resample(pcm, firsts, 8000, 12000)
+    assert other.tolist() == [0, 6, 13, 20, 20, -7, 1, 5] and starts.tolist() == [0, 5, 8]
+
+
+def plain_feature(payload, codec):
+    """What a recording's samples sound like, one sample after another."""
+    pcm = []
+    if codec == telephony.ADPCM:
+        for i in range(0, len(payload), 192):
+            block = payload[i : i + 192]
+            value, index = int.from_bytes(block[:2], "little", signed=True), min(block[2], 88)
+            pcm.append(value)
+            for byte in block[4:]:
+                for nibble in (byte & 15, byte >> 4):
+                    change = ((2 * (nibble & 7) + 1) * int(telephony.STEPS[index])) >> 3
+                    value = max(-32768, min(32767, value - change if nibble & 8 else value + change))
+                    index = max(0, min(88, index + int(telephony.INDEX_MOVES[nibble])))
+                    pcm.append(value)
+    else:
+        pcm = [int(telephony.TABLES[codec][b]) for b in payload]
+    pcm = [(a + b) // 2 for a, b in zip(pcm[::2], pcm[1::2] + pcm[-1:] * (len(pcm) % 2), strict=True)]
+    turns = sum((a < 0) != (b < 0) for a, b in zip(pcm, pcm[1:], strict=False))
+    return f"{telephony.NAMES[codec]}@8000:rms={(sum(x * x for x in pcm) / len(pcm)) ** 0.5:.2f},peak={max(map(abs, pcm))},turns={turns}"
+
+
 def test_recordings(docs_of):
-    texts = ["hello", None, "", "x" * 192, "y" * 193, "hello"]
+    texts = ["hello", None, "", "x" * 192, "y" * 193, "hello", "é" * 700, *[f"text {i} " * i for i in range(20)]]
     media = telephony.media_column(docs_of(texts))
     rows = {r.doc_id: r for r in media.collect()}
+    found = {r.doc_id: r for r in telephony.features(telephony.resampled(media)).collect()}
+    codecs = set()
     for i, t in enumerate(texts):
         data = (t or "").encode()
-        assert rows[i].n_bytes == len(data) and bytes(telephony.unwav(bytes(rows[i].media))[2]) == data.ljust(max(192, -(-len(data) // 192) * 192))
-    pcm = {r.doc_id: r.pcm16k for r in telephony.resampled(media).collect()}
+        codec, rate, payload = telephony.unwav(bytes(rows[i].media))
+        codecs.add(codec)
+        assert rows[i].n_bytes == len(data) and bytes(payload) == data.ljust(max(192, -(-len(data) // 192) * 192)) and rate == 16000
+        assert found[i].feature == plain_feature(bytes(payload), codec)
+        assert (found[i].media_bytes, found[i].media_sha256) == (len(rows[i].media), hashlib.sha256(rows[i].media).hexdigest())
+    assert codecs == {telephony.MULAW, telephony.ALAW, telephony.ADPCM} and found[0].feature == found[5].feature
+    pcm = {r.doc_id: r.pcm for r in telephony.resampled(telephony.media_column(docs_of(texts), telephony.ALAW, 8000), 16000).collect()}
     assert len(pcm[0]) == 4 * 192 and pcm[0] == pcm[5] and len(pcm[4]) == 4 * 384
-    features = telephony.describe([memoryview(telephony.pad(b"hello")), memoryview(telephony.pad(b"z" * 500)), memoryview(telephony.pad(b"hello"))])
-    assert features[0] == features[2] == telephony.describe([memoryview(telephony.pad(b"hello"))])[0]
     assert telephony.media_column(docs_of([])).count() == 0

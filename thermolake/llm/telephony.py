@@ -1,8 +1,9 @@
 """Telephony audio columns: mu-law, A-law and IMA ADPCM payloads in WAV containers, decoded with numpy.
 
 Companded bytes are expanded by 256-entry tables; ADPCM is decoded one nibble position at a time across
-all blocks of a chunk of rows. PCM is brought from 8 kHz to 16 kHz by linear interpolation in integers, so
-that equal payloads give equal samples wherever they are decoded.
+all blocks of a chunk of rows. PCM is brought to the rate wanted in integers, by means of whole numbers of
+samples or by linear interpolation, so that equal payloads give equal samples wherever they are decoded, and
+stored in a column of its own.
 """
 
 from __future__ import annotations
@@ -21,8 +22,12 @@ from thermolake.llm import textkit
 from thermolake.session import Scratch
 
 BLOCK = 192
-RATE = 8000
+#: Samples a second in recordings, and in the PCM that is kept of them.
+RATE, PCM_RATE = 16000, 8000
 MULAW, ALAW, ADPCM = 7, 6, 17
+NAMES = {MULAW: "mulaw", ALAW: "alaw", ADPCM: "adpcm"}
+#: zstd level of the stored tables.
+LEVEL = 6
 
 # Quantiser steps of IMA ADPCM.
 STEPS = np.array([
@@ -71,15 +76,24 @@ def adpcm_blocks(blocks: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(out.T)
 
 
-def double_rate(pcm: np.ndarray, firsts: np.ndarray) -> np.ndarray:
-    """Samples at twice the rate; between two of a row their mean, after the last one itself again."""
-    out = np.empty(2 * len(pcm), np.int16)
-    out[::2] = pcm
-    following = np.append(pcm[1:], pcm[-1:]).astype(np.int32)
-    lasts = firsts[1:] - 1
-    following[lasts] = pcm[lasts]
-    out[1::2] = (pcm.astype(np.int32) + following) >> 1
-    return out
+def resample(pcm: np.ndarray, firsts: np.ndarray, rate: int, to: int) -> tuple[np.ndarray, np.ndarray]:
+    """Samples of all rows at another rate, and each row's first. Whole factors down are means; else neighbours are interpolated, the last one with itself."""
+    if rate == to:
+        return pcm, firsts
+    sizes = np.diff(firsts)
+    new = -(-sizes * to // rate)
+    starts = np.concatenate([[0], np.cumsum(new)])
+    nth = np.arange(starts[-1]) - np.repeat(starts[:-1], new)
+    base, last = np.repeat(firsts[:-1], new), np.repeat(firsts[1:] - 1, new)
+    if rate % to == 0:
+        total = np.zeros(len(nth), np.int64)
+        for j in range(rate // to):  # the last sample stands for those that a row lacks
+            total += pcm[np.minimum(base + nth * (rate // to) + j, last)]
+        return (total // (rate // to)).astype(np.int16), starts
+    at, part = np.divmod(nth * rate, to)
+    left = np.minimum(base + at, last)
+    mixed = pcm[left].astype(np.int64) * (to - part) + pcm[np.minimum(left + 1, last)].astype(np.int64) * part
+    return (mixed // to).astype(np.int16), starts
 
 
 def wav(payload: bytes, codec: int = MULAW, rate: int = RATE) -> bytes:
@@ -111,98 +125,124 @@ def pad(data: bytes, block: int = BLOCK) -> bytes:
     return data.ljust(max(block, -(-len(data) // block) * block), b" ")
 
 
-def _store_batches(codec: int):
+def codec_of(payload: bytes) -> int:
+    """The codec that a payload is taken to be in, where none is asked for: each of the three for a third of all texts."""
+    return (MULAW, ALAW, ADPCM)[zlib.crc32(payload) % 3]
+
+
+def _store_batches(codec: int | None, rate: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece, flat, offsets in textkit.chunked(batches, "text"):
             data = flat.tobytes()
-            media = [wav(pad(data[offsets[i] : offsets[i + 1]]), codec) for i in range(piece.num_rows)]
+            payloads = [pad(data[offsets[i] : offsets[i + 1]]) for i in range(piece.num_rows)]
+            media = [wav(p, codec or codec_of(p), rate) for p in payloads]
             yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(np.diff(offsets)), pa.array(media, pa.binary())], names=["doc_id", "n_bytes", "media"])
 
     return run
 
 
-def _payloads(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[memoryview], list[int]]]:
+def _payloads(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes], list[int], list[int], list[memoryview]]]:
+    """For about a megabyte of recordings at a time: rows, media, codecs, rates, payloads."""
     for batch in batches:
         at = 0
         while at < batch.num_rows:
-            held, codecs, size, start = [], [], 0, at
+            held, size, start = [], 0, at
             while at < batch.num_rows and (not held or size < textkit.CHUNK_BYTES):
-                codec, _, payload = unwav(batch.column(2)[at].as_py())
-                held.append(payload)
-                codecs.append(codec)
-                size += len(payload)
+                media = batch.column(2)[at].as_py()
+                held.append((media, *unwav(media)))
+                size += len(media)
                 at += 1
-            yield batch.slice(start, at - start), held, codecs
-
-
-def _sums(pcm: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Energy, peak and sign changes of each row."""
-    at = firsts[:-1]
-    wide = pcm.astype(np.int32)
-    energy = np.add.reduceat(wide.astype(np.int64) * wide, at)
-    peak = np.maximum.reduceat(np.abs(wide), at)
-    turns = np.zeros(len(pcm), np.int64)
-    turns[1:] = (pcm[1:] < 0) != (pcm[:-1] < 0)
-    turns[at] = 0
-    return energy, peak, np.add.reduceat(turns, at)
-
-
-def describe(payloads: list[memoryview]) -> list[str]:
-    """What each payload sounds like, read as mu-law, as A-law and as ADPCM blocks, after resampling."""
-    flat = np.frombuffer(b"".join(payloads), np.uint8)
-    firsts = np.concatenate([[0], np.cumsum([len(p) for p in payloads])])
-    found = []
-    for name, table in (("mulaw", TABLES[MULAW]), ("alaw", TABLES[ALAW])):
-        found.append((name, 2 * np.diff(firsts), _sums(double_rate(table[flat], firsts), 2 * firsts)))
-    blocks = adpcm_blocks(flat.reshape(-1, BLOCK))
-    per = blocks.shape[1]
-    block_firsts = firsts // BLOCK * per
-    found.append(("adpcm", 2 * np.diff(block_firsts), _sums(double_rate(blocks.reshape(-1), block_firsts), 2 * block_firsts)))
-    out = [[] for _ in payloads]
-    for name, samples, (energy, peak, turns) in found:
-        for i, rms in enumerate(np.sqrt(energy / samples)):
-            out[i].append(f"{name}:rms={rms:.2f},peak={peak[i]},turns={turns[i]}")
-    return [";".join(x) for x in out]
-
-
-def _digest_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for piece, payloads, _ in _payloads(batches):
-        media = [m.as_py() for m in piece.column(2)]
-        yield pa.RecordBatch.from_arrays(
-            [
-                piece.column(0), piece.column(1), pa.array([len(p) for p in payloads], pa.int64()), pa.array([hashlib.sha256(p).hexdigest() for p in payloads]),
-                pa.array([zlib.crc32(p[-16:]) for p in payloads], pa.int64()), pa.array([len(m) for m in media], pa.int64()), pa.array([hashlib.sha256(m).hexdigest() for m in media]), pa.array(describe(payloads)),
-            ],
-            names=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"],
-        )
-
-
-def _pcm_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for piece, payloads, codecs in _payloads(batches):
-        pcm = []
-        for payload, codec in zip(payloads, codecs, strict=True):
-            data = np.frombuffer(payload, np.uint8)
-            one = adpcm_blocks(data.reshape(-1, BLOCK)).reshape(-1) if codec == ADPCM else TABLES[codec][data]
-            pcm.append(double_rate(one, np.array([0, len(one)])).astype("<i2").tobytes() if len(one) else b"")
-        yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(pcm, pa.binary())], names=["doc_id", "pcm16k"])
-
-
-def media_column(docs: DataFrame, codec: int = MULAW) -> DataFrame:
-    """doc_id, n_bytes, media: each text's UTF-8 bytes as an 8-bit telephony recording in a WAV container.
-
-    Null and empty texts are one block of blanks. Other columns are not read; an empty table gives no rows.
+            yield batch.slice(start, at - start), *map(list, zip(*held, strict=True))
+
+
+def decode(payloads: list[memoryview], codecs: list[int], rates: list[int], to: int) -> list[bytes]:
+    """16-bit little-endian samples of each payload at one rate; those of one codec and rate are decoded together."""
+    out = [b""] * len(payloads)
+    for kind in sorted(set(zip(codecs, rates, strict=True))):
+        rows = [i for i, k in enumerate(zip(codecs, rates, strict=True)) if k == kind]
+        flat = np.frombuffer(b"".join(payloads[i] for i in rows), np.uint8)
+        firsts = np.concatenate([[0], np.cumsum([len(payloads[i]) for i in rows])])
+        if kind[0] == ADPCM:
+            blocks = adpcm_blocks(flat.reshape(-1, BLOCK))
+            pcm, firsts = blocks.reshape(-1), firsts // BLOCK * blocks.shape[1]
+        else:
+            pcm = TABLES[kind[0]][flat]
+        pcm, firsts = resample(pcm, firsts, kind[1], to)
+        data, cuts = pcm.astype("<i2").tobytes(), (2 * firsts).tolist()
+        for i, a, b in zip(rows, cuts, cuts[1:], strict=False):
+            out[i] = data[a:b]
+    return out
+
+
+PCM = "doc_id {}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, codec int, pcm_rate int, pcm binary"
+
+
+def _pcm_batches(to: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece, media, codecs, rates, payloads in _payloads(batches):
+            columns = [
+                piece.column(0), piece.column(1), pa.array([len(p) for p in payloads], pa.int64()), pa.array([hashlib.sha256(p).hexdigest() for p in payloads]), pa.array([zlib.crc32(p[-16:]) for p in payloads], pa.int64()),
+                pa.array([len(m) for m in media], pa.int64()), pa.array([hashlib.sha256(m).hexdigest() for m in media]), pa.array(codecs, pa.int32()), pa.array([to] * len(media), pa.int32()), pa.array(decode(payloads, codecs, rates, to), pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in PCM.split(", ")])
+
+    return run
+
+
+def describe(pcm: np.ndarray, firsts: np.ndarray) -> list[tuple[float, int, int]]:
+    """Root mean square, peak and sign changes of each row's samples; a row without samples has none of them."""
+    some = np.flatnonzero(np.diff(firsts))
+    out = [(0.0, 0, 0)] * (len(firsts) - 1)
+    if len(some):
+        at, wide = firsts[:-1][some], pcm.astype(np.int32)
+        turns = np.zeros(len(pcm), np.int64)
+        turns[1:] = (pcm[1:] < 0) != (pcm[:-1] < 0)
+        turns[at] = 0
+        found = np.sqrt(np.add.reduceat(wide.astype(np.int64) * wide, at) / np.diff(firsts)[some]), np.maximum.reduceat(np.abs(wide), at), np.add.reduceat(turns, at)
+        for i, rms, peak, changes in zip(some.tolist(), *(f.tolist() for f in found), strict=True):
+            out[i] = (rms, peak, changes)
+    return out
+
+
+def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All columns but codec, pcm_rate and pcm, the last three, and then what the samples sound like."""
+    for batch in batches:
+        size = max(1, batch.num_rows * textkit.CHUNK_BYTES // max(1, batch.nbytes))
+        for start in range(0, batch.num_rows, size):
+            piece = batch.slice(start, size)
+            samples = piece.column(piece.num_columns - 1).to_pylist()
+            firsts = np.concatenate([[0], np.cumsum([len(x) // 2 for x in samples])])
+            sounds = describe(np.frombuffer(b"".join(samples), "<i2"), firsts)
+            codecs, rates = (piece.column(piece.num_columns - i).to_pylist() for i in (3, 2))
+            feature = [f"{NAMES[c]}@{r}:rms={rms:.2f},peak={peak},turns={turns}" for c, r, (rms, peak, turns) in zip(codecs, rates, sounds, strict=True)]
+            yield pa.RecordBatch.from_arrays([*piece.columns[:-3], pa.array(feature, pa.string())], names=[*piece.schema.names[:-3], "feature"])
+
+
+def media_column(docs: DataFrame, codec: int | None = None, rate: int = RATE) -> DataFrame:
+    """doc_id, n_bytes, media: each text's UTF-8 bytes as a telephony recording in a WAV container, by codec_of where no codec is given.
+
+    Null and empty texts are one block of blanks. Every row is a recording of its own, so that repeated rows and
+    repeated or null ids each give one; a text of any length (to 2 GB) is one recording. Other columns are not
+    read, so that they may have any name; an empty table gives no rows.
     """
     rows = docs.select("doc_id", "text")
-    return rows.mapInArrow(_store_batches(codec), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_bytes long, media binary")
+    return rows.mapInArrow(textkit.lean(_store_batches(codec, rate)), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_bytes long, media binary")
 
 
-def resampled(media: DataFrame) -> DataFrame:
-    """doc_id, pcm16k: 16-bit little-endian samples at 16 kHz of each recording; write it where PCM is to be stored."""
+def resampled(media: DataFrame, rate: int = PCM_RATE) -> DataFrame:
+    """The columns of PCM: each recording's digests and its 16-bit little-endian samples at one rate."""
     rows = media.select("doc_id", "n_bytes", "media")
-    return rows.mapInArrow(_pcm_batches, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, pcm16k binary")
+    return rows.mapInArrow(textkit.lean(_pcm_batches(rate)), PCM.format(rows.schema["doc_id"].dataType.simpleString()))
+
+
+def features(pcm: DataFrame) -> DataFrame:
+    """The digests of stored recordings, and the feature that their stored samples give."""
+    kept = [f for f in PCM.format(pcm.schema["doc_id"].dataType.simpleString()).split(", ")][:-3]
+    return pcm.select(*[f.split()[0] for f in PCM.split(", ")]).mapInArrow(_feature_batches, ", ".join([*kept, "feature string"]))
 
 
 def op8_telephony(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    stored = Scratch(spark, "telephony").table(media_column(docs), "media")
-    return stored.mapInArrow(_digest_batches, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    scratch = Scratch(spark, "telephony")
+    stored = scratch.table(media_column(docs), "media", LEVEL)
+    return features(scratch.table(resampled(stored), "pcm", LEVEL))
