@@ -16,11 +16,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from thermolake.llm import textkit
+from thermolake.llm.ids import fresh
 
 #: Labelled documents that a model is fitted on; those with the smallest hash of their id.
 SAMPLE_DOCUMENTS = 6000
+#: Lines of all of these at most (about 200 bytes each).
+SAMPLE_LINES = 200_000
 #: Lines of one training sequence; longer documents make several.
 SEQUENCE = 64
 
@@ -212,42 +216,58 @@ def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         features, firsts, size = line_features(flat, offsets)
         packed = [features[a:b].astype("<f4").tobytes() for a, b in zip(firsts, firsts[1:], strict=False)]
         sizes = [size[a:b].astype("<i8").tobytes() for a, b in zip(firsts, firsts[1:], strict=False)]
-        yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(2), pa.array(packed, pa.binary()), pa.array(sizes, pa.binary())], names=["doc_id", "good", "features", "sizes"])
+        yield pa.RecordBatch.from_arrays([*piece.columns[1:], pa.array(packed, pa.binary()), pa.array(sizes, pa.binary())], names=[*piece.schema.names[1:], "features", "sizes"])
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> Model:
-    """A model from at most `sample` labelled documents; labels holds doc_id and quality, nulls and further columns are ignored."""
-    known = labels.where("quality is not null and doc_id is not null").select("doc_id", F.col("quality").cast("int").alias("good"))
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS, lines: int = SAMPLE_LINES) -> Model:
+    """A model from at most `sample` labelled documents of at most `lines` lines in all.
+
+    labels holds doc_id and quality; nulls and further columns, of either table, are ignored. Documents are
+    taken in the order of a hash of their id, leaving out those of more than a tenth of `lines`; rows equal in id
+    and text count once for each label. Without labels, or with one kind of them, the model always says the same.
+    """
+    known = labels.where("quality is not null and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("good")).distinct()
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "good").limit(sample)
-    # at most `sample` rows are broadcast
-    rows = docs.join(F.broadcast(chosen), "doc_id").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "good")
-    found = rows.mapInArrow(textkit.lean(_feature_batches), "doc_id long, good int, features binary, sizes binary").toArrow().sort_by([("doc_id", "ascending"), ("good", "ascending")])
+    key = ["doc_id", "good", "text_key"]
+    # at most `sample` rows are broadcast, here and below
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").withColumn("text_key", F.xxhash64("text"))
+    sized = texts.select(*key, (F.coalesce(F.regexp_count("text", F.lit("\n")), F.lit(0)) + 1).cast("long").alias("n_lines")).distinct()
+    order = [F.xxhash64("doc_id"), *key]
+    sized = sized.where(F.col("n_lines") <= max(1, lines // 10)).orderBy(*order).limit(sample)
+    taken = sized.withColumn("all_lines", F.sum("n_lines").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))).where(F.col("all_lines") <= lines).select(*key)
+    rows = texts.join(F.broadcast(taken), key).select("text", *key).mapInArrow(textkit.lean(_feature_batches), "doc_id long, good int, text_key long, features binary, sizes binary")
+    found = rows.groupBy(*key).agg(F.first("features").alias("features"), F.first("sizes").alias("sizes")).toArrow().sort_by([(k, "ascending") for k in key])
     features = np.frombuffer(b"".join(found["features"].to_pylist()), "<f4").reshape(-1, N_FEATURES)
     sizes = found["sizes"].to_pylist()
     firsts = np.concatenate([[0], np.cumsum([len(s) // 8 for s in sizes])]).astype(np.int64)
     return fit(features, firsts, np.frombuffer(b"".join(sizes), "<i8"), found["good"].to_numpy())
 
 
-def _score_batches(model: Model, keep: list[str]):
+def _score_batches(model: Model, keep: list[str], name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece, flat, offsets in textkit.chunked(batches, "text"):
             score = model.score(*line_features(flat, offsets))
-            yield pa.RecordBatch.from_arrays([*[piece.column(piece.schema.get_field_index(c)) for c in keep], pa.array(score)], names=[*keep, "score"])
+            yield pa.RecordBatch.from_arrays([*[piece.column(piece.schema.get_field_index(c)) for c in keep], pa.array(score)], names=[*keep, name])
 
     return run
 
 
-def score_documents(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """The columns `keep` and score (0 to 1, higher: better) of every document; null and empty texts are one empty line."""
+def score_documents(docs: DataFrame, model: Model, keep: list[str], name: str = "score") -> DataFrame:
+    """The columns `keep` and the score (0 to 1, higher: better) of every document, under `name`, which none of them has.
+
+    Null and empty texts are one empty line. Every row is scored for itself, by its text alone: repeated rows, and
+    repeated or null ids, each give a row. A text of any length is scored whole. An empty table gives no rows.
+    """
     rows = docs.select(*dict.fromkeys(["text", *keep]))
-    fields = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
-    return rows.mapInArrow(textkit.lean(_score_batches(model, keep)), f"{fields}, score double")
+    fields = "".join(f"`{c}` {rows.schema[c].dataType.simpleString()}, " for c in keep)
+    return rows.mapInArrow(textkit.lean(_score_batches(model, keep, name)), f"{fields}`{name}` double")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
-    """The documents that score `least` or more, with the columns they came with (none may be named score)."""
+    """The documents that score `least` or more (a tie stays), with the columns they came with, whatever their names; see score_documents."""
     model = train(docs, labels.where(~held_out()))
-    return score_documents(docs, model, docs.columns).where(F.col("score") >= least).select(*docs.columns)
+    score = fresh(docs, "score")
+    return score_documents(docs, model, docs.columns, score).where(F.col(score) >= least).select(*docs.columns)
 
 
 def held_out() -> Column:
