@@ -297,8 +297,9 @@ def _read_batches(folder: str):
 def write_ids(docs: DataFrame, path: str | None = None, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, str]:
     """Writes the ids of all documents in ascending order of id; gives the manifest (part, path, n_docs, n_ids) and the folder.
 
-    Null and empty texts have the end id alone. A null document id comes first. Equal ids stay next to each
-    other. Other columns are not read. An empty table gives no files.
+    Null and empty texts have the end id alone. Null document ids come first. Rows of one id stay next to each
+    other, in any order, and all of them are written. A text of any length is written whole. Other columns are not
+    read, so that they may have any name. An empty table gives no files.
     """
     from tokenizers import Tokenizer
 

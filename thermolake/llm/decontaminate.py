@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from thermolake.llm.ids import by_ids
+from thermolake.llm.ids import by_ids, fresh
 from thermolake.session import Scratch
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -21,8 +21,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Shingles that are probed as a literal set; with more of them a join finds the positions.
 SET_LIMIT = 200_000
-#: Windows that are broadcast (each about 100 bytes).
-BROADCAST_WINDOWS = 500_000
+#: Bytes of windows that are broadcast.
+BROADCAST_WINDOWS = 64 << 20
 
 
 def word_array(text: Column) -> Column:
@@ -50,10 +50,11 @@ def _probe(shingled: DataFrame, keys: DataFrame, n_keys: int, reach: int) -> Dat
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items (sorted ids as strings) of every document.
+    """doc_id, text_key (a hash of the text), n_words, n_hit, n_items, items (sorted ids as strings) of every document.
 
-    Null and empty texts have no words. Rows equal in id and text count once. With an empty benchmark all
-    counts of hits are 0. Further columns, whatever their names, are not read.
+    Null and empty texts have no words. Rows equal in id and text give one row; texts of one id, or of none, one
+    each. A text of any length is searched whole. With an empty benchmark all counts of hits are 0, and an empty
+    table gives no rows. Further columns, whatever their names, are not read.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "decontaminate")
@@ -83,13 +84,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, id_col
     rarest = F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "offset", "key")).alias("p")
     prefixes = tokens.join(rarity, "key", "left").groupBy("win").agg(rarest).where("p.df > 0").select("win", F.col("p.offset").alias("offset"), F.col("p.key").alias("key"), F.xxhash64("win").alias("win_id"))
     prefixes = scratch.table(prefixes, "prefixes")
-    n_prefixes = prefixes.count()
+    n_prefixes, n_bytes = prefixes.agg(F.count("*"), F.coalesce(F.sum(F.aggregate("win", F.lit(64), lambda n, w: n + 24 + F.octet_length(w)).cast("long")), F.lit(0))).first()
 
     found = _probe(shingled, prefixes.select("key").distinct(), n_prefixes, width - 2)
     found = found.select("doc_id", "text_key", F.size("w").alias("n_words"), F.explode_outer("hit").alias("hit"))
     if alone:
         found = found.withColumn("hit", F.expr("if(hit.pos >= n_words, named_struct('pos', hit.pos - n_words, 'key', hit.key, 'low', cast(null as int), 'near', cast(null as array<string>)), hit)"))
-    side = F.broadcast(prefixes) if n_prefixes <= BROADCAST_WINDOWS else prefixes
+    side = F.broadcast(prefixes) if n_bytes <= BROADCAST_WINDOWS else prefixes
     begin = F.col("hit.pos") - F.col("offset")
     same = F.expr("if(hit.near is null, size(win) = 1, slice(hit.near, hit.pos - offset - hit.low + 1, size(win)) = win)")
     inside = (begin >= 0) & (begin + F.size("win") <= F.col("n_words"))
@@ -108,14 +109,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, id_col
     same_doc = lambda other: (F.col("d.doc_id").eqNullSafe(other["doc_id"])) & (F.col("d.text_key") == other["text_key"])
     both = covered.alias("c").join(held_items.alias("i"), F.col("c.doc_id").eqNullSafe(F.col("i.doc_id")) & (F.col("c.text_key") == F.col("i.text_key"))).select(F.col("c.doc_id"), F.col("c.text_key"), "n_hit", "items")
     return docs_seen.alias("d").join(both, same_doc(both), "left").select(
-        F.col("d.doc_id"), "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.when(F.col("items").isNull(), 0).otherwise(F.size("items")).cast("long").alias("n_items"), F.coalesce("items", F.array().cast("array<string>")).alias("items")
+        F.col("d.doc_id"), F.col("d.text_key"), "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.when(F.col("items").isNull(), 0).otherwise(F.size("items")).cast("long").alias("n_items"), F.coalesce("items", F.array().cast("array<string>")).alias("items")
     )
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **kw) -> DataFrame:
-    """The documents that hold no benchmark window, with the columns they came with."""
-    found = contamination(docs, benchmark, **kw).where("n_hit > 0")
-    return by_ids(Scratch(docs.sparkSession, "contaminated"), docs, found, "left_anti", "found")
+    """The documents that hold no benchmark window, with the columns they came with, whatever their names.
+
+    Every row goes or stays by its text alone, so that a clean text stays though another one of its id goes.
+    """
+    key = fresh(docs, "text_key")
+    found = contamination(docs, benchmark, **kw).where("n_hit > 0").select(F.col("text_key").alias(key))
+    keyed = docs.withColumn(key, F.xxhash64("text"))
+    return by_ids(Scratch(docs.sparkSession, "contaminated"), keyed, found, "left_anti", "found", key).select(*docs.columns)
 
 
 def op5_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -115,7 +115,10 @@ def _profile_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def prototypes(docs: DataFrame) -> dict[str, np.ndarray]:
-    """Each non-null lang's bundle over the whole table: as many numbers as languages times dimensions reach the driver."""
+    """Each non-null lang's bundle over the whole table: as many numbers as languages times dimensions reach the driver.
+
+    A language of which no text has a letter is not learned; a repeated row counts as often as it comes.
+    """
     rows = docs.where("lang is not null").select("text", "lang")
     parts = rows.mapInArrow(_profile_batches, "lang string, place int, total long")
     found: dict[str, np.ndarray] = {}
@@ -146,7 +149,12 @@ def _predict_batches(names: list[str], profiles: np.ndarray):
 
 
 def identify(docs: DataFrame, profiles: dict[str, np.ndarray]) -> DataFrame:
-    """doc_id, lang_pred, score of every document; und and 0 where a text is null or has no letter, or nothing was learned."""
+    """doc_id, lang_pred, score of every document; und and 0 where a text is null or has no letter, or nothing was learned.
+
+    Of equal cosines the language that comes first in the alphabet counts. Every row is judged for itself:
+    repeated rows, and repeated or null ids, each give a row. A text of any length is read whole. Other columns are
+    not read, so that they may have any name; an empty table gives no rows.
+    """
     rows = docs.select("text", "doc_id")
     table = np.stack(list(profiles.values())) if profiles else np.zeros((1, DIMENSIONS))
     return rows.mapInArrow(_predict_batches(list(profiles), table), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double")

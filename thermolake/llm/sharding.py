@@ -14,16 +14,14 @@ from pyspark.sql.window import Window
 
 from thermolake.session import Scratch
 
-#: Rows of (id, size, crc32) that one range partition holds at about.
-ROWS_PER_RANGE = 2_000_000
-
 
 def balanced_shards(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, size, text_crc32, shard, slot of every row.
 
     Null text: no bytes, size 1, the crc32 of nothing. Rows stand in the order (id, size, crc32), nulls
-    first; rows equal in all three are interchangeable. An empty table gives no rows. Other columns are
-    not read.
+    first, so that repeated ids stand together; rows equal in all three are interchangeable. A text longer than a
+    shard is not cut: it takes its shard to itself, and others may be left without rows. An empty table gives no
+    rows. Other columns are not read, so that they may have any name.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "shards")

@@ -265,7 +265,10 @@ def _second_look(scratch: Scratch, loose: DataFrame, percent: int, first: bool =
 
 
 def keep_one(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame:
-    """One document of each group, with the columns it came with; texts without words all stay."""
+    """One document of each group, with the columns it came with, whatever their names; texts without words all stay, as do rows without an id.
+
+    A document is all rows of its id: see near_duplicates.
+    """
     gone = near_duplicates(docs, percent, k).where("not kept")
     return by_ids(Scratch(docs.sparkSession, "copies"), docs, gone, "left_anti", "gone")
 
