@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from thermolake.functions import scalars as S
 
 
+# Inputs and results of conversions and rounding below must be what they are.
 def values(spark, rows, column):
     return [r[0] for r in spark.createDataFrame([(x,) for x in rows], "x double").select(column(F.col("x"))).collect()]
 

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from thermolake.functions import scalars as S
 
+# The box of places, and the names of columns in city sources.
 LAT_BOX, LNG_BOX = (24.25, 49.25), (-124.5, -66.5)
 HEADERS = {"City": "city", "name": "city", "State": "state", "Population": "population", "pop": "population", "lon": "lng"}
 

@@ -48,14 +48,15 @@ def partition_inventory(df: DataFrame, keys: list[str]) -> DataFrame:
     return files.groupBy(*keys).agg(F.array_sort(F.collect_set("_file")).alias("files"))
 
 
-def every_nth(df: DataFrame, order_keys: list[str], index: int, count: int) -> DataFrame:
-    """The rows whose key's place among all sorted keys leaves `index` when divided by `count`.
+def every_nth(df: DataFrame, order_keys: list[str], index: int, count: int, where: Column | None = None) -> DataFrame:
+    """The rows whose key's place among all sorted keys leaves `index` when divided by `count`; `where` keeps some keys, before they are numbered.
 
     The keys' places come from their distinct values, which are few: one row for each part.
     """
     if count < 1 or not 0 <= index < count:
         raise ValueError("index must lie in 0..count-1, and count must be positive")
-    places = df.select(*order_keys).distinct().withColumn("_place", F.row_number().over(Window.orderBy(*order_keys)) - 1)
+    keys = df.select(*order_keys).distinct()
+    places = (keys if where is None else keys.where(where)).withColumn("_place", F.row_number().over(Window.orderBy(*order_keys)) - 1)
     chosen = places.where(F.col("_place") % count == index).drop("_place")
     return df.join(chosen, order_keys, "left_semi")
 

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from thermolake.session import from_files
+
 
 def _filesystem(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -26,39 +29,67 @@ def with_year(df: DataFrame, date_col: str = "date") -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, path: str, by: tuple[str, ...] = ("year",), mode: str = "overwrite") -> None:
-    """Snappy parquet under by=value folders, one shuffle by those columns so that a folder gets few files; only folders with rows are replaced."""
-    rows = narrowed(df).repartition(*by)
+    """Snappy parquet under by=value folders; only folders with rows are replaced.
+
+    Rows of a folder come together in files of the advisory partition size: small folders get one file, and a
+    folder of any size is spread over as many tasks as it needs (which takes adaptive execution).
+    """
+    rows = narrowed(df).hint("rebalance", *by)
     rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", "snappy").partitionBy(*by).parquet(path)
 
 
 def replace_partitions(df: DataFrame, path: str, by: str, touched: list) -> None:
-    """Replaces the folders by=touched with the rows of df, which may come from the same table; a folder without rows goes."""
+    """Replaces the folders by=touched with the rows of df, which may come from the same table; a folder without rows goes.
+
+    Rows are written once, beside the table, and their folders moved into its place.
+    """
     spark = df.sparkSession
     staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
-    narrowed(df).write.option("compression", "snappy").partitionBy(by).parquet(staged)
-    rows = spark.read.schema(narrowed(df).schema).parquet(staged)
-    left = {r[0] for r in rows.select(by).distinct().collect()}  # as many values as folders
-    rows.repartition(by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy").partitionBy(by).parquet(path)
+    write_partitioned(df, staged, (by,))
     fs, at = _filesystem(spark, path)
-    for value in set(touched) - left:
-        fs.delete(at(f"{path}/{by}={value}"), True)
+    made = [s.getPath().getName() for s in fs.listStatus(at(staged)) if s.isDirectory()]
+    for folder in {*made, *(f"{by}={value}" for value in touched)}:
+        fs.delete(at(f"{path}/{folder}"), True)
+        if folder in made:
+            fs.rename(at(f"{staged}/{folder}"), at(f"{path}/{folder}"))
     fs.delete(at(staged), True)
 
 
 def overwrite(df: DataFrame, path: str) -> DataFrame:
-    """Writes to a fresh folder and puts it in the table's place, which df may be read from."""
+    """Writes to a fresh folder and puts it in the table's place, which df may be read from. The old table is kept beside it until then."""
     spark = df.sparkSession
-    fresh = f"{path.rstrip('/')}.fresh-{uuid.uuid4().hex}"
+    fresh, old = (f"{path.rstrip('/')}.{k}-{uuid.uuid4().hex}" for k in ("fresh", "old"))
     df.write.option("compression", "snappy").parquet(fresh)
     fs, at = _filesystem(spark, path)
-    fs.delete(at(path), True)
-    fs.rename(at(fresh), at(path))
+    there = fs.exists(at(path)) and fs.rename(at(path), at(old))
+    if not fs.rename(at(fresh), at(path)):
+        if there:
+            fs.rename(at(old), at(path))
+        raise OSError(f"cannot move {fresh} to {path}")
+    if there:
+        fs.delete(at(old), True)
     return spark.read.schema(df.schema).parquet(path)
 
 
 materialise = overwrite
 
 
+def staged_in_order(sources: list[DataFrame]) -> tuple[DataFrame, list[Column]]:
+    """The union of staged sources with columns that tell when a row arrived, and the order by them: source, then file, then row.
+
+    Sources are parquet tables, or else their rows have no place in a file, and content decides between them.
+    """
+    placed = []
+    for i, df in enumerate(sources):
+        content = F.xxhash64(*df.columns).alias("_content")
+        if from_files(df):
+            placed.append(df.select("*", F.lit(i).alias("_source"), F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"), content))
+        else:
+            placed.append(df.select("*", F.lit(i).alias("_source"), F.lit(None).cast("string").alias("_file"), F.lit(None).cast("long").alias("_row"), content))
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), placed)
+    return rows, [F.col(c) for c in ("_source", "_file", "_row", "_content")]
+
+
 def last_staged(staged: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
     """One row for each key, the last in the given order; by default any one of equal rows, told apart by their content."""
     order = order or [F.xxhash64(*staged.columns)]
@@ -82,8 +113,13 @@ def insert_absent(base: DataFrame, staged: DataFrame, keys: list[str]) -> DataFr
     return base.unionByName(new, allowMissingColumns=True)
 
 
-def upsert_table(spark: SparkSession, path: str, staged: DataFrame, keys: list[str], date_col: str = "date") -> None:
-    """merge_upsert into a table of year folders; only years that the staged rows touch are read and written."""
+def upsert_table(spark: SparkSession, path: str, staged: DataFrame | list[DataFrame], keys: list[str], date_col: str = "date") -> None:
+    """merge_upsert into a table of year folders; only years that the staged rows touch are read and written.
+
+    Of staged rows with one key the last counts, in the order of source (of several), file and row.
+    """
+    staged, order = staged_in_order(staged if isinstance(staged, list) else [staged])
+    staged = last_staged(staged, keys, order).drop("_source", "_file", "_row", "_content")
     years = [r[0] for r in staged.select(F.year(date_col)).distinct().collect()]
     base = spark.read.parquet(path)
     some = base.where(F.col("year").isin(years))

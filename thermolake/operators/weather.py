@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 
 from thermolake.functions import scalars as S
 from thermolake.functions.comfort import solve
+from thermolake.session import Scratch
 
-#: Names under which stores keep each variable.
+#: Names under which stores keep each variable.
 ALIASES = {
     "u10": ["u10", "10u", "10m_u_component_of_wind"],
     "v10": ["v10", "10v", "10m_v_component_of_wind"],
@@ -27,6 +28,10 @@ ALIASES = {
 INPUTS = ["t", "mrt", "v", "rh"]
 #: Cities that are broadcast (about 60 bytes each); beyond it both sides are shuffled by cell.
 BROADCAST_CITIES = 500_000
+#: Solved tuples that are broadcast (about 60 bytes each); beyond it both sides are shuffled by tuple.
+BROADCAST_SOLVED = 500_000
+#: What radiant temperatures (Celsius) and comfort values may be.
+RADIANT_RANGE, COMFORT_RANGE = (-80.0, 120.0), (-50.0, 60.0)
 
 
 def resolve_variables(columns: list[str], aliases: dict[str, list[str]] = ALIASES) -> dict[str, str]:
@@ -55,20 +60,25 @@ def sample_grid(grid: DataFrame, cities: DataFrame, cell: float = 0.25) -> DataF
 
 
 def derive_weather(df: DataFrame) -> DataFrame:
-    """location_id, hour, t, v, rh, mrt of sampled rows: valid ones only, all by column expressions."""
+    """location_id, hour, t, v, rh, mrt of sampled rows: valid ones only, all by column expressions.
+
+    The row goes through a one-element array between derivation and filter. Else the optimiser would put the
+    formulas into the filter in place of their names, and both into the condition of the join below.
+    """
     f = {c: S.flux(F.col(c)) for c in ("ssrd", "ssr", "strd", "str", "fdir")}
     middle = S.hour_to_ts(F.col("hour")) - F.expr("INTERVAL 30 MINUTES")
     sun = df.withColumn("_sun", S.cossza(F.col("city_lat"), S.to_180(F.col("city_lng")), middle))
     t, dew = S.celsius(F.col("t2").cast("double")), S.celsius(F.col("d2").cast("double"))
     radiant = S.mrt(f["ssrd"], f["ssr"], S.dsrp(f["fdir"], F.col("_sun")), f["strd"], f["fdir"], f["str"], F.col("_sun"))
-    out = sun.select("location_id", "hour", t.alias("t"), S.wind(F.col("u10"), F.col("v10")).alias("v"), S.relative_humidity(t, dew).alias("rh"), S.null_outside(S.celsius(radiant), -80.0, 120.0).alias("mrt"))
+    out = sun.select("location_id", "hour", t.alias("t"), S.wind(F.col("u10"), F.col("v10")).alias("v"), S.relative_humidity(t, dew).alias("rh"), S.null_outside(S.celsius(radiant), *RADIANT_RANGE).alias("mrt"))
+    out = out.select(F.inline(F.array(F.struct(*out.columns))))
     # NaN is above every bound, so these comparisons also drop what is not a number, and nulls
     return out.where(valid_weather() & (F.col("t") < float("inf")) & (F.col("v") < float("inf")) & F.col("mrt").isNotNull())
 
 
 def discarded_radiation(df: DataFrame) -> DataFrame:
     """How many values of a column mrt (Celsius) are not finite or out of range."""
-    return df.agg(F.count(F.when(S.null_outside(F.col("mrt"), -80.0, 120.0).isNull() & F.col("mrt").isNotNull(), 1)).alias("discarded"), F.count("*").alias("rows"))
+    return df.agg(F.count(F.when(S.null_outside(F.col("mrt"), *RADIANT_RANGE).isNull() & F.col("mrt").isNotNull(), 1)).alias("discarded"), F.count("*").alias("rows"))
 
 
 def valid_weather() -> Column:
@@ -81,10 +91,17 @@ def only_months(df: DataFrame, date_col: str, months: list[int]) -> DataFrame:
 
 
 def solve_distinct(df: DataFrame, inputs: list[str], fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], output: T.StructField) -> DataFrame:
-    """Adds fn's output by computing it once for each distinct tuple of inputs and joining it back."""
-    distinct = df.select(*inputs).distinct()
-    solved = distinct.mapInPandas(fn, T.StructType([*distinct.schema.fields, output]))
-    return df.join(solved, inputs, "inner")
+    """Adds fn's output by computing it once for each distinct tuple of inputs and joining it back. Rows with a null input go.
+
+    Rows are written once for both uses. Tuples are dealt out over as many tasks as a shuffle has, since a small
+    table of them may be much work.
+    """
+    scratch = Scratch(df.sparkSession, "solve")
+    rows = scratch.table(df, "rows")
+    distinct = rows.select(*inputs).distinct()
+    spread = distinct.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    solved = scratch.table(spread.mapInPandas(fn, T.StructType([*distinct.schema.fields, output])), "solved")
+    return rows.join(F.broadcast(solved) if solved.count() <= BROADCAST_SOLVED else solved, inputs, "inner")
 
 
 def with_pet(df: DataFrame, icl: float = 0.5, **body) -> DataFrame:
@@ -96,7 +113,7 @@ def with_pet(df: DataFrame, icl: float = 0.5, **body) -> DataFrame:
 
     rounded = df.withColumns({c: S.rint_to(F.col(c), 2.0) for c in INPUTS})
     found = solve_distinct(rounded, INPUTS, run, T.StructField("pet", T.FloatType()))
-    return found.withColumn("pet", S.rint_to(S.null_outside(F.col("pet"), -50.0, 60.0), 2.0).cast("float")).dropna(subset=["pet"])
+    return found.withColumn("pet", S.rint_to(S.null_outside(F.col("pet"), *COMFORT_RANGE), 2.0).cast("float")).dropna(subset=["pet"])
 
 
 def daily_comfort(df: DataFrame) -> DataFrame:
@@ -105,6 +122,7 @@ def daily_comfort(df: DataFrame) -> DataFrame:
     return df.groupBy("location_id", day.alias("date")).agg(F.max("pet").alias("pet"), S.rint_to(F.avg("pet"), 10.0).cast("float").alias("pet_avg"))
 
 
-def hourly_frame(cities: DataFrame, hours: DataFrame) -> DataFrame:
-    """Every city at every hour, for gap-filled frames; the two sides are dimension tables."""
-    return cities.select("location_id").join(F.broadcast(hours.select("hour")), F.lit(True))
+def hourly_frame(cities: DataFrame, first: Column | int, last: Column | int) -> DataFrame:
+    """Every city at every hour from first to last (numbers, or columns of the cities), for gap-filled frames; each city's hours grow from its own row."""
+    at = lambda x: (x if isinstance(x, Column) else F.lit(x)).cast("int")
+    return cities.where(at(first) <= at(last)).select("location_id", F.explode(F.sequence(at(first), at(last))).alias("hour"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from thermolake.functions import scalars as S
-from thermolake.operators import cities, forecast, history, stats, tables, weather
+from thermolake.operators import cities, forecast, history, numbering, stats, tables, weather
 from thermolake.session import Scratch, ship_path
 from thermolake.sources import adapters as A
 
@@ -161,11 +161,17 @@ def k1(spark, d):
 
 @query("k1_forecast_quadratic", f"""{_QUAD}, m AS (SELECT f.*, c.ref, z.n, z.last FROM f JOIN c USING (location_id) JOIN (SELECT location_id, count(*) AS n, max(period) AS last FROM monthly GROUP BY 1) z USING (location_id)),
 g AS (SELECT *, unnest(range(last + 1, 24073)) AS t FROM m WHERE n >= 10 AND last < 24072),
-h AS (SELECT *, c2*(t-ref)**2 + c1*(t-ref) + c0 AS raw, least(last + 15, 24072) AS s0, least(last + 35, 24072) AS s1 FROM g)
-SELECT location_id, CAST(t AS SMALLINT) AS year, {_up("CASE WHEN s0 < s1 THEN raw * (1 - least(1, greatest(0, (t - s0) / (s1 - s0)))) + (c2*(s0-ref)**2 + c1*(s0-ref) + c0 + (t - s0) * (2*c2*(s0-ref) + c1)) * least(1, greatest(0, (t - s0) / (s1 - s0))) ELSE raw END", 1)} AS pet, 'quadratic' AS model_type, CAST(n AS SMALLINT) AS full_years_used, {_up("2*c2*(t-ref) + c1", 2)} AS warming_rate, {_up("2*c2", 3)} AS acceleration FROM h""")
+h AS (SELECT *, c2*(t-ref)**2 + c1*(t-ref) + c0 AS raw, least(last + 15, 24072) AS s0, least(last + 35, 24072) AS s1 FROM g),
+e AS (SELECT x.location_id, sqrt(avg((c2*x.x*x.x + c1*x.x + c0 - x.y) ** 2)) AS rmse FROM x JOIN f USING (location_id) GROUP BY 1),
+w AS (SELECT location_id, x, y, row_number() OVER o AS nth, (count(*) OVER p)::DOUBLE AS n, sum(x) OVER p AS a, sum(x*x) OVER p AS b, sum(x**3) OVER p AS c, sum(x**4) OVER p AS d, sum(y) OVER p AS p, sum(x*y) OVER p AS q, sum(x*x*y) OVER p AS r FROM x
+  WINDOW o AS (PARTITION BY location_id ORDER BY x), p AS (PARTITION BY location_id ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+v AS (SELECT *, d*(b*n - a*a) - c*(c*n - a*b) + b*(c*a - b*b) AS det FROM w WHERE nth > 12),
+u AS (SELECT location_id, count(*) AS errors, sqrt(avg(((r*(b*n - a*a) - c*(q*n - a*p) + b*(q*a - b*p)) / det * x*x + (d*(q*n - a*p) - r*(c*n - a*b) + b*(c*p - q*b)) / det * x + (d*(b*p - q*a) - c*(c*p - q*b) + r*(c*a - b*b)) / det - y) ** 2)) AS cv FROM v WHERE n > 2 AND abs(det) >= 1e-12 GROUP BY 1),
+j AS (SELECT h.*, CASE WHEN s0 < s1 THEN raw * (1 - least(1, greatest(0, (t - s0) / (s1 - s0)))) + (c2*(s0-ref)**2 + c1*(s0-ref) + c0 + (t - s0) * (2*c2*(s0-ref) + c1)) * least(1, greatest(0, (t - s0) / (s1 - s0))) ELSE raw END AS mid,
+  1.2816 * greatest(rmse, CASE WHEN h.n >= 15 AND errors >= 5 THEN cv ELSE 0 END) * sqrt(1 + least(t - last, 25) / 10.0 + (least(t - last, 25) / 30.0) ** 2) AS half FROM h JOIN e USING (location_id) LEFT JOIN u USING (location_id))
+SELECT location_id, CAST(t AS SMALLINT) AS year, {_up("mid", 1)} AS pet, {_up("mid - half", 1)} AS lower, {_up("mid + half", 1)} AS upper, 'quadratic' AS model_type, CAST(n AS SMALLINT) AS full_years_used, {_up("2*c2*(t-ref) + c1", 2)} AS warming_rate, {_up("2*c2", 3)} AS acceleration FROM j""")
 def k1_quadratic(spark, d):
-    out = forecast.forecast_trend(A.monthly(spark, d), ["location_id"], "period", "value", horizon_end=24072, degree=2)
-    return out.drop("lower", "upper")
+    return forecast.forecast_trend(A.monthly(spark, d), ["location_id"], "period", "value", horizon_end=24072, degree=2)
 
 
 @query("n6_forecast", f"WITH {A.DAILY_ALL}, {SEASONED}, {series_sql('mean')}, {SHORT_SQL} SELECT * FROM fc")
@@ -394,10 +400,12 @@ def c6(spark, d):
     return weather.discarded_radiation(A.table(spark, d, "events").select((F.col("value") * 10 - 100).alias("mrt")))
 
 
-@query("d9_hourly_frame", f"WITH {A.GRID_CITIES}, h AS (SELECT DISTINCT CAST((epoch_us(ts) // 1000000 + 2208988800) // 3600 AS INTEGER) AS hour FROM events WHERE user_id < 3) SELECT location_id, hour FROM places, h")
+@query("d9_hourly_frame", f"""WITH {A.GRID_CITIES}, h AS (SELECT location_id, min(hour) AS a, max(hour) AS b FROM (SELECT user_id AS location_id, CAST((epoch_us(ts) // 1000000 + 2208988800) // 3600 AS INTEGER) AS hour FROM events) GROUP BY 1)
+SELECT location_id, CAST(unnest(range(a, b + 1)) AS INTEGER) AS hour FROM places JOIN h USING (location_id)""")
 def d9(spark, d):
-    hours = A.table(spark, d, "events").where("user_id < 3").select(S.ts_to_hour(F.col("ts")).alias("hour")).distinct()
-    return weather.hourly_frame(A.grid_cities(spark, d), hours)
+    """The frame of each place, from its own first hour to its last."""
+    spans = A.table(spark, d, "events").groupBy(F.col("user_id").alias("location_id")).agg(F.min(S.ts_to_hour(F.col("ts"))).alias("a"), F.max(S.ts_to_hour(F.col("ts"))).alias("b"))
+    return weather.hourly_frame(A.grid_cities(spark, d).join(spans, "location_id"), F.col("a"), F.col("b"))
 
 
 # -- tables ---------------------------------------------------------------------------------------------
@@ -496,9 +504,12 @@ def a6(spark, d):
     return tables.export_excluding(A.daily(spark, d), "date", "1998-01-01", "1998-12-31").select("location_id", "date", "pet")
 
 
-@query("a7_partition_inventory")
+@query("a7_partition_inventory", f"WITH {A.DAILY} SELECT DISTINCT CAST(year(date) AS INTEGER) AS year, true AS listed, 'year=' || year(date) AS folder FROM daily")
 def a7(spark, d):
-    return history.partition_inventory(spark.read.parquet(_written(spark, d, "a7")[1]), ["year"])
+    """Each year's files by name: how many depends on their size, where they lie does not."""
+    found = history.partition_inventory(spark.read.parquet(_written(spark, d, "a7")[1]), ["year"])
+    folders = F.array_distinct(F.transform("files", lambda f: F.element_at(F.split(f, "/"), -2)))
+    return found.select(F.col("year").cast("int").alias("year"), (F.size("files") > 0).alias("listed"), F.array_join(folders, ",").alias("folder"))
 
 
 @query("a8_partition_keys", """WITH p AS (SELECT 'root/year=' || year(l_shipdate) || CASE WHEN l_linenumber % 2 = 0 THEN '/month=' || month(l_shipdate) ELSE '' END || CASE WHEN l_linenumber = 3 THEN '/tile_id=x' ELSE '/tile_id=' || (l_suppkey % 7) END || '/data.parquet' AS path FROM lineitem)
@@ -538,6 +549,13 @@ def f7(spark, d):
     return history.every_nth(rows, ["year", "location_id"], 1, 3).select("location_id", "date", "pet")
 
 
+@query("f7_selected_parts", f"WITH {A.DAILY}, k AS (SELECT DISTINCT year(date) AS y, location_id AS l FROM daily WHERE year(date) = 1996 AND location_id IN (0, 2, 3, 4)), c AS (SELECT y, l FROM k QUALIFY (row_number() OVER (ORDER BY y, l) - 1) % 2 = 0) SELECT location_id, date, pet FROM daily JOIN c ON y = year(date) AND l = location_id")
+def f7_filtered(spark, d):
+    rows = A.daily(spark, d).withColumn("year", F.year("date"))
+    some = (F.col("year") == 1996) & F.col("location_id").isin(0, 2, 3, 4)
+    return history.every_nth(rows, ["year", "location_id"], 0, 2, some).select("location_id", "date", "pet")
+
+
 @query("f9_time_buckets", "SELECT CAST((h - 1087008) // 168 AS INTEGER) AS bucket, count(*) AS n FROM (SELECT (epoch_us(ts) // 1000000 + 2208988800) // 3600 AS h FROM events) WHERE h >= 1087008 GROUP BY 1")
 def f9(spark, d):
     hours = A.table(spark, d, "events").select(S.ts_to_hour(F.col("ts")).alias("h")).where("h >= 1087008")
@@ -547,7 +565,7 @@ def f9(spark, d):
 @query("f6_factorise", "SELECT l_suppkey, l_linenumber, CAST(dense_rank() OVER (ORDER BY l_suppkey, l_linenumber) - 1 AS INTEGER) AS code FROM (SELECT DISTINCT l_suppkey, l_linenumber FROM lineitem)")
 def f6(spark, d):
     pairs = A.table(spark, d, "lineitem").select("l_suppkey", "l_linenumber").distinct()
-    return pairs.withColumn("code", (F.row_number().over(Window.orderBy("l_suppkey", "l_linenumber")) - 1).cast("int"))
+    return numbering.dense_ids(pairs, ["l_suppkey", "l_linenumber"], "code").withColumn("code", F.col("code").cast("int"))
 
 
 @query("c11_fixed_columns", f"WITH {A.HISTORY} SELECT CAST(location_id AS INTEGER) AS location_id, date, pet, CAST(NULL AS BIGINT) AS pet_avg FROM sources WHERE source = 0")
@@ -561,7 +579,7 @@ def c12(spark, d):
     return rows.groupBy("date", F.try_to_date(F.col("date"), "yyyy-MM-dd").alias("day")).agg(F.count("*").alias("n"))
 
 
-@query("n10_yearly_update")
+@query("n10_yearly_update", f"WITH {A.DAILY}, {SEASONED}, {STATS} SELECT * FROM stats")
 def n10(spark, d):
     """Clears a window, computes its days anew, upserts them and rebuilds the statistics."""
     scratch, path = _written(spark, d, "n10")

@@ -48,6 +48,12 @@ def shared_dir(spark: SparkSession) -> str:
     return re.sub(r"^file:/+", "file:///", whole).rstrip("/")
 
 
+def from_files(df: DataFrame) -> bool:
+    """Whether rows come straight from files, so that _metadata tells where each one lies."""
+    found = df._jdf.queryExecution().analyzed().metadataOutput()
+    return any(found.apply(i).name() == "_metadata" for i in range(found.size()))
+
+
 class Scratch:
     """Tables written once to the shared folder, so that a lost executor costs a re-read and not a re-computation."""
 
