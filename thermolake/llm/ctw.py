@@ -31,12 +31,11 @@ import pyarrow.compute as pc
 import pyarrow.dataset as pads
 from pyarrow import fs as pafs
 from pyspark import TaskContext
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from thermolake.llm import textkit
-from thermolake.session import Scratch
+from thermolake.session import Scratch, from_files
 
 DEPTH = 6
 END = 0xFF
@@ -506,15 +505,14 @@ def _score_batches(counted: str, valued: str, depth: int, tokens: int, distinct:
 def _blocks(scratch: Scratch, docs: DataFrame, learns: Column) -> DataFrame:
     """text, block, learns, doc_id: a block is a run of rows of one file, of about BLOCK_BYTES of text.
 
-    A row's place in its file names its block, so that it is the same whenever the files are read. Rows that
-    are not from such files are written once, with the number of their block.
+    A row's place in its parquet file names its block, so that it is the same whenever the files are read. Rows
+    that are not from files are written once, with the number of their block.
     """
     taught = F.coalesce(learns, F.lit(False)).alias("learns")
-    try:
-        placed = docs.select("text", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("nth"), taught, "doc_id")
-    except AnalysisException:
+    if not from_files(docs):
         doc_type = docs.schema["doc_id"].dataType.simpleString()
         return scratch.table(docs.select("text", taught, "doc_id").mapInArrow(_cut_batches(BLOCK_BYTES), f"text string, block long, learns boolean, doc_id {doc_type}"), "rows")
+    placed = docs.select("text", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("nth"), taught, "doc_id")
     # rows of a block: as many as give BLOCK_BYTES in the file of the longest texts
     mean = placed.groupBy("file").agg(F.avg(F.coalesce(F.octet_length("text"), F.lit(0))).alias("m")).agg(F.max("m")).first()[0]
     run = max(1, int(BLOCK_BYTES / max(1.0, mean or 0.0)))
