@@ -87,6 +87,11 @@ SHORT = {"min_periods": 3, "min_train": 2, "min_cv_errors": 1, "horizon_end": 20
 SHORT_SQL = trend_sql("location_id, season", 3, 2, 1, 2030)
 
 
+def _shared(spark, facts: DataFrame) -> DataFrame:
+    """Facts that a query uses twice, written once."""
+    return Scratch(spark, "facts").table(facts, "daily")
+
+
 # -- statistics and forecasts ---------------------------------------------------------------------------
 @query("n5_year_stats", f"WITH {A.DAILY}, {SEASONED}, {STATS} SELECT * FROM stats")
 def n5(spark, d):
@@ -195,14 +200,14 @@ loc AS (SELECT n_nationkey AS id, n_name AS city, r_name AS state FROM nation JO
   {_up("s.avg_pet - b.v", 2)} AS change_from_2000, {_up("s.avg_pet_avg - b.va", 2)} AS change_from_2000_avg
 FROM stats s JOIN loc l ON l.id = s.location_id LEFT JOIN fc f ON f.location_id = s.location_id AND f.season = s.season AND f.year = 2030 LEFT JOIN base b ON b.location_id = s.location_id AND b.season = s.season WHERE NOT s.location_id < 0""")
 def n8(spark, d):
-    facts = A.daily_all(spark, d)
+    facts = _shared(spark, A.daily_all(spark, d))
     places = A.table(spark, d, "nation").join(A.table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("city"), F.col("r_name").alias("state"))
     return stats.city_rankings(stats.year_stats(facts), forecast.forecast(facts, **SHORT), places, base_year=1998, horizon=2030)
 
 
 @query("f1_first_source", f"{_RANK} SELECT location_id, CAST(year AS SMALLINT) AS year, season, v, va FROM one")
 def f1(spark, d):
-    facts = A.daily_all(spark, d)
+    facts = _shared(spark, A.daily_all(spark, d))
     keys = ["location_id", "year", "season"]
     seen = stats.year_stats(facts).select(*keys, F.lit(0).alias("o"), F.col("avg_pet").alias("v"), F.col("avg_pet_avg").alias("va"))
     ahead = forecast.forecast(facts, **SHORT).select(*keys, F.lit(1).alias("o"), F.col("pet").alias("v"), F.col("pet").alias("va"))
@@ -637,7 +642,7 @@ def d1(spark, d):
 
 @query("d2_horizon_join", f"WITH {A.DAILY_ALL}, {SEASONED}, {STATS}, {series_sql('mean')}, {SHORT_SQL} SELECT s.year, s.season, f.lower AS future_lower, f.upper AS future_upper FROM stats s LEFT JOIN fc f ON f.location_id = s.location_id AND f.season = s.season AND f.year = 2030")
 def d2(spark, d):
-    facts = A.daily_all(spark, d)
+    facts = _shared(spark, A.daily_all(spark, d))
     far = forecast.forecast(facts, **SHORT).where("year = 2030").select("location_id", "season", F.col("lower").alias("future_lower"), F.col("upper").alias("future_upper"))
     return stats.year_stats(facts).join(far, ["location_id", "season"], "left").select("year", "season", "future_lower", "future_upper")
 
@@ -691,7 +696,7 @@ def g1(spark, d):
 
 @query("h1_tagged_union", f"WITH {A.DAILY_ALL}, {SEASONED}, {STATS}, {series_sql('mean')}, {SHORT_SQL} SELECT year, season, 0 AS source_order, avg_pet AS pet FROM stats UNION ALL SELECT year, season, 1, pet FROM fc")
 def h1(spark, d):
-    facts = A.daily_all(spark, d)
+    facts = _shared(spark, A.daily_all(spark, d))
     seen = stats.year_stats(facts).select("year", "season", F.lit(0).alias("source_order"), F.col("avg_pet").alias("pet"))
     return seen.unionByName(forecast.forecast(facts, **SHORT).select("year", "season", F.lit(1).alias("source_order"), "pet"))
 

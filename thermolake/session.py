@@ -60,18 +60,26 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str) -> None:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+        self.names: set[str] = set()
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def table(self, df: DataFrame, name: str, level: int = 3) -> DataFrame:
         df.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", level).parquet(self.path(name))
+        self.names.add(name)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, name: str) -> None:
         jvm = self.spark.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(self.path(name))
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        self.names.discard(name)
+
+    def keep(self, *names: str) -> None:
+        """Deletes all tables but these: what is still to be read."""
+        for name in self.names - set(names):
+            self.drop(name)
 
 
 #: Bytes of rows that go to a Python worker at once: texts differ in length by orders of magnitude, so rows are no measure.
