@@ -562,6 +562,8 @@ def score_corpus(docs: DataFrame, learns: Column, depth: int = DEPTH) -> DataFra
     answers = dealt(everything, "kind").mapInArrow(textkit.lean(_answer_batches(depth)), ROWS)
     answers.repartition(parts, "block").write.partitionBy("block").option("compression", "uncompressed").parquet(valued)
 
+    scratch.drop("sent")
+    scratch.drop("middle")
     size = words.mapInArrow(_word_totals, "total long, known long").agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("known"), F.lit(0))).first()
     ends = rows.where("learns").count()
     tokens, distinct = int(size[0]) + ends, int(size[1]) + (ends > 0)

@@ -49,15 +49,14 @@ def _probe(shingled: DataFrame, keys: DataFrame, n_keys: int, reach: int) -> Dat
     return at.withColumn("hit", F.expr(f"transform(at, i -> named_struct('pos', i, 'key', sh[i], 'low', greatest(i - {reach}, 0), 'near', {near}))"))
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", scratch: Scratch | None = None) -> DataFrame:
     """doc_id, text_key (a hash of the text), n_words, n_hit, n_items, items (sorted ids as strings) of every document.
 
     Null and empty texts have no words. Rows equal in id and text give one row; texts of one id, or of none, one
     each. A text of any length is searched whole. With an empty benchmark all counts of hits are 0, and an empty
     table gives no rows. Further columns, whatever their names, are not read.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "decontaminate")
+    scratch = scratch or Scratch(docs.sparkSession, "decontaminate")
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), word_array(F.col(item_text)).alias("w")).where(F.size("w") > 0)
     windows = items.select("item", F.expr(f"explode(transform(sequence(0, greatest(size(w) - {width}, 0)), i -> slice(w, i + 1, {width})))").alias("win")).distinct()
     windows = scratch.table(windows.withColumn("win_id", F.xxhash64("win")), "windows")
@@ -98,6 +97,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, id_col
     ok = F.when(inside, same).otherwise(False)
     hits = joined.select("doc_id", "text_key", "n_words", F.when(ok, begin).alias("begin"), F.when(ok, begin + F.size("win")).alias("end"), F.when(ok, F.col("win_id")).alias("win_id"))
     hits = scratch.table(hits.distinct(), "hits")
+    scratch.keep("hits", "windows")
 
     key = ["doc_id", "text_key"]
     docs_seen = hits.groupBy(*key).agg(F.max("n_words").cast("long").alias("n_words"))
@@ -119,9 +119,12 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **kw) -> DataFrame:
     Every row goes or stays by its text alone, so that a clean text stays though another one of its id goes.
     """
     key = fresh(docs, "text_key")
-    found = contamination(docs, benchmark, **kw).where("n_hit > 0").select(F.col("text_key").alias(key))
+    scratch = Scratch(docs.sparkSession, "decontaminate")
+    found = contamination(docs, benchmark, scratch=scratch, **kw).where("n_hit > 0").select(F.col("text_key").alias(key))
     keyed = docs.withColumn(key, F.xxhash64("text"))
-    return by_ids(Scratch(docs.sparkSession, "contaminated"), keyed, found, "left_anti", "found", key).select(*docs.columns)
+    left = by_ids(Scratch(docs.sparkSession, "contaminated"), keyed, found, "left_anti", "found", key).select(*docs.columns)
+    scratch.keep()
+    return left
 
 
 def op5_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -330,6 +330,7 @@ def spans_of(scratch: Scratch, keyed: DataFrame, width: int, rank_bits: int = 64
     scratch.drop("windows")
     scratch.drop("matched")
     held = scratch.table(verified(scratch, texts, matches, width), "held")
+    scratch.keep("held")
     # first occurrences that begin at one word lie in the longest of them
     firsts = held.groupBy("of_id", "of_sub", "of_begin").agg(F.max("n").alias("n")).select(F.col("of_id").alias("doc_id"), F.col("of_sub").alias("sub"), F.col("of_begin").alias("begin"), "n", F.lit(True).alias("first"))
     both = held.select(*ROW, "begin", "n", F.lit(False).alias("first")).unionByName(firsts)
@@ -364,8 +365,10 @@ def drop_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     sub, spans = fresh(docs, "sub"), fresh(docs, "spans")
     keyed = row_keys(scratch, docs, sub)
     plain = keyed.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(sub).alias("sub"), "text").where("doc_id is not null")
-    later = spans_of(scratch, plain, width).where("later").groupBy(*ROW).agg(F.collect_list(F.struct("begin", "end")).alias(spans))
+    own = Scratch(docs.sparkSession, "suffixes")
+    later = spans_of(own, plain, width).where("later").groupBy(*ROW).agg(F.collect_list(F.struct("begin", "end")).alias(spans))
     later = scratch.table(later.withColumnRenamed("sub", sub), "spans")
+    own.keep()
     rest = [c for c in docs.columns if c != "text"]
     key = ["doc_id", sub]
     marked = by_ids(scratch, keyed, later, "left_semi", "marked", key).join(later, key).select(*rest, "text", spans)

@@ -151,7 +151,7 @@ def _open_pairs(percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str = "doc_id", text_col: str = "text", scratch: Scratch | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document.
 
     Documents are linked when 100 * intersection >= percent * union of their sets of k-word shingles
@@ -161,8 +161,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str
     null, it is kept, and it has no say in the groups of the others. A text of any length is one row of a
     task's memory. An empty table gives no rows. Other columns are not read, so that they may have any name.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "near")
+    scratch = scratch or Scratch(docs.sparkSession, "near")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sketch = scratch.table(texts.mapInArrow(textkit.lean(_sketch_batches(k)), "doc_id long, n_shingles long, mark_a long, mark_b long, bands array<long>"), "sketch")
     full = sketch.where("n_shingles > 0 and doc_id is not null")
@@ -198,6 +197,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str
     named = reps.join(comps, reps["rep"] == comps["node"], "left").select("mark_a", "mark_b", "n_shingles", F.coalesce("component", "rep").alias("component"))
     if joined is not None:
         named = named.join(joined.toDF("component", "last"), "component", "left").select("mark_a", "mark_b", "n_shingles", F.coalesce("last", "component").alias("component"))
+    named = scratch.table(named, "named")
+    scratch.keep("sketch", "named")
     out = sketch.join(named, ["mark_a", "mark_b", "n_shingles"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
@@ -269,8 +270,11 @@ def keep_one(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame:
 
     A document is all rows of its id: see near_duplicates.
     """
-    gone = near_duplicates(docs, percent, k).where("not kept")
-    return by_ids(Scratch(docs.sparkSession, "copies"), docs, gone, "left_anti", "gone")
+    scratch = Scratch(docs.sparkSession, "near")
+    gone = near_duplicates(docs, percent, k, scratch=scratch).where("not kept")
+    left = by_ids(Scratch(docs.sparkSession, "copies"), docs, gone, "left_anti", "gone")
+    scratch.keep()
+    return left
 
 
 def op2_superminhash(spark, sf_dir: str) -> DataFrame:

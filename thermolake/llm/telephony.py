@@ -245,4 +245,6 @@ def op8_telephony(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     scratch = Scratch(spark, "telephony")
     stored = scratch.table(media_column(docs), "media", LEVEL)
-    return features(scratch.table(resampled(stored), "pcm", LEVEL))
+    pcm = scratch.table(resampled(stored), "pcm", LEVEL)
+    scratch.keep("pcm")
+    return features(pcm)
