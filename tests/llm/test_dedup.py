@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 
 from thermolake.llm import components as graph
-from thermolake.llm import suffixdedup, superminhash, textkit
+from thermolake.llm import ids, suffixdedup, superminhash, textkit
 from thermolake.llm.components import components
 from thermolake.session import Scratch
 
@@ -143,9 +143,9 @@ def test_texts_of_one_id_are_one_document(spark):
 
 @pytest.mark.parametrize("seed,bits", [(3, 64), (4, 64), (3, 3), (4, 9)])
 def test_repeats_equal_brute_force(docs_of, seed, bits):
-    """Also where most hashes of windows collide, and only the words tell them apart."""
+    """Also where most hashes of suffixes collide, and only the words tell passages apart."""
     t = texts(seed)
-    spans = suffixdedup.repeated_spans(docs_of(t), rank_bits=bits).collect()
+    spans = suffixdedup.repeated_spans(docs_of(t), bits=bits).collect()
     got = {}
     for r in spans:
         a, b = got.get(r.doc_id, (0, 0))
@@ -171,12 +171,29 @@ def test_repeats_with_repeated_ids(spark):
 
 
 def test_one_run_over_many_partitions(spark):
-    """A passage of nearly all rows: its first occurrence is found across partitions that hold nothing else."""
+    """A passage of nearly all rows, over partitions that hold nothing else: one row is its first."""
     rows = [(7, i, 0, i % 3) for i in range(500)] + [(9, 1, 0, 5), (11, 2, 0, 9), (11, 3, 0, 1)]
-    found = suffixdedup.runs(Scratch(spark, "t"), spark.createDataFrame(rows, "k0 long, doc_id long, sub long, pos int"), 1, "r").collect()
-    assert len(found) == 502
-    assert all((r.of_id, r.of_pos, r.first) == ((0, 0, r.doc_id == 0) if r.pos < 3 and (r.doc_id, r.pos) != (3, 1) else (2, 9, r.doc_id == 2)) for r in found if not (r.doc_id in (2, 3) and r.pos in (9, 1)))
-    assert {(r.doc_id, r.pos, r.of_id, r.of_pos) for r in found if r.of_id == 2} == {(2, 9, 2, 9), (3, 1, 2, 9)}
+    found = suffixdedup.repeated_neighbours(Scratch(spark, "t"), spark.createDataFrame(rows, "k0 long, doc_id long, sub long, pos int"), 1, "r").collect()
+    assert len(found) == 502 and {(r.doc_id, r.pos) for r in found if r.first} == {(0, 0), (2, 9)}
+
+
+def test_words_of_windows_whatever_parts_them():
+    flat = np.frombuffer(b" A\n\nbc  d\tEf gh i", np.uint8)
+    words = textkit.split_words(flat, np.array([0, 8, 12, len(flat)]))
+    data, starts, ends = suffixdedup._one_blank(flat, words)
+    assert [data[a:b] for a, b in zip(starts, ends, strict=True)] == [b"a", b"bc", b"d", b"ef", b"gh", b"i"]
+    assert data[starts[0] : ends[1]] == b"a bc" and data[starts[4] : ends[5]] == b"gh i"
+
+
+def test_ids_beyond_the_broadcast_are_joined(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(ids, "BROADCAST_IDS", 0)
+    p = " ".join(f"w{i}" for i in range(55))
+    docs = docs_of([f"first {p} tail one", f"Second\n{p}  end of it", p, "clean text", None, ""])
+    assert {r.doc_id: r.text for r in suffixdedup.drop_repeats(docs).collect()} == {0: f"first {p} tail one", 1: "Second\n  end of it", 3: "clean text", 4: None, 5: ""}
+    docs = docs_of(["a b c d e f", "A b c d e f", None, None, "x y"])
+    assert {r.doc_id for r in superminhash.keep_one(docs).collect()} == {0, 2, 3, 4}
+    keyed = ids.row_keys(Scratch(spark, "t"), spark.createDataFrame([(1, "a"), (1, "b"), (2, "a"), (None, "a"), (None, "b")], "doc_id long, text string"), "sub")
+    assert [r.sub == 0 for r in keyed.orderBy("doc_id", "text").collect()] == [True, True, False, False, True]
 
 
 def test_fifty_words_are_the_least(docs_of):

@@ -6,10 +6,11 @@ keep the same suffixes. Kept suffixes are sorted over the cluster in the order o
 of the first eight, then one hash of the others up to the `prefix` that counts) and compared with their
 neighbours; those that share the prefix with a neighbour stay.
 
-Matches are then extended to the left and right: each `width`-word window around such a suffix that its
-minimiser stands for is compared with the first of its kind in the order of (document, position). Windows that
-follow each other here and there are one match. A match holds where a SHA-256 of the words themselves says so on
-either side; the windows of one that does not are sorted out by digests of their own.
+Matches are then extended to the left and right, to each `width`-word window around such a suffix that its
+minimiser stands for. Windows are sorted by a cryptographic digest of their words (128 bits of BLAKE2b, over the
+words' bytes themselves) and compared with their neighbours in the same way: what is found to be equal, and so
+may be cut, never rests on the hashes that led there. The first of a run of equal windows, in the order of
+(document, position), is the passage's first occurrence.
 
 Any window of `width` words has its minimiser among its first REACH positions, and REACH - 1 + prefix words
 fit into it, so equal windows always come together: no repeated passage of `width` words or more is missed.
@@ -22,7 +23,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -37,7 +37,8 @@ REACH = 20
 #: What tells texts apart: the id, and a number where texts share one.
 ROW = ["doc_id", "sub"]
 PLACE = "doc_id long, sub long, pos int"
-MATCH = "doc_id long, sub long, begin int, n int, of_id long, of_sub long, of_begin int"
+#: Bits of the hashes that lead to windows; fewer of them lead to more windows, and to the same results.
+BITS = 64
 
 
 def _anchors(hashes: np.ndarray, rows: np.ndarray, width: int, reach: int) -> tuple[np.ndarray, np.ndarray]:
@@ -72,21 +73,33 @@ def _placed(piece: pa.RecordBatch, words: textkit.Words, at: np.ndarray) -> list
     return [piece.column(0).take(pa.array(row)), piece.column(1).take(pa.array(row)), pa.array((at - words.rows[row]).astype(np.int32))]
 
 
-def _suffix_batches(width: int, reach: int):
-    prefix = width - reach + 1
+def _suffix_batches(width: int, reach: int, bits: int):
+    prefix, shift = width - reach + 1, np.int64(64 - bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece, flat, offsets in textkit.chunked(batches, "text"):
             words = textkit.split_words(flat, offsets)
             _, anchor = _anchors(words.hashes, words.rows, width, reach)
             anchor = np.unique(anchor)
-            rest = textkit.shingle_hashes(words.hashes, prefix - 8)[anchor + 8]
-            yield pa.RecordBatch.from_arrays([pa.array(_four_words(words.hashes, anchor)), pa.array(_four_words(words.hashes, anchor + 4)), pa.array(rest.view(np.int64)), *_placed(piece, words, anchor)], names=["k0", "k1", "k2", *ROW, "pos"])
+            keys = _four_words(words.hashes, anchor), _four_words(words.hashes, anchor + 4), textkit.shingle_hashes(words.hashes, prefix - 8)[anchor + 8].view(np.int64)
+            yield pa.RecordBatch.from_arrays([*(pa.array(k >> shift) for k in keys), *_placed(piece, words, anchor)], names=["k0", "k1", "k2", *ROW, "pos"])
 
     return run
 
 
-def _window_batches(width: int, reach: int, bits: int):
+def _one_blank(flat: np.ndarray, words: textkit.Words) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """The words with A-Z lowered and one blank after each, and where each begins and ends."""
+    inside = np.zeros(len(flat) + 1, np.int8)
+    inside[words.starts] += 1
+    inside[words.ends] -= 1
+    low = np.append(np.where(np.cumsum(inside[:-1]) > 0, textkit.LOWER[flat], 0x20), 0x20).astype(np.uint8)
+    keep = np.append(np.cumsum(inside[:-1]) > 0, False)
+    keep[words.ends] = True  # what stands after a word, be it another row's first byte
+    place = np.cumsum(keep) - 1
+    return low[keep].tobytes(), place[words.starts], place[words.ends - 1] + 1
+
+
+def _window_batches(width: int, reach: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece, flat, offsets in textkit.chunked(batches, "text"):
             words = textkit.split_words(flat, offsets)
@@ -96,59 +109,51 @@ def _window_batches(width: int, reach: int, bits: int):
             owner = np.repeat(np.arange(piece.num_rows), np.diff(places.offsets.to_numpy()))
             kept[words.rows[owner] + places.flatten().to_numpy()] = True
             begin = begin[kept[anchor]]
-            rank = textkit.shingle_hashes(words.hashes, width)[begin] >> np.uint64(64 - bits)
-            yield pa.RecordBatch.from_arrays([pa.array(rank.view(np.int64)), *_placed(piece, words, begin)], names=["k0", *ROW, "pos"])
+            data, starts, ends = _one_blank(flat, words)
+            view, digest = memoryview(data), hashlib.blake2b
+            found = b"".join([digest(view[a:b], digest_size=16).digest() for a, b in zip(starts[begin].tolist(), ends[begin + width - 1].tolist(), strict=True)])
+            keys = np.frombuffer(found, "<i8").reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(keys[:, 0]), pa.array(keys[:, 1]), *_placed(piece, words, begin)], names=["k0", "k1", *ROW, "pos"])
 
     return run
 
 
-def _run_batches(n_keys: int):
-    """Compares each row of a sorted partition with the one before.
+def _neighbour_batches(n_keys: int):
+    """Compares each row of a sorted partition with its neighbours: first of a run, last of a run; the partition's edges are marked.
 
-    Gives each row's run leader, whether it is the first and last of its run, whether it lies in the partition's
-    first run, and whether it is the partition's first or last row. Runs of one row are left out elsewhere.
+    Runs of one row are left out, but for edges.
     """
-    names = [*[f"k{i}" for i in range(n_keys)], *ROW, "pos", "of_id", "of_sub", "of_pos", "first", "last", "opening", "edge", "part"]
+    names = [*[f"k{i}" for i in range(n_keys)], *ROW, "pos", "first", "last", "edge"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        held = None  # the row that has no next one yet: its columns, its leader, and its flags
-
-        def out(columns, of, flags):
-            return pa.RecordBatch.from_arrays([*map(pa.array, (*columns, *of, *flags)), pa.array(np.full(len(flags[0]), part, np.int32))], names=names)
+        held = None  # the row that has no next one yet: its columns, whether it is first, whether it is an edge
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             columns = [c.to_numpy() for c in batch.columns]
-            if held is None:
-                lead, first, opening, edge = [c[:1] for c in columns[n_keys:]], True, True, True
-            else:
+            first, edge = True, True
+            if held is not None:
                 columns = [np.append(h, c) for h, c in zip(held[0], columns, strict=True)]
-                lead, first, opening, edge = held[1:]
-            n = len(columns[0])
-            same = np.ones(n - 1, bool)
+                first, edge = held[1:]
+            same = np.ones(len(columns[0]) - 1, bool)
             for k in columns[:n_keys]:
                 same &= k[1:] == k[:-1]
-            first = np.append(first, ~same)
-            at = np.maximum.accumulate(np.where(first, np.arange(n), -1))  # where the leader is; -1: not among these rows
-            of = [np.where(at >= 0, c[at], one) for c, one in zip(columns[n_keys:], lead, strict=True)]
-            opening = opening & (np.cumsum(np.append(False, ~same)) == 0)
-            last = np.append(~same, True)
-            edge = np.append(edge, np.zeros(n - 1, bool))
+            first, last = np.append(first, ~same), np.append(~same, True)
+            edge = np.append(edge, np.zeros(len(same), bool))
             keep = edge | ~(first & last)
             keep[-1] = False
             if keep.any():
-                yield out([c[keep] for c in columns], [o[keep] for o in of], [f[keep] for f in (first, last, opening, edge)])
-            held = [c[-1:] for c in columns], [o[-1:] for o in of], bool(first[-1]), bool(opening[-1]), bool(edge[-1])
+                yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (*columns, first, last, edge)], names=names)
+            held = [c[-1:] for c in columns], bool(first[-1]), bool(edge[-1])
         if held is not None:
-            yield out(held[0], held[1], [np.array([f]) for f in (held[2], True, held[3], True)])
+            yield pa.RecordBatch.from_arrays([*map(pa.array, held[0]), *(pa.array([f]) for f in (held[1], True, True))], names=names)
 
     return run
 
 
-def runs(scratch: Scratch, rows: DataFrame, n_keys: int, label: str) -> DataFrame:
-    """doc_id, sub, pos, of_id, of_sub, of_pos, first of the rows (keys k0.., doc_id, sub, pos) whose keys occur more than once; of_: their first occurrence.
+def repeated_neighbours(scratch: Scratch, rows: DataFrame, n_keys: int, label: str) -> DataFrame:
+    """doc_id, sub, pos, first of the rows (keys k0.., doc_id, sub, pos) whose keys occur more than once.
 
     Rows are range-partitioned by all columns, so that a key with a third of all rows spreads over
     partitions; only the two outermost rows of each partition meet in one place.
@@ -157,119 +162,25 @@ def runs(scratch: Scratch, rows: DataFrame, n_keys: int, label: str) -> DataFram
     keys = [f"k{i}" for i in range(n_keys)]
     order = [*keys, *ROW, "pos"]
     ranked = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    kinds = ", ".join([*[f"{k} long" for k in keys], PLACE, "of_id long, of_sub long, of_pos int, first boolean, last boolean, opening boolean, edge boolean, part int"])
-    compared = scratch.table(ranked.select(*order).mapInArrow(textkit.lean(_run_batches(n_keys)), kinds), label)
-    beside = Window.orderBy(*order)  # two rows for each partition
-    key = F.struct(*keys)
-    goes_on = F.coalesce(F.lag(key).over(beside) == key, F.lit(False))
-    leader = F.struct("of_id", "of_sub", "of_pos")
-    edges = compared.where("edge").withColumn("goes_on", goes_on).withColumn("last", F.col("last") & ~F.coalesce(F.lead(key).over(beside) == key, F.lit(False)))
-    edges = edges.withColumn("lead", F.last(F.when(~F.col("goes_on"), leader), ignorenulls=True).over(beside.rowsBetween(Window.unboundedPreceding, 0)))
-    edges = scratch.table(edges, f"{label}_edges")
-    # where a partition's first run began in an earlier one
-    begun = edges.where("opening and goes_on").groupBy("part").agg(F.min("lead").alias("earlier"))
-    inner = compared.where("not edge").join(F.broadcast(begun), "part", "left").withColumn("earlier", F.when(F.col("opening"), F.col("earlier")))
-    inner = inner.select(*ROW, "pos", F.coalesce("earlier", leader).alias("of"), (F.col("first") & F.col("earlier").isNull()).alias("first"), "last")
-    outer = edges.select(*ROW, "pos", F.col("lead").alias("of"), (F.col("first") & ~F.col("goes_on")).alias("first"), "last")
-    found = inner.unionByName(outer).where("not (first and last)")
-    return found.select(*ROW, "pos", "of.of_id", "of.of_sub", "of.of_pos", "first")
-
-
-def _match_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Joins windows, sorted by text and position, that follow each other in a text and in their leaders' text."""
-    held = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [c.to_numpy() for c in batch.columns]  # doc_id, sub, pos, of_id, of_sub, of_pos
-        new = np.ones(len(columns[0]), bool)
-        new[1:] = ~((columns[2][1:] == columns[2][:-1] + 1) & (columns[5][1:] == columns[5][:-1] + 1))
-        for c in (columns[0], columns[1], columns[3], columns[4]):
-            new[1:] |= c[1:] != c[:-1]
-        at = np.flatnonzero(new)
-        sizes = np.diff(np.append(at, len(new)))
-        rows = [c[at] for c in columns]
-        if held is not None:
-            goes_on = all(h[-1] == r[0] for h, r in zip((held[0], held[1], held[4], held[5]), (rows[0], rows[1], rows[3], rows[4]), strict=True)) and held[2][-1] + held[3][-1] == rows[2][0] and held[6][-1] + held[3][-1] == rows[5][0]
-            if goes_on:
-                sizes[0] += held[3][-1]
-                rows[2][0], rows[5][0] = held[2][-1], held[6][-1]
-            else:
-                yield _matches(held)
-        whole = [rows[0], rows[1], rows[2], sizes.astype(np.int32), rows[3], rows[4], rows[5]]
-        if len(at) > 1:
-            yield _matches([c[:-1] for c in whole])
-        held = [c[-1:] for c in whole]
-    if held is not None:
-        yield _matches(held)
-
-
-def _matches(columns: list[np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=[f.split()[0] for f in MATCH.split(", ")])
-
-
-def _digest_batches(width: int):
-    """SHA-256 of the words of each extent (begin, n windows) of a row."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece, flat, offsets in textkit.chunked(batches, "text"):
-            found = []
-            for i, extents in enumerate(piece.column(3).to_pylist()):
-                low = textkit.LOWER[flat[offsets[i] : offsets[i + 1]]]
-                starts, ends, _ = textkit.find_words(low, np.array([0, len(low)]))
-                data = low.tobytes()
-                for e in extents:
-                    words = data[int(starts[e["begin"]]) : int(ends[e["begin"] + e["n"] + width - 2])].split()
-                    found.append((i, e["begin"], e["n"], hashlib.sha256(b" ".join(words)).digest()))
-            row = pa.array([f[0] for f in found], pa.int64())
-            yield pa.RecordBatch.from_arrays([piece.column(0).take(row), piece.column(1).take(row), *(pa.array([f[k] for f in found], t) for k, t in ((1, pa.int32()), (2, pa.int32()), (3, pa.binary())))], names=[*ROW, "begin", "n", "digest"])
-
-    return run
-
-
-def _digests(scratch: Scratch, texts: DataFrame, extents: DataFrame, width: int, label: str) -> DataFrame:
-    """Adds the digest of its words to each distinct extent (doc_id, sub, begin, n)."""
-    by_text = scratch.table(extents.distinct().groupBy(*ROW).agg(F.collect_list(F.struct("begin", "n")).alias("extents")), f"{label}_extents")
-    chosen = by_ids(scratch, texts, by_text, "left_semi", f"{label}_texts", ROW).join(by_text, ROW).select(*ROW, "text", "extents")
-    return scratch.table(chosen.mapInArrow(textkit.lean(_digest_batches(width)), "doc_id long, sub long, begin int, n int, digest binary"), f"{label}_digests")
-
-
-def verified(scratch: Scratch, texts: DataFrame, matches: DataFrame, width: int) -> DataFrame:
-    """The matches whose words are the same on either side; of the others, those of their windows that are repeated."""
-    own = ["doc_id", "sub", "begin", "n"]
-    source = matches.select(F.col("of_id").alias("doc_id"), F.col("of_sub").alias("sub"), F.col("of_begin").alias("begin"), "n")
-    digests = _digests(scratch, texts, matches.select(*own).unionByName(source), width, "match")
-    signed = scratch.table(matches.join(digests, own), "signed")
-    # one row for each passage and digest first, so that a passage of a third of all texts does not meet in one task
-    claims = signed.groupBy("of_id", "of_sub", "of_begin", "n", "digest").agg(F.count("*").alias("claims"))
-    truth = digests.select(F.col("doc_id").alias("of_id"), F.col("sub").alias("of_sub"), F.col("begin").alias("of_begin"), "n", F.col("digest").alias("true_digest"))
-    wrong = scratch.table(claims.join(truth, ["of_id", "of_sub", "of_begin", "n"]).where("digest <> true_digest").drop("claims", "true_digest"), "wrong")
-    plain = signed.drop("digest")
-    if not wrong.limit(1).count():
-        return plain
-    on = ["of_id", "of_sub", "of_begin", "n", "digest"]
-    failed = signed.join(wrong, on, "left_semi")
-    windows = lambda begin, *key: failed.select(*key, F.explode(F.sequence(F.col(begin), F.col(begin) + F.col("n") - 1)).alias("begin"))
-    every = windows("begin", *ROW).unionByName(windows("of_begin", F.col("of_id").alias("doc_id"), F.col("of_sub").alias("sub"))).withColumn("n", F.lit(1))
-    single = _digests(scratch, texts, every, width, "window").withColumn("place", F.struct(*ROW, "begin"))
-    firsts = single.groupBy("digest").agg(F.min("place").alias("of"))
-    again = single.join(firsts, "digest").where("place <> of").select(*own, F.col("of.doc_id").alias("of_id"), F.col("of.sub").alias("of_sub"), F.col("of.begin").alias("of_begin"))
-    return signed.join(wrong, on, "left_anti").select(*plain.columns).unionByName(again.select(*plain.columns))
+    kinds = ", ".join([*[f"{k} long" for k in keys], PLACE, "first boolean, last boolean, edge boolean"])
+    compared = scratch.table(ranked.select(*order).mapInArrow(textkit.lean(_neighbour_batches(n_keys)), kinds), label)
+    beside, key = Window.orderBy(*order), F.struct(*keys)  # two rows for each partition
+    edges = compared.where("edge").withColumn("first", F.col("first") & ~F.coalesce(F.lag(key).over(beside) == key, F.lit(False))).withColumn("last", F.col("last") & ~F.coalesce(F.lead(key).over(beside) == key, F.lit(False)))
+    return compared.where("not edge").unionByName(edges).where("not (first and last)").select(*ROW, "pos", "first")
 
 
 def _span_batches(width: int):
-    """Merges a text's windows (begin, n), sorted by text, into spans; those that hold a first occurrence apart."""
+    """Merges a text's windows, sorted by text and position, into spans; those that hold a first occurrence apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text, rows = None, []
 
         def emit():
-            begin, end, first = (np.concatenate(c) for c in zip(*rows, strict=True))
-            end = end + begin + width - 1
-            cover = np.zeros((2, int(end.max()) + 1), np.int32)
-            for k, some in enumerate((np.ones(len(first), bool), first)):
-                np.add.at(cover[k], begin[some], 1)
-                np.add.at(cover[k], end[some], -1)
+            pos, first = (np.concatenate(c) for c in zip(*rows, strict=True))
+            cover = np.zeros((2, int(pos[-1]) + width + 1), np.int32)
+            for k, some in enumerate((pos, pos[first])):
+                np.add.at(cover[k], some, 1)
+                np.add.at(cover[k], some + width, -1)
             covered = np.cumsum(cover, axis=1) > 0
             found = []
             for mask in (covered[0], covered[0] & ~covered[1]):
@@ -280,7 +191,7 @@ def _span_batches(width: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids, subs, *rest = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+            ids, subs, *rest = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
             cuts = np.concatenate([[0], np.flatnonzero((ids[1:] != ids[:-1]) | (subs[1:] != subs[:-1])) + 1, [len(ids)]])
             for a, b in zip(cuts, cuts[1:], strict=False):
                 if (ids[a], subs[a]) != text:
@@ -294,7 +205,7 @@ def _span_batches(width: int):
     return run
 
 
-def repeated_spans(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text", rank_bits: int = 64) -> DataFrame:
+def repeated_spans(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS) -> DataFrame:
     """doc_id, sub, begin, end, later: spans of words (white space parts them, A-Z lowered) that lie in repeated windows.
 
     Spans with later = false are all that repeats. Spans with later = true are the parts of them that occur
@@ -302,39 +213,30 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id",
     Repeats within a text count. Null, empty and shorter texts have no spans, nor have rows without an id. sub
     tells the texts of one id apart (0 where it has only one); rows equal in id and text count once. Texts
     of any length are looked at whole. Other columns are not read, so that they may have any name; an empty
-    table gives no rows. rank_bits: bits of the windows' hashes that are compared before their words are;
-    results do not depend on it.
+    table gives no rows. bits: see BITS.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "suffixes")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
     keyed = row_keys(scratch, texts, "sub")
-    return spans_of(scratch, keyed, width, rank_bits)
+    return spans_of(scratch, keyed, width, bits)
 
 
-def spans_of(scratch: Scratch, keyed: DataFrame, width: int, rank_bits: int = 64) -> DataFrame:
+def spans_of(scratch: Scratch, keyed: DataFrame, width: int, bits: int = BITS) -> DataFrame:
     """repeated_spans of a table doc_id, sub, text with keys by row_keys."""
     again = keyed.where("sub <> 0").dropDuplicates(ROW)
     texts = keyed.where("sub = 0").unionByName(again).select(*ROW, "text")
-    suffixes = texts.mapInArrow(textkit.lean(_suffix_batches(width, REACH)), f"k0 long, k1 long, k2 long, {PLACE}")
-    seeds = runs(scratch, scratch.table(suffixes, "suffixes"), 3, "compared")
+    suffixes = scratch.table(texts.mapInArrow(textkit.lean(_suffix_batches(width, REACH, bits)), f"k0 long, k1 long, k2 long, {PLACE}"), "suffixes")
+    seeds = repeated_neighbours(scratch, suffixes, 3, "compared")
     places = scratch.table(seeds.groupBy(*ROW).agg(F.collect_set("pos").alias("places")), "places")
     scratch.drop("suffixes")
     scratch.drop("compared")
     chosen = by_ids(scratch, texts, places, "left_semi", "chosen", ROW).join(places, ROW).select(*ROW, "text", "places")
-    windows = scratch.table(chosen.mapInArrow(textkit.lean(_window_batches(width, REACH, rank_bits)), f"k0 long, {PLACE}"), "windows")
-    later = runs(scratch, windows, 1, "matched").where("not first")
+    windows = scratch.table(chosen.mapInArrow(textkit.lean(_window_batches(width, REACH)), f"k0 long, k1 long, {PLACE}"), "windows")
+    repeated = repeated_neighbours(scratch, windows, 2, "matched")
+    scratch.keep("matched")
     parts = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    lined = later.select(*ROW, "pos", "of_id", "of_sub", "of_pos").repartition(parts, *ROW).sortWithinPartitions(*ROW, "pos")
-    matches = scratch.table(lined.mapInArrow(textkit.lean(_match_batches), MATCH), "matches")
-    scratch.drop("windows")
-    scratch.drop("matched")
-    held = scratch.table(verified(scratch, texts, matches, width), "held")
-    scratch.keep("held")
-    # first occurrences that begin at one word lie in the longest of them
-    firsts = held.groupBy("of_id", "of_sub", "of_begin").agg(F.max("n").alias("n")).select(F.col("of_id").alias("doc_id"), F.col("of_sub").alias("sub"), F.col("of_begin").alias("begin"), "n", F.lit(True).alias("first"))
-    both = held.select(*ROW, "begin", "n", F.lit(False).alias("first")).unionByName(firsts)
-    return both.repartition(parts, *ROW).sortWithinPartitions(*ROW, "begin").mapInArrow(textkit.lean(_span_batches(width)), "doc_id long, sub long, begin int, end int, later boolean")
+    return repeated.repartition(parts, *ROW).sortWithinPartitions(*ROW, "pos").mapInArrow(textkit.lean(_span_batches(width)), "doc_id long, sub long, begin int, end int, later boolean")
 
 
 def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
