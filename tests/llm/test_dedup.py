@@ -45,8 +45,10 @@ def test_ranks_of_one_element_are_a_permutation():
     assert sorted(np.floor(out)) == list(range(superminhash.SLOTS))
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_groups_equal_all_pairs(docs_of, seed):
+@pytest.mark.parametrize("seed,many", [(1, 1000), (2, 1000), (2, 2)])
+def test_groups_equal_all_pairs(docs_of, monkeypatch, seed, many):
+    """many: the pairs that make a centre one that is copied."""
+    monkeypatch.setattr(superminhash, "HUB_EDGES", many)
     t = texts(seed)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in superminhash.near_duplicates(docs_of(t), 80, 4).collect()}
     assert got == brute.near(list(enumerate(t)), 4, 80)

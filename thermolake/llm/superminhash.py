@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from thermolake.llm import textkit
-from thermolake.llm.components import components
+from thermolake.llm.components import HUB_EDGES, MOST_HUBS, components
 from thermolake.llm.ids import by_ids
 from thermolake.session import Scratch
 
@@ -32,6 +32,8 @@ BANDS, BAND_SLOTS = 32, 4
 SLOTS = BANDS * BAND_SLOTS
 #: Documents of a cluster, and shingles in them, that stand on either side of one comparison at about.
 BLOCK, BLOCK_SHINGLES = 2048, 1 << 21
+#: Copies of a centre that is compared with many.
+COPIES = 32
 #: Larger clusters are looked at one block first, since what joins there need not be compared again.
 FIRST_AT = 16 * BLOCK
 CELL = ["cluster", "ask_grade", "ask_block", "grade", "block"]
@@ -179,9 +181,14 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str
     sets = scratch.table(sets.dropDuplicates(["doc_id", "of"]).drop("of"), "sets")
 
     of_rep = sets.select(F.col("doc_id").alias("rep"), F.col("members").alias("x"))
-    of_center = sets.select(F.col("doc_id").alias("center"), F.col("members").alias("y"))
+    # a centre of many is copied, so that its pairs do not meet in one task; of such centres there are MOST_HUBS at most
+    many = max(HUB_EDGES, -(-stars.count() // MOST_HUBS))
+    hubs = F.broadcast(stars.groupBy("center").agg(F.count("*").alias("n")).where(F.col("n") >= many).select("center", F.lit(COPIES).alias("copies")))
+    copies = F.coalesce("copies", F.lit(1))
+    of_center = sets.select(F.col("doc_id").alias("center"), F.col("members").alias("y")).join(hubs, "center", "left").select("center", "y", F.explode(F.sequence(F.lit(0), copies - 1)).alias("copy"))
+    spread = stars.join(hubs, "center", "left").select("center", "rep", F.pmod(F.xxhash64("rep"), copies).cast("int").alias("copy"))
     shared = F.size(F.array_intersect("x", "y"))
-    pairs = stars.join(of_rep, "rep").join(of_center, "center")
+    pairs = spread.join(of_rep, "rep").join(of_center, ["center", "copy"])
     links = scratch.table(pairs.where(100 * shared >= percent * (F.size("x") + F.size("y") - shared)).select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct(), "links")
 
     comps = scratch.table(components(scratch, links.unionByName(_bridges(scratch, full, reps)), "first"), "comps")
