@@ -190,32 +190,51 @@ class WordBpe:
         return max(reach.values(), default=0) + self.window
 
     # -- encoding ------------------------------------------------------------------------------------
+    def _step(self, at: int, s: int, last: list[int], before: int) -> tuple[int, int]:
+        """The state after one more symbol, and the token that ends with it (-2: none). last[i]: the token that ends i symbols after the stable start, where `before` ends."""
+        states, fail, tail, known = self.next, self.fail, len(last), self._fits
+        while at and s not in states[at]:
+            at = fail[at]
+        at = states[at].get(s, 0)
+        for size, token in self.ending[at]:
+            if size > tail:
+                continue
+            left = last[tail - size] if tail > size else before
+            if left == -1 or (left >= 0 and (ok if (ok := known.get((left, token))) is not None else self.fits(left, token))):
+                return at, token
+        return at, -2
+
     def stream_word(self, symbols: Iterable[int]) -> Iterator[int]:
         """Tokens of one word's symbols, each as soon as it is stable; keeps a number of positions that does not grow."""
-        states, fail, ending, fits, known = self.next, self.fail, self.ending, self.fits, self._fits
-        tail = 0  # symbols since the stable start
-        last: list[int] = [-1]  # last[i]: the token that ends i symbols after the stable start
-        before = -1  # the stable token that ends there
-        at = 0
+        last, before, at = [-1], -1, 0
         for s in symbols:
-            tail += 1
-            while at and s not in states[at]:
-                at = fail[at]
-            at = states[at].get(s, 0)
-            found = -2
-            for size, token in ending[at]:
-                if size > tail:
-                    continue
-                left = last[tail - size] if tail > size else before
-                if left == -1 or (left >= 0 and (ok if (ok := known.get((left, token))) is not None else fits(left, token))):
-                    found = token
-                    break
+            at, found = self._step(at, s, last, before)
             last.append(found)
-            if tail >= 2 * (self.lookahead + self.window):
+            if len(last) > 2 * (self.lookahead + self.window):
                 stable = self._emit(last)
                 yield from stable
-                before, tail = stable[-1], len(last) - 1
-        yield from self._path(last, tail)
+                before = stable[-1]
+        yield from self._path(last, len(last) - 1)
+
+    def encode_words(self, words: Iterable[str]) -> Iterator[list[int]]:
+        """Tokens of each word; what a word shares with the beginning of the one before is not read again, so that sorted words go fast."""
+        read, ats, last = [], [0], [-1]
+        for word in words:
+            symbols = self.word_symbols(word)
+            if len(symbols) > self.lookahead + self.window:  # as a stream
+                yield list(self.stream_word(symbols))
+                continue
+            n, most = 0, min(len(symbols), len(read))
+            while n < most and symbols[n] == read[n]:
+                n += 1
+            del ats[n + 1 :], last[n + 1 :]
+            at = ats[n]
+            for s in symbols[n:]:
+                at, found = self._step(at, s, last, -1)
+                ats.append(at)
+                last.append(found)
+            read = symbols
+            yield self._path(last, len(last) - 1)
 
     def _path(self, last: list[int], end: int) -> list[int]:
         out = []
@@ -257,13 +276,6 @@ class WordBpe:
             out.extend([w] if isinstance(w, int) else self.encode_word(w))
         return out
 
-    def encode_run(self, run: bytes) -> bytes:
-        """The ids of what stands between two ASCII blanks, as 32-bit integers; no token crosses a blank."""
-        out = array("i")
-        for w in self.text_words(run.decode()):
-            out.extend([w] if isinstance(w, int) else self.encode_word(w))
-        return out.tobytes()
-
     # -- decoding ------------------------------------------------------------------------------------
     def pieces(self, tokens: bool) -> list[bytes]:
         """What each id adds to a text: its bytes, and a blank after a word; or (tokens) its string and a blank, as the library decodes a file without a decoder."""
@@ -311,6 +323,7 @@ class Codec:
     def __init__(self, path: str) -> None:
         self.bpe = WordBpe(path)
         self.memory: dict[bytes, bytes] = {}
+        self.words: dict[str | int, bytes] = {}
         self.decimal = [str(i).encode() for i in range(max(self.bpe.token_text) + 1)]
         self.tokens, self.plain = self.bpe.pieces(True), self.bpe.pieces(False)
 
@@ -322,20 +335,34 @@ class Codec:
         """The ids of all texts and where each one's begin, and the last one's end."""
         # an added token may stand inside a word, in its own case
         words, which, firsts = textkit.distinct_words(flat, offsets, b"<|" in flat.tobytes())
-        memory, encode = self.memory, self.bpe.encode_run
-        if len(memory) + len(words) > self.most:
-            memory.clear()
-        entries = []
-        for w in words:
-            entry = memory.get(w)
-            if entry is None:
-                entry = encode(w)
-                if len(w) <= LONGEST_REMEMBERED:
-                    memory[w] = entry
-            entries.append(entry)
+        unknown = [w for w in words if w not in self.memory]
+        if len(self.memory) + len(unknown) > self.most:
+            self.memory.clear()
+            unknown = words
+        if unknown:
+            self._learn(unknown)
+        entries = [self.memory[w] for w in words]
+        for w in unknown:
+            if len(w) > LONGEST_REMEMBERED:
+                del self.memory[w]
         ids, ends = textkit.joined_ids(entries, which, firsts, _INT)
         return ids, np.append(0, ends)
 
+    def _learn(self, runs: list[bytes]) -> None:
+        """Remembers the ids of what stands between two ASCII blanks, which no token crosses, by way of the words in it."""
+        parts = [list(self.bpe.text_words(r.decode())) for r in runs]
+        new = {w for p in parts for w in p}.difference(self.words)
+        if len(self.words) + len(new) > self.most:
+            self.words.clear()
+            new = {w for p in parts for w in p}
+        texts = sorted(w for w in new if isinstance(w, str))
+        self.words.update(zip(texts, (array("i", ids).tobytes() for ids in self.bpe.encode_words(texts)), strict=True))
+        self.words.update((i, array("i", [i]).tobytes()) for i in new if isinstance(i, int))
+        self.memory.update(zip(runs, (b"".join([self.words[w] for w in p]) for p in parts), strict=True))
+        for w in texts:
+            if len(w) > LONGEST_REMEMBERED:
+                del self.words[w]
+
     def decoded_digest(self, ids: list[int]) -> str:
         machine, digest = TextMachine(self.tokens), hashlib.sha256()
         for i in range(0, len(ids), DECODE_IDS):
