@@ -27,7 +27,7 @@ RATE, PCM_RATE = 16000, 8000
 MULAW, ALAW, ADPCM = 7, 6, 17
 NAMES = {MULAW: "mulaw", ALAW: "alaw", ADPCM: "adpcm"}
 #: zstd level of the stored tables.
-LEVEL = 6
+LEVEL = 12
 
 # Quantiser steps of IMA ADPCM.
 STEPS = np.array([
