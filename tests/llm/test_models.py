@@ -45,6 +45,23 @@ def test_quality(docs_of, spark):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} >= set(range(60))
 
 
+def test_scores_equal_all_label_sequences(docs_of, spark):
+    """The whole way from texts to scores, by summing over every way to label a text's lines."""
+    texts = ["One line of words.\nBUY!! NOW!! #$%\nand more words, plain ones", "# # #\n\n# # #", None, "", "plain words only here", "A\nb\nA\nb b b\nA", "é ü\n1 2 3 4"]
+    rng = np.random.default_rng(6)
+    model = linecrf.Model(rng.normal(size=linecrf.N_FEATURES), rng.normal(size=(2, 2)), (0.3, 1.4))
+    got = {r.doc_id: r.score for r in linecrf.score_documents(docs_of(texts), model, ["doc_id"]).collect()}
+    for i, t in enumerate(texts):
+        data = np.frombuffer((t or "").encode(), np.uint8)
+        features, _, size = linecrf.line_features(data, np.array([0, len(data)]))
+        score, n = features @ model.weights, len(features)
+        ways = list(itertools.product((0, 1), repeat=n))
+        weight = np.array([np.exp(sum(score[k] * y for k, y in enumerate(w)) + sum(model.transition[a, b] for a, b in zip(w, w[1:], strict=False))) for w in ways])
+        bad = (weight / weight.sum()) @ np.array(ways)
+        share = (bad * np.maximum(size, 1)).sum() / np.maximum(size, 1).sum()
+        assert got[i] == pytest.approx(1 / (1 + np.exp(0.3 + 1.4 * np.log(share / (1 - share)))), rel=1e-5)
+
+
 def test_quality_with_one_label_or_none(docs_of, spark):
     docs = docs_of(["a b", None])
     schema = "doc_id long, quality int"
@@ -80,6 +97,35 @@ def test_languages(docs_of, spark):
     assert {r.lang_pred for r in hyperlang.identify(docs_of(["a", None]), {}).collect()} == {"und"}
 
 
+def test_languages_by_hand(docs_of, spark):
+    """Profiles, cosines and scores of whole texts, letter by letter."""
+    taught = [("der die das und", "de"), ("the and of with", "en"), ("das ist nicht", "de"), ("this is not it", "en"), ("el la los con", "es"), ("12 !", "es")]
+    texts = ["die und das", "of the with this", "los con la", "Das, THE and!", "x", None, "7"]
+    v, table = hyperlang.letter_vectors().astype(int), hyperlang.letter_table()
+
+    def unit(text):
+        total, line = np.zeros(hyperlang.DIMENSIONS), [0, *(int(table[ord(c)]) for c in text or ""), 0]
+        for a, b, c in zip(line, line[1:], line[2:], strict=False):
+            total += v[0][a] * v[1][b] * v[2][c] * (b != 0)
+        return total / max(np.linalg.norm(total), 1e-9)
+
+    names = ["de", "en", "es"]
+    profiles = np.stack([sum(unit(t) for t, lang in taught if lang == name) for name in names])
+    profiles /= np.linalg.norm(profiles, axis=1, keepdims=True)
+    center = profiles.mean(axis=0)
+    apart = (profiles - center) / np.linalg.norm(profiles - center, axis=1, keepdims=True)
+    model = hyperlang.prototypes(spark.createDataFrame(taught, "text string, lang string"))
+    assert list(model) == names
+    for r in hyperlang.identify(docs_of(texts), model).collect():
+        u = unit(texts[r.doc_id])
+        if not u.any():
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        cosine = apart @ (u - center) / np.linalg.norm(u - center)
+        weight = np.exp(hyperlang.SHARPNESS * (cosine - cosine.max()))
+        assert r.lang_pred == names[int(cosine.argmax())] and r.score == pytest.approx(weight.max() / weight.sum(), rel=1e-4)
+
+
 def test_companding_tables():
     mu, a = telephony.mulaw_table(), telephony.alaw_table()
     assert mu[0x00] == -32124 and mu[0x80] == 32124 and mu[0xFF] == 0 and mu[0x7F] == 0
