@@ -240,7 +240,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS, li
     features = np.frombuffer(b"".join(found["features"].to_pylist()), "<f4").reshape(-1, N_FEATURES)
     sizes = found["sizes"].to_pylist()
     firsts = np.concatenate([[0], np.cumsum([len(s) // 8 for s in sizes])]).astype(np.int64)
-    return fit(features, firsts, np.frombuffer(b"".join(sizes), "<i8"), found["good"].to_numpy())
+    model = fit(features, firsts, np.frombuffer(b"".join(sizes), "<i8"), found["good"].to_numpy())
+    del found, features, sizes
+    textkit.release()  # the driver goes on
+    return model
 
 
 def _score_batches(model: Model, keep: list[str], name: str):
