@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from thermolake.llm import bitpack, ctw, decontaminate, hyperlang, linecrf, oracle, sharding, suffixdedup, superminhash, telephony, wordbpe
+from thermolake.llm import bitpack, ctw, decontaminate, hyperlang, linecrf, oracle, sharding, suffixdedup, superminhash, telephony, whitening, wordbpe
 from thermolake.session import ship_path
 
 OPERATORS = [
@@ -17,6 +17,7 @@ OPERATORS = [
     telephony.op8_telephony,
     bitpack.op9_bit_packing,
     sharding.op10_balanced_shards,
+    whitening.op12_whitening,
 ]
 
 
