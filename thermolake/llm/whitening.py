@@ -129,8 +129,6 @@ def fit_whitening(fit: DataFrame, size: int) -> Whitening:
     """From a table of distinct vectors x (array<long>) of at most `size` entries."""
     first = _gathered(fit, size, None)
     n, sums = fit.count(), [first.get((-1, j), 0) for j in range(size)]
-    if not n:
-        return Whitening(0, sums, np.zeros(size), np.eye(size), 0.0)
     center = [round(Fraction(s, n)) for s in sums]
     products = _gathered(fit, size, center)
     left = [Fraction(s, n) - c for s, c in zip(sums, center, strict=True)]
@@ -233,6 +231,9 @@ def whitened_components(vectors: DataFrame, k: int = 4, id_col: str = "vec_id",
     x = vectors.select(F.col(id_col).cast("long").alias("vec_id"), on_grid(F.col(vector_col)).alias("x")).where("x is not null")
     fit = scratch.table(x.select("x").distinct(), "fit")
     least, size = (v or 0 for v in fit.agg(F.min(F.size("x")), F.max(F.size("x"))).first())
+    if not size:
+        scratch.keep()
+        return vectors.sparkSession.createDataFrame([], "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double")
     if least < size:  # vectors that only differ in zeros at their end are one
         filled = F.concat("x", F.array_repeat(F.lit(0).cast("long"), F.lit(size) - F.size("x")))
         fit = scratch.table(fit.select(filled.alias("x")).distinct(), "filled")
@@ -242,12 +243,10 @@ def whitened_components(vectors: DataFrame, k: int = 4, id_col: str = "vec_id",
     each = whiten(fit, model, [], some, deviation=False)
     pairs = [(i, j) for i in range(some) for j in range(i, some)]
     errors = [F.abs(F.covar_pop(F.col("w")[i], F.col("w")[j]) - float(i == j)) for i, j in pairs]
-    found = each.agg(*[e.alias(f"e{i}") for i, e in enumerate(errors)]).first() if pairs and model.n else ()
+    found = each.agg(*[e.alias(f"e{i}") for i, e in enumerate(errors)]).first()
     error = max((e for e in found if e is not None and not np.isnan(e)), default=None)
     explained = [float(e) / model.trace if model.trace > 0 else None for e in model.values[:some]]
     scratch.keep()
-    if not some or not model.n:
-        return vectors.sparkSession.createDataFrame([], "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double")
     rows = whiten(x, model, ["vec_id"], some).select("vec_id", "deviation", F.posexplode("w").alias("at", "whitened"))
     share = F.element_at(F.array(*[F.lit(e).cast("double") for e in explained]), F.col("at") + 1)
     return rows.select("vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), "deviation", "whitened", share.alias("explained"), F.lit(error).cast("double").alias("identity_error"))
