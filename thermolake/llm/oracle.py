@@ -15,6 +15,15 @@ e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
 r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, c AS component_id, doc_id = c AS kept FROM (SELECT a AS doc_id, min(b) AS c FROM r GROUP BY 1) LEFT JOIN n USING (doc_id)"""
 
+OP13 = f"""WITH RECURSIVE d AS (SELECT doc_id, {_BLANK} AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both_ FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * both_ >= 90 * (x.n + y.n - both_)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, c AS component_id FROM (SELECT a AS doc_id, min(b) AS c FROM r GROUP BY 1) LEFT JOIN n USING (doc_id)"""
+
 OP3 = f"""WITH d AS (SELECT doc_id, {_BLANK} AS w FROM documents),
 g AS (SELECT doc_id, i, md5(array_to_string(w[i + 1:i + 50], ' ')) AS g FROM (SELECT doc_id, w, unnest(range(0, len(w) - 49)) AS i FROM d WHERE len(w) >= 50)),
 k AS (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) = 1 AS first_, count(*) OVER (PARTITION BY g) AS n FROM g),
@@ -32,4 +41,4 @@ c AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(rang
 t AS (SELECT doc_id, count(*) AS n_items, string_agg(v, ',' ORDER BY v) AS v FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS v FROM h) GROUP BY 1)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(v, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)"""
 
-SQL = {"op2_superminhash": OP2, "op3_sparse_suffixes": OP3, "op5_decontamination": OP5}
+SQL = {"op2_superminhash": OP2, "op3_sparse_suffixes": OP3, "op5_decontamination": OP5, "op13_divide_skip": OP13}

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from thermolake.llm import alignment, bitpack, ctw, decontaminate, hyperlang, linecrf, oracle, sharding, suffixdedup, superminhash, telephony, whitening, wordbpe
+from thermolake.llm import alignment, bitpack, ctw, decontaminate, hyperlang, linecrf, ngramjoin, oracle, sharding, suffixdedup, superminhash, telephony, whitening, wordbpe
 from thermolake.session import ship_path
 
 OPERATORS = [
@@ -19,6 +19,7 @@ OPERATORS = [
     sharding.op10_balanced_shards,
     alignment.op11_diagonal_runs,
     whitening.op12_whitening,
+    ngramjoin.op13_divide_skip,
 ]
 
 
