@@ -34,7 +34,7 @@ BYTE_VOCABULARY, PIECE_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Bytes of text whose distinct pairs are kept together; the last text of a block is whole.
 BLOCK_BYTES = 16 << 20
 #: Distinct units that a worker remembers; beyond it the memory starts anew.
-REMEMBERED = 150_000
+REMEMBERED = 400_000
 #: Blanks before which units are cut: after what no tokenizer takes for white space, and before a word.
 _CUT = re.compile(r"(?<=\S) (?=\s*\S)")
 _ODD = re.compile(r"\s |[^\S ]")
@@ -85,30 +85,35 @@ def groups(a: list[int], b: list[int]) -> list[tuple[int, int, int, int]]:
 
 @dataclass
 class Aligned:
-    """Counts of tokens and groups, the groups as text, and the pairs of each link (A id << 24 | B id)."""
-
-    n_a: int
-    n_b: int
-    n_groups: int
-    text: str
-    pairs: list[int]
-
-
-NOTHING = Aligned(0, 0, 0, "", [])
-
-
-def aligned(ids_a: list[int], ends_a: list[int], ids_b: list[int], ends_b: list[int]) -> Aligned:
-    texts, pairs = [], []
-    for i, j, n, m in groups(ends_a, ends_b):
-        if m:
-            x, y = ids_a[i : i + n], ids_b[j : j + m]
-            texts.append(f"{','.join(map(str, x))}|{','.join(map(str, y))}")
-            pairs.extend(p << _B_BITS | q for p in x for q in y)
-        else:
-            for p, q in zip(ids_a[i : i + n], ids_b[j : j + n], strict=True):
-                texts.append(f"{p}|{q}")
-                pairs.append(p << _B_BITS | q)
-    return Aligned(len(ids_a), len(ids_b), len(texts), ";".join(texts), pairs)
+    """Texts aligned one after the other: for each one its counts of tokens and groups, its groups as text, and the pairs of its links (A id << 24 | B id) up to `ends`."""
+
+    counts: np.ndarray
+    texts: list[str]
+    pairs: np.ndarray
+    ends: np.ndarray
+
+
+def aligned(ids_a: list[list[int]], size_a: np.ndarray, ids_b: list[list[int]], size_b: np.ndarray) -> Aligned:
+    """Aligns texts whose ids of both kinds cover the same bytes. They are taken as one run of bytes, which both cut wherever a text ends."""
+    n = [np.array([len(x) for x in ids], np.int64) for ids in (ids_a, ids_b)]
+    a, b = (np.fromiter((i for x in ids for i in x), np.int64, int(k.sum())) for ids, k in zip((ids_a, ids_b), n, strict=True))
+    runs = np.array(groups(np.cumsum(size_a[a]).tolist(), np.cumsum(size_b[b]).tolist()), np.int64).reshape(-1, 4)
+    one = runs[:, 3] == 0
+    times = np.where(one, runs[:, 2], 1)
+    nth = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
+    i, j = (np.repeat(runs[:, k], times) + nth for k in (0, 1))
+    wide_a, wide_b = (np.repeat(np.where(one, 1, runs[:, k]), times) for k in (2, 3))
+    # every A token of a group with every B token of it
+    links = wide_a * wide_b
+    group = np.repeat(np.arange(len(links)), links)
+    at = np.arange(len(group)) - (np.cumsum(links) - links)[group]
+    pairs = a[i[group] + at // wide_b[group]] << _B_BITS | b[j[group] + at % wide_b[group]]
+    first = np.searchsorted(i, np.append(0, np.cumsum(n[0])))  # groups before each text
+    say_a, say_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
+    words = [f"{say_a[x]}|{say_b[y]}" if p == q == 1 else f"{','.join(say_a[x : x + p])}|{','.join(say_b[y : y + q])}" for x, y, p, q in zip(i.tolist(), j.tolist(), wide_a.tolist(), wide_b.tolist(), strict=True)]
+    cuts = first.tolist()
+    texts = [";".join(words[x:y]) for x, y in zip(cuts, cuts[1:], strict=False)]
+    return Aligned(np.stack([*n, np.diff(first)], axis=1), texts, pairs, np.append(0, np.cumsum(links))[first])
 
 
 class Pair:
@@ -123,10 +128,13 @@ class Pair:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         byte_of = {c: i for i, c in enumerate(byte_symbols())}
-        self.bytes_a = {i: bytes(byte_of[c] for c in t) if all(c in byte_of for c in t) else t.encode() for t, i in self.a.get_vocab(with_added_tokens=False).items()}
+        vocabulary = self.a.get_vocab(with_added_tokens=True)
+        self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
+        for t, i in vocabulary.items():
+            self.bytes_a[i] = bytes(byte_of[c] for c in t) if all(c in byte_of for c in t) else t.encode()
         pieces = [(i, self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
-        self.bytes_b = {i: bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in pieces}
-        self.size_a, self.size_b = ({i: len(t) for i, t in x.items()} for x in (self.bytes_a, self.bytes_b))
+        self.bytes_b = [bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in pieces]
+        self.size_a, self.size_b = (np.array([len(t) for t in x], np.int64) for x in (self.bytes_a, self.bytes_b))
         #: whether no piece holds a blank after something else, so that units can be encoded one by one
         self.by_units = not any(re.search("[^▁]▁", p) for _, p in pieces)
         self.known: dict[str, int] = {}
@@ -135,23 +143,27 @@ class Pair:
     def _forget(self) -> None:
         self.known.clear()
         self.texts: list[str] = []
-        self.counts: list[tuple[int, int, int]] = []
-        self.pools: list[np.ndarray] = []
+        self.counts = np.zeros((0, 3), np.int64)
         self.pool = np.zeros(0, np.int64)
         self.at = np.zeros(1, np.int64)
 
-    def encoded(self, texts: list[str]) -> Iterator[Aligned | None]:
-        """Each text with a blank before it, aligned; None where the bytes do not come back."""
-        for text, a, b in zip(texts, self.a.encode_batch([" " + t for t in texts], add_special_tokens=False), self.b.encode(texts, num_threads=1), strict=True):
-            a, raw = a.ids, b" " + text.encode()
-            if b"".join(map(self.bytes_a.__getitem__, a)) != raw or b"".join(map(self.bytes_b.__getitem__, b)) != raw:
-                yield None
-                continue
-            yield aligned(a, list(_running(map(self.size_a.__getitem__, a))), b, list(_running(map(self.size_b.__getitem__, b))))
-
-    def whole(self, text: str | None) -> Aligned:
-        """A text's alignment by encoding it whole; nothing for null and empty ones, and where bytes do not come back."""
-        return (next(self.encoded([text])) or NOTHING) if text else NOTHING
+    def encoded(self, texts: list[str]) -> tuple[np.ndarray, Aligned]:
+        """Which of the texts, each with a blank before it, come back from both tokenizers byte by byte, and these aligned."""
+        a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        b = self.b.encode(texts, num_threads=1)
+        raw = [b" " + t.encode() for t in texts]
+        spell_a, spell_b = self.bytes_a.__getitem__, self.bytes_b.__getitem__
+        fine = np.array([b"".join(map(spell_a, x)) == r and b"".join(map(spell_b, y)) == r for x, y, r in zip(a, b, raw, strict=True)], bool)
+        if not fine.all():
+            a, b = ([x for x, f in zip(ids, fine.tolist(), strict=True) if f] for ids in (a, b))
+        return fine, aligned(a, self.size_a, b, self.size_b)
+
+    def whole(self, text: str | None) -> Aligned | None:
+        """A text's alignment by encoding it whole; none for null and empty ones, and where bytes do not come back."""
+        if not text:
+            return None
+        fine, found = self.encoded([text])
+        return found if fine[0] else None
 
     def units(self, text: str) -> list[str]:
         if not self.by_units:
@@ -165,52 +177,39 @@ class Pair:
         if len(self.known) + len(units) > REMEMBERED:
             self._forget()
         new = [u for u in units if u not in self.known]
-        sizes, fresh = [], []
-        for start in range(0, len(new), 4096):
-            part = new[start : start + 4096]
-            for unit, found in zip(part, self.encoded(part), strict=True):
-                if found is None:
-                    self.known[unit] = -1
-                    continue
-                self.known[unit] = len(self.texts)
-                self.texts.append(found.text)
-                self.counts.append((found.n_a, found.n_b, found.n_groups))
-                sizes.append(len(found.pairs))
-                fresh.extend(found.pairs)
-        self.pool = np.concatenate([self.pool, np.array(fresh, np.int64)])
-        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(np.array(sizes, np.int64))])
+        counts, pools, ends = [self.counts], [self.pool], [self.at]
+        for start in range(0, len(new), 8192):
+            part = new[start : start + 8192]
+            fine, found = self.encoded(part)
+            places = np.where(fine, len(self.texts) + np.cumsum(fine) - 1, -1)
+            self.known.update(zip(part, places.tolist(), strict=True))
+            self.texts += found.texts
+            counts.append(found.counts)
+            pools.append(found.pairs)
+            ends.append(ends[-1][-1] + found.ends[1:])
+        self.counts, self.pool, self.at = map(np.concatenate, (counts, pools, ends))
 
     def documents(self, texts: list[str | None]) -> tuple[list[tuple[int, int, int, str]], np.ndarray, np.ndarray]:
         """(n_a, n_b, n_groups, digest) of each text, all their links' pairs, and where those of each text begin and end."""
         split = [self.units(t) if t else [] for t in texts]
         self.learn(set().union(*split))
-        known, counts = self.known, np.array(self.counts, np.int64).reshape(-1, 3)
-        out, links, ends = [], [], [0]
+        known, facts, links, ends = self.known, [], [], [0]
         for text, units in zip(texts, split, strict=True):
             places = [known[u] for u in units]
-            if not text:
-                out.append((0, 0, 0, ""))
-            elif -1 in places:
-                found = self.whole(text)
-                out.append((found.n_a, found.n_b, found.n_groups, _digest(found.text) if found.n_a else ""))
-                links.append(np.array(found.pairs, np.int64))
-                ends.append(ends[-1] + len(found.pairs))
-                continue
-            else:
+            fact, own = (0, 0, 0, ""), np.zeros(0, np.int64)
+            if -1 in places:
+                if found := self.whole(text):
+                    fact, own = (*found.counts[0].tolist(), _digest(found.texts[0])), found.pairs
+            elif places:
                 where = np.array(places)
                 n = self.at[where + 1] - self.at[where]
                 before = np.cumsum(n) - n
-                links.append(self.pool[np.repeat(self.at[where] - before, n) + np.arange(int(n.sum()))])
-                out.append((*counts[where].sum(axis=0).tolist(), _digest(";".join(map(self.texts.__getitem__, places)))))
-            ends.append(ends[-1] + (len(links[-1]) if text else 0))
-        return out, np.concatenate(links) if links else np.zeros(0, np.int64), np.array(ends)
-
-
-def _running(sizes) -> Iterator[int]:
-    total = 0
-    for n in sizes:
-        total += n
-        yield total
+                own = self.pool[np.repeat(self.at[where] - before, n) + np.arange(int(n.sum()))]
+                fact = (*self.counts[where].sum(axis=0).tolist(), _digest(";".join(map(self.texts.__getitem__, places))))
+            facts.append(fact)
+            links.append(own)
+            ends.append(ends[-1] + len(own))
+        return facts, np.concatenate(links) if links else np.zeros(0, np.int64), np.array(ends)
 
 
 def _digest(text: str) -> str:
@@ -343,7 +342,8 @@ def _group_batches(path_a: str, path_b: str):
         for piece, _, _ in textkit.chunked(batches, "text", 1 << 20):
             found = []
             for text in piece.column(1).to_pylist():
-                parts = [g.split("|") for g in tools.whole(text).text.split(";") if g]
+                whole = tools.whole(text)
+                parts = [g.split("|") for g in whole.texts[0].split(";")] if whole else []
                 found.append([{"a": list(map(int, a.split(","))), "b": list(map(int, b.split(",")))} for a, b in parts])
             yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(found, kind)], names=["doc_id", "groups"])
 
