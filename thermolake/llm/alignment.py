@@ -19,6 +19,7 @@ import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +35,12 @@ BYTE_VOCABULARY, PIECE_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Bytes of text whose distinct pairs are kept together; the last text of a block is whole.
 BLOCK_BYTES = 16 << 20
 #: Distinct units that a worker remembers; beyond it the memory starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 #: Blanks before which units are cut: after what no tokenizer takes for white space, and before a word.
 _CUT = re.compile(r"(?<=\S) (?=\s*\S)")
-_ODD = re.compile(r"\s |[^\S ]")
+#: White space before a blank; where a text has none of it, blanks alone are where units are cut.
+_BEFORE_BLANK = [f"{chr(c)} " for c in range(0x3001) if chr(c).isspace()]
+_ASCII_BEFORE_BLANK = [x for x in _BEFORE_BLANK if x.isascii()]
 #: B ids take so many bits of a pair's number.
 _B_BITS = 24
 
@@ -68,7 +71,8 @@ def groups(a: list[int], b: list[int]) -> list[tuple[int, int, int, int]]:
     """Stretches (i, j, n, m) of end arrays over the same bytes: n one-to-one groups from i and j on (m = 0), or one group of n and m tokens."""
     out, i, j = [], 0, 0
     while i < len(a):
-        if n := agreeing(a, b, i, j):
+        if a[i] == b[j]:
+            n = agreeing(a, b, i, j)
             out.append((i, j, n, 0))
             i, j = i + n, j + n
             continue
@@ -93,10 +97,10 @@ class Aligned:
     ends: np.ndarray
 
 
-def aligned(ids_a: list[list[int]], size_a: np.ndarray, ids_b: list[list[int]], size_b: np.ndarray) -> Aligned:
-    """Aligns texts whose ids of both kinds cover the same bytes. They are taken as one run of bytes, which both cut wherever a text ends."""
+def aligned(ids_a: list[list[int]], size_a: np.ndarray, ids_b: list[list[int]], size_b: np.ndarray, decimal: list[str]) -> Aligned:
+    """Aligns texts whose ids of both kinds cover the same bytes. They are taken as one run of bytes, which both cut wherever a text ends. decimal: ids as text."""
     n = [np.array([len(x) for x in ids], np.int64) for ids in (ids_a, ids_b)]
-    a, b = (np.fromiter((i for x in ids for i in x), np.int64, int(k.sum())) for ids, k in zip((ids_a, ids_b), n, strict=True))
+    a, b = (np.array(list(chain.from_iterable(ids)), np.int64) for ids in (ids_a, ids_b))
     runs = np.array(groups(np.cumsum(size_a[a]).tolist(), np.cumsum(size_b[b]).tolist()), np.int64).reshape(-1, 4)
     one = runs[:, 3] == 0
     times = np.where(one, runs[:, 2], 1)
@@ -109,7 +113,7 @@ def aligned(ids_a: list[list[int]], size_a: np.ndarray, ids_b: list[list[int]],
     at = np.arange(len(group)) - (np.cumsum(links) - links)[group]
     pairs = a[i[group] + at // wide_b[group]] << _B_BITS | b[j[group] + at % wide_b[group]]
     first = np.searchsorted(i, np.append(0, np.cumsum(n[0])))  # groups before each text
-    say_a, say_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
+    say_a, say_b = (list(map(decimal.__getitem__, x.tolist())) for x in (a, b))
     words = [f"{say_a[x]}|{say_b[y]}" if p == q == 1 else f"{','.join(say_a[x : x + p])}|{','.join(say_b[y : y + q])}" for x, y, p, q in zip(i.tolist(), j.tolist(), wide_a.tolist(), wide_b.tolist(), strict=True)]
     cuts = first.tolist()
     texts = [";".join(words[x:y]) for x, y in zip(cuts, cuts[1:], strict=False)]
@@ -135,6 +139,7 @@ class Pair:
         pieces = [(i, self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in pieces]
         self.size_a, self.size_b = (np.array([len(t) for t in x], np.int64) for x in (self.bytes_a, self.bytes_b))
+        self.decimal = list(map(str, range(max(len(self.size_a), len(self.size_b)))))
         #: whether no piece holds a blank after something else, so that units can be encoded one by one
         self.by_units = not any(re.search("[^▁]▁", p) for _, p in pieces)
         self.known: dict[str, int] = {}
@@ -153,10 +158,16 @@ class Pair:
         b = self.b.encode(texts, num_threads=1)
         raw = [b" " + t.encode() for t in texts]
         spell_a, spell_b = self.bytes_a.__getitem__, self.bytes_b.__getitem__
-        fine = np.array([b"".join(map(spell_a, x)) == r and b"".join(map(spell_b, y)) == r for x, y, r in zip(a, b, raw, strict=True)], bool)
+        fine, all_raw, sizes = np.ones(len(raw), bool), b"".join(raw), np.array([len(r) for r in raw])
+        for ids, spell, size in ((a, spell_a, self.size_a), (b, spell_b, self.size_b)):
+            # all texts at once, if each one's tokens are as long as it is
+            flat = list(chain.from_iterable(ids))
+            ends = np.append(0, np.cumsum(size[np.array(flat, np.int64)]))[np.cumsum([len(x) for x in ids])] if flat else np.zeros(len(ids), np.int64)
+            if not np.array_equal(ends, np.cumsum(sizes)) or b"".join(map(spell, flat)) != all_raw:
+                fine &= np.array([b"".join(map(spell, x)) == r for x, r in zip(ids, raw, strict=True)], bool)
         if not fine.all():
             a, b = ([x for x, f in zip(ids, fine.tolist(), strict=True) if f] for ids in (a, b))
-        return fine, aligned(a, self.size_a, b, self.size_b)
+        return fine, aligned(a, self.size_a, b, self.size_b, self.decimal)
 
     def whole(self, text: str | None) -> Aligned | None:
         """A text's alignment by encoding it whole; none for null and empty ones, and where bytes do not come back."""
@@ -168,7 +179,8 @@ class Pair:
     def units(self, text: str) -> list[str]:
         if not self.by_units:
             return [text]
-        if text[-1] == " " or text[0] == " " or _ODD.search(text):
+        odd = any(x in text for x in (_ASCII_BEFORE_BLANK if text.isascii() else _BEFORE_BLANK))
+        if odd or text[0] == " " or (text[-1].isspace() and " " in text[len(text.rstrip()) :]):
             return _CUT.split(text)
         return text.split(" ")
 
