@@ -87,6 +87,21 @@ def year_hours(year: int) -> tuple[int, int]:
     return 24 * days(year), 24 * days(year + 1) - 1
 
 
+def first_hour(year: Column) -> Column:
+    """First hour since 1900 of a year."""
+    return (F.datediff(F.make_date(year, F.lit(1), F.lit(1)), F.lit("1900-01-01").cast("date")) * 24).cast("int")
+
+
+def date_hour(day: Column) -> Column:
+    """A date's first hour since 1900."""
+    return (F.datediff(day, F.lit("1900-01-01").cast("date")) * 24).cast("int")
+
+
+def hour_year(hour: Column) -> Column:
+    """The year (UTC) that an hour since 1900 lies in."""
+    return F.year(F.date_add(F.lit("1900-01-01").cast("date"), F.floor(hour / 24).cast("int")))
+
+
 def time_bucket(hour: Column, start: Column | int, size: int) -> Column:
     return F.floor((hour - start) / size).cast("int")
 

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from thermolake.functions import scalars as S
+from thermolake.operators.numbering import dense_ids
+
 
 def union_sources(dfs: list[DataFrame]) -> DataFrame:
     """All sources under the union of their columns, in the order in which columns are first seen."""
@@ -51,12 +54,12 @@ def partition_inventory(df: DataFrame, keys: list[str]) -> DataFrame:
 def every_nth(df: DataFrame, order_keys: list[str], index: int, count: int, where: Column | None = None) -> DataFrame:
     """The rows whose key's place among all sorted keys leaves `index` when divided by `count`; `where` keeps some keys, before they are numbered.
 
-    The keys' places come from their distinct values, which are few: one row for each part.
+    The keys' places come from their distinct values, numbered over range partitions.
     """
     if count < 1 or not 0 <= index < count:
         raise ValueError("index must lie in 0..count-1, and count must be positive")
     keys = df.select(*order_keys).distinct()
-    places = (keys if where is None else keys.where(where)).withColumn("_place", F.row_number().over(Window.orderBy(*order_keys)) - 1)
+    places = dense_ids(keys if where is None else keys.where(where), order_keys, "_place")
     chosen = places.where(F.col("_place") % count == index).drop("_place")
     return df.join(chosen, order_keys, "left_semi")
 
@@ -77,6 +80,15 @@ def time_batches(spark, first_hour: int, last_hour: int, size: int) -> DataFrame
     return spark.range(n).select(F.col("id").cast("int").alias("batch_index"), start.cast("int").alias("start_h"), F.least(start + size - 1, F.lit(last_hour)).cast("int").alias("end_h"))
 
 
+def year_batches(years: DataFrame, size: int, year_col: str = "year") -> DataFrame:
+    """year, batch_index, start_h, end_h: each year's hours in blocks of `size`, of which the last one may be shorter."""
+    first, last = S.first_hour(F.col("year")), S.first_hour(F.col("year") + 1) - 1
+    spans = years.select(F.col(year_col).cast("int").alias("year")).distinct().select("year", first.alias("first"), last.alias("last"))
+    nth = F.explode(F.sequence(F.lit(0), F.floor((F.col("last") - F.col("first")) / size).cast("int"))).alias("batch_index")
+    start = F.col("first") + F.col("batch_index") * size
+    return spans.select("year", "first", "last", nth).select("year", "batch_index", start.alias("start_h"), F.least(start + size - 1, F.col("last")).alias("end_h"))
+
+
 def read_parquet(spark, paths: list[str], columns: list[str] | None = None, where: Column | None = None, base_path: str | None = None) -> DataFrame:
     """Some columns and rows of some files; both reach the scan."""
     reader = spark.read.option("basePath", base_path) if base_path else spark.read

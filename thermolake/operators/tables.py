@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 from thermolake.session import from_files
 
 
-def _filesystem(spark: SparkSession, path: str):
+def filesystem(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
@@ -41,17 +41,27 @@ def write_partitioned(df: DataFrame, path: str, by: tuple[str, ...] = ("year",),
 def replace_partitions(df: DataFrame, path: str, by: str, touched: list) -> None:
     """Replaces the folders by=touched with the rows of df, which may come from the same table; a folder without rows goes.
 
-    Rows are written once, beside the table, and their folders moved into its place.
+    Rows are written once, beside the table. Old folders are moved aside, new ones into their place, and only then
+    the old ones are deleted; if a move fails, what was moved is moved back. Readers may meet the state between
+    two moves: a table that has readers meanwhile is a SnapshotTable.
     """
     spark = df.sparkSession
-    staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
+    label = uuid.uuid4().hex
+    staged, old = (f"{path.rstrip('/')}.{k}-{label}" for k in ("staged", "old"))
     write_partitioned(df, staged, (by,))
-    fs, at = _filesystem(spark, path)
+    fs, at = filesystem(spark, path)
     made = [s.getPath().getName() for s in fs.listStatus(at(staged)) if s.isDirectory()]
-    for folder in {*made, *(f"{by}={value}" for value in touched)}:
-        fs.delete(at(f"{path}/{folder}"), True)
-        if folder in made:
-            fs.rename(at(f"{staged}/{folder}"), at(f"{path}/{folder}"))
+    wanted = {*made, *(f"{by}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}" for value in touched)}
+    moves = [(f"{path}/{f}", f"{old}/{f}") for f in sorted(wanted) if fs.exists(at(f"{path}/{f}"))] + [(f"{staged}/{f}", f"{path}/{f}") for f in sorted(made)]
+    fs.mkdirs(at(old))
+    moved = []
+    for source, target in moves:
+        if not fs.rename(at(source), at(target)):
+            for back, there in reversed(moved):
+                fs.rename(at(there), at(back))
+            raise OSError(f"cannot move {source} to {target}")
+        moved.append((source, target))
+    fs.delete(at(old), True)
     fs.delete(at(staged), True)
 
 
@@ -60,7 +70,7 @@ def overwrite(df: DataFrame, path: str) -> DataFrame:
     spark = df.sparkSession
     fresh, old = (f"{path.rstrip('/')}.{k}-{uuid.uuid4().hex}" for k in ("fresh", "old"))
     df.write.option("compression", "snappy").parquet(fresh)
-    fs, at = _filesystem(spark, path)
+    fs, at = filesystem(spark, path)
     there = fs.exists(at(path)) and fs.rename(at(path), at(old))
     if not fs.rename(at(fresh), at(path)):
         if there:
@@ -98,18 +108,19 @@ def last_staged(staged: DataFrame, keys: list[str], order: list[Column] | None =
 
 
 def merge_upsert(base: DataFrame, staged: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
-    """The base with the staged rows: columns that the staged rows lack keep their stored value, and are null in new rows."""
+    """The base with the staged rows: columns that the staged rows lack keep their stored value, and are null in new rows. Null keys are equal."""
     new = last_staged(staged, keys, order)
     new = new.select([F.col(c).alias(f"_new_{c}") for c in new.columns]).withColumn("_here", F.lit(True))
-    on = [base[k] == new[f"_new_{k}"] for k in keys]
+    on = [base[k].eqNullSafe(new[f"_new_{k}"]) for k in keys]
     both = base.join(new, on, "full_outer")
     pick = lambda f: F.when(F.col("_here"), F.col(f"_new_{f.name}").cast(f.dataType)).otherwise(F.col(f.name)).alias(f.name) if f.name in staged.columns else F.col(f.name)
     return both.select([pick(f) for f in base.schema.fields])
 
 
 def insert_absent(base: DataFrame, staged: DataFrame, keys: list[str]) -> DataFrame:
-    """The base with the staged rows whose key it lacks."""
-    new = last_staged(staged, keys).join(base, keys, "left_anti")
+    """The base with the staged rows whose key it lacks; null keys are equal."""
+    new = last_staged(staged, keys)
+    new = new.join(base, [new[k].eqNullSafe(base[k]) for k in keys], "left_anti")
     return base.unionByName(new, allowMissingColumns=True)
 
 
@@ -122,16 +133,25 @@ def upsert_table(spark: SparkSession, path: str, staged: DataFrame | list[DataFr
     staged = last_staged(staged, keys, order).drop("_source", "_file", "_row", "_content")
     years = [r[0] for r in staged.select(F.year(date_col)).distinct().collect()]
     base = spark.read.parquet(path)
-    some = base.where(F.col("year").isin(years))
+    some = base.where(in_years(years))
     merged = merge_upsert(some.drop("year"), staged, keys)
     replace_partitions(with_year(merged, date_col).select(base.columns), path, "year", years)
 
 
+def in_years(years: list) -> Column:
+    """Whether a row's year is one of these, null among them."""
+    found = F.coalesce(F.col("year").isin([y for y in years if y is not None]), F.lit(False))
+    return found | F.col("year").isNull() if None in years else found
+
+
 def delete_window(df: DataFrame, date_col: str, start, end) -> DataFrame:
     """The rows outside a window of dates, both ends of which belong to it; rows without a date stay."""
     return df.where(~F.coalesce(F.col(date_col).between(F.lit(start).cast("date"), F.lit(end).cast("date")), F.lit(False)))
 
 
+outside_window = delete_window
+
+
 def delete_window_in_table(spark: SparkSession, path: str, date_col: str, start, end) -> None:
     first, last = (int(str(d)[:4]) for d in (start, end))
     base = spark.read.parquet(path)

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from thermolake.functions import scalars as S
 from thermolake.functions.comfort import solve
+from thermolake.operators.snapshots import SnapshotTable, create
 from thermolake.session import Scratch
 
 #: Names under which stores keep each variable.
@@ -59,9 +61,12 @@ def sample_grid(grid: DataFrame, cities: DataFrame, cell: float = 0.25) -> DataF
     return grid.select("*", *cells("lat", "lng")).drop("lat", "lng").join(side, ["_i", "_j"]).drop("_i", "_j")
 
 
-def derive_weather(df: DataFrame) -> DataFrame:
+def derive_weather(df: DataFrame, seen: Observation | None = None) -> DataFrame:
     """location_id, hour, t, v, rh, mrt of sampled rows: valid ones only, all by column expressions.
 
+    `seen` gets, from the job that runs anyway, hours: all sampled rows; radiation: those whose radiant
+    temperature is no number or out of range; weather: those left out for another reason.
+
     The row goes through a one-element array between derivation and filter. Else the optimiser would put the
     formulas into the filter in place of their names, and both into the condition of the join below.
     """
@@ -73,7 +78,11 @@ def derive_weather(df: DataFrame) -> DataFrame:
     out = sun.select("location_id", "hour", t.alias("t"), S.wind(F.col("u10"), F.col("v10")).alias("v"), S.relative_humidity(t, dew).alias("rh"), S.null_outside(S.celsius(radiant), *RADIANT_RANGE).alias("mrt"))
     out = out.select(F.inline(F.array(F.struct(*out.columns))))
     # NaN is above every bound, so these comparisons also drop what is not a number, and nulls
-    return out.where(valid_weather() & (F.col("t") < float("inf")) & (F.col("v") < float("inf")) & F.col("mrt").isNotNull())
+    fine = valid_weather() & (F.col("t") < float("inf")) & (F.col("v") < float("inf"))
+    if seen is not None:
+        bad = ~F.coalesce(fine, F.lit(False)) & F.col("mrt").isNotNull()
+        out = out.observe(seen, F.count(F.lit(1)).alias("hours"), F.count(F.when(F.col("mrt").isNull(), 1)).alias("radiation"), F.count(F.when(bad, 1)).alias("weather"))
+    return out.where(fine & F.col("mrt").isNotNull())
 
 
 def discarded_radiation(df: DataFrame) -> DataFrame:
@@ -90,30 +99,61 @@ def only_months(df: DataFrame, date_col: str, months: list[int]) -> DataFrame:
     return df.where(F.month(date_col).isin(months)) if months else df
 
 
-def solve_distinct(df: DataFrame, inputs: list[str], fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], output: T.StructField) -> DataFrame:
+def solve_distinct(df: DataFrame, inputs: list[str], fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], output: T.StructField, memo: SnapshotTable | None = None) -> DataFrame:
     """Adds fn's output by computing it once for each distinct tuple of inputs and joining it back. Rows with a null input go.
 
     Rows are written once for both uses. Tuples are dealt out over as many tasks as a shuffle has, since a small
-    table of them may be much work.
+    table of them may be much work. With a memo, a table of tuples that were solved before, only those that it
+    lacks are solved, and added to it.
     """
     scratch = Scratch(df.sparkSession, "solve")
     rows = scratch.table(df, "rows")
-    distinct = rows.select(*inputs).distinct()
+    distinct = rows.select(*inputs).dropna().distinct()
+    if memo is not None:
+        distinct = scratch.table(distinct, "tuples")
+        wanted, distinct = distinct, distinct.join(memo.scan().select(*inputs), inputs, "left_anti")
     spread = distinct.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    solved = scratch.table(spread.mapInPandas(fn, T.StructType([*distinct.schema.fields, output])), "solved")
+    found = spread.mapInPandas(fn, T.StructType([*distinct.schema.fields, output]))
+    if memo is None:
+        solved = scratch.table(found, "solved")
+    else:
+        memo.commit(found, append=True, facts=memo.manifest().facts)
+        solved = scratch.table(memo.scan().join(wanted, inputs, "left_semi"), "solved")
     return rows.join(F.broadcast(solved) if solved.count() <= BROADCAST_SOLVED else solved, inputs, "inner")
 
 
-def with_pet(df: DataFrame, icl: float = 0.5, **body) -> DataFrame:
-    """Rounds t, mrt, v, rh to 0.5 and adds the comfort temperature pet, rounded to 0.5; rows out of -50..60 go."""
+def comfort_memo(spark, path: str, icl: float = 0.5, **body) -> SnapshotTable:
+    """The table of comfort values that were solved for this clothing and body; made if it is not there, refused if it is for others."""
+    about = {"icl": icl, **body}
+    memo = SnapshotTable(spark, path)
+    if not memo.versions():
+        memo = create(spark.createDataFrame([], "t double, mrt double, v double, rh double, pet float"), path, narrow=False, facts=about)
+    if memo.manifest().facts != about:
+        raise ValueError(f"{path} holds values for {memo.manifest().facts}, not {about}")
+    return memo
+
+
+def with_pet(df: DataFrame, icl: float = 0.5, memo: SnapshotTable | None = None, seen: Observation | None = None, **body) -> DataFrame:
+    """Rounds t, mrt, v, rh to 0.5 and adds the comfort temperature pet, rounded to 0.5; rows out of -50..60 go, and `seen` gets their number (comfort)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             yield b.assign(pet=solve(*(b[c].to_numpy() for c in INPUTS), icl=icl, **body).astype("float32"))
 
     rounded = df.withColumns({c: S.rint_to(F.col(c), 2.0) for c in INPUTS})
-    found = solve_distinct(rounded, INPUTS, run, T.StructField("pet", T.FloatType()))
-    return found.withColumn("pet", S.rint_to(S.null_outside(F.col("pet"), *COMFORT_RANGE), 2.0).cast("float")).dropna(subset=["pet"])
+    found = solve_distinct(rounded, INPUTS, run, T.StructField("pet", T.FloatType()), memo)
+    found = found.withColumn("pet", S.rint_to(S.null_outside(F.col("pet"), *COMFORT_RANGE), 2.0).cast("float"))
+    if seen is not None:
+        found = found.observe(seen, F.count(F.when(F.col("pet").isNull(), 1)).alias("comfort"))
+    return found.dropna(subset=["pet"])
+
+
+def observed(seen: Observation, names: list[str]) -> dict[str, int]:
+    """What a job has counted; zeros where the optimiser saw that there are no rows at all, and left out the branch that counts."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return dict.fromkeys(names, 0)
 
 
 def daily_comfort(df: DataFrame) -> DataFrame:
