@@ -145,10 +145,25 @@ def split_words(flat: np.ndarray, offsets: np.ndarray, space: np.ndarray = ASCII
     return Words(starts, ends, rows, hash_spans(flat, starts, ends))
 
 
+def _same_words(low: np.ndarray, words: Words, other: np.ndarray) -> bool:
+    """Whether each word has the same bytes as another one."""
+    n = words.ends - words.starts
+    if (n != n[other]).any():
+        return False
+    for i in range(0, len(n), 1 << 16):
+        size = n[i : i + (1 << 16)]
+        place = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        own, first = (np.repeat(words.starts[at], size) for at in (slice(i, i + (1 << 16)), other[i : i + (1 << 16)]))
+        if (low[own + place] != low[first + place]).any():
+            return False
+    return True
+
+
 def distinct_words(flat: np.ndarray, offsets: np.ndarray, exact: bool) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """The distinct words of all rows, each place's word among them, and the first place of each row.
 
-    Words are told apart by 64-bit hashes and given with A-Z lowered, or by their bytes as they are (exact).
+    Words are given with A-Z lowered, or with their bytes as they are (exact). They are grouped by 64-bit hashes, and
+    every one is compared with its group's first; should two words share a hash, all are told apart without it.
     """
     data = flat.tobytes()
     if exact:
@@ -158,7 +173,10 @@ def distinct_words(flat: np.ndarray, offsets: np.ndarray, exact: bool) -> tuple[
         return words, np.array([code[w] for r in rows for w in r], np.int64), np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
     found = split_words(flat, offsets)
     _, example, which = np.unique(found.hashes, return_index=True, return_inverse=True)
-    low = LOWER[flat].tobytes()
+    low = LOWER[flat]
+    if not _same_words(low, found, example[which.reshape(-1)]):
+        return distinct_words(low, offsets, True)
+    low = low.tobytes()
     return [low[a:b] for a, b in zip(found.starts[example].tolist(), found.ends[example].tolist(), strict=True)], which.reshape(-1), found.rows
 
 

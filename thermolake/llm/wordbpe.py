@@ -17,7 +17,6 @@ from __future__ import annotations
 import codecs
 import hashlib
 import json
-import unicodedata
 from array import array
 from collections.abc import Iterable, Iterator
 
@@ -77,6 +76,12 @@ class WordBpe:
             self.parts.setdefault(both, (rank, left, right))
         self.symbols = byte_symbols()
         self.byte_of = {c: b for b, c in enumerate(self.symbols)}
+        from tokenizers import Tokenizer
+
+        # beyond ASCII it is the library's own tables that say what a letter is, and what its lower case
+        library = Tokenizer.from_file(path)
+        self.normalizer, self.splitter = library.normalizer, library.pre_tokenizer
+        self.from_symbols = {ord(c): chr(b) for b, c in enumerate(self.symbols)}
         pretokenizers = spec["pre_tokenizer"]["pretokenizers"]
         self.words = regex.compile(next(p["pattern"]["Regex"] for p in pretokenizers if p["type"] == "Split"))
         self.split_added = regex.compile("(" + "|".join(regex.escape(t) for t in self.added) + ")") if self.added else None
@@ -98,6 +103,7 @@ class WordBpe:
         for token, (_, a, b) in sorted(self.parts.items(), key=lambda x: x[1][0]):
             if a in spelled and b in spelled:
                 spelled[token] = spelled[a] + spelled[b]
+        self.spelled = {t: len(x) for t, x in spelled.items()}
         usable = {}
         for token, symbols in spelled.items():
             if len(symbols) == 1 or self.merge(list(symbols)) == [token]:  # else no text is ever encoded with it
@@ -178,16 +184,27 @@ class WordBpe:
         return found
 
     def _sufficient_lookahead(self) -> int:
-        """Symbols beyond a token's end after which it cannot change any more.
-
-        A token stays or goes by merges of lower rank at its end; such a merge can in turn wait for one at
-        its own end, and ranks along this chain fall strictly. The chain is followed over the merge list:
-        reach(t) = the longest further reach of a merge that takes t as its left part.
+        """Symbols beyond a token's end after which it cannot change any more, whatever follows.
+
+        Whether a merge of `left` and `right` comes about depends on `right`: any token inside it, or `right` itself,
+        may be taken before by a merge of lower rank with what touches it on its right, and that one depends in turn
+        on its own right side. Ranks along such a chain of touching tokens fall strictly, so that it is followed
+        through the merge list in the order of ranks: beyond[t] is how far from the end of t the merges seen so far
+        that have t as their left part can depend on what follows, inside[t] the same from the beginning of t for
+        all tokens within it. A token stays once no merge that has it, or a token in it, as left part is open.
         """
-        reach: dict[int, int] = {}
-        for (a, b), (_, both) in sorted(self.pair.items(), key=lambda x: -x[1][0]):
-            reach[a] = max(reach.get(a, 0), self.length.get(b, 0) + reach.get(both, 0))
-        return max(reach.values(), default=0) + self.window
+        beyond: dict[int, int] = {}
+        inside: dict[int, int] = {}
+        size = {}
+        most = 0
+        for (a, b), (_, both) in sorted(self.pair.items(), key=lambda x: x[1][0]):
+            long_a, long_b = size.setdefault(a, self.spelled.get(a, 1)), size.setdefault(b, self.spelled.get(b, 1))
+            reach = max(long_b, inside.get(b, 0), long_b + beyond.get(b, 0))
+            within = max(inside.get(a, 0), long_a + beyond.get(a, 0), long_a + reach)
+            inside[both] = max(inside.get(both, 0), within)
+            beyond[a] = max(beyond.get(a, 0), reach)
+            most = max(most, reach)
+        return most
 
     # -- encoding ------------------------------------------------------------------------------------
     def _step(self, at: int, s: int, last: list[int], before: int) -> tuple[int, int]:
@@ -267,8 +284,11 @@ class WordBpe:
         for piece in pieces:
             if piece in self.added:
                 yield self.added[piece]
+            elif piece.isascii():
+                yield from self.words.findall(piece.lower())
             elif piece:
-                yield from self.words.findall(normalise(piece))
+                for word, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(piece)):
+                    yield word.translate(self.from_symbols).encode("latin-1").decode()
 
     def encode(self, text: str | None) -> list[int]:
         out: list[int] = []
@@ -310,13 +330,6 @@ class TextMachine:
         return self.utf8.decode(b"", True)
 
 
-def normalise(text: str) -> str:
-    """NFC, white space to blanks (words do not hold it), lower case letter by letter."""
-    if not text.isascii():
-        text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-    return text.lower()
-
-
 class Codec:
     """A worker's vocabulary, the words that it remembers, and what ids look like as numbers and as text."""
 
