@@ -1,11 +1,11 @@
 import random
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import pytest
 
 from thermolake.llm import components as graph
-from thermolake.llm import ids, suffixdedup, superminhash, textkit
+from thermolake.llm import ids, suffixdedup, superminhash, textkit, toccurrence
 from thermolake.llm.components import components
 from thermolake.session import Scratch
 
@@ -69,9 +69,8 @@ def test_links_that_no_star_holds(docs_of):
 
 
 def test_links_over_many_small_blocks(docs_of, monkeypatch):
-    """The same chain when each cluster is many blocks, on either side, and one block is met first."""
-    monkeypatch.setattr(superminhash, "BLOCK", 2)
-    monkeypatch.setattr(superminhash, "FIRST_AT", 2)
+    """The same chain when each cluster is many blocks, one of which is met first."""
+    monkeypatch.setattr(toccurrence, "BLOCK", 2)
     rng = random.Random(9)
     word = lambda: "".join(rng.choices("abcdefghij", k=6))
     w = [word() for _ in range(200)]
@@ -84,17 +83,35 @@ def test_links_over_many_small_blocks(docs_of, monkeypatch):
     assert got == brute.near(list(enumerate(chain)), 4, 80)
 
 
+@pytest.mark.parametrize("block", [8, 2048])
+def test_a_template_family_with_a_third_of_the_rows(docs_of, monkeypatch, block):
+    """Similarities on both sides of the threshold, all in one cluster, whose index takes many tasks (8) or one."""
+    monkeypatch.setattr(toccurrence, "BLOCK", block)
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    base, family = [word() for _ in range(120)], []
+    for _ in range(60):
+        w = list(base)
+        for _ in range(rng.randint(0, 9)):
+            w[rng.randrange(len(w))] = rng.choice([word(), "again"])
+        family.append(" ".join(w[rng.randint(0, 8) :]))
+    t = family + texts(3, 90)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in superminhash.near_duplicates(docs_of(t), 80, 4).collect()}
+    assert got == brute.near(list(enumerate(t)), 4, 80)
+
+
 def test_no_comparison_holds_a_whole_cluster(spark, monkeypatch):
     def sizes(percent):
-        return lambda key, left, right: pd.DataFrame({"a": [len(left)], "b": [len(right)]})
-
-    monkeypatch.setattr(superminhash, "BLOCK", 20)
-    monkeypatch.setattr(superminhash, "_open_pairs", sizes)
-    rows = [(i, 0, i, 0, 200, list(range(100))) for i in range(200)]
-    loose = spark.createDataFrame(rows, "doc_id long, cluster long, comp long, top long, size long, members array<long>")
-    found = superminhash._second_look(Scratch(spark, "t"), loose, 80).collect()
-    assert sum(r.a * r.b for r in found) == 199 * 200  # each open document meets each member
-    assert max(r.a for r in found) <= 50 and max(r.b for r in found) <= 50
+        def run(left: pa.Table, right: pa.Table) -> pa.Table:
+            return pa.table({"a": pa.array([left.num_rows], pa.int64()), "b": pa.array([right.num_rows], pa.int64())})
+
+        return run
+
+    monkeypatch.setattr(toccurrence, "BLOCK", 20)
+    monkeypatch.setattr(toccurrence, "_across", sizes)
+    large = spark.createDataFrame([(0, i, i, list(range(100)), 400, 40_000) for i in range(400)], "cluster long, doc_id long, comp long, members array<long>, n long, tokens long")
+    found = toccurrence._first_look(large, 80).collect()
+    assert sum(r.a for r in found) == 400 and max(r.a for r in found) <= 50 and 0 < max(r.b for r in found) <= 50 and len({r.b for r in found}) == 1
 
 
 def test_tables_without_rows_or_words(docs_of):

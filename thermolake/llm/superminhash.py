@@ -7,9 +7,8 @@ different slots are a permutation and so correlated, which is what lowers the va
 
 Texts with the same shingle set are one representative from the start. Representatives that share a band
 are compared with the smallest id in that band (a star, not all pairs). What a star leaves in more than
-one component goes through an exact second look: a document that cannot reach the threshold, since too
-many of its shingles occur nowhere else in its cluster, is set aside, and the others are compared with
-all members of the cluster, block by block.
+one component goes through an exact second look, in which a cluster's documents are found by what they share
+(see toccurrence): all of a small cluster, and of a large one those whose rarest shared shingles allow a link.
 """
 
 from __future__ import annotations
@@ -17,7 +16,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,18 +23,14 @@ from pyspark.sql import functions as F
 from thermolake.llm import textkit
 from thermolake.llm.components import HUB_EDGES, MOST_HUBS, components
 from thermolake.llm.ids import by_ids
+from thermolake.llm.toccurrence import joined_components
 from thermolake.session import Scratch
 
 #: 32 bands of 4 slots: a pair at 0.8 shares no band with probability (1 - 0.8^4)^32, about 5e-8.
 BANDS, BAND_SLOTS = 32, 4
 SLOTS = BANDS * BAND_SLOTS
-#: Documents of a cluster, and shingles in them, that stand on either side of one comparison at about.
-BLOCK, BLOCK_SHINGLES = 2048, 1 << 21
 #: Copies of a centre that is compared with many.
 COPIES = 32
-#: Larger clusters are looked at one block first, since what joins there need not be compared again.
-FIRST_AT = 16 * BLOCK
-CELL = ["cluster", "ask_grade", "ask_block", "grade", "block"]
 
 
 def superminhash(hashes: np.ndarray, firsts: np.ndarray, slots: int = SLOTS) -> np.ndarray:
@@ -126,33 +120,6 @@ def _set_batches(k: int):
     return run
 
 
-def _open_pairs(percent: int):
-    """Compares a block of a cluster's open documents with a block of its members; gives the components that links join."""
-
-    def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        found: set[tuple[int, int]] = set()
-        if len(left) and len(right):
-            sizes = np.array([len(x) for x in right.members])
-            posting = np.concatenate(list(right.members.map(np.asarray)))
-            owner = np.repeat(np.arange(len(right)), sizes)
-            order = np.argsort(posting, kind="stable")
-            posting, owner = posting[order], owner[order]
-            comps = right.comp.to_numpy()
-            for comp, members in zip(left.comp, left.members, strict=True):
-                members = np.asarray(members)
-                lo, hi = np.searchsorted(posting, members, "left"), np.searchsorted(posting, members, "right")
-                total = int((hi - lo).sum())
-                if not total:
-                    continue
-                spots = np.repeat(lo - np.concatenate([[0], np.cumsum(hi - lo)[:-1]]), hi - lo) + np.arange(total)
-                shared = np.bincount(owner[spots], minlength=len(right))
-                linked = (100 * shared >= percent * (len(members) + sizes - shared)) & (comps != comp)
-                found.update((int(comp), int(other)) for other in np.unique(comps[linked]))
-        return pd.DataFrame(sorted(found), columns=["a", "b"], dtype="int64")
-
-    return run
-
-
 def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str = "doc_id", text_col: str = "text", scratch: Scratch | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document.
 
@@ -200,7 +167,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5, id_col: str
         members = wanted.join(comps, wanted["doc_id"] == comps["node"], "left").select("doc_id", F.coalesce("component", "doc_id").alias("comp"))
         clusters = components(scratch, crossing, "cluster").select(F.col("node").alias("comp"), F.col("component").alias("cluster"))
         members = scratch.table(members.join(clusters, "comp"), "members")
-        joined = _join_components(scratch, members, sets, percent)
+        joined = joined_components(scratch, members, sets, percent)
     named = reps.join(comps, reps["rep"] == comps["node"], "left").select("mark_a", "mark_b", "n_shingles", F.coalesce("component", "rep").alias("component"))
     if joined is not None:
         named = named.join(joined.toDF("component", "last"), "component", "left").select("mark_a", "mark_b", "n_shingles", F.coalesce("last", "component").alias("component"))
@@ -223,55 +190,6 @@ def _bridges(scratch: Scratch, full: DataFrame, reps: DataFrame) -> DataFrame:
     return scratch.table(texts.join(least, "doc_id").select("a", F.col("rep").alias("b")).distinct(), "bridges")
 
 
-def _join_components(scratch: Scratch, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
-    """node, component: components of the same cluster that a link joins after all. members: doc_id, comp, cluster."""
-    loose, joined = _loose(scratch, members, sets, "loose"), None
-    if loose.where(F.col("size") > FIRST_AT).limit(1).count():
-        found = scratch.table(_second_look(scratch, loose.where(F.col("size") > FIRST_AT), percent, first=True), "first_links")
-        joined = scratch.table(components(scratch, found, "joined"), "joined_comps")
-        fewer = members.join(joined, members["comp"] == joined["node"], "left").select("doc_id", F.coalesce("component", "comp").alias("comp"), "cluster")
-        loose = _loose(scratch, fewer, sets, "left")
-    if loose.limit(1).count():
-        more = scratch.table(_second_look(scratch, loose, percent), "more_links")
-        return components(scratch, more if joined is None else more.unionByName(found), "last")
-    return joined
-
-
-def _loose(scratch: Scratch, members: DataFrame, sets: DataFrame, label: str) -> DataFrame:
-    """The documents, with their sets, of clusters that are in more than one component; top is a cluster's largest one."""
-    by_comp = members.groupBy("cluster", "comp").agg(F.count("*").alias("n"))
-    mixed = by_comp.groupBy("cluster").agg(F.count("*").alias("comps"), F.sum("n").alias("size"), F.max(F.struct("n", "comp")).alias("top")).where("comps > 1")
-    mixed = mixed.select("cluster", "size", F.col("top.comp").alias("top"))
-    return scratch.table(members.join(mixed, "cluster").join(sets, "doc_id"), label)
-
-
-def _second_look(scratch: Scratch, loose: DataFrame, percent: int, first: bool = False) -> DataFrame:
-    """Components (a, b) that links of open documents join; first: by a look at one block of each size only."""
-    label = "first" if first else "every"
-    able = loose.where("comp <> top")
-    if not first:
-        # what a document can share with any other member is what occurs in another member at all
-        tokens = able.select("cluster", "doc_id", F.explode("members").alias("token"))
-        shared = loose.select("cluster", F.explode("members").alias("token")).groupBy("cluster", "token").agg(F.count("*").alias("holders")).where("holders > 1")
-        reach = tokens.join(shared, ["cluster", "token"]).groupBy("cluster", "doc_id").agg(F.count("*").alias("reach"))
-        able = able.join(reach, ["cluster", "doc_id"]).where(100 * F.col("reach") >= percent * F.size("members"))
-    # sizes of a linked pair differ by 100 / percent at most, so by one grade at most: a grade is a little wider than that
-    grade = F.floor(F.log(F.size("members").cast("double")) / F.log(F.lit(101.0 / percent))).cast("int")
-    able = scratch.table(able.select("cluster", "doc_id", "comp", "members", grade.alias("ask_grade")), f"{label}_able")
-    asked = loose.join(able.select("cluster").distinct(), "cluster", "left_semi").select("cluster", "doc_id", "comp", "members", grade.alias("grade"))
-    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.size("members")) / BLOCK_SHINGLES)).cast("int")
-    cells = able.groupBy("cluster", "ask_grade").agg(blocks.alias("ask_blocks")).join(asked.groupBy("cluster", "grade").agg(blocks.alias("blocks")), "cluster").where("abs(ask_grade - grade) <= 1")
-    cells = scratch.table(cells, f"{label}_cells")  # a row for each pair of like sizes in a cluster
-    asking = able.join(cells, ["cluster", "ask_grade"]).withColumn("ask_block", F.expr("int(pmod(xxhash64(doc_id), ask_blocks))"))
-    asking = asking.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(0) if first else F.col("blocks") - 1)))
-    asked = asked.join(cells, ["cluster", "grade"]).withColumn("block", F.expr("int(pmod(xxhash64(doc_id), blocks))"))
-    if first:
-        asked = asked.where("block = 0")
-    asked = asked.withColumn("ask_block", F.explode(F.sequence(F.lit(0), F.col("ask_blocks") - 1)))
-    columns = [*CELL, "doc_id", "comp", "members"]
-    return asking.select(*columns).groupBy(*CELL).cogroup(asked.select(*columns).groupBy(*CELL)).applyInPandas(_open_pairs(percent), "a long, b long")
-
-
 def keep_one(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame:
     """One document of each group, with the columns it came with, whatever their names; texts without words all stay, as do rows without an id.
 
