@@ -109,10 +109,13 @@ def test_hard_texts(tools, libraries):
         assert Counter(links[at[k] : at[k + 1]].tolist()) == Counter(p << 24 | q for x, y in want for p in x for q in y)
 
 
-def test_memory_starts_anew(tools, libraries, monkeypatch):
+def test_units_beyond_what_is_remembered(libraries, monkeypatch):
     monkeypatch.setattr(A, "REMEMBERED", 5)
-    for texts in (["one two three four"], ["five six seven eight nine", "one two"]):
+    tools = A.Pair(vocabulary_path(A.BYTE_VOCABULARY), vocabulary_path(A.PIECE_VOCABULARY))
+    for texts in (["one two three four"], ["five six seven eight nine", "low ▁ block", "one two"], ["one six"], ["ten"], ["nine one ten"]):
         assert [f[3] for f in tools.documents(texts)[0]] == [x[6] for x in plain(libraries, texts)]
+        assert len(tools.known) <= 5
+    assert set(tools.known) == {"one", "two", "three", "four", "six"}
 
 
 def test_documents_against_plain_counts(docs_of, libraries, monkeypatch):

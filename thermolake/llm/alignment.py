@@ -34,7 +34,7 @@ from thermolake.session import Scratch
 BYTE_VOCABULARY, PIECE_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Bytes of text whose distinct pairs are kept together; the last text of a block is whole.
 BLOCK_BYTES = 16 << 20
-#: Distinct units that a worker remembers; beyond it the memory starts anew.
+#: Distinct units that a worker remembers, the first that it meets; those beyond are forgotten after each chunk.
 REMEMBERED = 600_000
 #: Blanks before which units are cut: after what no tokenizer takes for white space, and before a word.
 _CUT = re.compile(r"(?<=\S) (?=\s*\S)")
@@ -143,10 +143,6 @@ class Pair:
         #: whether no piece holds a blank after something else, so that units can be encoded one by one
         self.by_units = not any(re.search("[^▁]▁", p) for _, p in pieces)
         self.known: dict[str, int] = {}
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known.clear()
         self.texts: list[str] = []
         self.counts = np.zeros((0, 3), np.int64)
         self.pool = np.zeros(0, np.int64)
@@ -184,10 +180,8 @@ class Pair:
             return _CUT.split(text)
         return text.split(" ")
 
-    def learn(self, units: set[str]) -> None:
-        """Remembers units; one whose bytes do not come back has the place -1."""
-        if len(self.known) + len(units) > REMEMBERED:
-            self._forget()
+    def learn(self, units: set[str]) -> list[str]:
+        """Aligns units that are not known, and returns them; one whose bytes do not come back has the place -1."""
         new = [u for u in units if u not in self.known]
         counts, pools, ends = [self.counts], [self.pool], [self.at]
         for start in range(0, len(new), 8192):
@@ -200,11 +194,20 @@ class Pair:
             pools.append(found.pairs)
             ends.append(ends[-1][-1] + found.ends[1:])
         self.counts, self.pool, self.at = map(np.concatenate, (counts, pools, ends))
+        return new
+
+    def forget(self, units: list[str], n: int) -> None:
+        """Forgets the units that were learned last, so that n places are left."""
+        for u in units:
+            del self.known[u]
+        del self.texts[n:]
+        self.counts, self.pool, self.at = self.counts[:n], self.pool[: self.at[n]], self.at[: n + 1]
 
     def documents(self, texts: list[str | None]) -> tuple[list[tuple[int, int, int, str]], np.ndarray, np.ndarray]:
         """(n_a, n_b, n_groups, digest) of each text, all their links' pairs, and where those of each text begin and end."""
         split = [self.units(t) if t else [] for t in texts]
-        self.learn(set().union(*split))
+        held = len(self.texts)
+        new = self.learn(set().union(*split))
         known, facts, links, ends = self.known, [], [], [0]
         for text, units in zip(texts, split, strict=True):
             places = [known[u] for u in units]
@@ -221,6 +224,8 @@ class Pair:
             facts.append(fact)
             links.append(own)
             ends.append(ends[-1] + len(own))
+        if len(known) > REMEMBERED:
+            self.forget(new, held)
         return facts, np.concatenate(links) if links else np.zeros(0, np.int64), np.array(ends)
 
 
