@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from thermolake.functions import scalars as S
-from thermolake.operators import cities, forecast, gridstore, history, numbering, snapshots, stats, tables, updates, weather
+from thermolake.operators import cities, forecast, gridstore, history, numbering, schemas, snapshots, stats, tables, updates, weather
 from thermolake.session import Scratch, ship_path
+from thermolake.plans.comfort_sql import COMFORT
 from thermolake.sources import adapters as A
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -367,13 +368,16 @@ def d4(spark, d):
     return weather.solve_distinct(rounded, ["t", "v"], run, T.StructField("y", T.DoubleType())).select("location_id", "hour", near("y").alias("y"))
 
 
-@query("j2_comfort")
+_RECURSIVE = _DERIVED.replace("WITH", "WITH RECURSIVE", 1)
+
+
+@query("j2_comfort", f"{_RECURSIVE}, {COMFORT} SELECT location_id, hour, t, mrt, v, rh, pet FROM hours")
 def j2(spark, d):
     rows = weather.derive_weather(weather.sample_grid(_grid(A.grid_hourly(spark, d)), A.grid_cities(spark, d)))
     return weather.with_pet(rows)
 
 
-@query("n3_daily_comfort")
+@query("n3_daily_comfort", f"{_RECURSIVE}, {COMFORT} SELECT location_id, date, pet, pet_avg FROM comfort_days")
 def n3(spark, d):
     rows = weather.derive_weather(weather.sample_grid(_grid(A.grid_hourly(spark, d)), A.grid_cities(spark, d)))
     return weather.daily_comfort(weather.with_pet(rows))
@@ -669,6 +673,33 @@ def a5(spark, d):
     return history.union_sources(A.history_sources(spark, d)).select("location_id", "date", "pet", "pet_avg")
 
 
+_EVOLVED = """evolved AS (SELECT source, location_id, date, CAST(pet AS DOUBLE) AS pet, CASE WHEN source > 0 THEN pet_avg END AS pet_avg, CASE WHEN source = 2 THEN CASE WHEN location_id % 2 = 0 THEN 'even' END END AS note FROM sources)"""
+
+
+@query("a5_evolving_tree", f"WITH {A.HISTORY}, {_EVOLVED} SELECT CAST(source AS INTEGER) AS source, CAST(location_id AS BIGINT) AS location_id, date, pet, pet_avg, note FROM evolved")
+def a5_tree(spark, d):
+    """A tree of files that differ: columns come later, and whole numbers become longs and doubles; the reader widens them."""
+    root = _evolving_tree(spark, d, lambda i: ["int", "bigint", "double"][i])
+    return schemas.scan_evolving(spark, root).select("source", F.col("location_id").cast("bigint").alias("location_id"), "date", "pet", "pet_avg", "note")
+
+
+@query("a5_evolving_text", f"WITH {A.HISTORY}, {_EVOLVED} SELECT CAST(source AS INTEGER) AS source, CAST(location_id AS BIGINT) AS location_id, date, CASE WHEN source = 2 THEN CAST(CAST(pet AS BIGINT) AS VARCHAR) || ' degrees' ELSE CAST(CAST(pet AS BIGINT) AS VARCHAR) END AS pet, pet_avg, note FROM evolved")
+def a5_text(spark, d):
+    """The same where one file has text in a column of numbers: what the reader cannot widen is cast."""
+    root = _evolving_tree(spark, d, lambda i: ["int", "bigint", "string"][i])
+    return schemas.scan_evolving(spark, root).select("source", F.col("location_id").cast("bigint").alias("location_id"), "date", "pet", "pet_avg", "note")
+
+
+def _evolving_tree(spark, d, kind) -> str:
+    root = Scratch(spark, "a5").path("tree")
+    for i, df in enumerate(A.history_sources(spark, d)):
+        pet = F.col("pet").cast(kind(i)) if kind(i) != "string" else F.concat(F.col("pet").cast("string"), F.lit(" degrees"))
+        df = df.withColumn("pet", pet).withColumn("location_id", F.col("location_id").cast("int" if i != 1 else "bigint"))
+        df = df.withColumn("note", F.when(F.col("location_id") % 2 == 0, "even")) if i == 2 else df
+        df.coalesce(2).write.parquet(f"{root}/source={i}")
+    return root
+
+
 @query("h2_source_order", f"WITH {A.HISTORY} SELECT source, count(*) AS n, CAST(sum(pet) AS BIGINT) AS pet FROM sources GROUP BY 1")
 def h2(spark, d):
     tagged = history.union_sources([s.withColumn("source", F.lit(i)) for i, s in enumerate(A.history_sources(spark, d))])
@@ -749,7 +780,10 @@ def n10(spark, d):
     return updates.refresh_statistics(facts, path)[0].scan().select(*stats.year_stats(facts.scan()).columns)
 
 
-@query("n10_comfort_update")
+_UPDATED = """daily AS (SELECT coalesce(c.location_id, o.location_id) AS location_id, coalesce(c.date, o.date) AS date, coalesce(c.pet, o.pet) AS pet, coalesce(c.pet_avg, o.pet_avg) AS pet_avg FROM old o FULL JOIN comfort_days c USING (location_id, date))"""
+
+
+@query("n10_comfort_update", f"{_RECURSIVE}, {COMFORT}, {A.DAILY.replace('daily AS', 'old AS')}, {_UPDATED}, {SEASONED}, {STATS} SELECT * FROM stats")
 def n10_comfort(spark, d):
     """The yearly job with its own daily computation: days by the comfort solver over a grid store, facts, statistics."""
     scratch = Scratch(spark, "n10c")
