@@ -24,10 +24,10 @@ def in_box(df: DataFrame, lat: tuple[float, float] = LAT_BOX, lng: tuple[float,
 
 def one_per_cell(df: DataFrame, cell: float = 0.25) -> DataFrame:
     """The most populous city of each grid cell; ties go by city and state."""
-    size = F.struct(F.col("population").alias("p"))
-    order = Window.partitionBy("_lat", "_lng").orderBy(size.desc_nulls_last(), "city", "state")
-    celled = df.withColumn("_lat", S.cell_id(F.col("lat"), cell)).withColumn("_lng", S.cell_id(F.col("lng"), cell))
-    return celled.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").drop("_nth", "_lat", "_lng")
+    rank = F.struct(F.col("population").isNull().alias("none"), (-F.col("population")).alias("size"), "city", "state", *[F.col(c).alias(f"own_{c}") for c in df.columns])
+    # an aggregate, so that a cell's rows meet only after each task has kept its best
+    best = df.groupBy(S.cell_id(F.col("lat"), cell).alias("_lat"), S.cell_id(F.col("lng"), cell).alias("_lng")).agg(F.min(rank).alias("best"))
+    return best.select([F.col(f"best.own_{c}").alias(c) for c in df.columns])
 
 
 def build_cities(df: DataFrame, cell: float = 0.25, k: int = 500) -> DataFrame:
