@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from thermolake.llm import decontaminate
 
@@ -18,9 +19,11 @@ def got(df):
     return {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.s, r.n_hit > 0) for r in rows}
 
 
-@pytest.mark.parametrize("limit", [200_000, 0])
-def test_equals_brute_force(spark, docs_of, monkeypatch, limit):
+@pytest.mark.parametrize(("limit", "keys"), [(200_000, 4_000_000), (0, 4_000_000), (0, 0)])
+def test_equals_brute_force(spark, docs_of, monkeypatch, limit, keys):
+    """Keys as literals, broadcast, and shuffled."""
     monkeypatch.setattr(decontaminate, "SET_LIMIT", limit)
+    monkeypatch.setattr(decontaminate, "BROADCAST_KEYS", keys)
     monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", limit)
     rng = random.Random(5)
     word = lambda: rng.choice(["the", "of", "É", "é", "Ab", "x1", "y", "zz", "q"])
@@ -47,3 +50,12 @@ def test_dropping_keeps_clean_documents(spark, docs_of):
     docs = docs_of([f"see {item} there", "clean", None, " ".join(f"w{i}" for i in range(9))])
     left = decontaminate.drop_contaminated(docs, bench_of(spark, [item]))
     assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == {1, 2, 3}
+
+
+def test_positions_by_a_join(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(decontaminate, "SET_LIMIT", 0)
+    monkeypatch.setattr(decontaminate, "BROADCAST_KEYS", 0)
+    shingled = docs_of(["a b c d", "b c"]).select("text", F.xxhash64("text").alias("text_key"), decontaminate.word_array(F.col("text")).alias("w")).withColumn("sh", decontaminate._shingles("w"))
+    keys = shingled.where("size(w) = 2").select(F.explode("sh").alias("key"))
+    at = decontaminate._at_keys(shingled, keys, keys.count())
+    assert {r.text: r["at"] for r in at.collect()} == {"a b c d": [1], "b c": [0, 1]}

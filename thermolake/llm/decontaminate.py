@@ -21,6 +21,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Shingles that are probed as a literal set; with more of them a join finds the positions.
 SET_LIMIT = 200_000
+#: Shingles that are broadcast to that join (16 bytes each).
+BROADCAST_KEYS = 4_000_000
 #: Bytes of windows that are broadcast.
 BROADCAST_WINDOWS = 64 << 20
 
@@ -37,16 +39,26 @@ def _shingles(words: str) -> Column:
     return F.expr(f"zip_with({words}, slice({words}, 2, greatest(size({words}) - 1, 0)), (a, b) -> xxhash64(a, b))")
 
 
-def _probe(shingled: DataFrame, keys: DataFrame, n_keys: int, reach: int) -> DataFrame:
-    """Adds hits: (pos, key, low, near), near being the words around a position that holds a key."""
+def _at_keys(shingled: DataFrame, keys: DataFrame, n_keys: int) -> DataFrame:
+    """Adds at: the positions of shingles that are keys.
+
+    Up to SET_LIMIT keys are looked up where the words are. Beyond it, narrow rows (text, position, shingle) meet the
+    keys, broadcast up to BROADCAST_KEYS and shuffled beyond, and only positions that are left go back to the texts.
+    """
     if n_keys <= SET_LIMIT:
         literals = ",".join(str(r[0]) for r in keys.collect()) or "null"
-        at = shingled.withColumn("at", F.expr(f"filter(transform(sh, (h, i) -> if(h in ({literals}), i, -1)), i -> i >= 0)"))
-    else:
-        at = shingled.withColumn("at", F.expr("sequence(0, size(sh) - 1)"))
-        at = at.withColumn("at", F.when(F.size("sh") > 0, F.col("at")).otherwise(F.array().cast("array<int>")))
+        return shingled.withColumn("at", F.expr(f"filter(transform(sh, (h, i) -> if(h in ({literals}), i, -1)), i -> i >= 0)"))
+    narrow = shingled.select("text_key", F.posexplode("sh").alias("i", "key"))
+    found = narrow.join(F.broadcast(keys) if n_keys <= BROADCAST_KEYS else keys, "key", "left_semi")
+    places = found.groupBy("text_key").agg(F.sort_array(F.collect_set("i")).alias("at")).withColumnRenamed("text_key", "of_text")
+    joined = shingled.join(places, F.col("text_key") == F.col("of_text"), "left")
+    return joined.select(*shingled.columns, F.coalesce("at", F.array().cast("array<int>")).alias("at"))
+
+
+def _probe(shingled: DataFrame, keys: DataFrame, n_keys: int, reach: int) -> DataFrame:
+    """Adds hits: (pos, key, low, near), near being the words around a position that holds a key."""
     near = f"slice(w, greatest(i - {reach}, 0) + 1, {2 * reach + 2})"
-    return at.withColumn("hit", F.expr(f"transform(at, i -> named_struct('pos', i, 'key', sh[i], 'low', greatest(i - {reach}, 0), 'near', {near}))"))
+    return _at_keys(shingled, keys, n_keys).withColumn("hit", F.expr(f"transform(at, i -> named_struct('pos', i, 'key', sh[i], 'low', greatest(i - {reach}, 0), 'near', {near}))"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", scratch: Scratch | None = None) -> DataFrame:
@@ -77,7 +89,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, id_col
         literals = ",".join(str(r[0]) for r in keys.collect()) or "null"
         held = shingled.select(F.explode(F.expr(f"array_distinct(filter(sh, h -> h in ({literals})))")).alias("key"))
     else:
-        held = shingled.select(F.explode(F.array_distinct("sh")).alias("key")).join(keys, "key", "left_semi")
+        held = shingled.select(F.explode(F.array_distinct("sh")).alias("key")).join(F.broadcast(keys) if n_keys <= BROADCAST_KEYS else keys, "key", "left_semi")
     rarity = scratch.table(held.groupBy("key").agg(F.count("*").alias("df")), "rarity")
 
     rarest = F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "offset", "key")).alias("p")
