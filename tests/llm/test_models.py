@@ -76,14 +76,34 @@ def test_code_points():
 
 
 def test_bundle_equals_binding_by_hand():
-    v = hyperlang.letter_vectors()
-    text = b"abca"
-    total = np.zeros(hyperlang.DIMENSIONS)
-    line = [0, 1, 2, 3, 1, 0]
-    for a, b, c in zip(line, line[1:], line[2:], strict=False):
-        total += v[0][a].astype(int) * v[1][b] * v[2][c]
-    got = hyperlang.bundle(np.frombuffer(text, np.uint8), np.array([0, 4]))[0]
-    assert got == pytest.approx(total / np.linalg.norm(total), abs=1e-6)
+    vector = lambda place, letter: hyperlang.letter_vectors(np.array([letter]))[place][0].astype(int)
+    for text in ("abca", "AbÇa", "中文ab", "ԱբΩЖ", "𐐀𐐨a"):
+        total = np.zeros(hyperlang.DIMENSIONS)
+        line = [0, *(ord(c.lower()) for c in text), 0]
+        for a, b, c in zip(line, line[1:], line[2:], strict=False):
+            total += vector(0, a) * vector(1, b) * vector(2, c)
+        data = text.encode()
+        got = hyperlang.bundle(np.frombuffer(data, np.uint8), np.array([0, len(data)]))[0]
+        assert got == pytest.approx(total / np.linalg.norm(total), abs=1e-6)
+
+
+def test_letters_of_all_scripts_have_vectors_of_their_own():
+    letters = np.array([c for c in (*range(97, 123), *range(0x3B1, 0x3C9), *range(0x430, 0x450), *range(0x4E00, 0x4F00), 0x10428)])
+    v = hyperlang.letter_vectors(letters)[2].astype(int)
+    near = v @ v.T
+    np.fill_diagonal(near, 0)
+    assert np.abs(near).max() < 0.25 * hyperlang.DIMENSIONS
+
+
+def test_rows_of_very_many_letters():
+    """So many letters that trigrams cannot be numbered in one go."""
+    texts = ["".join(chr(0x4E00 + (i * 37 + k * 11) % 20_000) for k in range(40)) for i in range(600)] + ["".join(map(chr, range(0xAC00, 0xD7A4))), "".join(map(chr, range(0x20000, 0x2A6D0)))] + ["a"] * 60_000
+    data = [t.encode() for t in texts]
+    offsets = np.append(0, np.cumsum([len(d) for d in data]))
+    flat = np.frombuffer(b"".join(data), np.uint8)
+    whole = hyperlang.bundle(flat, offsets)
+    for i in (0, 1, 599):
+        assert whole[i] == pytest.approx(hyperlang.bundle(np.frombuffer(data[i], np.uint8), np.array([0, len(data[i])]))[0], abs=1e-6)
 
 
 def test_languages(docs_of, spark):
@@ -101,12 +121,12 @@ def test_languages_by_hand(docs_of, spark):
     """Profiles, cosines and scores of whole texts, letter by letter."""
     taught = [("der die das und", "de"), ("the and of with", "en"), ("das ist nicht", "de"), ("this is not it", "en"), ("el la los con", "es"), ("12 !", "es")]
     texts = ["die und das", "of the with this", "los con la", "Das, THE and!", "x", None, "7"]
-    v, table = hyperlang.letter_vectors().astype(int), hyperlang.letter_table()
+    vector = lambda place, letter: hyperlang.letter_vectors(np.array([letter]))[place][0].astype(int)
 
     def unit(text):
-        total, line = np.zeros(hyperlang.DIMENSIONS), [0, *(int(table[ord(c)]) for c in text or ""), 0]
+        total, line = np.zeros(hyperlang.DIMENSIONS), [0, *(ord(c.lower()) if c.isalpha() else 0 for c in text or ""), 0]
         for a, b, c in zip(line, line[1:], line[2:], strict=False):
-            total += v[0][a] * v[1][b] * v[2][c] * (b != 0)
+            total += vector(0, a) * vector(1, b) * vector(2, c) * (b != 0)
         return total / max(np.linalg.norm(total), 1e-9)
 
     names = ["de", "en", "es"]

@@ -1,6 +1,6 @@
 """Language identification with hyperdimensional profiles.
 
-Every letter has a random vector of +1 and -1. A letter trigram is the product (binding) of its letters'
+Every letter, whatever its script, has a random vector of +1 and -1, which follows from its code point. A letter trigram is the product (binding) of its letters'
 vectors, each rotated by its place (permutation); a text is the sum (bundle) of its trigrams. A language's
 prototype is the sum of its texts' unit vectors, and a text gets the language whose prototype has the
 largest cosine with it, both taken from the mean of all prototypes.
@@ -24,28 +24,26 @@ COLUMNS = 4096
 UNIT = 1 << 24
 SHARPNESS = 12.0
 
+POINTS = 0x110000
+
 _tables: dict[str, np.ndarray] = {}
+_vectors: dict[int, np.ndarray] = {}
 
 
 def letter_table() -> np.ndarray:
-    """A symbol from 1 to 255 for each letter below U+10000, upper and lower case alike; 0 for all else."""
+    """For each code point its lower-case letter's code point, and 0 where it is no letter."""
     if "letters" not in _tables:
-        table = np.zeros(0x10000, np.uint8)
-        for code in range(0x10000):
-            c = chr(code)
-            if c.isalpha():
-                low = ord(c.lower()[0])
-                table[code] = low - 96 if 97 <= low <= 122 else 27 + low % 229
-        _tables["letters"] = table
+        _tables["letters"] = np.array([ord(chr(p).lower()[0]) if chr(p).isalpha() else 0 for p in range(POINTS)], np.int32)
     return _tables["letters"]
 
 
-def letter_vectors() -> np.ndarray:
-    """(place, symbol, dimension): the symbols' vectors, rotated once more for each place before the last."""
-    if "vectors" not in _tables:
-        base = np.random.default_rng(7).choice(np.array([-1, 1], np.int8), (256, DIMENSIONS))
-        _tables["vectors"] = np.stack([np.roll(base, 2, axis=1), np.roll(base, 1, axis=1), base])
-    return _tables["vectors"]
+def letter_vectors(letters: np.ndarray) -> np.ndarray:
+    """(place, letter, dimension): each letter's own vector, rotated once more for each place before the last; 0 is the gap between words."""
+    for p in letters.tolist():
+        if p not in _vectors:
+            _vectors[p] = np.random.default_rng([7, p]).choice(np.array([-1, 1], np.int8), DIMENSIONS)
+    base = np.stack([_vectors[p] for p in letters.tolist()])
+    return np.stack([np.roll(base, 2, axis=1), np.roll(base, 1, axis=1), base])
 
 
 def code_points(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -59,41 +57,51 @@ def code_points(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return code, np.concatenate([[0], np.cumsum(lead)])[offsets]
 
 
-def trigrams(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows, trigram codes and counts of all rows that hold a letter; what is not a letter parts words."""
+def trigrams(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, trigrams and counts of all rows that hold a letter, and the letters; what is not a letter parts words.
+
+    A trigram is a (row, 3) array's row of places among the letters, which are those of these rows, the gap first.
+    """
     code, rows = code_points(flat, offsets)
-    symbol = np.where(code < 0x10000, letter_table()[np.minimum(code, 0xFFFF)], 0)
-    for c in np.unique(code[code >= 0x10000]):
-        if chr(min(int(c), 0x10FFFF)).isalpha():
-            symbol[code == c] = 27 + int(c) % 229
+    symbol = letter_table()[np.minimum(code, POINTS - 1)]
+    seen = np.zeros(POINTS, bool)
+    seen[symbol] = seen[0] = True
+    letters = np.flatnonzero(seen)
+    place = np.zeros(POINTS, np.int32)
+    place[letters] = np.arange(len(letters))
     n = len(offsets) - 1
     row = np.repeat(np.arange(n), np.diff(rows))
-    line = np.zeros(len(symbol) + 2 * n, np.uint8)  # a gap before and after each row
-    line[np.arange(len(symbol)) + 2 * row + 1] = symbol
+    line = np.zeros(len(symbol) + 2 * n, np.int32)  # a gap before and after each row
+    line[np.arange(len(symbol)) + 2 * row + 1] = place[symbol]
     owner = np.repeat(np.arange(n), np.diff(rows) + 2)
     keep = np.ones(len(line), bool)
     keep[1:] = (line[1:] != 0) | (line[:-1] != 0) | (owner[1:] != owner[:-1])
     line, owner = line[keep].astype(np.int64), owner[keep]
-    if len(line) < 3:
-        return (np.zeros(0, np.int64),) * 3
     inside = (owner[2:] == owner[:-2]) & (line[1:-1] != 0)
-    keys = (owner[2:] << 24 | line[:-2] << 16 | line[1:-1] << 8 | line[2:])[inside]
-    keys, counts = np.unique(keys, return_counts=True)
-    return keys >> 24, keys & 0xFFFFFF, counts
+    size = len(letters)
+    first, pairs = (owner[2:] * size + line[:-2])[inside], None
+    if n * size**3 >= 1 << 62:  # so many letters that the numbers of trigrams would be too large
+        pairs, first = np.unique(first, return_inverse=True)
+    keys, counts = np.unique((first.reshape(-1) * size + line[1:-1][inside]) * size + line[2:][inside], return_counts=True)
+    first = keys // (size * size)
+    first = first if pairs is None else pairs[first]
+    return first // size, np.stack([first % size, keys // size % size, keys % size], axis=1), counts, letters
 
 
 def bundle(flat: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Unit vectors of the rows; zeros where a row has no letter."""
     n = len(offsets) - 1
-    rows, codes, counts = trigrams(flat, offsets)
-    used, column = np.unique(codes, return_inverse=True)
+    rows, grams, counts, letters = trigrams(flat, offsets)
+    size = len(letters)
+    used, column = np.unique((grams[:, 0] * size + grams[:, 1]) * size + grams[:, 2], return_inverse=True)
+    column = column.reshape(-1)
     out = np.zeros((n, DIMENSIONS), np.float32)
-    vectors = letter_vectors()
+    vectors = letter_vectors(letters)
     order = np.argsort(column, kind="stable")
     rows, column, counts = rows[order], column[order], counts[order]
     for start in range(0, len(used), COLUMNS):
         some = used[start : start + COLUMNS]
-        bound = vectors[0][some >> 16] * vectors[1][some >> 8 & 255] * vectors[2][some & 255]
+        bound = vectors[0][some // (size * size)] * vectors[1][some // size % size] * vectors[2][some % size]
         lo, hi = np.searchsorted(column, [start, start + len(some)])
         table = np.zeros((n, len(some)), np.float32)
         table[rows[lo:hi], column[lo:hi] - start] = counts[lo:hi]
