@@ -241,10 +241,13 @@ def features(pcm: DataFrame) -> DataFrame:
     return pcm.select(*[f.split()[0] for f in PCM.split(", ")]).mapInArrow(_feature_batches, ", ".join([*kept, "feature string"]))
 
 
+def recordings(docs: DataFrame, scratch: Scratch | None = None) -> tuple[DataFrame, DataFrame]:
+    """The recordings of media_column and the PCM of resampled, stored as the tables media and pcm of a scratch folder (scratch.path), where they stay."""
+    scratch = scratch or Scratch(docs.sparkSession, "telephony")
+    stored = scratch.table(media_column(docs), "media", LEVEL)
+    return stored, scratch.table(resampled(stored), "pcm", LEVEL)
+
+
 def op8_telephony(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    scratch = Scratch(spark, "telephony")
-    stored = scratch.table(media_column(docs), "media", LEVEL)
-    pcm = scratch.table(resampled(stored), "pcm", LEVEL)
-    scratch.keep("pcm")
-    return features(pcm)
+    return features(recordings(docs)[1])
