@@ -20,10 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from thermolake.llm import textkit
 from thermolake.llm.components import components
 from thermolake.session import Scratch
 
-#: Sets of one index, and tokens in them, at about.
+#: Sets of one index, and tokens in them, at most; small clusters are put together up to half of that.
 BLOCK, BLOCK_TOKENS = 2048, 1 << 20
 #: Lists from so many entries on are long: probing one for some candidates costs less than merging it.
 LONG_LIST = 256
@@ -115,7 +116,9 @@ def _within(percent: int):
 
     def run(rows: pa.Table) -> pa.Table:
         comps, sets = rows.column("comp").to_numpy(), _lists(rows.column("members"))
-        return _forest(_linked(comps, sets, comps, sets, percent))
+        found = _forest(_linked(comps, sets, comps, sets, percent))
+        textkit.release()
+        return found
 
     return run
 
@@ -127,7 +130,9 @@ def _across(percent: int):
         if not left.num_rows or not right.num_rows:
             return _forest(iter(()))
         comps = [t.column("comp").to_numpy() for t in (left, right)]
-        return _forest(_linked(comps[0], _lists(left.column("members")), comps[1], _lists(right.column("members")), percent))
+        found = _forest(_linked(comps[0], _lists(left.column("members")), comps[1], _lists(right.column("members")), percent))
+        textkit.release()
+        return found
 
     return run
 
@@ -144,7 +149,7 @@ def joined_components(scratch: Scratch, members: DataFrame, sets: DataFrame, per
     sizes = rows.groupBy("cluster").agg(F.count("*").alias("n"), F.sum(F.size("members")).alias("tokens"))
     sizes = scratch.table(sizes.withColumn("small", F.expr(f"n <= {BLOCK} and tokens <= {BLOCK_TOKENS}")), "cluster_sizes")
     amount = sizes.where("small").agg(F.coalesce(F.sum(F.greatest(F.col("tokens"), F.col("n") * (BLOCK_TOKENS // BLOCK))), F.lit(0))).first()[0]
-    bins = -(-amount // BLOCK_TOKENS) + 1
+    bins = -(-2 * amount // BLOCK_TOKENS) + 1
     placed = rows.join(sizes, "cluster")
     packed = placed.where("small").select(F.pmod(F.xxhash64("cluster"), F.lit(bins)).alias("bin"), "comp", "members")
     links = packed.groupBy("bin").applyInArrow(_within(percent), "a long, b long")
