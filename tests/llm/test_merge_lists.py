@@ -96,6 +96,11 @@ def test_words_that_share_a_hash(monkeypatch):
     """With hashes that do not tell words apart, bytes do."""
     data = np.frombuffer(b"one two ONE three two four", np.uint8)
     want = [b"one", b"two", b"one", b"three", b"two", b"four"]
+    long = np.frombuffer(b"0123456789abcdeX 0123456789abcdeY 0123456789abcdeX 01234567 01234568", np.uint8)
+    monkeypatch.setattr(textkit, "hash_spans", lambda flat, starts, ends: (ends - starts).astype(np.uint64))
+    words, which, _ = textkit.distinct_words(long, np.array([0, len(long)]), False)
+    assert len(words) == 4 and [words[i] for i in which] == long.tobytes().lower().split()
+    monkeypatch.undo()
     for hashed in (textkit.hash_spans, lambda flat, starts, ends: np.zeros(len(starts), np.uint64), lambda flat, starts, ends: (ends - starts).astype(np.uint64)):
         monkeypatch.setattr(textkit, "hash_spans", hashed)
         words, which, firsts = textkit.distinct_words(data, np.array([0, 8, len(data)]), False)
