@@ -131,3 +131,14 @@ def test_words_by_the_library(text):
     data = np.frombuffer(text.encode() * 2, np.uint8)
     rows = found.texts(data, np.array([0, len(data) // 2, len(data)]), 1).to_pylist()
     assert [np.frombuffer(r, found.kind).tolist() for r in rows] == [[*wanted(text), 1]] * 2
+
+
+def test_words_beyond_what_is_remembered(monkeypatch):
+    monkeypatch.setattr(bitpack, "REMEMBERED", 6)
+    encoder = bitpack.WordIds(PATH)
+    for text in ["one two three four five", "six, seven. eight! nine", "one Two <|endoftext|> ten", "É ß one"] * 2:
+        data = np.frombuffer(text.encode(), np.uint8)
+        ids = np.frombuffer(encoder.texts(data, np.array([0, len(data)]), 1)[0].as_py(), encoder.kind)
+        assert ids.tolist() == [*wanted(text), 1]
+        assert len(encoder.memory) <= 6
+    assert set(encoder.memory) >= {b"one", b"two", b"three", b"four", b"five"}

@@ -17,6 +17,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ FOOTER = struct.Struct("<QQQQQQ8s")  # bits, ids in a block, documents, ids, whe
 BLOCK_IDS = 65536
 #: Bytes of text encoded at once: the more, the fewer words are looked up twice.
 ENCODE_BYTES = 4 << 20
-#: Words whose ids a worker remembers; beyond it the memory starts anew.
+#: Words whose ids a worker remembers, the first that it meets; those beyond are forgotten after each chunk.
 REMEMBERED = 1_200_000
 #: Stands for a null document id in files.
 NULL_ID = -(1 << 63)
@@ -195,10 +196,7 @@ class WordIds:
 
     def words(self, words: list[bytes], marked: bool) -> list[bytes]:
         """The ids of distinct words; marked: some may hold an added token."""
-        unknown = set(words).difference(self.memory)
-        if len(self.memory) + 2 * len(unknown) > REMEMBERED:
-            self.memory.clear()
-            unknown = set(words)
+        unknown, held = set(words).difference(self.memory), len(self.memory)
         ends = {}
         for w in unknown if self.plain else ():
             if not 97 <= w[-1] <= 122:
@@ -208,7 +206,11 @@ class WordIds:
         self._learn(unknown.difference(ends).union(*ends.values()).difference(self.memory), marked)
         for w, (head, tail) in ends.items():
             self.memory[w] = self.memory[head] + self.memory[tail]
-        return [*map(self.memory.__getitem__, words)]
+        found = [*map(self.memory.__getitem__, words)]
+        if len(self.memory) > REMEMBERED:  # the words that were learned last go
+            for w in [*islice(reversed(self.memory), len(self.memory) - held)]:
+                del self.memory[w]
+        return found
 
     def texts(self, flat: np.ndarray, offsets: np.ndarray, end_id: int) -> pa.Array:
         """The ids of each text and `end_id` after them, as bytes.
