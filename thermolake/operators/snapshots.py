@@ -180,11 +180,12 @@ class SnapshotTable:
         """
         m = self.manifest()
         rows, order = staged_in_order(staged if isinstance(staged, list) else [staged])
-        rows = last_staged(rows, keys, order).drop("_source", "_file", "_row", "_content")
-        values = [r[0] for r in rows.select(F.year(date_col)).distinct().collect()]  # one for each year
+        # rows of one key have one date where the date is a key, so that all years can be told before the last row is
+        dated = rows if date_col in keys else last_staged(rows, keys, order)
+        values = [r[0] for r in dated.select(F.year(date_col)).distinct().collect()]  # one for each year
         names = {part_name({m.by[0]: v}) for v in values}
         some = self.scan(m.version, names.__contains__)
-        merged = merge_upsert(some.drop(m.by[0]), rows, keys).withColumn(m.by[0], F.year(date_col))
+        merged = merge_upsert(some.drop(m.by[0]), rows, keys, order).withColumn(m.by[0], F.year(date_col))
         return self.commit(merged.select(some.columns), base=m.version)
 
     def delete_window(self, date_col: str, start, end) -> int:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from thermolake.functions import scalars as S
 from thermolake.operators import history, stats, weather
 from thermolake.operators.snapshots import SnapshotTable, create, part_name
+from thermolake.session import Scratch
 
 PART = ["year", "batch", "shard"]
 #: Slices of the locations that forecasts are kept by: a changed location rewrites one of them.
@@ -24,7 +25,7 @@ def planned_parts(years: DataFrame, batch_hours: int, shards: int) -> DataFrame:
     return batches.select("year", F.col("batch_index").alias("batch"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "start_h", "end_h")
 
 
-def compute_days(sampled: DataFrame, years: DataFrame, path: str, with_comfort: Callable[[DataFrame, Observation], DataFrame], batch_hours: int = 720, shards: int = 1, force: bool = False, only: str | None = None) -> SnapshotTable:
+def compute_days(sampled: DataFrame, years: DataFrame, path: str, with_comfort: Callable[[DataFrame, Observation], DataFrame], batch_hours: int = 720, shards: int = 1, force: bool = False, only: str | None = None, members: DataFrame | None = None) -> SnapshotTable:
     """Daily comfort of sampled grid rows, as a table by (year, batch, shard) that is also the ledger of what is done.
 
     Only planned parts that the table lacks are computed (all with `force`; of these those that the condition
@@ -32,6 +33,8 @@ def compute_days(sampled: DataFrame, years: DataFrame, path: str, with_comfort:
     and the next one goes on from there. Parts without rows count as done. A location's shard is its number
     modulo `shards`; a batch is whole days, so that no day is split. with_comfort(rows, seen) adds pet to derived
     weather. The manifest's facts hold how many hours were sampled and how many were left out, and why, counted by the jobs themselves.
+    Sampled rows may be those of places instead of cities, with their members (weather.by_place, by the same shards):
+    then days are computed by place, and given to each city when they are written.
     """
     table = SnapshotTable(sampled.sparkSession, path)
     plan = planned_parts(years, batch_hours, shards)
@@ -52,6 +55,7 @@ def compute_days(sampled: DataFrame, years: DataFrame, path: str, with_comfort:
     chosen = placed.where(hour.between(*spans)).join(parts, PART, "left_semi").drop(*PART)
     sky, skin = Observation("sky"), Observation("skin")
     days = weather.daily_comfort(with_comfort(weather.derive_weather(chosen, sky), skin))
+    days = days if members is None else weather.each_city(days, members)
     first = S.date_hour(F.col("date"))
     rows = days.withColumns({"year": F.year("date"), "batch": S.time_bucket(first, S.first_hour(F.year("date")), batch_hours), "shard": F.pmod("location_id", F.lit(shards)).cast("int")})
     names = [part_name({k: r[k] for k in PART}) for r in todo]
@@ -69,18 +73,20 @@ def refresh_statistics(facts: SnapshotTable, path: str) -> tuple[SnapshotTable,
         return table, table.scan().select("location_id", "year").distinct().count()
     m = kept.manifest()
     changed = facts.changed_keys([F.col("location_id").cast("int").alias("location_id"), F.year("date").cast("smallint").alias("year")], m.facts["source"], source.version)
-    changed = changed.where("year is not null").collect()  # a row for each location and year of what was loaded
-    if not changed:
+    scratch = Scratch(facts.spark, "changed")
+    groups = scratch.table(changed.where("year is not null"), "groups")  # written, as all locations may have changed
+    found = {r.year: r.n for r in groups.groupBy("year").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not found:
         return kept, 0
-    years = sorted({r.year for r in changed})
-    groups = facts.spark.createDataFrame(changed, "location_id int, year smallint")
+    years = sorted(found)
     names = {part_name({"year": y}) for y in years}
     again = facts.scan(source.version, names.__contains__)
     again = again.withColumn("year", F.year("date").cast("smallint")).withColumn("location_id", F.col("location_id").cast("int")).join(groups, ["location_id", "year"], "left_semi")
     new = stats.year_stats(again)
     rest = kept.scan(m.version, names.__contains__).join(groups, ["location_id", "year"], "left_anti")
     kept.commit(rest.select(*new.columns).unionByName(new), drop=sorted(names), facts={"source": source.version}, base=m.version)
-    return kept, len(changed)
+    scratch.keep()
+    return kept, sum(found.values())
 
 
 def refresh_forecasts(facts: SnapshotTable, path: str, make: Callable[[DataFrame], DataFrame]) -> tuple[SnapshotTable, int]:

@@ -9,6 +9,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from thermolake.functions import scalars as S
 from thermolake.functions.comfort import solve
@@ -30,6 +31,10 @@ ALIASES = {
 INPUTS = ["t", "mrt", "v", "rh"]
 #: Cities that are broadcast (about 60 bytes each); beyond it both sides are shuffled by cell.
 BROADCAST_CITIES = 500_000
+#: Cities of one place that lie in one array, so that no row grows with their number.
+CITIES_TOGETHER = 1024
+#: Cities that are broadcast in arrays (at most 8 bytes each), if the arrays are no more than BROADCAST_CITIES.
+BROADCAST_MEMBERS = 8_000_000
 #: Solved tuples that are broadcast (about 60 bytes each); beyond it both sides are shuffled by tuple.
 BROADCAST_SOLVED = 500_000
 #: What radiant temperatures (Celsius) and comfort values may be.
@@ -52,15 +57,63 @@ def scan_grid(spark, path: str, aliases: dict[str, list[str]] = ALIASES, hour_ra
     return raw.select("hour", "lat", "lng", *[F.col(c).alias(k) for k, c in resolve_variables(raw.columns, aliases).items()])
 
 
+def by_place(cities: DataFrame, shards: int = 1) -> tuple[DataFrame, DataFrame]:
+    """Cities at the same coordinates as one place, and what gives every city its rows back (`each_city`).
+
+    Places: location_id (of the city that stands for all of them), lat, lng, cities (how many). Members: _place (that
+    location_id), ids (arrays of at most about CITIES_TOGETHER cities). Weather, comfort and days of a place are those
+    of all its cities, so that work follows places and hours, and only the last step the cities. With shards, a place
+    stands for cities of one shard (location_id modulo `shards`). Cities without a location_id, and rows that share
+    one, stand for themselves.
+    """
+    scratch = Scratch(cities.sparkSession, "places")
+    same = F.count(F.lit(1)).over(Window.partitionBy("location_id"))
+    rows = scratch.table(cities.select("location_id", "lat", "lng", F.pmod("location_id", F.lit(shards)).alias("_shard"), same.alias("_same")), "cities")
+    single = F.col("location_id").isNotNull() & (F.col("_same") == 1)
+    once, more = rows.where(single).drop("_same"), rows.where(~single)
+    key = ["lat", "lng", "_shard"]
+    groups = scratch.table(once.groupBy(*key).agg(F.min("location_id").alias("_place"), F.count(F.lit(1)).alias("cities")), "groups")
+    places = groups.select(F.col("_place").alias("location_id"), "lat", "lng", "cities").unionByName(more.select("location_id", "lat", "lng", F.lit(1).cast("bigint").alias("cities")))
+    nth = F.pmod(F.xxhash64("location_id"), F.ceil(F.col("cities") / CITIES_TOGETHER)).alias("_nth")
+    members = once.join(F.broadcast(groups) if groups.count() <= BROADCAST_CITIES else groups, key).groupBy("_place", nth).agg(F.collect_list("location_id").alias("ids")).drop("_nth")
+    alone = more.select(F.col("location_id").alias("_place")).distinct().withColumn("ids", F.array("_place"))
+    return places, scratch.table(members.unionByName(alone), "members")
+
+
+def each_city(df: DataFrame, members: DataFrame) -> DataFrame:
+    """A row of each city for every row of its place, which is named by location_id.
+
+    Rows are first dealt out over as many tasks as a shuffle has: they are few, and their copies many.
+    """
+    spark = df.sparkSession
+    arrays, ids = members.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("ids")), F.lit(0))).first()
+    side = F.broadcast(members) if arrays <= BROADCAST_CITIES and ids <= BROADCAST_MEMBERS else members
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    when = [c for c in ("location_id", "hour", "date") if c in df.columns]
+    found = df.repartition(tasks, *when).join(side, F.col("location_id").eqNullSafe(F.col("_place")))
+    return found.select([F.explode("ids").alias(c) if c == "location_id" else F.col(c) for c in df.columns if c != "cities"])
+
+
+def city_hours(df: DataFrame, where: Column | None = None) -> Column:
+    """How many hours of cities rows stand for, of those that a condition holds for: a place's row counts for each of its cities."""
+    n = F.col("cities") if "cities" in df.columns else F.lit(1)
+    return F.coalesce(F.sum(n if where is None else F.when(where, n)), F.lit(0)).cast("bigint")
+
+
 def sample_grid(grid: DataFrame, cities: DataFrame, cell: float = 0.25) -> DataFrame:
-    """Each city's grid rows: both sides are snapped to integer cells, longitudes wrapped, and joined on equality."""
+    """Each city's (or place's) grid rows: both sides are snapped to integer cells, longitudes wrapped, and joined on equality."""
     around = round(360 / cell)
     cells = lambda lat, lng: (S.cell_id(F.col(lat), cell).alias("_i"), (S.cell_id(S.wrap360(F.col(lng)), cell) % around).alias("_j"))
-    places = cities.select("location_id", F.col("lat").alias("city_lat"), F.col("lng").alias("city_lng"), *cells("lat", "lng"))
+    places = cities.select("location_id", F.col("lat").alias("city_lat"), F.col("lng").alias("city_lng"), *_cities(cities), *cells("lat", "lng"))
     side = F.broadcast(places) if cities.limit(BROADCAST_CITIES + 1).count() <= BROADCAST_CITIES else places
     return grid.select("*", *cells("lat", "lng")).drop("lat", "lng").join(side, ["_i", "_j"]).drop("_i", "_j")
 
 
+def _cities(df: DataFrame) -> list[str]:
+    """The column of places that tells how many cities they stand for, where there is one."""
+    return [c for c in df.columns if c == "cities"]
+
+
 def derive_weather(df: DataFrame, seen: Observation | None = None) -> DataFrame:
     """location_id, hour, t, v, rh, mrt of sampled rows: valid ones only, all by column expressions.
 
@@ -75,13 +128,13 @@ def derive_weather(df: DataFrame, seen: Observation | None = None) -> DataFrame:
     sun = df.withColumn("_sun", S.cossza(F.col("city_lat"), S.to_180(F.col("city_lng")), middle))
     t, dew = S.celsius(F.col("t2").cast("double")), S.celsius(F.col("d2").cast("double"))
     radiant = S.mrt(f["ssrd"], f["ssr"], S.dsrp(f["fdir"], F.col("_sun")), f["strd"], f["fdir"], f["str"], F.col("_sun"))
-    out = sun.select("location_id", "hour", t.alias("t"), S.wind(F.col("u10"), F.col("v10")).alias("v"), S.relative_humidity(t, dew).alias("rh"), S.null_outside(S.celsius(radiant), *RADIANT_RANGE).alias("mrt"))
+    out = sun.select("location_id", "hour", *_cities(df), t.alias("t"), S.wind(F.col("u10"), F.col("v10")).alias("v"), S.relative_humidity(t, dew).alias("rh"), S.null_outside(S.celsius(radiant), *RADIANT_RANGE).alias("mrt"))
     out = out.select(F.inline(F.array(F.struct(*out.columns))))
     # NaN is above every bound, so these comparisons also drop what is not a number, and nulls
     fine = valid_weather() & (F.col("t") < float("inf")) & (F.col("v") < float("inf"))
     if seen is not None:
         bad = ~F.coalesce(fine, F.lit(False)) & F.col("mrt").isNotNull()
-        out = out.observe(seen, F.count(F.lit(1)).alias("hours"), F.count(F.when(F.col("mrt").isNull(), 1)).alias("radiation"), F.count(F.when(bad, 1)).alias("weather"))
+        out = out.observe(seen, city_hours(out).alias("hours"), city_hours(out, F.col("mrt").isNull()).alias("radiation"), city_hours(out, bad).alias("weather"))
     return out.where(fine & F.col("mrt").isNotNull())
 
 
@@ -144,7 +197,7 @@ def with_pet(df: DataFrame, icl: float = 0.5, memo: SnapshotTable | None = None,
     found = solve_distinct(rounded, INPUTS, run, T.StructField("pet", T.FloatType()), memo)
     found = found.withColumn("pet", S.rint_to(S.null_outside(F.col("pet"), *COMFORT_RANGE), 2.0).cast("float"))
     if seen is not None:
-        found = found.observe(seen, F.count(F.when(F.col("pet").isNull(), 1)).alias("comfort"))
+        found = found.observe(seen, city_hours(found, F.col("pet").isNull()).alias("comfort"))
     return found.dropna(subset=["pet"])
 
 

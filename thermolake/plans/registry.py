@@ -325,8 +325,14 @@ clean AS (SELECT * FROM frame WHERE mrt BETWEEN -80 AND 120 AND rh BETWEEN 1 AND
 
 @query("d5_nearest_cell", f"{_NEAREST} SELECT location_id, hour, {_near('t2')} AS t2, {_near('ssrd')} AS ssrd FROM sampled")
 def d5(spark, d):
-    grid = _grid(A.grid_hourly(spark, d))
-    return weather.sample_grid(grid, A.grid_cities(spark, d)).select("location_id", "hour", near("t2").alias("t2"), near("ssrd").alias("ssrd"))
+    sampled, members = _sampled(spark, d)
+    return weather.each_city(sampled.select("location_id", "hour", near("t2").alias("t2"), near("ssrd").alias("ssrd")), members)
+
+
+def _sampled(spark, d, shards: int = 1) -> tuple[DataFrame, DataFrame]:
+    """Grid rows by place, and the cities of each place."""
+    places, members = weather.by_place(A.grid_cities(spark, d), shards)
+    return weather.sample_grid(_grid(A.grid_hourly(spark, d)), places), members
 
 
 def _grid(raw: DataFrame) -> DataFrame:
@@ -343,29 +349,30 @@ def a9(spark, d):
 
 @query("i18_cossza", f"{_SUN} SELECT location_id, hour, {_near('cz', 5)} AS cz FROM sun")
 def i18(spark, d):
-    rows = weather.sample_grid(_grid(A.grid_hourly(spark, d)), A.grid_cities(spark, d))
+    rows, members = _sampled(spark, d)
     at = S.hour_to_ts(F.col("hour")) - F.expr("INTERVAL 30 MINUTES")
-    return rows.select("location_id", "hour", near(S.cossza(F.col("city_lat"), S.to_180(F.col("city_lng")), at), 5).alias("cz"))
+    return weather.each_city(rows.select("location_id", "hour", near(S.cossza(F.col("city_lat"), S.to_180(F.col("city_lng")), at), 5).alias("cz")), members)
 
 
 @query("j1_hourly_derivation", f"{_DERIVED} SELECT location_id, hour, {_near('t', 4)} AS t, {_near('v', 4)} AS v, {_near('rh', 4)} AS rh, {_near('mrt', 4)} AS mrt FROM clean")
 def j1(spark, d):
-    rows = weather.derive_weather(weather.sample_grid(_grid(A.grid_hourly(spark, d)), A.grid_cities(spark, d)))
-    return rows.select("location_id", "hour", *[near(c, 4).alias(c) for c in ("t", "v", "rh", "mrt")])
+    sampled, members = _sampled(spark, d)
+    return weather.each_city(weather.derive_weather(sampled).select("location_id", "hour", *[near(c, 4).alias(c) for c in ("t", "v", "rh", "mrt")]), members)
 
 
 @query("d4_distinct_solve", f"{_DERIVED} SELECT location_id, hour, {_near('round_even(t*2, 0)/2 + 2*(round_even(v*2, 0)/2)')} AS y FROM clean")
 def d4(spark, d):
     from pyspark.sql import types as T
 
-    rows = weather.derive_weather(weather.sample_grid(_grid(A.grid_hourly(spark, d)), A.grid_cities(spark, d)))
-    rounded = rows.withColumns({c: S.rint_to(F.col(c), 2.0) for c in ("t", "v")})
+    sampled, members = _sampled(spark, d)
+    rounded = weather.derive_weather(sampled).withColumns({c: S.rint_to(F.col(c), 2.0) for c in ("t", "v")})
 
     def run(batches):
         for b in batches:
             yield b.assign(y=b.t + 2 * b.v)
 
-    return weather.solve_distinct(rounded, ["t", "v"], run, T.StructField("y", T.DoubleType())).select("location_id", "hour", near("y").alias("y"))
+    found = weather.solve_distinct(rounded, ["t", "v"], run, T.StructField("y", T.DoubleType()))
+    return weather.each_city(found.select("location_id", "hour", near("y").alias("y")), members)
 
 
 _RECURSIVE = _DERIVED.replace("WITH", "WITH RECURSIVE", 1)
@@ -373,24 +380,20 @@ _RECURSIVE = _DERIVED.replace("WITH", "WITH RECURSIVE", 1)
 
 @query("j2_comfort", f"{_RECURSIVE}, {COMFORT} SELECT location_id, hour, t, mrt, v, rh, pet FROM hours")
 def j2(spark, d):
-    rows = weather.derive_weather(weather.sample_grid(_grid(A.grid_hourly(spark, d)), A.grid_cities(spark, d)))
-    return weather.with_pet(rows)
+    sampled, members = _sampled(spark, d)
+    return weather.each_city(weather.with_pet(weather.derive_weather(sampled)), members)
 
 
 @query("n3_daily_comfort", f"{_RECURSIVE}, {COMFORT} SELECT location_id, date, pet, pet_avg FROM comfort_days")
 def n3(spark, d):
-    rows = weather.derive_weather(weather.sample_grid(_grid(A.grid_hourly(spark, d)), A.grid_cities(spark, d)))
-    return weather.daily_comfort(weather.with_pet(rows))
+    sampled, members = _sampled(spark, d)
+    return weather.each_city(weather.daily_comfort(weather.with_pet(weather.derive_weather(sampled))), members)
 
 
 def _cheap(rows: DataFrame, seen=None) -> DataFrame:
     """A comfort value that SQL can give too, in the solver's place: t + 2 v of the rounded weather."""
     found = rows.withColumns({c: S.rint_to(F.col(c), 2.0) for c in ("t", "v")}).withColumn("pet", S.null_outside(F.col("t") + 2 * F.col("v"), -20.0, 40.0).cast("float"))
-    return (found.observe(seen, F.count(F.when(F.col("pet").isNull(), 1)).alias("comfort")) if seen is not None else found).dropna(subset=["pet"])
-
-
-def _sampled(spark, d) -> DataFrame:
-    return weather.sample_grid(_grid(A.grid_hourly(spark, d)), A.grid_cities(spark, d))
+    return (found.observe(seen, weather.city_hours(found, F.col("pet").isNull()).alias("comfort")) if seen is not None else found).dropna(subset=["pet"])
 
 
 _CHEAP = """cheap AS (SELECT location_id, CAST(make_timestamp((CAST(hour AS BIGINT) * 3600 - 2208988800) * 1000000) AS DATE) AS date, round_even(t*2, 0)/2 + 2*(round_even(v*2, 0)/2) AS y FROM clean),
@@ -401,13 +404,15 @@ days AS (SELECT location_id, date, CAST(max(y) AS FLOAT) AS pet, CAST(round_even
 def a9_store(spark, d):
     """Cities' hours from tiles: only those that a city lies in are opened."""
     store = gridstore.write_grid(_grid(A.grid_hourly(spark, d)), Scratch(spark, "store").path("grid"))
-    return gridstore.scan_cities(store, A.grid_cities(spark, d), (1087000, 1087300)).select("location_id", "hour", near("t2").alias("t2"), near("fdir").alias("fdir"))
+    places, members = weather.by_place(A.grid_cities(spark, d))
+    return weather.each_city(gridstore.scan_cities(store, places, (1087000, 1087300)).select("location_id", "hour", near("t2").alias("t2"), near("fdir").alias("fdir")), members)
 
 
 @query("d5_store_join", f"{_NEAREST} SELECT location_id, hour, {_near('t2')} AS t2, {_near('ssrd')} AS ssrd FROM sampled")
 def d5_store(spark, d):
     store = gridstore.write_grid(_grid(A.grid_hourly(spark, d)), Scratch(spark, "store").path("grid"))
-    return gridstore.scan_cities(store, A.grid_cities(spark, d)).select("location_id", "hour", near("t2").alias("t2"), near("ssrd").alias("ssrd"))
+    places, members = weather.by_place(A.grid_cities(spark, d))
+    return weather.each_city(gridstore.scan_cities(store, places).select("location_id", "hour", near("t2").alias("t2"), near("ssrd").alias("ssrd")), members)
 
 
 @query("d4_memo", f"{_DERIVED} SELECT location_id, hour, {_near('round_even(t*2, 0)/2 + 2*(round_even(v*2, 0)/2)')} AS y FROM clean")
@@ -415,7 +420,8 @@ def d4_memo(spark, d):
     """Tuples that a first run has solved (half of the locations) are not solved by the second one."""
     from pyspark.sql import types as T
 
-    rows = weather.derive_weather(_sampled(spark, d)).withColumns({c: S.rint_to(F.col(c), 2.0) for c in ("t", "v")})
+    places, members = _sampled(spark, d, 2)
+    rows = weather.derive_weather(places).withColumns({c: S.rint_to(F.col(c), 2.0) for c in ("t", "v")})
     memo = snapshots.create(spark.createDataFrame([], "t double, v double, y double"), Scratch(spark, "memo").path("memo"), narrow=False)
 
     def run(batches):
@@ -424,16 +430,17 @@ def d4_memo(spark, d):
 
     solve = lambda df: weather.solve_distinct(df, ["t", "v"], run, T.StructField("y", T.DoubleType()), memo)
     solve(rows.where("location_id % 2 = 0"))
-    return solve(rows).select("location_id", "hour", near("y").alias("y"))
+    return weather.each_city(solve(rows).select("location_id", "hour", near("y").alias("y")), members)
 
 
 @query("d6_resumed_days", f"{_DERIVED}, {_CHEAP} SELECT location_id, date, pet, pet_avg FROM days")
 def d6_resumed(spark, d):
     """Half of the batches first, then what is missing; what is done is not computed again."""
-    sampled, path = Scratch(spark, "d6").table(_sampled(spark, d), "sampled"), Scratch(spark, "d6").path("days")
+    sampled, members = _sampled(spark, d, 3)
+    sampled, path = Scratch(spark, "d6").table(sampled, "sampled"), Scratch(spark, "d6").path("days")
     years = sampled.select(S.hour_year(F.col("hour")).alias("year")).distinct()
     for some in ("batch % 2 = 0", None, None):
-        table = updates.compute_days(sampled, years, path, _cheap, 168, 3, only=some)
+        table = updates.compute_days(sampled, years, path, _cheap, 168, 3, only=some, members=members)
     return table.scan().select("location_id", "date", "pet", "pet_avg")
 
 
@@ -441,9 +448,9 @@ def d6_resumed(spark, d):
   (SELECT count(*) FROM frame WHERE mrt BETWEEN -80 AND 120 AND NOT (rh BETWEEN 1 AND 100 AND v > 0)) AS weather, (SELECT count(*) FROM cheap WHERE NOT y BETWEEN -20 AND 40) AS comfort, (SELECT count(*) FROM days) AS days""")
 def c6_counts(spark, d):
     """What the daily job left out, counted by the job itself."""
-    sampled = _sampled(spark, d)
+    sampled, members = _sampled(spark, d)
     years = sampled.select(S.hour_year(F.col("hour")).alias("year")).distinct()
-    table = updates.compute_days(sampled, years, Scratch(spark, "c6").path("days"), _cheap)
+    table = updates.compute_days(sampled, years, Scratch(spark, "c6").path("days"), _cheap, members=members)
     counts = table.manifest().facts["counts"]
     found = table.scan().agg(F.count("*").alias("days"))
     return found.select(*[F.lit(counts[c]).cast("long").alias(c) for c in ("hours", "radiation", "weather", "comfort")], "days")
@@ -456,9 +463,9 @@ def n10_incremental(spark, d):
     scratch = Scratch(spark, "n10i")
     facts = snapshots.create(tables.with_year(A.daily_all(spark, d)), scratch.path("facts"), ["year"])
     updates.refresh_statistics(facts, scratch.path("stats"))
-    sampled = _sampled(spark, d)
+    sampled, members = _sampled(spark, d)
     years = sampled.select(S.hour_year(F.col("hour")).alias("year")).distinct()
-    days = updates.compute_days(sampled, years, scratch.path("days"), _cheap).scan()
+    days = updates.compute_days(sampled, years, scratch.path("days"), _cheap, members=members).scan()
     fresh = days.groupBy((F.col("location_id") % 3).alias("location_id"), F.add_months("date", -12 * 26).alias("date")).agg(F.max("pet").alias("pet"), F.max("pet_avg").alias("pet_avg"))
     facts.upsert(fresh, ["location_id", "date"])
     return updates.refresh_statistics(facts, scratch.path("stats"))[0].scan().select(*stats.year_stats(facts.scan()).columns)
@@ -788,9 +795,10 @@ def n10_comfort(spark, d):
     """The yearly job with its own daily computation: days by the comfort solver over a grid store, facts, statistics."""
     scratch = Scratch(spark, "n10c")
     store = gridstore.write_grid(_grid(A.grid_hourly(spark, d)), scratch.path("grid"))
-    sampled = gridstore.scan_cities(store, A.grid_cities(spark, d))
+    places, members = weather.by_place(A.grid_cities(spark, d))
+    sampled = gridstore.scan_cities(store, places)
     memo = weather.comfort_memo(spark, scratch.path("memo"))
-    days = updates.compute_days(sampled, store.scan().select("year").distinct(), scratch.path("days"), lambda rows, seen: weather.with_pet(rows, memo=memo, seen=seen))
+    days = updates.compute_days(sampled, store.scan().select("year").distinct(), scratch.path("days"), lambda rows, seen: weather.with_pet(rows, memo=memo, seen=seen), members=members)
     facts = snapshots.create(tables.with_year(A.daily(spark, d)), scratch.path("facts"), ["year"])
     updates.refresh_statistics(facts, scratch.path("stats"))
     facts.upsert(days.scan().select("location_id", "date", "pet", "pet_avg"), ["location_id", "date"])
