@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyarrow import fs as pafs
 from tokenizers import Tokenizer
 
-from thermolake.llm import bitpack, wordbpe
+from thermolake.llm import bitpack, textkit, wordbpe
 
 PATH = wordbpe.vocabulary_path()
 CODEC = wordbpe.Codec(PATH).remember(1000)
@@ -142,3 +142,22 @@ def test_words_beyond_what_is_remembered(monkeypatch):
         assert ids.tolist() == [*wanted(text), 1]
         assert len(encoder.memory) <= 6
     assert set(encoder.memory) >= {b"one", b"two", b"three", b"four", b"five"}
+
+
+def test_a_codec_keeps_the_first_words():
+    codec = wordbpe.Codec(PATH).remember(6)
+    for text in ["one two three four five", "six, seven. eight! nine", "one Two <|endoftext|> ten", "É ß one " + "x" * 70] * 2:
+        data = np.frombuffer(text.encode(), np.uint8)
+        assert codec.ids(data, np.array([0, len(data)]))[0].tolist() == wanted(text)
+        assert max(len(codec.memory), len(codec.words), len(codec.bpe._fits)) <= 6
+    assert set(codec.memory) >= {b"one", b"two", b"three", b"four", b"five"}
+
+
+def test_hashing_keeps_little_in_a_worker():
+    """Hashes do not depend on what is hashed at once; long words leave nothing behind."""
+    word, long = b"word", b"x" * (3 << 20)
+    data = np.frombuffer(b" ".join([word, long, b"y " * (1 << 19), long, word]), np.uint8)
+    found = textkit.split_words(data, np.array([0, len(data)]))
+    alone = [textkit.split_words(np.frombuffer(w, np.uint8), np.array([0, len(w)])).hashes[0] for w in (word, long, b"y")]
+    assert found.hashes[[0, 1, 2, -3, -2, -1]].tolist() == [alone[i] for i in (0, 1, 2, 2, 1, 0)]
+    assert sum(p.nbytes for p in textkit._powers) <= 2 << 20

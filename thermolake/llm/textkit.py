@@ -17,6 +17,8 @@ import pyarrow.compute as pc
 
 #: Bytes of text handled at once; one longer text makes a chunk of its own.
 CHUNK_BYTES = 1 << 20
+#: Bytes hashed at once: a worker keeps two powers (16 bytes) for each of them as long as it lives.
+HASH_BYTES = 1 << 16
 
 ASCII_SPACE = np.zeros(256, bool)
 ASCII_SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -28,7 +30,7 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _rng = np.random.default_rng(20240607)
 _BYTE_CODE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64)[LOWER]
 _PLACE = _rng.integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
-_powers: dict[str, np.ndarray] = {}
+_powers: list[np.ndarray] = []
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -42,13 +44,15 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if "up" not in _powers or len(_powers["up"]) < n:
-        size = 1 << max(16, (n - 1).bit_length())
-        for name, base in (("up", _BASE), ("down", _INVERSE)):
-            p = np.full(size, base, np.uint64)
-            p[0] = 1
-            _powers[name] = np.cumprod(p, dtype=np.uint64)
-    return _powers["up"], _powers["down"]
+    """Powers of the base and of its inverse; those that only a longer word needs are not kept."""
+    if not _powers or len(_powers[0]) < n:
+        p = np.full((2, max(n, HASH_BYTES + 1)), [[_BASE], [_INVERSE]], np.uint64)
+        p[:, 0] = 1
+        up, down = np.cumprod(p, axis=1, dtype=np.uint64, out=p)
+        if n > HASH_BYTES + 1:
+            return up, down
+        _powers[:] = [up, down]
+    return _powers[0], _powers[1]
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -129,7 +133,7 @@ def hash_spans(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     out = np.empty(len(starts), np.uint64)
     i = 0
     while i < len(starts):
-        j = max(i + 1, int(np.searchsorted(ends, starts[i] + CHUNK_BYTES, "right")))
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + HASH_BYTES, "right")))
         lo, hi = int(starts[i]), int(ends[j - 1])
         up, down = _power(hi - lo + 1)
         total = np.zeros(hi - lo + 1, np.uint64)

@@ -19,6 +19,7 @@ import hashlib
 import json
 from array import array
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -29,14 +30,15 @@ from pyspark.sql import functions as F
 from thermolake.llm import textkit
 
 DEFAULT_VOCABULARY = "word_bpe_49k.json"
-#: Words, and pairs of tokens, that a worker remembers; beyond it the memory starts anew. The smaller number is
+#: Words, and pairs of tokens, that a worker remembers, the first that it meets. The smaller number is
 #: for workers that share an executor with what earlier stages left in its heap.
 REMEMBERED = 400_000
-REMEMBERED_AMID_STAGES = 200_000
+REMEMBERED_AMID_STAGES = 50_000
 #: Longer words are not remembered.
 LONGEST_REMEMBERED = 64
 #: Bytes of text encoded at once: the more, the fewer words are looked up twice.
 ENCODE_BYTES = 4 << 20
+ENCODE_BYTES_AMID_STAGES = 1 << 20
 #: Ids that go to a decoder at once.
 DECODE_IDS = 1 << 16
 _INT = np.dtype("<i4")
@@ -178,9 +180,8 @@ class WordBpe:
                         break
                 else:
                     limit, b = pb[0] + 1, pb[1]
-            if len(self._fits) > self.most_pairs:
-                self._fits.clear()
-            self._fits[left, right] = found
+            if len(self._fits) < self.most_pairs:
+                self._fits[left, right] = found
         return found
 
     def _sufficient_lookahead(self) -> int:
@@ -330,6 +331,13 @@ class TextMachine:
         return self.utf8.decode(b"", True)
 
 
+def _forget(memory: dict, learned: Iterable[str | int | bytes], most: int) -> None:
+    """Of what was just learned, long words go, and all of it that there is no room for: the first words stay for good."""
+    for w in learned:
+        if len(memory) > most or isinstance(w, str | bytes) and len(w) > LONGEST_REMEMBERED:
+            del memory[w]
+
+
 class Codec:
     """A worker's vocabulary, the words that it remembers, and what ids look like as numbers and as text."""
 
@@ -337,8 +345,18 @@ class Codec:
         self.bpe = WordBpe(path)
         self.memory: dict[bytes, bytes] = {}
         self.words: dict[str | int, bytes] = {}
-        self.decimal = [str(i).encode() for i in range(max(self.bpe.token_text) + 1)]
-        self.tokens, self.plain = self.bpe.pieces(True), self.bpe.pieces(False)
+
+    @cached_property
+    def decimal(self) -> list[bytes]:
+        return [str(i).encode() for i in range(max(self.bpe.token_text) + 1)]
+
+    @cached_property
+    def tokens(self) -> list[bytes]:
+        return self.bpe.pieces(True)
+
+    @cached_property
+    def plain(self) -> list[bytes]:
+        return self.bpe.pieces(False)
 
     def remember(self, most: int) -> Codec:
         self.most = self.bpe.most_pairs = most
@@ -349,15 +367,10 @@ class Codec:
         # an added token may stand inside a word, in its own case
         words, which, firsts = textkit.distinct_words(flat, offsets, b"<|" in flat.tobytes())
         unknown = [w for w in words if w not in self.memory]
-        if len(self.memory) + len(unknown) > self.most:
-            self.memory.clear()
-            unknown = words
         if unknown:
             self._learn(unknown)
         entries = [self.memory[w] for w in words]
-        for w in unknown:
-            if len(w) > LONGEST_REMEMBERED:
-                del self.memory[w]
+        _forget(self.memory, unknown, self.most)
         ids, ends = textkit.joined_ids(entries, which, firsts, _INT)
         return ids, np.append(0, ends)
 
@@ -365,16 +378,11 @@ class Codec:
         """Remembers the ids of what stands between two ASCII blanks, which no token crosses, by way of the words in it."""
         parts = [list(self.bpe.text_words(r.decode())) for r in runs]
         new = {w for p in parts for w in p}.difference(self.words)
-        if len(self.words) + len(new) > self.most:
-            self.words.clear()
-            new = {w for p in parts for w in p}
         texts = sorted(w for w in new if isinstance(w, str))
         self.words.update(zip(texts, (array("i", ids).tobytes() for ids in self.bpe.encode_words(texts)), strict=True))
         self.words.update((i, array("i", [i]).tobytes()) for i in new if isinstance(i, int))
         self.memory.update(zip(runs, (b"".join([self.words[w] for w in p]) for p in parts), strict=True))
-        for w in texts:
-            if len(w) > LONGEST_REMEMBERED:
-                del self.words[w]
+        _forget(self.words, new, self.most)
 
     def decoded_digest(self, ids: list[int]) -> str:
         machine, digest = TextMachine(self.tokens), hashlib.sha256()
@@ -393,6 +401,7 @@ _loaded: dict[str, Codec] = {}
 def _load(path: str, most: int = REMEMBERED) -> Codec:
     if path not in _loaded:
         _loaded[path] = Codec(path)
+        textkit.release()  # what building took
     return _loaded[path].remember(most)
 
 
@@ -416,7 +425,7 @@ def _encode_batches(path: str, most: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _load(path, most)
-        for piece, flat, offsets in textkit.chunked(batches, "text", ENCODE_BYTES):
+        for piece, flat, offsets in textkit.chunked(batches, "text", ENCODE_BYTES_AMID_STAGES):
             ids, cuts = codec.ids(flat, offsets)
             lists = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(ids))
             decoded = [codec.decoded_digest(ids[a:b].tolist()) for a, b in zip(cuts.tolist(), cuts[1:].tolist(), strict=False)]
