@@ -3,6 +3,7 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -144,6 +145,42 @@ def test_words_beyond_what_is_remembered(monkeypatch):
     assert set(encoder.memory) >= {b"one", b"two", b"three", b"four", b"five"}
 
 
+def test_known_words_are_found_in_arrays(monkeypatch):
+    """Words met before are neither encoded nor made into Python objects again; long ones are not kept."""
+    encoder, built = bitpack.WordIds(PATH), []
+    inner = textkit.span_bytes
+    monkeypatch.setattr(textkit, "span_bytes", lambda flat, starts, ends: built.append(len(starts)) or inner(flat, starts, ends))
+    for text, new in [("one two, É " + "x" * 70, 4), ("TWO, one é two\n\nx one", 2), ("x two é", 0), ("", 0)]:
+        data = np.frombuffer(text.encode(), np.uint8)
+        ids = np.frombuffer(encoder.texts(data, np.array([0, len(data)]), 1)[0].as_py(), encoder.kind)
+        assert ids.tolist() == [*wanted(text), 1] and sum(built) == new
+        built.clear()
+    assert set(encoder.memory) == {b"one", b"two", b"two,", b",", "É".encode(), "é".encode(), b"x"}
+
+
+def test_words_that_share_a_hash_have_their_own_ids(monkeypatch):
+    monkeypatch.setattr(textkit, "hash_spans", lambda flat, starts, ends: (ends - starts).astype(np.uint64))
+    encoder = bitpack.WordIds(PATH)
+    for text in ["one", "two", "one two", "Two six. <|endoftext|> ONE", "three seven", "three. six one"] * 2:
+        data = np.frombuffer(text.encode(), np.uint8)
+        ids = np.frombuffer(encoder.texts(data, np.array([0, len(data)]), 1)[0].as_py(), encoder.kind)
+        assert ids.tolist() == [*wanted(text), 1]
+    assert b"one" in set(encoder.memory) and b"two" not in set(encoder.memory)
+
+
+def test_a_worker_keeps_its_words_between_tasks(spark):
+    """What a task gets by value must not hold the encoder's table, else every task begins with an empty one."""
+    run = bitpack._encode_batches(PATH, 1, [])
+
+    def sizes(batches):
+        for _ in run(batches):
+            pass
+        yield pa.RecordBatch.from_arrays([pa.array([len(bitpack._tokenizers[PATH].memory) if PATH in bitpack._tokenizers else 0])], names=["n"])
+
+    rows = spark.createDataFrame([(1, "one two"), (2, "three")], "doc_id long, text string").coalesce(1)
+    assert rows.mapInArrow(lambda batches: sizes(batches), "n long").first()[0] >= 3
+
+
 def test_a_codec_keeps_the_first_words():
     codec = wordbpe.Codec(PATH).remember(6)
     for text in ["one two three four five", "six, seven. eight! nine", "one Two <|endoftext|> ten", "É ß one " + "x" * 70] * 2:

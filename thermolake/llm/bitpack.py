@@ -17,7 +17,6 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from thermolake.llm import textkit
-from thermolake.llm.wordbpe import vocabulary_path
+from thermolake.llm.wordbpe import LONGEST_REMEMBERED, vocabulary_path
 from thermolake.session import Scratch
 
 MAGIC = b"IDPACK01"
@@ -36,8 +35,8 @@ FOOTER = struct.Struct("<QQQQQQ8s")  # bits, ids in a block, documents, ids, whe
 BLOCK_IDS = 65536
 #: Bytes of text encoded at once: the more, the fewer words are looked up twice.
 ENCODE_BYTES = 4 << 20
-#: Words whose ids a worker remembers, the first that it meets; those beyond are forgotten after each chunk.
-REMEMBERED = 1_200_000
+#: Words whose ids a worker remembers, the first that it meets; those beyond, and long ones, are forgotten after each chunk.
+REMEMBERED = 2_500_000
 #: Stands for a null document id in files.
 NULL_ID = -(1 << 63)
 
@@ -135,6 +134,54 @@ _tokenizers: dict[str, WordIds] = {}
 END_MARKS = b".,!?;:|#$%&*"
 
 
+class Memory:
+    """Words and their ids in arrays: found by 64-bit hashes of the words, and compared byte by byte."""
+
+    def __init__(self, kind: np.dtype) -> None:
+        self.hashes, self.nth = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # in the order of hashes: which word it is
+        self.text_at, self.ids_at = np.zeros(1, np.int64), np.zeros(1, np.int64)  # in the order of words, and the end of the last
+        self.eight, self.ids = textkit.eights(np.zeros(0, np.uint8)), np.zeros(0, kind)
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    def __iter__(self) -> Iterator[bytes]:
+        return iter(textkit.span_bytes(self.eight.astype(np.uint8), self.text_at[:-1], self.text_at[1:]))
+
+    def find(self, flat: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Which word each span is, or -1."""
+        out = np.full(len(hashes), -1, np.int64)
+        if len(self):
+            at = np.minimum(np.searchsorted(self.hashes, hashes), len(self) - 1)
+            nth, size = self.nth[at], ends - starts
+            some = np.flatnonzero((self.hashes[at] == hashes) & (size == self.text_at[nth + 1] - self.text_at[nth]))
+            same = textkit.same_spans(textkit.eights(flat), starts[some], self.eight, self.text_at[nth[some]], size[some])
+            out[some[same]] = nth[some[same]]
+        return out
+
+    def add(self, words: list[bytes], hashes: np.ndarray, entries: list[bytes], most: int) -> None:
+        """Keeps words that it lacks, as far as there is room; of those that share a hash the first."""
+        if len(self) >= most:
+            return
+        short = np.flatnonzero(np.fromiter((len(w) <= LONGEST_REMEMBERED for w in words), bool, len(words)))
+        found, first = np.unique(hashes[short], return_index=True)
+        if len(self):
+            first = first[self.hashes[np.minimum(np.searchsorted(self.hashes, found), len(self) - 1)] != found]
+        kept = np.sort(short[first])[: most - len(self)]
+        if not len(kept):
+            return
+        own, new = hashes[kept], [words[i] for i in kept.tolist()]
+        ids = [entries[i] for i in kept.tolist()]
+        order = np.argsort(own)
+        at = np.searchsorted(self.hashes, own[order])
+        self.nth = np.insert(self.nth, at, (len(self) + order).astype(np.int32))
+        self.hashes = np.insert(self.hashes, at, own[order])
+        self.text_at = np.append(self.text_at, self.text_at[-1] + np.cumsum([len(w) for w in new]))
+        self.ids_at = np.append(self.ids_at, self.ids_at[-1] + np.cumsum([len(e) for e in ids]) // self.ids.itemsize)
+        self.ids = np.append(self.ids, np.frombuffer(b"".join(ids), self.ids.dtype))
+        self.eight = textkit.eights(np.append(self.eight[:-1].astype(np.uint8), np.frombuffer(b"".join(new), np.uint8)))
+
+
 class WordIds:
     """Ids of words by the tokenizers library, as bytes; words that come again are remembered.
 
@@ -155,7 +202,7 @@ class WordIds:
         special = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip or t.single_word)]
         self.part = special[0] if special else None
         self.marks = tuple(t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values())
-        self.memory: dict[bytes, bytes] = {}
+        self.memory = Memory(self.kind)
         self.plain = self._without_steps(path)
 
     @staticmethod
@@ -175,55 +222,74 @@ class WordIds:
         bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         return bare
 
-    def _learn(self, words: set[bytes], marked: bool) -> None:
+    def _learn(self, words: set[bytes], marked: bool) -> dict[bytes, bytes]:
         apart = {w for w in words if not self.part or any(m in w for m in self.marks)} if marked or not self.part else set()
         simple, other = [], []
         for w in words.difference(apart):
             (simple if self.plain and (w.isalpha() and w.islower() or _latin(w.decode())) else other).append(w)
+        found: dict[bytes, bytes] = {}
         for tokenizer, some in ((self.plain, simple), (self.tokenizer, other)):
             for start in range(0, len(some), 2000):
-                self._learn_joined(tokenizer, some[start : start + 2000])
+                self._learn_joined(tokenizer, some[start : start + 2000], found)
         for w in apart:
-            self.memory[w] = np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, self.kind).tobytes()
+            found[w] = np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, self.kind).tobytes()
+        return found
 
-    def _learn_joined(self, tokenizer, words: list[bytes]) -> None:
+    def _learn_joined(self, tokenizer, words: list[bytes], into: dict[bytes, bytes]) -> None:
         found = tokenizer.encode_batch_fast([self.part[1].encode().join(words).decode()], add_special_tokens=False)
         ids = np.array(found[0].ids, np.uint32)
         at = np.flatnonzero(ids == self.part[0])
         data, size = ids.astype(self.kind).tobytes(), self.kind.itemsize
         for w, a, b in zip(words, (np.append(0, at + 1) * size).tolist(), (np.append(at, len(ids)) * size).tolist(), strict=True):
-            self.memory[w] = data[a:b]
+            into[w] = data[a:b]
 
-    def words(self, words: list[bytes], marked: bool) -> list[bytes]:
-        """The ids of distinct words; marked: some may hold an added token."""
-        unknown, held = set(words).difference(self.memory), len(self.memory)
+    def _unknown(self, unknown: list[bytes], hashes: np.ndarray, marked: bool) -> list[bytes]:
+        """The ids of words that the memory lacks, which gets them and what they are put together from."""
         ends = {}
         for w in unknown if self.plain else ():
             if not 97 <= w[-1] <= 122:
                 head = w.rstrip(END_MARKS)
                 if len(head) < len(w) and head and 97 <= head[-1] <= 122:
                     ends[w] = (head, w[len(head) :])
-        self._learn(unknown.difference(ends).union(*ends.values()).difference(self.memory), marked)
+        parts = list(set().union(*ends.values()).difference(unknown))
+        spans = textkit.spans_of(parts)
+        held = self.memory.find(*spans)
+        known, pool = np.flatnonzero(held >= 0), self.memory.ids
+        at, to = self.memory.ids_at[held[known]].tolist(), self.memory.ids_at[held[known] + 1].tolist()
+        learned = {parts[i]: pool[a:b].tobytes() for i, a, b in zip(known.tolist(), at, to, strict=True)}
+        learned |= self._learn(set(unknown).difference(ends).union(*ends.values()).difference(learned), marked)
         for w, (head, tail) in ends.items():
-            self.memory[w] = self.memory[head] + self.memory[tail]
-        found = [*map(self.memory.__getitem__, words)]
-        if len(self.memory) > REMEMBERED:  # the words that were learned last go
-            for w in [*islice(reversed(self.memory), len(self.memory) - held)]:
-                del self.memory[w]
+            learned[w] = learned[head] + learned[tail]
+        found = [learned[w] for w in unknown]
+        self.memory.add([*unknown, *parts], np.append(hashes, spans[3]), [*found, *map(learned.__getitem__, parts)], REMEMBERED)
         return found
 
     def texts(self, flat: np.ndarray, offsets: np.ndarray, end_id: int) -> pa.Array:
         """The ids of each text and `end_id` after them, as bytes.
 
-        Words are told apart by 64-bit hashes; each distinct one is looked up once, and texts are put
-        together from them by one gather.
+        Words are told apart by 64-bit hashes and compared byte by byte; each distinct one is looked up once, and texts
+        are put together from them by one gather.
         """
         data = flat.tobytes()
         marked = any(m[:2] in data for m in self.marks)  # an added token may stand inside a word, in its own case
-        words, which, firsts = textkit.distinct_words(flat, offsets, marked)
-        entries = [*self.words(words, marked), np.array([end_id], self.kind).tobytes()]
-        ends = firsts[1:] + np.arange(1, len(firsts))  # with an end after each row
-        ids, cuts = textkit.joined_ids(entries, np.insert(which, firsts[1:], len(words)), np.append(0, ends), self.kind)
+        spans = None if marked else textkit.distinct_spans(flat, offsets)
+        if spans is None:
+            words, which, firsts = textkit.distinct_words(flat if marked else textkit.LOWER[flat], offsets, True)
+            low, starts, ends, hashes = textkit.spans_of([w if any(m[:2] in w for m in self.marks) else w.lower() for w in words])
+        else:
+            low, distinct, which = spans
+            starts, ends, hashes, firsts = distinct.starts, distinct.ends, distinct.hashes, distinct.rows
+        held = self.memory.find(low, starts, ends, hashes)
+        pool, known, new = self.memory.ids, self.memory.ids_at, np.flatnonzero(held < 0)
+        entries = [*(self._unknown(textkit.span_bytes(low, starts[new], ends[new]), hashes[new], marked) if len(new) else ()), np.array([end_id], self.kind).tobytes()]
+        own = np.array([len(e) for e in entries], np.int64) // self.kind.itemsize
+        # where each word's ids lie: in the memory, or behind it; last the end id
+        at, sizes = np.append(known[held], 0), np.append(known[np.minimum(held + 1, len(known) - 1)] - known[held], 0)
+        behind = np.append(new, len(held))
+        at[behind], sizes[behind] = len(pool) + np.cumsum(own) - own, own
+        pool = np.concatenate([pool, np.frombuffer(b"".join(entries), self.kind)])
+        after = firsts[1:] + np.arange(1, len(firsts))  # with an end after each row
+        ids, cuts = textkit.gathered_ids(pool, at, sizes, np.insert(which, firsts[1:], len(held)), np.append(0, after))
         cuts = np.append(0, cuts) * self.kind.itemsize
         return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(ids.tobytes())])
 
@@ -233,11 +299,16 @@ def _latin(word: str) -> bool:
     return word.isalpha() and max(word) < "\u0250" and word == word.lower()
 
 
+def _load(path: str) -> WordIds:
+    """A worker's own encoder: a function of the module, since one inside another takes copies of the module's tables along to each task."""
+    if path not in _tokenizers:
+        _tokenizers[path] = WordIds(path)
+    return _tokenizers[path]
+
+
 def _encode_batches(path: str, end_id: int, bounds: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _tokenizers:
-            _tokenizers[path] = WordIds(path)
-        encoder = _tokenizers[path]
+        encoder = _load(path)
         cuts = np.array(bounds, np.int64)
         for piece, flat, offsets in textkit.chunked(batches, "text", ENCODE_BYTES):
             ids = encoder.texts(flat, offsets, end_id)

@@ -149,49 +149,86 @@ def split_words(flat: np.ndarray, offsets: np.ndarray, space: np.ndarray = ASCII
     return Words(starts, ends, rows, hash_spans(flat, starts, ends))
 
 
+def eights(flat: np.ndarray) -> np.ndarray:
+    """The eight bytes from each one on, with zeros beyond the last."""
+    return np.ndarray(len(flat) + 1, "<u8", np.append(flat, np.zeros(8, np.uint8)), strides=(1,))
+
+
+def same_spans(a: np.ndarray, starts: np.ndarray, b: np.ndarray, others: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Which spans of one buffer have the same bytes as those of another one; both buffers as `eights`, eight bytes of all spans at once."""
+    same = np.ones(len(sizes), bool)
+    some, x, y, left = np.arange(len(sizes)), starts, others, sizes
+    while len(some):
+        unlike = (a[x] ^ b[y]) << (8 * np.maximum(8 - left, 0)).astype(np.uint64)  # what lies beyond a span's end does not count
+        same[some[unlike != 0]] = False
+        more = (left > 8) & (unlike == 0)
+        some, x, y, left = some[more], x[more] + 8, y[more] + 8, left[more] - 8
+    return same
+
+
 def _same_words(low: np.ndarray, words: Words, other: np.ndarray) -> bool:
-    """Whether each word has the same bytes as another one; eight bytes of all words at once."""
+    """Whether each word has the same bytes as another one."""
     n = words.ends - words.starts
     if (n != n[other]).any():
         return False
-    padded = np.append(low, np.zeros(8, np.uint8))
-    eight = np.ndarray(len(low) + 1, "<u8", padded, strides=(1,))  # the eight bytes from each one on
     some = np.flatnonzero(words.starts != words.starts[other])
-    a, b, left = words.starts[some], words.starts[other[some]], n[some]
-    while len(left):
-        unlike = (eight[a] ^ eight[b]) << (8 * np.maximum(8 - left, 0)).astype(np.uint64)  # what lies beyond a word's end does not count
-        if unlike.any():
-            return False
-        more = left > 8
-        a, b, left = a[more] + 8, b[more] + 8, left[more] - 8
-    return True
+    eight = eights(low)
+    return bool(same_spans(eight, words.starts[some], eight, words.starts[other[some]], n[some]).all())
+
+
+def distinct_spans(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, Words, np.ndarray] | None:
+    """The bytes of all rows with A-Z lowered, the distinct words as spans of them (rows: the first place of each row), and each place's word.
+
+    Words are grouped by 64-bit hashes, in whose order they are given, and every one is compared with its group's first; nothing where two
+    words share a hash.
+    """
+    found = split_words(flat, offsets)
+    hashes, example, which = np.unique(found.hashes, return_index=True, return_inverse=True)
+    low, which = LOWER[flat], which.reshape(-1)
+    if not _same_words(low, found, example[which]):
+        return None
+    return low, Words(found.starts[example], found.ends[example], found.rows, hashes), which
 
 
 def distinct_words(flat: np.ndarray, offsets: np.ndarray, exact: bool) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """The distinct words of all rows, each place's word among them, and the first place of each row.
 
-    Words are given with A-Z lowered, or with their bytes as they are (exact). They are grouped by 64-bit hashes, and
-    every one is compared with its group's first; should two words share a hash, all are told apart without it.
+    Words are given with A-Z lowered, or with their bytes as they are (exact). They are told apart as in distinct_spans;
+    should two words share a hash, all are told apart without it.
     """
-    data = flat.tobytes()
     if exact:
+        data = flat.tobytes()
         rows = [data[a:b].split() for a, b in zip(offsets, offsets[1:], strict=False)]
         words = list(set().union(*rows))
         code = {w: i for i, w in enumerate(words)}
         return words, np.array([code[w] for r in rows for w in r], np.int64), np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
-    found = split_words(flat, offsets)
-    _, example, which = np.unique(found.hashes, return_index=True, return_inverse=True)
-    low = LOWER[flat]
-    if not _same_words(low, found, example[which.reshape(-1)]):
-        return distinct_words(low, offsets, True)
-    low = low.tobytes()
-    return [low[a:b] for a, b in zip(found.starts[example].tolist(), found.ends[example].tolist(), strict=True)], which.reshape(-1), found.rows
+    found = distinct_spans(flat, offsets)
+    if found is None:
+        return distinct_words(LOWER[flat], offsets, True)
+    low, words, which = found
+    return span_bytes(low, words.starts, words.ends), which, words.rows
+
+
+def span_bytes(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    data = flat.tobytes()
+    return [data[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+
+
+def spans_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Some words as spans of one buffer: the buffer, starts, ends and hashes."""
+    flat, ends = np.frombuffer(b"".join(words), np.uint8), np.cumsum([len(w) for w in words], dtype=np.int64)
+    starts = np.append(0, ends)[:-1]
+    return flat, starts, ends, hash_spans(flat, starts, ends)
 
 
 def joined_ids(entries: list[bytes], which: np.ndarray, firsts: np.ndarray, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all rows, put together from those of their words by one gather, and where each row's end."""
     sizes = np.array([len(e) for e in entries], np.int64) // kind.itemsize
-    pool, at = np.frombuffer(b"".join(entries), kind), np.cumsum(sizes) - sizes
+    return gathered_ids(np.frombuffer(b"".join(entries), kind), np.cumsum(sizes) - sizes, sizes, which, firsts)
+
+
+def gathered_ids(pool: np.ndarray, at: np.ndarray, sizes: np.ndarray, which: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As joined_ids, of words whose ids lie in a pool from `at` on."""
     n = sizes[which]
     before = np.cumsum(n) - n
     ids = pool[np.repeat(at[which] - before, n) + np.arange(int(n.sum()))]
