@@ -93,3 +93,13 @@ def test_a_refresh_collects_years_not_locations(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(kind, "collect", lambda self: (lambda rows: sizes.append(len(rows)) or rows)(collect(self)))
     assert updates.refresh_statistics(facts, f"{tmp_path}/stats")[1] == 40
     assert sizes and max(sizes) <= 2
+
+
+def test_days_are_dealt_out_before_they_multiply(spark):
+    """Also where days were just put together by the same columns: the optimiser must not drop the deal and leave the copies to a few tasks."""
+    hours = spark.range(200 * 24).select((F.col("id") % 200).cast("int").alias("location_id"), (1087000 + F.col("id") / 200).cast("int").alias("hour"), F.lit(1.0).cast("float").alias("pet"))
+    members = spark.range(200).select(F.col("id").cast("int").alias("_place"), F.array(F.col("id").cast("int"), (F.col("id") + 200).cast("int")).alias("ids"))
+    found = weather.each_city(weather.daily_comfort(hours), members)
+    per_task = [r["n"] for r in found.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    assert len(per_task) == tasks and sum(per_task) == 2 * weather.daily_comfort(hours).count() and max(per_task) < 2 * sum(per_task) / tasks

@@ -83,14 +83,16 @@ def by_place(cities: DataFrame, shards: int = 1) -> tuple[DataFrame, DataFrame]:
 def each_city(df: DataFrame, members: DataFrame) -> DataFrame:
     """A row of each city for every row of its place, which is named by location_id.
 
-    Rows are first dealt out over as many tasks as a shuffle has: they are few, and their copies many.
+    Rows are first dealt out over as many tasks as a shuffle has: they are few, and their copies many. They are dealt by a
+    hash of their keys, since a deal by the keys themselves is dropped where rows come from a grouping by the same
+    keys, whose few bytes adaptive execution then puts together into a few tasks.
     """
     spark = df.sparkSession
     arrays, ids = members.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("ids")), F.lit(0))).first()
     side = F.broadcast(members) if arrays <= BROADCAST_CITIES and ids <= BROADCAST_MEMBERS else members
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     when = [c for c in ("location_id", "hour", "date") if c in df.columns]
-    found = df.repartition(tasks, *when).join(side, F.col("location_id").eqNullSafe(F.col("_place")))
+    found = df.repartition(tasks, F.xxhash64(*when)).join(side, F.col("location_id").eqNullSafe(F.col("_place")))
     return found.select([F.explode("ids").alias(c) if c == "location_id" else F.col(c) for c in df.columns if c != "cities"])
 
 
